@@ -1,0 +1,21 @@
+from tidewatch.sinks.tables import (
+    append_table,
+    overwrite_partitions,
+    rebalance,
+    write_csv,
+    write_json_lines,
+    write_manifest,
+    write_samples,
+    write_table,
+)
+
+__all__ = [
+    "append_table",
+    "overwrite_partitions",
+    "rebalance",
+    "write_csv",
+    "write_json_lines",
+    "write_manifest",
+    "write_samples",
+    "write_table",
+]

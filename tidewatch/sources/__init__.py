@@ -1,0 +1,27 @@
+from tidewatch.sources.feeds import feed_index, granule_globs, with_source_file
+from tidewatch.sources.news import missing_granules, read_article_embeddings, read_articles
+from tidewatch.sources.tables import (
+    country_codes,
+    read_conflict,
+    read_country_months,
+    read_labels,
+    read_many,
+    read_samples,
+    read_table,
+)
+
+__all__ = [
+    "country_codes",
+    "feed_index",
+    "granule_globs",
+    "missing_granules",
+    "read_article_embeddings",
+    "read_articles",
+    "read_conflict",
+    "read_country_months",
+    "read_labels",
+    "read_many",
+    "read_samples",
+    "read_table",
+    "with_source_file",
+]
