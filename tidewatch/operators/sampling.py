@@ -39,41 +39,36 @@ def permute(df: DataFrame, seed: int, ids: list[str]) -> DataFrame:
     return hashed.orderBy("_hash", *ids).drop("_hash")
 
 
-def oversample(
-    df: DataFrame,
-    label: str,
-    ids: list[str],
-    seed: int,
-    chunk: int = 100_000,
-    rows_per_range: int = 1_000_000,
-) -> DataFrame:
+def oversample(df: DataFrame, label: str, ids: list[str], seed: int, rows_per_range: int = 1_000_000) -> DataFrame:
     """Draw rows of the smaller classes with replacement until all classes are equal.
 
     The originals have ``draw`` 0, the copies 1, 2, ... Draw j of a class takes
     the row whose random rank equals hash(seed, class, j) modulo the class size.
+    The driver sees one count per class; draws are made and joined on executors.
     """
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per class: a class count is the only thing the largest is taken over.
-    largest = sizes.withColumn("_most", F.max("_n").over(Window.partitionBy(F.lit(0))))
-    short = largest.where(F.col("_n") < F.col("_most")).withColumn("_missing", F.col("_most") - F.col("_n"))
-    # Draw numbers are made in two steps, so that no task has to make them all.
-    chunks = short.select(
-        label, "_n", "_missing", F.explode(F.sequence(F.lit(0), F.floor((F.col("_missing") - 1) / chunk))).alias("_c")
-    ).repartition(F.col(label), F.col("_c"))
-    first = F.col("_c") * chunk + 1
-    last = F.least(F.col("_missing"), (F.col("_c") + 1) * chunk)
-    draws = chunks.select(label, "_n", F.explode(F.sequence(first, last)).alias("draw"))
-    picks = draws.select(
-        F.col(label).alias("_label"),
-        F.col("draw"),
-        hash_index(hash_key(seed, F.col(label), F.col("draw")), F.col("_n")).alias("_pick"),
-    )
-    ranked = rank_in_group(df, [label], ids, seed, rows_per_range)
-    copies = ranked.join(picks, (F.col(label) == F.col("_label")) & (F.col("rank0") == F.col("_pick")))
+    spark = df.sparkSession
+    sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return df.select(*columns, F.lit(0).cast("bigint").alias("draw")).unionByName(
-        copies.select(*columns, F.col("draw").cast("bigint"))
+    result = df.select(*columns, F.lit(0).cast("bigint").alias("draw"))
+    most = max(sizes.values(), default=0)
+    short = {value: n for value, n in sizes.items() if n < most}
+    if not short:
+        return result
+    kind = df.schema[label].dataType
+    picks = functools.reduce(
+        DataFrame.unionByName,
+        [
+            spark.range(1, most - n + 1).select(
+                F.lit(value).cast(kind).alias("_label"),
+                F.col("id").alias("draw"),
+                hash_index(hash_key(seed, F.lit(value).cast(kind), F.col("id")), F.lit(n)).alias("_pick"),
+            )
+            for value, n in short.items()
+        ],
     )
+    ranked = rank_in_group(df.where(F.col(label).isin(list(short))), [label], ids, seed, rows_per_range)
+    copies = ranked.join(picks, (F.col(label) == F.col("_label")) & (F.col("rank0") == F.col("_pick")))
+    return result.unionByName(copies.select(*columns, "draw"))
 
 
 def split_by_time(df: DataFrame, column: str, cutoffs: list, names: list[str] | None = None) -> DataFrame:

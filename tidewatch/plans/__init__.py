@@ -1,0 +1,19 @@
+from tidewatch.plans.jobs import (
+    country_month_means,
+    forecast_scores,
+    ingest_days,
+    label_panel,
+    spike_dataset,
+    stack_months,
+    training_samples,
+)
+
+__all__ = [
+    "country_month_means",
+    "forecast_scores",
+    "ingest_days",
+    "label_panel",
+    "spike_dataset",
+    "stack_months",
+    "training_samples",
+]
