@@ -1,0 +1,4 @@
+from tidewatch.catalog import panels, tagging  # noqa: F401
+from tidewatch.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

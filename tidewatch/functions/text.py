@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 ONE_WORD_COUNTRY = r"(?U)1#\w+#(\w{2})#"
 ANY_NAME_COUNTRY = r"(?U)(?:^|;)1#[^#]+#(\w{2})#"
 
-FEED_STAMP = r"(\d{14})"
+# The stamp in a file's own name, or in its folder's when a job wrote part files there.
+FEED_STAMP = r"(\d{14})[^/]*(?:/part-[^/]*)?$"
 
 
 def _col(c: Column | str) -> Column:
@@ -30,7 +31,7 @@ def country_codes(locations: Column | str, names: str = "one_word") -> Column:
 
 
 def feed_stamp(name: Column | str) -> Column:
-    """The 14-digit stamp inside a feed file name or address, null when absent."""
+    """The 14-digit stamp of a feed file's name, path or address, null when absent."""
     return F.nullif(F.regexp_extract(_col(name), FEED_STAMP, 1), F.lit(""))
 
 

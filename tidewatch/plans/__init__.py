@@ -5,7 +5,9 @@ from tidewatch.plans.jobs import (
     label_panel,
     spike_dataset,
     stack_months,
+    tagged_articles,
     training_samples,
+    unique_embeddings,
 )
 
 __all__ = [
@@ -15,5 +17,7 @@ __all__ = [
     "label_panel",
     "spike_dataset",
     "stack_months",
+    "tagged_articles",
     "training_samples",
+    "unique_embeddings",
 ]

@@ -17,10 +17,27 @@ from tidewatch.operators.samples import failed_keys, labelled_samples
 from tidewatch.operators.sampling import split_by_time
 from tidewatch.operators.tagging import explode_countries, stack_manifest, top_countries
 from tidewatch.sinks.tables import overwrite_partitions, write_manifest, write_samples
-from tidewatch.sources.feeds import granule_globs
+from tidewatch.sources.feeds import granule_glob
 from tidewatch.sources.news import read_article_embeddings, read_articles
 
 
+def tagged_articles(raw: DataFrame) -> DataFrame:
+    """Raw article rows of one or more days: one row per address and per record and day, countries tagged.
+
+    Of copies, the earliest granule's row stays.
+    """
+    dated = raw.withColumn("day", F.to_date(parse_stamp("granule")))
+    by_url = dedup(dated, ["day", "DocumentIdentifier"], [F.col("granule"), F.col("GKGRECORDID")])
+    by_record = dedup(by_url, ["day", "GKGRECORDID"], [F.col("granule"), F.col("DocumentIdentifier")])
+    return top_countries(by_record).withColumnRenamed("granule", "gkg_file")
+
+
+def unique_embeddings(raw: DataFrame) -> DataFrame:
+    """Raw embedding rows of one or more days: one row per address and day."""
+    dated = raw.withColumn("day", F.to_date(parse_stamp("granule")))
+    return dedup(dated, ["day", "url"], [F.col("granule"), F.col("date")]).withColumnRenamed("granule", "gsg_file")
+
+
 def ingest_days(
     spark: SparkSession,
     articles_path: str,
@@ -34,24 +51,14 @@ def ingest_days(
 ) -> int:
     """Read, tag, deduplicate and join the feeds of ``[start, end)``; rewrite those days of ``out``.
 
-    Both feeds keep the same sampled granules. Duplicates are dropped per day;
-    the earliest granule's row stays. Returns the rows written, and fails when
-    there are none.
+    Both feeds keep the same sampled granules. Returns the rows written, and
+    fails when there are none.
     """
-    raw = read_articles(
-        spark, granule_globs(articles_path, start, end, ".csv"), p=p, seed=seed
-    ).withColumn("day", F.to_date(parse_stamp("granule")))
-    by_url = dedup(raw, ["day", "DocumentIdentifier"], [F.col("granule"), F.col("GKGRECORDID")])
-    by_record = dedup(by_url, ["day", "GKGRECORDID"], [F.col("granule"), F.col("DocumentIdentifier")])
-    tagged = top_countries(by_record).withColumnRenamed("granule", "gkg_file")
-
+    raw = read_articles(spark, granule_glob(articles_path, start, end, ".csv*"), p=p, seed=seed)
     vectors = read_article_embeddings(
-        spark, granule_globs(embeddings_path, start, end, ".json.gz"), layout=layout, p=p, seed=seed
-    ).withColumn("day", F.to_date(parse_stamp("granule")))
-    unique = dedup(vectors, ["day", "url"], [F.col("granule"), F.col("date")]).withColumnRenamed(
-        "granule", "gsg_file"
+        spark, granule_glob(embeddings_path, start, end, ".json*"), layout=layout, p=p, seed=seed
     )
-    joined, seen = expect_rows(join_articles(tagged, unique), f"articles {start} {end}")
+    joined, seen = expect_rows(join_articles(tagged_articles(raw), unique_embeddings(vectors)), f"articles {start}")
     overwrite_partitions(joined, out, ["day"])
     return assert_rows(seen, "articles")
 
@@ -64,7 +71,7 @@ def label_panel(panel: DataFrame, n: int = 3, q: float = 0.75, months: int = 24,
 def country_month_means(articles: DataFrame, vector: str = "docembed", date: str = "date") -> DataFrame:
     """Mean embedding per country and month; an article counts for each of its countries.
 
-    Components are explained at `mean_embedding`. ``window`` is ``YYYY-MM`` text.
+    ``window`` is ``YYYY-MM`` text.
     """
     per_country = explode_countries(articles.select("`country-1`", "`country-2`", "`country-3`", date, vector))
     windowed = per_country.withColumn("window", F.date_format(date, "yyyy-MM"))

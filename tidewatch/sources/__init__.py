@@ -1,4 +1,4 @@
-from tidewatch.sources.feeds import feed_index, granule_globs, with_source_file
+from tidewatch.sources.feeds import feed_index, granule_glob, with_source_file
 from tidewatch.sources.news import missing_granules, read_article_embeddings, read_articles
 from tidewatch.sources.tables import (
     country_codes,
@@ -13,7 +13,7 @@ from tidewatch.sources.tables import (
 __all__ = [
     "country_codes",
     "feed_index",
-    "granule_globs",
+    "granule_glob",
     "missing_granules",
     "read_article_embeddings",
     "read_articles",

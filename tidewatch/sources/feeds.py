@@ -27,10 +27,10 @@ def feed_index(files: DataFrame, url: str = "url", kind: str = "gkg", first_year
 
 def with_source_file(df: DataFrame, name: str) -> DataFrame:
     """Add the stamp of the file each row was read from. Call it right after a read."""
-    return df.withColumn(name, feed_stamp(F.col("_metadata.file_name")))
+    return df.withColumn(name, feed_stamp(F.col("_metadata.file_path")))
 
 
-def granule_globs(path: str, start: datetime.date, end: datetime.date, ending: str) -> list[str]:
-    """One file pattern per day of ``[start, end)``; files of other days are not even listed."""
-    days = (end - start).days
-    return [f"{path}/{start + datetime.timedelta(days=i):%Y%m%d}*{ending}" for i in range(days)]
+def granule_glob(path: str, start: datetime.date, end: datetime.date, ending: str) -> str:
+    """One pattern for the files of the days ``[start, end)``; files of other days are not read."""
+    days = [f"{start + datetime.timedelta(days=i):%Y%m%d}" for i in range((end - start).days)]
+    return f"{path}/{{{','.join(days)}}}*{ending}"

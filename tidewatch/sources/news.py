@@ -27,7 +27,7 @@ def _sampled(df: DataFrame, p: float, seed: int) -> DataFrame:
     """Keep a share of the granules. Spark prunes files by a filter on file metadata."""
     if p >= 1:
         return df
-    return df.where(chosen(hash_key(seed, feed_stamp(F.col("_metadata.file_name"))), p))
+    return df.where(chosen(hash_key(seed, feed_stamp(F.col("_metadata.file_path"))), p))
 
 
 def read_articles(
@@ -45,7 +45,7 @@ def read_articles(
     malformed integers read as null. ``granule`` is the stamp of the file.
     """
     lines = spark.read.options(lineSep="\n", **_options(tolerant)).text(path)
-    lines = _sampled(lines, p, seed).select("value", feed_stamp(F.col("_metadata.file_name")).alias("granule"))
+    lines = _sampled(lines, p, seed).select("value", feed_stamp(F.col("_metadata.file_path")).alias("granule"))
     text = without_undecodable(F.rtrim(F.col("value"), F.lit("\r")))
     fields = lines.select(F.split(text, "\t").alias("f"), "granule").where(F.size("f") <= len(ARTICLE_COLUMNS))
     wanted = ARTICLE_COLUMNS if keep_all else ARTICLE_KEPT
@@ -110,13 +110,13 @@ def read_article_embeddings(
     driver holds for any read, are all that comes back from that pass.
     """
     reader = spark.read.options(**_options(tolerant))
-    stamp = feed_stamp(F.col("_metadata.file_name")).alias("granule")
+    stamp = feed_stamp(F.col("_metadata.file_path")).alias("granule")
 
     def by_line(paths: str | list[str], skip: list[str] = ()) -> DataFrame:
         rows = _sampled(reader.schema(EMBEDDING_SCHEMA).json(paths), p, seed)
         if skip:
             rows = rows.where(~F.col("_metadata.file_path").isin(list(skip)))
-        return rows.select("*", stamp)
+        return rows.select(*EMBEDDING_SCHEMA.fieldNames(), stamp)
 
     def by_file(paths: str | list[str]) -> DataFrame:
         texts = _sampled(reader.option("wholetext", "true").text(paths), p, seed).select("value", stamp)

@@ -1,3 +1,3 @@
-from tidewatch.streaming.feeds import latest_counts, stream_counts, stream_ingest, window_counts
+from tidewatch.streaming.feeds import counts_so_far, stream_counts, stream_ingest, window_counts
 
-__all__ = ["latest_counts", "stream_counts", "stream_ingest", "window_counts"]
+__all__ = ["counts_so_far", "stream_counts", "stream_ingest", "window_counts"]

@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.sinks.tables import WRITE_CONF, ROWS_PER_FILE
-from tidewatch.session import scoped_conf
-
 
 def stream_ingest(
     stream: DataFrame,
@@ -56,34 +53,28 @@ def stream_counts(
     key: str,
     lateness: str = "1 day",
 ) -> StreamingQuery:
-    """Keep counts per window and key in a table while data arrives.
+    """Append the count of each window and key once the watermark has closed the window.
 
-    Update mode gives every changed window at once, also those the watermark has
-    not closed yet. Each batch writes its own ``batch_id`` folder, so a batch that
-    is run again replaces itself; `latest_counts` reads the newest value.
+    The file sink commits each batch as a whole, so a batch that is run again
+    adds nothing twice. Windows still open are in state; `counts_so_far` adds them.
     """
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        with scoped_conf(batch.sparkSession, WRITE_CONF):
-            (
-                batch.withColumn("batch_id", F.lit(batch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .option("maxRecordsPerFile", ROWS_PER_FILE)
-                .partitionBy("batch_id")
-                .parquet(out)
-            )
-
     return (
         window_counts(stream, time, width, key, lateness)
-        .writeStream.outputMode("update")
+        .writeStream.format("parquet")
+        .option("path", out)
         .option("checkpointLocation", checkpoint)
+        .outputMode("append")
         .trigger(availableNow=True)
-        .foreachBatch(save)
         .start()
     )
 
 
-def latest_counts(counts: DataFrame, key: str) -> DataFrame:
-    """The newest count of each window and key."""
-    return counts.groupBy("window_start", "window_end", key).agg(F.max_by("count", "batch_id").alias("count"))
+def counts_so_far(closed: DataFrame, source: DataFrame, time: str, width: str, key: str) -> DataFrame:
+    """Closed windows as written by `stream_counts`, and the open ones counted from the source.
+
+    Windows do not overlap, so the open ones are those that start at or after the
+    end of the last closed one; only that tail of the source is read.
+    """
+    end = closed.agg(F.max("window_end")).first()[0]
+    tail = source if end is None else source.where(F.col(time) >= F.lit(end).cast(source.schema[time].dataType))
+    return closed.unionByName(window_counts(tail, time, width, key))
