@@ -19,14 +19,17 @@ def _round(*columns: str) -> list:
     return [F.round(c, 6).alias(c) for c in columns]
 
 
-@query(f"WITH {tables.SPIKED} SELECT country, month, fatalities, trend, spike_level, spike FROM spiked")
+@query(f"WITH {tables.SPIKED} SELECT country, month, fatalities, trend, spike_level, spike FROM spiked",
+    dates=("month",), flags=("spike",),
+)
 def spike_labels(spark: SparkSession, sf: str) -> DataFrame:
     labels = label_panel(tables.panel(spark, sf))
     return labels.select("country", "month", "fatalities", "trend", "spike_level", "spike")
 
 
 @query(
-    f"WITH {tables.SPIKED} SELECT country, month, trend, spike_level, trend >= spike_level AS spike FROM spiked"
+    f"WITH {tables.SPIKED} SELECT country, month, trend, spike_level, trend >= spike_level AS spike FROM spiked",
+    dates=("month",), flags=("spike",),
 )
 def spike_labels_with_ties(spark: SparkSession, sf: str) -> DataFrame:
     labels = label_panel(tables.panel(spark, sf), strict=False)
@@ -41,7 +44,8 @@ SELECT country, month, fatalities, last_month, round(mean_before, 6) AS mean_bef
        coalesce(fatalities > last_month, false) AS more_than_last,
        coalesce(fatalities > mean_before, false) AS more_than_mean,
        coalesce(fatalities - mean_before > std_before, false) AS outside_std, trend > 0 AS trend_increasing
-FROM trended"""
+FROM trended""",
+    dates=("month",), counts=("last_month",),
 )
 def trend_features(spark: SparkSession, sf: str) -> DataFrame:
     made = panel.trend_features(tables.panel(spark, sf))
@@ -72,12 +76,16 @@ filled AS (
 )
 
 
-@query(f"WITH {FILLED} SELECT country, month, fatalities FROM filled")
+@query(f"WITH {FILLED} SELECT country, month, fatalities FROM filled",
+    dates=("month",),
+)
 def fill_month_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return panel.fill_months(tables.panel(spark, sf), "country", "month", ["fatalities"])
 
 
-@query(f"WITH {FILLED} SELECT country, CAST(month + INTERVAL 1 MONTH AS DATE) AS month, fatalities FROM filled")
+@query(f"WITH {FILLED} SELECT country, CAST(month + INTERVAL 1 MONTH AS DATE) AS month, fatalities FROM filled",
+    dates=("month",),
+)
 def shift_series(spark: SparkSession, sf: str) -> DataFrame:
     filled = panel.fill_months(tables.panel(spark, sf), "country", "month", ["fatalities"])
     return panel.shift_months(filled, "month", 1)
@@ -87,7 +95,8 @@ def shift_series(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {FILLED}
 SELECT country, month, fatalities, lag(fatalities, 1) OVER w AS fatalities_lag1,
        lag(fatalities, 2) OVER w AS fatalities_lag2, lag(fatalities, 3) OVER w AS fatalities_lag3
-FROM filled WINDOW w AS (PARTITION BY country ORDER BY month)"""
+FROM filled WINDOW w AS (PARTITION BY country ORDER BY month)""",
+    dates=("month",), counts=("fatalities_lag1", "fatalities_lag2", "fatalities_lag3"),
 )
 def lag_features(spark: SparkSession, sf: str) -> DataFrame:
     filled = panel.fill_months(tables.panel(spark, sf), "country", "month", ["fatalities"])
@@ -97,7 +106,8 @@ def lag_features(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""WITH {FILLED}
 SELECT country, month, fatalities,
-       row_number() OVER (PARTITION BY country ORDER BY month DESC) <= 6 AS held_out FROM filled"""
+       row_number() OVER (PARTITION BY country ORDER BY month DESC) <= 6 AS held_out FROM filled""",
+    dates=("month",),
 )
 def holdout_last6(spark: SparkSession, sf: str) -> DataFrame:
     filled = panel.fill_months(tables.panel(spark, sf), "country", "month", ["fatalities"])
@@ -108,7 +118,8 @@ def holdout_last6(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {tables.SPIKED}, indexed AS (
   SELECT *, row_number() OVER (PARTITION BY country ORDER BY month) - 1 AS i FROM spiked)
 SELECT country, month, CAST(i - 0.5 AS DOUBLE) AS range_start, CAST(i + 0.5 AS DOUBLE) AS range_end
-FROM indexed WHERE spike"""
+FROM indexed WHERE spike""",
+    dates=("month",),
 )
 def spike_ranges(spark: SparkSession, sf: str) -> DataFrame:
     found = panel.spike_ranges(label_panel(tables.panel(spark, sf)), "country", "month")
@@ -151,7 +162,8 @@ def min_support(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {tables.PANEL}
 SELECT country AS "Country", monthname(month) AS "Month", CAST(year(month) AS INT) AS "Year",
        fatalities AS "Fatalities", CAST(month(month) AS INT) AS month_num,
-       CAST(quarter(month) AS INT) AS quarter, month AS date FROM panel"""
+       CAST(quarter(month) AS INT) AS quarter, month AS date FROM panel""",
+    dates=("date",),
 )
 def conflict_counts_from_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Write the panel the way the counts arrive, with English month names, and read it."""
@@ -173,7 +185,8 @@ def conflict_counts_from_csv(spark: SparkSession, sf: str) -> DataFrame:
        CAST(quarter(o_orderdate) AS INT) AS quarter,
        concat(strftime(o_orderdate, '%Y-%m'), '-01') AS window_day,
        lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') AS padded_month
-FROM orders"""
+FROM orders""",
+    dates=("month_start", "day"),
 )
 def month_keys(spark: SparkSession, sf: str) -> DataFrame:
     ts = F.col("o_orderdate")
@@ -215,7 +228,8 @@ _STAMPS = """stamps AS (
 @query(
     f"""WITH {_STAMPS}
 SELECT event_id, CAST(try_strptime(stamp, '%Y%m%d%H%M%S') AS TIMESTAMP) AS from_stamp,
-       CAST(try_strptime(iso, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS from_iso FROM stamps"""
+       CAST(try_strptime(iso, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS from_iso FROM stamps""",
+    stamps=("from_stamp", "from_iso"),
 )
 def parse_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     bad = F.col("event_type") == "error"
@@ -232,7 +246,8 @@ def parse_timestamps(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """SELECT o_orderpriority, CAST(unnest(generate_series(date_trunc('month', min(o_orderdate)),
        date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS DATE) AS month
-FROM orders GROUP BY o_orderpriority"""
+FROM orders GROUP BY o_orderpriority""",
+    dates=("month",),
 )
 def month_sequence(spark: SparkSession, sf: str) -> DataFrame:
     ends = tables.table(spark, sf, "orders").groupBy("o_orderpriority").agg(
@@ -251,7 +266,9 @@ def quarter_hour_sequence(spark: SparkSession, sf: str) -> DataFrame:
     )
     return ends.select(
         "event_type",
-        F.date_format(F.explode(dates.quarter_hours("first", "last")), "yyyyMMddHHmmss").alias("stamp"),
+        F.explode(
+            F.transform(dates.quarter_hours("first", "last"), lambda t: F.date_format(t, "yyyyMMddHHmmss"))
+        ).alias("stamp"),
     )
 
 

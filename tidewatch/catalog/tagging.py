@@ -100,7 +100,8 @@ _FILES = """files AS (
     rf"""WITH {_FILES}
 SELECT url, strptime(regexp_extract(url, '(\d{{14}})', 1), '%Y%m%d%H%M%S') AS ts, substr(url, -11, 3) AS kind,
        CAST(substr(regexp_extract(url, '(\d{{14}})', 1), 1, 4) AS INT) AS year
-FROM files WHERE substr(url, -11, 3) = 'gkg'"""
+FROM files WHERE substr(url, -11, 3) = 'gkg'""",
+    stamps=("ts",),
 )
 def feed_index(spark: SparkSession, sf: str) -> DataFrame:
     ending = (

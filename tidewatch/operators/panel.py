@@ -108,8 +108,10 @@ def fill_months(panel: DataFrame, key: str, month: str, values: list[str], fill:
     needed: the months after a row up to the next row are generated in place.
     """
     following = F.lead(month).over(Window.partitionBy(key).orderBy(month))
-    last = F.coalesce(F.add_months(following, -1), F.col(month))
-    spread = panel.withColumn("_m", F.explode(F.sequence(F.col(month), last, F.expr("interval 1 month"))))
+    last = F.coalesce(F.add_months("_following", -1), F.col(month))
+    spread = panel.withColumn("_following", following).withColumn(
+        "_m", F.explode(F.sequence(F.col(month), last, F.expr("interval 1 month")))
+    )
     filled = [
         F.when(F.col("_m") == F.col(month), F.coalesce(F.col(v), F.lit(fill))).otherwise(F.lit(fill))
         .cast(panel.schema[v].dataType)
