@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators.panel import monthly_panel
+from tidewatch.operators.joins import join_articles, with_country_code
+from tidewatch.operators.panel import monthly_panel, shift_months
+from tidewatch.operators.tagging import explode_countries, top_countries
+from tidewatch.plans import label_panel
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,3 +146,47 @@ by_country AS (
   FROM tagged, LATERAL (VALUES (1, "country-1"), (2, "country-2"), (3, "country-3")) AS v(k, country)
   WHERE country IS NOT NULL)"""
 )
+
+# Articles joined with their embedding of the same day, one row per country.
+JOINED = (
+    EXPLODED
+    + ",\n"
+    + EMBEDDED
+    + """,
+located AS (
+  SELECT b.doc_id, b.url, b.lang, b.country, e.date, e.embedding, e.label,
+         CAST(date_trunc('month', e.date) AS DATE) AS month
+  FROM by_country b JOIN embedded e ON b.url = e.url AND CAST(b.published AS DATE) = CAST(e.date AS DATE))"""
+)
+
+
+def joined_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged articles with their same-day embedding, still one row per article."""
+    tagged = top_countries(articles(spark, sf_dir), "locations").withColumn("day", F.to_date("published"))
+    vectors = embedded(spark, sf_dir).withColumn("day", F.to_date("date")).withColumnRenamed("embedding", "docembed")
+    return join_articles(tagged, vectors, article_url="url").drop("month")
+
+
+def located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = explode_countries(joined_articles(spark, sf_dir))
+    return rows.withColumn("month", F.trunc("date", "MM"))
+
+
+# The panel's labels, moved 20 years on to meet the article dates, keyed by country code.
+LABELLED = (
+    SPIKED
+    + f""",
+labels_by_code AS (
+  SELECT {code_of('n_nationkey')} AS country, CAST(month + INTERVAL 240 MONTH AS DATE) AS month,
+         fatalities, trend, spike, trend > 0 AS trend_increasing
+  FROM spiked JOIN nation ON country = n_name)"""
+)
+
+
+def labels_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = table(spark, sf_dir, "nation").selectExpr("n_name AS country", f"{code_of('n_nationkey')} AS code")
+    coded = with_country_code(label_panel(panel(spark, sf_dir)), codes, "country", ["code"])
+    moved = shift_months(coded, "month", 240)
+    return moved.select(
+        F.col("code").alias("country"), "month", "fatalities", "trend", "spike", "trend_increasing"
+    )
