@@ -109,17 +109,17 @@ def read_article_embeddings(
     reads only those the slow way; their names, a subset of the file list the
     driver holds for any read, are all that comes back from that pass.
     """
-    reader = spark.read.options(**_options(tolerant))
+    options = _options(tolerant)
     stamp = feed_stamp(F.col("_metadata.file_path")).alias("granule")
 
     def by_line(paths: str | list[str], skip: list[str] = ()) -> DataFrame:
-        rows = _sampled(reader.schema(EMBEDDING_SCHEMA).json(paths), p, seed)
+        rows = _sampled(spark.read.options(**options).schema(EMBEDDING_SCHEMA).json(paths), p, seed)
         if skip:
             rows = rows.where(~F.col("_metadata.file_path").isin(list(skip)))
         return rows.select(*EMBEDDING_SCHEMA.fieldNames(), stamp)
 
     def by_file(paths: str | list[str]) -> DataFrame:
-        texts = _sampled(reader.option("wholetext", "true").text(paths), p, seed).select("value", stamp)
+        texts = _sampled(spark.read.options(wholetext="true", **options).text(paths), p, seed).select("value", stamp)
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EMBEDDING_SCHEMA) + ", granule string"
         return texts.mapInPandas(_decode_all, schema)
 
@@ -128,7 +128,7 @@ def read_article_embeddings(
     elif layout == "concatenated":
         rows = by_file(path)
     elif layout == "auto":
-        lines = _sampled(reader.text(path), p, seed).select("value", F.col("_metadata.file_path").alias("file"))
+        lines = _sampled(spark.read.options(**options).text(path), p, seed).select("value", F.col("_metadata.file_path").alias("file"))
         odd = [r["file"] for r in lines.where(~_one_object_lines(F.col("value"))).select("file").distinct().collect()]
         rows = by_line(path, odd).unionByName(by_file(odd)) if odd else by_line(path)
     else:
