@@ -161,14 +161,14 @@ def composite_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     rf"""WITH {tables.ARTICLES}
-SELECT doc_id, regexp_extract(url, '(\d+)$', 1) AS tail, md5(url) AS url_key, length(locations) AS n FROM articles"""
+SELECT doc_id, regexp_extract(url, '(\d+)$', 1) AS tail, md5(url) AS url_key, coalesce(length(locations), 0) AS n FROM articles"""
 )
 def text_functions(spark: SparkSession, sf: str) -> DataFrame:
     return tables.articles(spark, sf).select(
         "doc_id",
         F.regexp_extract("url", r"(\d+)$", 1).alias("tail"),
         F.md5("url").alias("url_key"),
-        F.length("locations").cast("long").alias("n"),
+        F.coalesce(F.length("locations"), F.lit(0)).cast("long").alias("n"),
     )
 
 
