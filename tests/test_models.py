@@ -68,8 +68,10 @@ def test_train_and_predict_learns(points):
 
 
 def test_dense_network(points):
-    train, test = (models.as_vector(d, "v") for d in points)
-    got = models.dense_classifier(train, test, "y", "features", hidden=[8, 4], epochs=60)
+    train, test = models.standardise(*(models.as_vector(d, "v") for d in points))
+    got = models.dense_classifier(train, test, "y", "scaled", hidden=8)
+    deep = models.dense_classifier(train, test, "y", "scaled", hidden=[8, 4], epochs=20)
+    assert deep.count() == 40
     rows = got.collect()
     assert len(rows) == 40 and sum(r["prediction"] == r["y"] for r in rows) >= 28
 

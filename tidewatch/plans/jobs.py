@@ -118,7 +118,7 @@ def training_samples(
     written = articles.sparkSession.read.parquet(f"{out}/data")
     wanted = labels.select("country", F.col("month").alias("target_month"))
     failures = failed_keys(wanted, written, ["country", "target_month"])
-    settings = {"articles_per_sample": n, "label": y, "months_per_sample": n_months, "lag_months": lag}
+    settings = {"articles_per_sample": n, "label_column": y, "months_per_sample": n_months, "lag_months": lag}
     write_manifest(written.groupBy("label").count(), f"{out}/manifest", settings)
     return failures
 

@@ -119,7 +119,7 @@ def read_article_embeddings(
         return rows.select(*EMBEDDING_SCHEMA.fieldNames(), stamp)
 
     def by_file(paths: str | list[str]) -> DataFrame:
-        texts = _sampled(spark.read.options(wholetext="true", **options).text(paths), p, seed).select("value", stamp)
+        texts = _sampled(spark.read.options(**options).text(paths, wholetext=True), p, seed).select("value", stamp)
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EMBEDDING_SCHEMA) + ", granule string"
         return texts.mapInPandas(_decode_all, schema)
 
