@@ -4,11 +4,12 @@ Comparing every query with every training row as table rows would be a cross
 join. Here both sides are packed into blocks of vectors around a few pivots, and
 only blocks that can hold a neighbour meet:
 
-* every row belongs to the cell of its nearest pivot;
-* the distances of each cell's ``k`` innermost rows to the pivot bound, by the
-  triangle inequality, how far a query's k-th neighbour can be;
-* a query visits a cell only if the cell's rim is within that bound, and a block
-  of that cell only if the block's distances to the pivot are.
+* every training row belongs to the cell of its nearest pivot;
+* a query's k-th neighbour is at most as far as its k-th nearest row of a small
+  fixed sample, which every task holds;
+* a query visits a cell only if the half-way plane between that cell's pivot and
+  the query's own is within that distance, and meets a block of the cell only if
+  the block's distances to the pivot are.
 
 A block pair is one small matrix product inside a task, and gives at most ``k``
 rows per query. A crowded cell is just many blocks, spread over many tasks.
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 from tidewatch.functions.keys import hash_key
 
 MAX_PIVOTS = 64
+SAMPLE_ROWS = 1024
 BLOCK_ROWS = 2048
-# Rounding room for pruning: prunes a little less, never loses a neighbour.
-SLACK = 1e-9
+PAIRS_AT_ONCE = 65536
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -41,6 +42,11 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def _room(*matrices: np.ndarray) -> float:
+    """More than the rounding error of `_distances`: pruning keeps this much extra, so it never loses a neighbour."""
+    return 1e-6 * (1.0 + sum(float(np.abs(m).max(initial=0.0)) * np.sqrt(m.shape[1]) for m in matrices))
+
+
 def _pack_train(pivots: np.ndarray):
     """Training rows to blocks of one cell each, cut along the distance to the pivot."""
 
@@ -51,7 +57,7 @@ def _pack_train(pivots: np.ndarray):
             vectors = _matrix(batch["_vec"])
             ids, labels = batch["_id"].to_numpy(), batch["_label"].to_numpy(np.float64)
             distance = _distances(vectors, pivots)
-            cell = distance.argmin(1)
+            cell, room = distance.argmin(1), _room(vectors, pivots)
             rim = distance[np.arange(len(cell)), cell]
             out = []
             for c in np.unique(cell):
@@ -60,57 +66,68 @@ def _pack_train(pivots: np.ndarray):
                 for at in range(0, len(rows), BLOCK_ROWS):
                     part = rows[at : at + BLOCK_ROWS]
                     out.append(
-                        (int(c), rim[part[0]], rim[part[-1]], ids[part], labels[part], vectors[part].tobytes())
+                        (
+                            int(c),
+                            rim[part[0]] - room,
+                            rim[part[-1]] + room,
+                            ids[part],
+                            labels[part],
+                            vectors[part].tobytes(),
+                        )
                     )
             yield pd.DataFrame(out, columns=["cell", "near", "far", "t_ids", "t_labels", "t_vecs"])
 
     return pack
 
 
-def _rims(pivots: np.ndarray):
-    """Cell and distance to its pivot of every training row."""
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not batch.empty:
-                distance = _distances(_matrix(batch["_vec"]), pivots)
-                yield pd.DataFrame({"cell": distance.argmin(1), "rim": distance.min(1)})
-
-    return measure
-
-
-def _pack_queries(pivots: np.ndarray, inner: list[np.ndarray], outer: np.ndarray, k: int):
+def _pack_queries(sample: np.ndarray, pivots: np.ndarray, k: int):
     """Queries to one block per cell they have to visit."""
-    cells = [c for c in range(len(pivots)) if len(inner[c])]
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
             vectors, ids = _matrix(batch["_vec"]), batch["_id"].to_numpy()
-            distance = _distances(vectors, pivots)
-            reach = np.concatenate([distance[:, [c]] + inner[c][None, :] for c in cells], axis=1)
-            if reach.shape[1] > k:
-                bound = np.partition(reach, k - 1, axis=1)[:, k - 1]
-            elif reach.shape[1] == k:
-                bound = reach.max(1)
+            if len(sample) >= k:
+                bound = np.partition(_distances(vectors, sample), k - 1, axis=1)[:, k - 1]
             else:
                 bound = np.full(len(ids), np.inf)
-            bound = bound * (1 + SLACK) + SLACK
+            bound = bound + _room(vectors, sample)
+            distance = _distances(vectors, pivots)
+            half_way = (distance - distance.min(1)[:, None]) / 2.0
             out = []
-            for c in cells:
-                visiting = np.flatnonzero(distance[:, c] - outer[c] <= bound)
+            for c in range(len(pivots)):
+                visiting = np.flatnonzero(half_way[:, c] <= bound)
                 visiting = visiting[np.argsort(distance[visiting, c], kind="stable")]
                 for at in range(0, len(visiting), BLOCK_ROWS):
                     part = visiting[at : at + BLOCK_ROWS]
                     low = float((distance[part, c] - bound[part]).min())
                     high = float((distance[part, c] + bound[part]).max())
-                    out.append((int(c), low, high, ids[part], vectors[part].tobytes()))
+                    out.append((c, low, high, ids[part], vectors[part].tobytes()))
             yield pd.DataFrame(out, columns=["q_cell", "low", "high", "q_ids", "q_vecs"])
 
     return pack
 
 
+def _best(q: np.ndarray, t: np.ndarray, t_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of queries, places of training rows and distances of the ``k`` best rows per query."""
+    fast = _distances(q, t)
+    if len(t) > k:
+        # Shortlist by the fast formula, then measure the shortlist exactly.
+        edge = np.partition(fast, k - 1, axis=1)[:, [k - 1]]
+        rows, columns = np.nonzero(fast <= edge + 2 * _room(q, t))
+    else:
+        rows, columns = (m.ravel() for m in np.indices(fast.shape))
+    exact = np.empty(len(rows))
+    for at in range(0, len(rows), PAIRS_AT_ONCE):
+        part = slice(at, at + PAIRS_AT_ONCE)
+        exact[part] = np.sqrt(((t[columns[part]] - q[rows[part]]) ** 2).sum(1))
+    order = np.lexsort((t_ids[columns], exact, rows))
+    rows, columns, exact = rows[order], columns[order], exact[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+    return rows[place < k], columns[place < k], exact[place < k]
+
+
 def _match(k: int, width: int):
     """The ``k`` best training rows of one block for each query of one block."""
 
@@ -119,32 +136,16 @@ def _match(k: int, width: int):
             for row in batch.itertuples(index=False):
                 q = np.frombuffer(row.q_vecs).reshape(-1, width)
                 t = np.frombuffer(row.t_vecs).reshape(-1, width)
-                q_ids, t_ids = np.asarray(row.q_ids), np.asarray(row.t_ids)
-                labels = np.asarray(row.t_labels)
-                near = _distances(q, t)
-                asked, found, far, classes = [], [], [], []
-                for i in range(len(q)):
-                    if len(t) > k:
-                        # Shortlist by the fast formula, then measure exactly.
-                        edge = np.partition(near[i], k - 1)[k - 1]
-                        short = np.flatnonzero(near[i] <= edge + 1e-6 * (1.0 + edge))
-                    else:
-                        short = np.arange(len(t))
-                    exact = np.sqrt(((t[short] - q[i]) ** 2).sum(1))
-                    best = np.lexsort((t_ids[short], exact))[:k]
-                    asked.append(np.full(len(best), q_ids[i]))
-                    found.append(t_ids[short[best]])
-                    far.append(exact[best])
-                    classes.append(labels[short[best]])
-                if asked:
-                    yield pd.DataFrame(
-                        {
-                            "query_id": np.concatenate(asked),
-                            "train_id": np.concatenate(found),
-                            "distance": np.concatenate(far),
-                            "label": np.concatenate(classes),
-                        }
-                    )
+                t_ids = np.asarray(row.t_ids)
+                rows, columns, distance = _best(q, t, t_ids, k)
+                yield pd.DataFrame(
+                    {
+                        "query_id": np.asarray(row.q_ids)[rows],
+                        "train_id": t_ids[columns],
+                        "distance": distance,
+                        "label": np.asarray(row.t_labels)[columns],
+                    }
+                )
 
     return match
 
@@ -175,39 +176,35 @@ def nearest(
     asked = queries.select(
         F.col(id_column).cast("bigint").alias("_id"), F.col(vector).cast("array<double>").alias("_vec")
     )
-    # At most MAX_PIVOTS vectors come to the driver.
-    chosen = rows.orderBy(hash_key(seed, "_id"), "_id").limit(pivots).select("_vec").collect()
+    # A fixed number of vectors comes to the driver and goes to every task.
+    drawn = rows.orderBy(hash_key(seed, "_id"), "_id").limit(SAMPLE_ROWS).select("_vec").collect()
     schema = "query_id bigint, train_id bigint, distance double, label double, rank int"
-    if not chosen:
+    if not drawn:
         return train.sparkSession.createDataFrame([], schema)
-    centres = np.array([r["_vec"] for r in chosen], dtype=np.float64)
-
-    # Per cell the k innermost distances and the outermost one: MAX_PIVOTS * (k + 1) numbers.
-    rims = rows.select("_vec").mapInPandas(_rims(centres), "cell int, rim double")
-    inner_first = Window.partitionBy("cell").orderBy("rim")
-    innermost = rims.withColumn("_rn", F.row_number().over(inner_first)).where(F.col("_rn") <= k)
-    inner: list[list[float]] = [[] for _ in centres]
-    for r in innermost.select("cell", "rim").collect():
-        inner[r["cell"]].append(r["rim"])
-    outer = np.zeros(len(centres))
-    for r in rims.groupBy("cell").agg(F.max("rim").alias("rim")).collect():
-        outer[r["cell"]] = r["rim"]
+    sample = np.array([r["_vec"] for r in drawn], dtype=np.float64)
+    centres = sample[:pivots]
 
     packed_train = rows.mapInPandas(
         _pack_train(centres),
         "cell int, near double, far double, t_ids array<bigint>, t_labels array<double>, t_vecs binary",
     )
     packed_queries = asked.mapInPandas(
-        _pack_queries(centres, [np.sort(np.array(i)) for i in inner], outer, k),
+        _pack_queries(sample, centres, k),
         "q_cell int, low double, high double, q_ids array<bigint>, q_vecs binary",
     )
-    dealt = packed_train.withColumn("part", F.pmod(F.xxhash64("cell", "near", "t_ids"), F.lit(spread)).cast("int"))
-    sent = packed_queries.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    # One task per join key: the blocks are small in bytes but heavy to compare, so
+    # they must not be merged into fewer tasks by size.
+    tasks = len(centres) * spread
+    part = F.pmod(F.xxhash64("cell", "near", "t_ids"), F.lit(spread)).cast("int")
+    dealt = packed_train.withColumn("part", part).repartition(tasks, "cell", "part")
+    sent = packed_queries.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))).repartition(
+        tasks, "q_cell", "q_part"
+    )
     meets = (
         (F.col("cell") == F.col("q_cell"))
         & (F.col("part") == F.col("q_part"))
-        & (F.col("far") >= F.col("low") - SLACK)
-        & (F.col("near") <= F.col("high") + SLACK)
+        & (F.col("far") >= F.col("low"))
+        & (F.col("near") <= F.col("high"))
     )
     pairs = dealt.join(sent, meets).select("q_ids", "q_vecs", "t_ids", "t_labels", "t_vecs")
     found = pairs.mapInPandas(
