@@ -15,12 +15,13 @@ def dedup(df: DataFrame, keys: list[str], order: list[Column] | None = None, kee
     """
     if order is None:
         return df.dropDuplicates(keys)
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    others = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(f"`{c}`") for c in others or keys])
     place = F.struct(*order)
     pick = F.min_by(row, place) if keep == "first" else F.max_by(row, place)
-    return df.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(pick.alias("_row")).select(
-        "_row.*"
-    )
+    kept = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick.alias("_row"))
+    # The keys come from the grouping, so a join on them needs no further shuffle.
+    return kept.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
 
 def mean_embedding(df: DataFrame, keys: list[str], vector: str = "docembed") -> DataFrame:
@@ -36,9 +37,7 @@ def mean_embedding(df: DataFrame, keys: list[str], vector: str = "docembed") ->
         F.avg(F.col("_value").cast("double")).alias("_mean"), F.count(F.lit(1)).alias("_n")
     )
     ordered = F.array_sort(F.collect_list(F.struct("_pos", "_mean")))
-    return means.groupBy(*names).agg(
-        F.transform(ordered, lambda s: s["_mean"]).alias(vector), F.max("_n").alias("n_articles")
-    )
+    return means.groupBy(*names).agg(ordered.getField("_mean").alias(vector), F.max("_n").alias("n_articles"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

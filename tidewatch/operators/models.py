@@ -79,7 +79,7 @@ def pca_variance(
     train: DataFrame, test: DataFrame, share: float = 0.8, column: str = "scaled", name: str = "projected"
 ) -> tuple[DataFrame, DataFrame, int]:
     """The fewest principal components that explain ``share`` of the variance of ``train``."""
-    width = train.select(F.max(F.size(vector_to_array(column)))).first()[0]
+    width = len(train.select(column).first()[0])
     model = PCA(k=width, inputCol=column, outputCol="_all").fit(train)
     total, kept = 0.0, 0
     for part in model.explainedVariance:
@@ -128,7 +128,7 @@ def dense_classifier(
 ) -> DataFrame:
     """Small fully connected network with the given hidden layers."""
     hidden = [hidden] if isinstance(hidden, int) else hidden
-    width = train.select(F.max(F.size(vector_to_array(features)))).first()[0]
+    width = len(train.select(features).first()[0])
     model = MultilayerPerceptronClassifier(
         labelCol=label, featuresCol=features, layers=[width, *hidden, 2], maxIter=epochs, seed=seed
     ).fit(train)
@@ -159,7 +159,7 @@ def prepared(
     share: float = 0.8,
     seed: int = 82,
 ) -> tuple[DataFrame, DataFrame]:
-    """One-hot, balance, standardise, project: columns ``projected`` and ``row_id`` on both sides."""
+    """One-hot, balance, standardise, project: column ``projected`` on both sides, which are persisted."""
     if category:
         train, test, _ = one_hot(train, test, category, "_slots")
     else:
@@ -171,9 +171,14 @@ def prepared(
         whole = F.concat(F.col(vector).cast("array<double>"), F.col("_slots"))
         return df.withColumn("features", array_to_vector(whole)).drop("_slots")
 
-    scaled_train, scaled_test = standardise(assemble(balanced), assemble(test))
+    # The balanced rows are read once for the scaling, once for the projection and once to be projected.
+    assembled = assemble(balanced).persist()
+    scaled_train, scaled_test = standardise(assembled, assemble(test))
     projected_train, projected_test, _ = pca_variance(scaled_train, scaled_test, share)
-    return (projected_train.drop("features", "scaled"), projected_test.drop("features", "scaled"))
+    ready_train = projected_train.drop("features", "scaled").persist()
+    ready_train.count()
+    assembled.unpersist()
+    return ready_train, projected_test.drop("features", "scaled").persist()
 
 
 def train_and_predict(
@@ -195,7 +200,6 @@ def train_and_predict(
     Returns the test rows' id, label, prediction and probability of class 1.
     """
     ready_train, ready_test = prepared(train, test, vector, category, label, [id_column], share, seed)
-    ready_train, ready_test = ready_train.persist(), ready_test.persist()
     boosted = boosted_classifier(ready_train, ready_test, label, "projected", rounds, rate, depth, seed)
     # Copies of a row are separate neighbours, so each training row gets its own id.
     numbered = ready_train.select(

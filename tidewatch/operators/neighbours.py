@@ -206,7 +206,9 @@ def nearest(
         & (F.col("far") >= F.col("low"))
         & (F.col("near") <= F.col("high"))
     )
-    pairs = dealt.join(sent, meets).select("q_ids", "q_vecs", "t_ids", "t_labels", "t_vecs")
+    # Packed rows are far larger than Catalyst's estimate for them, so a merge join is
+    # asked for: a broadcast would be chosen on a size nobody has checked.
+    pairs = dealt.join(sent.hint("merge"), meets).select("q_ids", "q_vecs", "t_ids", "t_labels", "t_vecs")
     found = pairs.mapInPandas(
         _match(k, centres.shape[1]), "query_id bigint, train_id bigint, distance double, label double"
     )

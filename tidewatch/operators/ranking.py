@@ -14,6 +14,8 @@ from tidewatch.functions.keys import hash_fraction, hash_key
 from tidewatch.session import shuffle_width
 
 MAX_RANGES = 1024
+# Rows one task ranks: with a 512-value vector each, about half a gigabyte.
+ROWS_PER_RANGE = 250_000
 
 
 def range_bounds(df: DataFrame, order: str, ranges: int) -> list:
@@ -42,7 +44,7 @@ def range_of(order: str, bounds: list) -> Column:
 
 
 def running_totals(df: DataFrame, order: str, values: list[str], ranges: int | None = None) -> DataFrame:
-    """Add ``<value>_before``: the total of each value over all rows with a smaller ``order``.
+    """Add ``<value>_before``, the total of each value over all rows with a smaller ``order``, and ``<value>_total``.
 
     ``order`` must be a number, date or timestamp without repeats; aggregate by
     it first, which also takes care of one value held by very many rows.
@@ -53,22 +55,24 @@ def running_totals(df: DataFrame, order: str, values: list[str], ranges: int | N
     totals = cut.groupBy("_range").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
     # One row per range, so at most MAX_RANGES rows: safe in one task, safe to broadcast.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     starts = totals.select(
         F.col("_range").alias("_start_range"),
         *[F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_start_{v}") for v in values],
+        *[F.sum(f"_sum_{v}").over(everything).alias(f"{v}_total") for v in values],
     )
     within = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     placed = cut.join(F.broadcast(starts), F.col("_range") == F.col("_start_range"))
     made = [
         (F.col(f"_start_{v}") + F.coalesce(F.sum(v).over(within), F.lit(0))).alias(f"{v}_before") for v in values
     ]
-    return placed.select(*[F.col(f"`{c}`") for c in df.columns], *made)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], *made, *[f"{v}_total" for v in values])
 
 
 def overall_rank(df: DataFrame, order: str, ranges: int | None = None) -> DataFrame:
-    """Add ``rank0``, the 0-based place of each row in the order of a unique number column."""
+    """Add ``rank0``, the 0-based place of each row along a unique number column, and ``n_rows``."""
     ranked = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), order, ["_one"], ranges)
-    return ranked.withColumnRenamed("_one_before", "rank0").drop("_one")
+    return ranked.withColumnsRenamed({"_one_before": "rank0", "_one_total": "n_rows"}).drop("_one")
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -77,7 +81,7 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 
 
 def rank_in_group(
-    df: DataFrame, keys: list[str], ids: list[str], seed: int, rows_per_range: int = 1_000_000
+    df: DataFrame, keys: list[str], ids: list[str], seed: int, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Add ``rank0``, a reproducible random 0-based place of each row in its group.
 

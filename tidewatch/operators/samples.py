@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.arrays import pad_rows, reshape
 from tidewatch.functions.keys import hash_key
 from tidewatch.operators.joins import lagged_window_join
-from tidewatch.operators.ranking import rank_in_group
+from tidewatch.operators.ranking import ROWS_PER_RANGE, rank_in_group
 
 
 def article_samples(
@@ -20,7 +20,7 @@ def article_samples(
     id_column: str = "url",
     date: str = "date",
     vector: str = "docembed",
-    rows_per_range: int = 1_000_000,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Random groups of ``n`` articles per key, each a matrix of ``n`` rows sorted by date.
 
@@ -35,12 +35,12 @@ def article_samples(
         .agg(F.array_sort(F.collect_list(F.struct(date, id_column, vector))).alias("_rows"))
         .where((F.size("_rows") == n) | (F.col("sample") == 0))
     )
-    matrix = pad_rows(F.transform("_rows", lambda r: r[vector]), n, width)
+    matrix = pad_rows(F.col("_rows").getField(vector), n, width)
     return grouped.select(
         *keys,
         "sample",
         F.size("_rows").alias("n_articles"),
-        F.transform("_rows", lambda r: r[id_column]).alias("article_ids"),
+        F.col("_rows").getField(id_column).alias("article_ids"),
         F.flatten(matrix).alias("embeddings"),
         F.lit(n).cast("bigint").alias("height"),
         F.lit(width).cast("bigint").alias("width"),
@@ -62,7 +62,7 @@ def labelled_samples(
     date: str = "date",
     vector: str = "docembed",
     y_type: str = "bigint",
-    rows_per_range: int = 1_000_000,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Samples of the articles in each label's look-back, with the label value ``y``.
 
@@ -95,7 +95,7 @@ def stack_groups(samples: DataFrame, keys: list[str], vector: str, limit: int, s
     placed = samples.withColumn("stack", F.floor(F.col("sample") / limit).cast("int"))
     ordered = F.array_sort(F.collect_list(F.struct("sample", vector)))
     return placed.groupBy(*keys, "stack").agg(
-        F.transform(ordered, lambda s: s[vector]).alias("sequence"), F.count(F.lit(1)).alias("n_groups")
+        ordered.getField(vector).alias("sequence"), F.count(F.lit(1)).alias("n_groups")
     )
 
 

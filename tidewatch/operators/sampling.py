@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import chosen, hash_index, hash_key
-from tidewatch.operators.ranking import overall_rank, rank_in_group
+from tidewatch.operators.ranking import ROWS_PER_RANGE, overall_rank, rank_in_group
 
 
 def sample_granules(df: DataFrame, granule: str, p: float = 0.15, seed: int = 4) -> DataFrame:
@@ -39,7 +39,7 @@ def permute(df: DataFrame, seed: int, ids: list[str]) -> DataFrame:
     return hashed.orderBy("_hash", *ids).drop("_hash")
 
 
-def oversample(df: DataFrame, label: str, ids: list[str], seed: int, rows_per_range: int = 1_000_000) -> DataFrame:
+def oversample(df: DataFrame, label: str, ids: list[str], seed: int, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Draw rows of the smaller classes with replacement until all classes are equal.
 
     The originals have ``draw`` 0, the copies 1, 2, ... Draw j of a class takes
@@ -97,6 +97,5 @@ def ntile_of(rank0: Column, total: Column, k: int) -> Column:
 
 def bucket_rows(df: DataFrame, order: str, k: int = 12, name: str = "bucket", ranges: int | None = None) -> DataFrame:
     """Spread all rows evenly over ``k`` buckets along a unique number column."""
-    total = df.count()
     ranked = overall_rank(df, order, ranges)
-    return ranked.withColumn(name, ntile_of(F.col("rank0"), F.lit(total), k)).drop("rank0")
+    return ranked.withColumn(name, ntile_of(F.col("rank0"), F.col("n_rows"), k)).drop("rank0", "n_rows")

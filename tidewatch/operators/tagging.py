@@ -46,12 +46,11 @@ def drop_unlocated(df: DataFrame) -> DataFrame:
 def explode_countries(df: DataFrame, name: str = "country") -> DataFrame:
     """One row per article and country; ``country_idx`` says which of the three it was."""
     others = [c for c in df.columns if c not in COUNTRY_COLUMNS]
-    slots = F.array(
-        *[F.struct(F.lit(i).alias("idx"), c.alias("code")) for i, c in enumerate(_quoted(COUNTRY_COLUMNS), 1)]
-    )
+    slots = F.posexplode(F.array(*_quoted(COUNTRY_COLUMNS))).alias("_pos", name)
     return (
-        df.select(*_quoted(others), F.explode(F.filter(slots, lambda s: s["code"].isNotNull())).alias("_slot"))
-        .select(*_quoted(others), F.col("_slot.idx").alias("country_idx"), F.col("_slot.code").alias(name))
+        df.select(*_quoted(others), slots)
+        .where(F.col(name).isNotNull())
+        .select(*_quoted(others), (F.col("_pos") + 1).alias("country_idx"), name)
     )
 
 

@@ -47,7 +47,9 @@ def read_articles(
     lines = spark.read.options(lineSep="\n", **_options(tolerant)).text(path)
     lines = _sampled(lines, p, seed).select("value", feed_stamp(F.col("_metadata.file_path")).alias("granule"))
     text = without_undecodable(F.rtrim(F.col("value"), F.lit("\r")))
-    fields = lines.select(F.split(text, "\t").alias("f"), "granule").where(F.size("f") <= len(ARTICLE_COLUMNS))
+    # The part before the 28th field is the whole line, unless there are too many fields.
+    few_enough = F.col("value") == F.substring_index("value", "\t", len(ARTICLE_COLUMNS))
+    fields = lines.where(few_enough).select(F.split(text, "\t").alias("f"), "granule")
     wanted = ARTICLE_COLUMNS if keep_all else ARTICLE_KEPT
     columns = []
     for i, name in enumerate(ARTICLE_COLUMNS):
