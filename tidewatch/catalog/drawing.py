@@ -50,6 +50,13 @@ def sample_windows(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.sample_granules(quarter_hour_sequence(spark, sf), "stamp")
 
 
+@query("SELECT event_id, event_type FROM events ORDER BY value DESC, event_id LIMIT 20")
+def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 events with the largest value."""
+    events = tables.table(spark, sf, "events").orderBy(F.col("value").desc(), "event_id")
+    return events.limit(20).select("event_id", "event_type")
+
+
 @query(f"SELECT event_id, event_type FROM events ORDER BY {key_sql(7, 'event_id')}, event_id LIMIT 100")
 def sample_n(spark: SparkSession, sf: str) -> DataFrame:
     """A uniform sample of 100 events."""

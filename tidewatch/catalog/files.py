@@ -11,7 +11,7 @@ from tidewatch.catalog import tables
 from tidewatch.catalog.registry import query
 from tidewatch.operators.joins import join_articles, pending
 from tidewatch.operators.tagging import top_countries
-from tidewatch.schemas import ARTICLE_COLUMNS
+from tidewatch.schemas import ARTICLE_COLUMNS, PREDICTION_SCHEMA
 from tidewatch.session import scratch_path
 from tidewatch.sinks import (
     append_table,
@@ -265,6 +265,31 @@ def labels_from_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_labels(spark, path)
 
 
+@query(
+    f"""WITH {tables.LABELLED}
+SELECT strftime(month - INTERVAL 2 MONTH, '%Y-%m') AS embedding_window, strftime(month, '%Y-%m') AS target_window,
+       country AS fips, spike AS lagged_spike, CAST(trend > 1 AS INT) AS prediction,
+       round(1 / (1 + exp(-trend)), 6) AS probabilities
+FROM labels_by_code WHERE spike IS NOT NULL""",
+)
+def predictions_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions written as CSV with a header and read back."""
+    path = scratch_path(spark, "predictions")
+    labels = tables.labels_by_code(spark, sf).where(F.col("spike").isNotNull())
+    write_csv(
+        labels.select(
+            F.date_format(F.add_months("month", -2), "yyyy-MM").alias("embedding_window"),
+            F.date_format("month", "yyyy-MM").alias("target_window"),
+            F.col("country").alias("fips"),
+            F.col("spike").alias("lagged_spike"),
+            (F.col("trend") > 1).cast("int").alias("prediction"),
+            F.round(1 / (1 + F.exp(-F.col("trend"))), 6).alias("probabilities"),
+        ),
+        path,
+    )
+    return read_many(spark, f"{path}/*.csv", PREDICTION_SCHEMA)
+
+
 @query(
     f"""WITH {tables.EXPLODED}
 SELECT doc_id, country, strftime(published, '%Y%m') AS yearmonth FROM by_country

@@ -82,6 +82,17 @@ LABEL_SCHEMA = T.StructType(
     ]
 )
 
+PREDICTION_SCHEMA = T.StructType(
+    [
+        T.StructField("embedding_window", T.StringType()),
+        T.StructField("target_window", T.StringType()),
+        T.StructField("fips", T.StringType()),
+        T.StructField("lagged_spike", T.BooleanType()),
+        T.StructField("prediction", T.IntegerType()),
+        T.StructField("probabilities", T.DoubleType()),
+    ]
+)
+
 COUNTRY_CODE_SCHEMA = T.StructType(
     [
         T.StructField("Country", T.StringType()),

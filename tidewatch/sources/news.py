@@ -107,18 +107,24 @@ def read_article_embeddings(
 
     ``layout="lines"`` reads one object per line inside the JVM. ``"concatenated"``
     decodes whole files, objects back to back or over several lines, in Python
-    workers. ``"auto"`` first finds the files that are not one object per line and
-    reads only those the slow way; their names, a subset of the file list the
-    driver holds for any read, are all that comes back from that pass.
+    workers, one file at a time. ``"auto"`` first finds the files that are not one
+    object per line and reads only those the slow way; their names, a subset of the
+    file list the driver holds for any read, are all that comes back from that
+    pass. It reads the feed once more, so name the layout when it is known.
     """
     options = _options(tolerant)
+    bad_lines = "DROPMALFORMED" if tolerant else "FAILFAST"
     stamp = feed_stamp(F.col("_metadata.file_path")).alias("granule")
 
     def by_line(paths: str | list[str], skip: list[str] = ()) -> DataFrame:
-        rows = _sampled(spark.read.options(**options).schema(EMBEDDING_SCHEMA).json(paths), p, seed)
+        read = spark.read.options(**options).schema(EMBEDDING_SCHEMA).json(paths, mode=bad_lines)
+        rows = _sampled(read, p, seed).select(
+            *EMBEDDING_SCHEMA.fieldNames(), stamp, F.col("_metadata.file_path").alias("_file")
+        )
         if skip:
-            rows = rows.where(~F.col("_metadata.file_path").isin(list(skip)))
-        return rows.select(*EMBEDDING_SCHEMA.fieldNames(), stamp)
+            skipped = spark.createDataFrame([(f,) for f in skip], "_file string")
+            rows = rows.join(skipped, "_file", "left_anti")
+        return rows.drop("_file")
 
     def by_file(paths: str | list[str]) -> DataFrame:
         texts = _sampled(spark.read.options(**options).text(paths, wholetext=True), p, seed).select("value", stamp)
@@ -131,7 +137,8 @@ def read_article_embeddings(
         rows = by_file(path)
     elif layout == "auto":
         lines = _sampled(spark.read.options(**options).text(path), p, seed).select("value", F.col("_metadata.file_path").alias("file"))
-        odd = [r["file"] for r in lines.where(~_one_object_lines(F.col("value"))).select("file").distinct().collect()]
+        odd_lines = lines.where(~_one_object_lines(F.col("value")))
+        odd = [r["file"] for r in odd_lines.select("file").distinct().collect()]
         rows = by_line(path, odd).unionByName(by_file(odd)) if odd else by_line(path)
     else:
         raise ValueError("layout must be 'auto', 'lines' or 'concatenated'")
