@@ -175,14 +175,14 @@ _FLAGS = ", ".join(f"CAST(r_name = '{r}' AS INT) AS \"r_name_{r}\"" for r in _RE
 @query(
     f"""WITH {tables.PANEL},
 dim AS (
-  SELECT n_name, n_regionkey, avg_balance, r_name FROM nation JOIN region ON n_regionkey = r_regionkey
-  JOIN (SELECT c_nationkey, round(avg(c_acctbal), 2) AS avg_balance FROM customer GROUP BY 1) ON c_nationkey = n_nationkey)
-SELECT country, month, fatalities, n_regionkey, avg_balance, {_FLAGS} FROM panel LEFT JOIN dim ON country = n_name""",
+  SELECT n_name, n_regionkey, top_balance, r_name FROM nation JOIN region ON n_regionkey = r_regionkey
+  JOIN (SELECT c_nationkey, max(c_acctbal) AS top_balance FROM customer GROUP BY 1) ON c_nationkey = n_nationkey)
+SELECT country, month, fatalities, n_regionkey, top_balance, {_FLAGS} FROM panel LEFT JOIN dim ON country = n_name""",
     dates=("month",),
 )
 def country_context(spark: SparkSession, sf: str) -> DataFrame:
     balance = tables.table(spark, sf, "customer").groupBy("c_nationkey").agg(
-        F.round(F.avg("c_acctbal"), 2).alias("avg_balance")
+        F.max("c_acctbal").alias("top_balance")
     )
     nation = tables.table(spark, sf, "nation").withColumnRenamed("n_name", "country")
     region = tables.table(spark, sf, "region")
@@ -190,7 +190,7 @@ def country_context(spark: SparkSession, sf: str) -> DataFrame:
         balance, F.col("c_nationkey") == F.col("n_nationkey")
     )
     return models.with_context(
-        tables.panel(spark, sf), dim, "country", ["n_regionkey", "avg_balance"], ["r_name"]
+        tables.panel(spark, sf), dim, "country", ["n_regionkey", "top_balance"], ["r_name"]
     )
 
 
