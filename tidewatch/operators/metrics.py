@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.ranking import running_totals
+from tidewatch.operators.ranking import range_bounds, running_totals
+from tidewatch.session import shuffle_width
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -47,10 +48,11 @@ def roc_auc(df: DataFrame, truth: str, score: str, ranges: int | None = None) ->
     number of negatives below it, a running total over ranges of the score.
     """
     y = F.col(truth).cast("boolean")
-    by_score = df.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")
-    )
-    below = running_totals(by_score, "score", ["neg"], ranges)
+    scored = df.select(F.col(score).cast("double").alias("score"), y.alias("y"))
+    by_score = scored.groupBy("score").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
+    # Bounds of the rows' scores do as well as those of the distinct ones, without the grouping.
+    bounds = range_bounds(scored, "score", ranges or shuffle_width(df.sparkSession))
+    below = running_totals(by_score, "score", ["neg"], bounds=bounds)
     won = F.sum((F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2))).cast("double"))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return below.agg(

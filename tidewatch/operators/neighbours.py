@@ -11,8 +11,8 @@ only blocks that can hold a neighbour meet:
   the query's own is within that distance, and meets a block of the cell only if
   the block's distances to the pivot are.
 
-A block pair is one small matrix product inside a task, and gives at most ``k``
-rows per query. A crowded cell is just many blocks, spread over many tasks.
+A block pair is one small matrix product inside a task. The blocks a query block
+meets in a task share the best ``k`` rows found so far, and only those leave it. A crowded cell is just many blocks, spread over many tasks.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.keys import hash_key
 
 MAX_PIVOTS = 64
-SAMPLE_ROWS = 1024
+SAMPLE_ROWS = 4096
 BLOCK_ROWS = 2048
 PAIRS_AT_ONCE = 65536
 
@@ -103,49 +103,71 @@ def _pack_queries(sample: np.ndarray, pivots: np.ndarray, k: int):
                     part = visiting[at : at + BLOCK_ROWS]
                     low = float((distance[part, c] - bound[part]).min())
                     high = float((distance[part, c] + bound[part]).max())
-                    out.append((c, low, high, ids[part], vectors[part].tobytes()))
-            yield pd.DataFrame(out, columns=["q_cell", "low", "high", "q_ids", "q_vecs"])
+                    out.append((c, low, high, ids[part], bound[part], vectors[part].tobytes()))
+            yield pd.DataFrame(out, columns=["q_cell", "low", "high", "q_ids", "q_bounds", "q_vecs"])
 
     return pack
 
 
-def _best(q: np.ndarray, t: np.ndarray, t_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of queries, places of training rows and distances of the ``k`` best rows per query."""
-    fast = _distances(q, t)
-    if len(t) > k:
-        # Shortlist by the fast formula, then measure the shortlist exactly.
-        edge = np.partition(fast, k - 1, axis=1)[:, [k - 1]]
-        rows, columns = np.nonzero(fast <= edge + 2 * _room(q, t))
-    else:
-        rows, columns = (m.ravel() for m in np.indices(fast.shape))
-    exact = np.empty(len(rows))
-    for at in range(0, len(rows), PAIRS_AT_ONCE):
-        part = slice(at, at + PAIRS_AT_ONCE)
-        exact[part] = np.sqrt(((t[columns[part]] - q[rows[part]]) ** 2).sum(1))
-    order = np.lexsort((t_ids[columns], exact, rows))
-    rows, columns, exact = rows[order], columns[order], exact[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-    return rows[place < k], columns[place < k], exact[place < k]
+class _Best:
+    """The ``k`` best training rows so far of each query in one block."""
+
+    def __init__(self, q_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int):
+        self.q_ids, self.q, self.bound, self.k = q_ids, q, np.array(bound), k
+        self.rows = np.empty(0, dtype=np.int64)
+        self.ids = np.empty(0, dtype=np.int64)
+        self.far = np.empty(0)
+        self.labels = np.empty(0)
+
+    def add(self, t: np.ndarray, t_ids: np.ndarray, labels: np.ndarray) -> None:
+        """Shortlist by the fast formula, measure the shortlist exactly, keep the best."""
+        fast = _distances(self.q, t)
+        rows, columns = np.nonzero(fast <= (self.bound + 2 * _room(self.q, t))[:, None])
+        if not len(rows):
+            return
+        exact = np.empty(len(rows))
+        for at in range(0, len(rows), PAIRS_AT_ONCE):
+            part = slice(at, at + PAIRS_AT_ONCE)
+            exact[part] = np.sqrt(((t[columns[part]] - self.q[rows[part]]) ** 2).sum(1))
+        rows = np.concatenate([self.rows, rows])
+        ids = np.concatenate([self.ids, t_ids[columns]])
+        far = np.concatenate([self.far, exact])
+        labels = np.concatenate([self.labels, labels[columns]])
+        order = np.lexsort((ids, far, rows))
+        rows = rows[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+        order = order[place < self.k]
+        self.rows, self.ids, self.far, self.labels = rows[place < self.k], ids[order], far[order], labels[order]
+        full = place == self.k - 1
+        self.bound[rows[full]] = np.minimum(self.bound[rows[full]], self.far[place[place < self.k] == self.k - 1])
+
+    def frame(self) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"query_id": self.q_ids[self.rows], "train_id": self.ids, "distance": self.far, "label": self.labels}
+        )
 
 
 def _match(k: int, width: int):
-    """The ``k`` best training rows of one block for each query of one block."""
+    """The ``k`` best training rows for each query of a block, over the training blocks it comes with.
+
+    A merge join gives the pairs of one query block in a row, so they share one
+    shrinking bound; pairs in any other order only give some more candidates.
+    """
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
         for batch in batches:
             for row in batch.itertuples(index=False):
-                q = np.frombuffer(row.q_vecs).reshape(-1, width)
+                q_ids, t_ids = np.asarray(row.q_ids), np.asarray(row.t_ids)
+                if best is None or not np.array_equal(best.q_ids, q_ids):
+                    if best is not None:
+                        yield best.frame()
+                    q = np.frombuffer(row.q_vecs).reshape(-1, width)
+                    best = _Best(q_ids, q, np.asarray(row.q_bounds), k)
                 t = np.frombuffer(row.t_vecs).reshape(-1, width)
-                t_ids = np.asarray(row.t_ids)
-                rows, columns, distance = _best(q, t, t_ids, k)
-                yield pd.DataFrame(
-                    {
-                        "query_id": np.asarray(row.q_ids)[rows],
-                        "train_id": t_ids[columns],
-                        "distance": distance,
-                        "label": np.asarray(row.t_labels)[columns],
-                    }
-                )
+                best.add(t, t_ids, np.asarray(row.t_labels))
+        if best is not None:
+            yield best.frame()
 
     return match
 
@@ -190,7 +212,7 @@ def nearest(
     )
     packed_queries = asked.mapInPandas(
         _pack_queries(sample, centres, k),
-        "q_cell int, low double, high double, q_ids array<bigint>, q_vecs binary",
+        "q_cell int, low double, high double, q_ids array<bigint>, q_bounds array<double>, q_vecs binary",
     )
     # One task per join key: the blocks are small in bytes but heavy to compare, so
     # they must not be merged into fewer tasks by size.
@@ -208,7 +230,7 @@ def nearest(
     )
     # Packed rows are far larger than Catalyst's estimate for them, so a merge join is
     # asked for: a broadcast would be chosen on a size nobody has checked.
-    pairs = dealt.join(sent.hint("merge"), meets).select("q_ids", "q_vecs", "t_ids", "t_labels", "t_vecs")
+    pairs = sent.join(dealt.hint("merge"), meets).select("q_ids", "q_bounds", "q_vecs", "t_ids", "t_labels", "t_vecs")
     found = pairs.mapInPandas(
         _match(k, centres.shape[1]), "query_id bigint, train_id bigint, distance double, label double"
     )
