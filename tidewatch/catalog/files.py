@@ -42,7 +42,7 @@ def _granule(date: str) -> Column:
 def write_article_feed(spark: SparkSession, sf: str) -> str:
     """Articles as tab-separated lines in one folder per granule.
 
-    One line in seven gets two fields too many, another one in seven ends after the
+    The lines of one source get two fields too many, those of another end after the
     fifth field.
     """
     values = {
@@ -54,10 +54,9 @@ def write_article_feed(spark: SparkSession, sf: str) -> str:
         "V2Themes": "concat('\"', lang)",
     }
     fields = F.array(*[F.expr(values.get(c, "''")) for c in ARTICLE_COLUMNS])
-    kind = F.col("doc_id") % 7
     line = (
-        F.when(kind == 3, F.concat(fields, F.array(F.lit("x"), F.lit("y"))))
-        .when(kind == 5, F.slice(fields, 1, 5))
+        F.when(F.col("source") == "src3", F.concat(fields, F.array(F.lit("x"), F.lit("y"))))
+        .when(F.col("source") == "src5", F.slice(fields, 1, 5))
         .otherwise(fields)
     )
     path = scratch_path(spark, "article-feed")
@@ -67,7 +66,7 @@ def write_article_feed(spark: SparkSession, sf: str) -> str:
 
 
 def write_embedding_feed(spark: SparkSession, sf: str) -> str:
-    """Embeddings as gzip JSON; one line in five holds its object twice."""
+    """Embeddings as gzip JSON; the lines of one label hold their object twice."""
     record = F.to_json(
         F.struct(
             F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
@@ -78,7 +77,7 @@ def write_embedding_feed(spark: SparkSession, sf: str) -> str:
             F.col("embedding").alias("docembed"),
         )
     )
-    line = F.when(F.col("vec_id") % 5 == 0, F.concat(record, record)).otherwise(record)
+    line = F.when(F.col("label") == 4, F.concat(record, record)).otherwise(record)
     path = scratch_path(spark, "embedding-feed")
     lines = tables.embedded(spark, sf).select(line.alias("value"), _granule("date").alias("feed"))
     rebalance(lines, ["feed"]).write.partitionBy("feed").option("compression", "gzip").text(path)
@@ -88,8 +87,8 @@ def write_embedding_feed(spark: SparkSession, sf: str) -> str:
 _FEED = """feed AS (
   SELECT doc_id, record_id, url, source, concat('"', lang) AS themes, published,
          strftime(date_trunc('month', published), '%Y%m%d000000') AS granule,
-         CASE WHEN doc_id % 7 <> 5 THEN locations END AS locations, doc_id % 7 = 5 AS is_short
-  FROM articles WHERE doc_id % 7 <> 3)"""
+         CASE WHEN source <> 'src5' THEN locations END AS locations, source = 'src5' AS is_short
+  FROM articles WHERE source <> 'src3')"""
 
 
 @query(
@@ -108,7 +107,7 @@ def articles_from_feed(spark: SparkSession, sf: str) -> DataFrame:
 _DECODED = """SELECT url, date, 'ENGLISH' AS lang, concat('Title } { ', vec_id) AS title,
        strftime(date_trunc('month', date), '%Y%m%d000000') AS granule,
        round(list_sum(CAST(embedding AS DOUBLE[])), 5) AS total
-FROM embedded, range(CASE WHEN vec_id % 5 = 0 THEN 2 ELSE 1 END) AS copies"""
+FROM embedded, range(CASE WHEN label = 4 THEN 2 ELSE 1 END) AS copies"""
 
 
 @query(f"WITH {tables.EMBEDDED} {_DECODED}", stamps=("date",))
@@ -170,7 +169,7 @@ def ingested_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {tables.ARTICLES}, {_FEED}
+    f"""WITH {tables.ARTICLES}
 SELECT doc_id, strftime(date_trunc('month', published), '%Y%m%d000000') AS gkg_file FROM articles"""
 )
 def source_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,7 +183,7 @@ def source_files(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {tables.ARTICLES}
 SELECT DISTINCT strftime(published, '%Y%m%d000000') AS granule FROM articles
 WHERE strftime(published, '%Y%m%d000000') NOT IN (
-  SELECT strftime(date_trunc('month', published), '%Y%m%d000000') FROM articles WHERE doc_id % 7 <> 3)"""
+  SELECT strftime(date_trunc('month', published), '%Y%m%d000000') FROM articles WHERE source <> 'src3')"""
 )
 def quarantined_granules(spark: SparkSession, sf: str) -> DataFrame:
     """Days expected as granules of a feed that holds months: all but the first of each month are missing."""

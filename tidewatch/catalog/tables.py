@@ -110,11 +110,11 @@ ARTICLES = f"""articles AS (
 
 
 def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article embeddings derived from `embeddings`; every tenth is dated a day late."""
+    """Article embeddings derived from `embeddings`; those of one label are dated a day late."""
     return table(spark, sf_dir, "embeddings").selectExpr(
         "vec_id",
         "concat('https://news.example/', vec_id) AS url",
-        "timestampadd(MINUTE, 15 * ((vec_id * 97) % 35136) + CASE WHEN vec_id % 10 = 0 THEN 1440 ELSE 0 END,"
+        "timestampadd(MINUTE, 15 * ((vec_id * 97) % 35136) + CASE WHEN label = 0 THEN 1440 ELSE 0 END,"
         " TIMESTAMP '2020-01-01 00:00:00') AS date",
         "embedding",
         "label",
@@ -124,7 +124,7 @@ def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
 EMBEDDED = """embedded AS (
   SELECT vec_id, concat('https://news.example/', vec_id) AS url,
          TIMESTAMP '2020-01-01 00:00:00'
-           + to_minutes(15 * ((vec_id * 97) % 35136) + CASE WHEN vec_id % 10 = 0 THEN 1440 ELSE 0 END) AS date,
+           + to_minutes(15 * ((vec_id * 97) % 35136) + CASE WHEN label = 0 THEN 1440 ELSE 0 END) AS date,
          embedding, label
   FROM embeddings)"""
 
