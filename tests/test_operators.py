@@ -98,7 +98,7 @@ def test_auc_with_ties_and_a_hot_score(spark, ranges):
 
 
 def test_auc_of_one_class_is_null(spark):
-    df = spark.createDataFrame([(True, 0.1), (True, 0.4)], "y boolean, p double")
+    df = spark.createDataFrame([(True, 0.1), (True, 0.4), (None, 0.2), (False, None)], "y boolean, p double")
     assert metrics.roc_auc(df, "y", "p").first()["roc_auc"] is None
 
 
@@ -125,16 +125,16 @@ def test_bucket_rows_with_fewer_rows_than_buckets(spark):
 
 
 def hot_groups(spark):
-    """Half of all rows share one key."""
-    return spark.range(500).selectExpr(
-        "id", "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('k', id % 10) END AS k", "timestamp_seconds(id * 60) AS date"
-    )
+    """Half of all rows share one key, some have none."""
+    key = "CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 10 <> 7 THEN concat('k', id % 10) END AS k"
+    return spark.range(500).selectExpr("id", key, "timestamp_seconds(id * 60) AS date")
 
 
 def test_rank_in_group_does_not_depend_on_how_it_is_spread(spark):
     df = hot_groups(spark)
     whole = ranking.rank_in_group(df, ["k"], ["id"], 4)
     spread = ranking.rank_in_group(df.repartition(9), ["k"], ["id"], 4, rows_per_range=16)
+    assert spread.count() == 500
     assert whole.select("id", "rank0").exceptAll(spread.select("id", "rank0")).count() == 0
     per_key = spread.groupBy("k").agg(F.count("*").alias("n"), F.max("rank0").alias("m"), F.count_distinct("rank0").alias("d"))
     assert all(r["n"] == r["m"] + 1 == r["d"] for r in per_key.collect())

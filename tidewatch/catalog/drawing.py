@@ -199,7 +199,7 @@ def stack_groups(spark: SparkSession, sf: str) -> DataFrame:
     made = samples.article_samples(rows, ["country", "target_month"], 5, 4, WIDTH)
     total = F.aggregate("embeddings", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
     scored = made.withColumn("vector", F.array(F.round(total, 4)))
-    stacked = samples.stack_groups(scored, ["country", "target_month"], "vector", 2, 4)
+    stacked = samples.stack_groups(scored, ["country", "target_month"], "vector", 2)
     flat = F.flatten("sequence")
     return stacked.select(
         "country",

@@ -44,11 +44,12 @@ def binary_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 def roc_auc(df: DataFrame, truth: str, score: str, ranges: int | None = None) -> DataFrame:
     """Area under the ROC curve, ties counted half; null when a class is missing.
 
+    Rows without a label or a score do not count.
     Rows are first reduced to one per distinct score. Each score then needs the
     number of negatives below it, a running total over ranges of the score.
     """
     y = F.col(truth).cast("boolean")
-    scored = df.select(F.col(score).cast("double").alias("score"), y.alias("y"))
+    scored = df.select(F.col(score).cast("double").alias("score"), y.alias("y")).dropna()
     by_score = scored.groupBy("score").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     # Bounds of the rows' scores do as well as those of the distinct ones, without the grouping.
     bounds = range_bounds(scored, "score", ranges or shuffle_width(df.sparkSession))

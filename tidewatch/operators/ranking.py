@@ -91,7 +91,7 @@ def rank_in_group(
 
     Groups are shuffled by the hash of seed and id. A group larger than
     ``rows_per_range`` is spread over several tasks by ranges of that hash, which
-    changes the work but not the ranks. Key columns must not be null.
+    changes the work but not the ranks. Null keys form a group like any other.
     """
     hashed = df.withColumn("_hash", hash_key(seed, *ids))
     spread = -(-largest_group(df, keys) // rows_per_range)
@@ -101,15 +101,16 @@ def rank_in_group(
         return hashed.withColumn("rank0", F.row_number().over(w) - 1).drop("_hash")
 
     part = F.shiftrightunsigned(hash_fraction(F.col("_hash")) * spread, 32).cast("int")
-    parted = hashed.withColumn("_part", part)
-    sizes = parted.groupBy(*keys, "_part").count()
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"))
-    w = Window.partitionBy(*keys, "_part").orderBy(*order)
+    # As fields of a struct, null keys meet in the join too.
+    parted = hashed.withColumn("_part", part).withColumn("_key", F.struct(*keys))
+    sizes = parted.groupBy("_key", "_part").count()
+    earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_key", "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"))
+    w = Window.partitionBy("_key", "_part").orderBy(*order)
     ranked = parted.withColumn("_place", F.row_number().over(w) - 1)
-    # Both sides are hashed by (keys, part): the ranked rows are not moved again.
+    # Both sides are hashed by (key, part): the ranked rows are not moved again.
     return (
-        ranked.join(starts, [*keys, "_part"])
+        ranked.join(starts, ["_key", "_part"])
         .withColumn("rank0", (F.col("_start") + F.col("_place")).cast("bigint"))
         .select(*[F.col(f"`{c}`") for c in df.columns], "rank0")
     )

@@ -86,7 +86,7 @@ def failed_keys(wanted: DataFrame, built: DataFrame, keys: list[str]) -> DataFra
     return missing.select(*keys, F.concat(F.lit("Error on "), shown).alias("message"))
 
 
-def stack_groups(samples: DataFrame, keys: list[str], vector: str, limit: int, seed: int) -> DataFrame:
+def stack_groups(samples: DataFrame, keys: list[str], vector: str, limit: int) -> DataFrame:
     """Sequences of group vectors per key, ordered by group number and ``limit`` to a sequence.
 
     ``vector`` is whatever a scorer made of each group. A key with more groups

@@ -47,7 +47,7 @@ def oversample(df: DataFrame, label: str, ids: list[str], seed: int, rows_per_ra
     The driver sees one count per class; draws are made and joined on executors.
     """
     spark = df.sparkSession
-    sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect() if r[0] is not None}
     columns = [F.col(f"`{c}`") for c in df.columns]
     result = df.select(*columns, F.lit(0).cast("bigint").alias("draw"))
     most = max(sizes.values(), default=0)
