@@ -97,6 +97,14 @@ def test_auc_with_ties_and_a_hot_score(spark, ranges):
     assert got["roc_auc"] == pytest.approx(rank_sum_auc(y, p))
 
 
+def test_auc_with_infinite_scores(spark):
+    inf = float("inf")
+    rows = [(True, inf), (True, inf), (False, -inf), (False, 0.0), (True, 1.0), (False, inf)]
+    df = spark.createDataFrame(rows, "y boolean, p double")
+    got = metrics.roc_auc(df, "y", "p", 8).first()["roc_auc"]
+    assert got == pytest.approx(rank_sum_auc(*zip(*rows)))
+
+
 def test_auc_of_one_class_is_null(spark):
     df = spark.createDataFrame([(True, 0.1), (True, 0.4), (None, 0.2), (False, None)], "y boolean, p double")
     assert metrics.roc_auc(df, "y", "p").first()["roc_auc"] is None

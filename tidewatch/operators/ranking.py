@@ -7,7 +7,10 @@ on its own, and the small table of range totals gives each range its start.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import hash_fraction, hash_key
@@ -18,7 +21,7 @@ MAX_RANGES = 1024
 ROWS_PER_RANGE = 250_000
 
 
-def range_bounds(df: DataFrame, order: str, ranges: int) -> list:
+def range_bounds(df: DataFrame, order: str, ranges: int) -> list[float]:
     """Inner bounds that cut ``order`` into about equal ranges: at most ``ranges - 1`` values.
 
     The bounds become literals, so a task that is run again cuts the same way.
@@ -28,34 +31,32 @@ def range_bounds(df: DataFrame, order: str, ranges: int) -> list:
         return []
     shares = [i / ranges for i in range(1, ranges)]
     # A quarter of a range is near enough: the bounds decide the work, not the result.
-    found = df.select(F.percentile_approx(order, shares, 4 * ranges).alias("b")).first()["b"]
-    return sorted(set(found or []))
-
-
-def range_of(order: str, bounds: list) -> Column:
-    """Number of the range a value falls in: a balanced tree of comparisons, log2 deep."""
+    number = F.col(order).cast("double")
+    found = df.select(F.percentile_approx(number, shares, 4 * ranges).alias("b")).first()["b"]
+    return sorted({b for b in found or [] if math.isfinite(b)})
 
-    def cut(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col(order) <= F.lit(bounds[middle]), cut(low, middle)).otherwise(cut(middle + 1, high))
 
-    return cut(0, len(bounds))
+def with_range(df: DataFrame, order: str, bounds: list[float]) -> DataFrame:
+    """Add ``_range``, the number of the range a value falls in, by binary search in the JVM."""
+    if not bounds:
+        return df.withColumn("_range", F.lit(0.0))
+    splits = [float("-inf"), *bounds, float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="_order", outputCol="_range", handleInvalid="keep")
+    return cut.transform(df.withColumn("_order", F.col(order).cast("double"))).drop("_order")
 
 
 def running_totals(
-    df: DataFrame, order: str, values: list[str], ranges: int | None = None, bounds: list | None = None
+    df: DataFrame, order: str, values: list[str], ranges: int | None = None, bounds: list[float] | None = None
 ) -> DataFrame:
-    """Add ``<value>_before``, the total of each value over all rows with a smaller ``order``, and ``<value>_total``.
+    """Add ``<value>_before``, the total over all rows with a smaller ``order``, and ``<value>_total``.
 
-    ``order`` must be a number, date or timestamp without repeats; aggregate by
-    it first, which also takes care of one value held by very many rows. ``bounds``
-    from an earlier `range_bounds` saves a pass.
+    ``order`` must be a number without repeats or nulls; aggregate by it first, which
+    also takes care of one value held by very many rows. ``bounds`` from an earlier
+    `range_bounds` saves a pass.
     """
     if bounds is None:
         bounds = range_bounds(df, order, ranges or shuffle_width(df.sparkSession))
-    cut = df.withColumn("_range", range_of(order, bounds))
+    cut = with_range(df, order, bounds)
     totals = cut.groupBy("_range").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
     # One row per range, so at most MAX_RANGES rows: safe in one task, safe to broadcast.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
