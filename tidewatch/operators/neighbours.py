@@ -12,7 +12,8 @@ only blocks that can hold a neighbour meet:
   the block's distances to the pivot are.
 
 A block pair is one small matrix product inside a task. The blocks a query block
-meets in a task share the best ``k`` rows found so far, and only those leave it. A crowded cell is just many blocks, spread over many tasks.
+meets in a task share the best ``k`` rows found so far, and only those leave it.
+A crowded cell is just many blocks, spread over many tasks.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import hash_key
+from tidewatch.session import shuffle_width
 
 MAX_PIVOTS = 64
+MAX_SPREAD = 64
 SAMPLE_ROWS = 4096
 BLOCK_ROWS = 2048
 PAIRS_AT_ONCE = 65536
@@ -180,16 +183,18 @@ def nearest(
     vector: str = "embedding",
     label: str = "label",
     pivots: int = 16,
-    spread: int = 8,
+    spread: int | None = None,
     seed: int = 7,
 ) -> DataFrame:
     """The ``k`` nearest training rows of every query, ties by training id.
 
     Returns query_id, train_id, distance, label, rank (from 1). Ids are bigint
     and unique on each side; vectors have one length. The blocks of a cell are
-    dealt out to ``spread`` join keys, to each of which the cell's queries are sent.
+    dealt out to ``spread`` join keys, to each of which the cell's queries are sent;
+    by default enough of them to keep all shuffle partitions busy, up to MAX_SPREAD.
     """
     pivots = min(pivots, MAX_PIVOTS)
+    spread = spread or min(MAX_SPREAD, max(8, -(-shuffle_width(train.sparkSession) // pivots)))
     rows = train.select(
         F.col(id_column).cast("bigint").alias("_id"),
         F.col(vector).cast("array<double>").alias("_vec"),
