@@ -80,7 +80,8 @@ def segments(docs: DataFrame, window: int = WINDOW, busy: int = BUSY) -> DataFra
     """Occurrences of segments whose anchor is repeated: ``route``, ``seg`` (the words), ``doc_id``,
     ``row_key``, ``begin``; written to the shared folder."""
     found = anchors(docs, window)
-    repeated = found.groupBy("route").count().where("count > 1").select("route")
+    # Written, so that the join below shuffles both sides itself and can split a route that very many share.
+    repeated = stored(found.groupBy("route").count().where("count > 1").select("route"), "routes")
     kept = found.join(repeated, "route", "left_semi")
     wanted = kept.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("route", "begin", "windows")).alias("runs"))
     texts = keyed(docs)
