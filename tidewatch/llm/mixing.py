@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import stored
+
 MOST = 3
 SEED = 17
 
@@ -64,7 +66,9 @@ def with_copies(docs: DataFrame, seed: int = SEED) -> DataFrame:
         F.col("source").cast("string").alias("source"),
         size_in_words(F.col("text").cast("string")).alias("size"),
     )
-    targets = source_targets(rows.select("source", "size")).withColumnRenamed("source", "name")
+    # Written, so that its size is known when the join is planned: a small table of sources is sent to the
+    # documents, and texts are not shuffled by a source that may hold a third of them.
+    targets = stored(source_targets(rows.select("source", "size")).withColumnRenamed("source", "name"), "targets")
     met = rows.join(targets, rows["source"].eqNullSafe(targets["name"]))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     more = (draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("bigint")
