@@ -131,24 +131,45 @@ def word_score(model: Model, word: str) -> np.ndarray | None:
     return None
 
 
-def classify(model: Model, text: str | None, memory: dict) -> tuple[str, float]:
+class Memory:
+    """Scores of the words a task has met: a row for each, row 0 for words of which nothing is known."""
+
+    def __init__(self, model: Model, size: int = REMEMBERED):
+        self.model, self.size = model, size
+        self.forget(0)
+
+    def forget(self, at_least: int) -> None:
+        self.rows: dict[str, int] = {}
+        self.scores = np.zeros((max(self.size, at_least) + 1, len(self.model.languages)), dtype=np.float32)
+        self.used = 1
+
+    def rows_of(self, words: Counter) -> np.ndarray:
+        if self.used + len(words) > len(self.scores):
+            self.forget(len(words))
+        rows, out = self.rows, []
+        for word in words:
+            row = rows.get(word)
+            if row is None:
+                score, row = word_score(self.model, word), 0
+                if score is not None:
+                    row, self.used = self.used, self.used + 1
+                    self.scores[row] = score
+                rows[word] = row
+            out.append(row)
+        return np.array(out)
+
+
+def classify(text: str | None, memory: Memory) -> tuple[str, float]:
     seen = Counter(words_in(text))
     if not seen:
         return "und", 0.0
-    total, known = np.zeros(len(model.languages)), 0
-    for word, n in seen.items():
-        if word not in memory:
-            if len(memory) >= REMEMBERED:
-                memory.clear()
-            memory[word] = word_score(model, word)
-        if memory[word] is not None:
-            total += n * memory[word]
-            known += n
+    rows = memory.rows_of(seen)
+    n = np.fromiter(seen.values(), dtype=np.float64, count=len(rows)) * (rows > 0)
     # Words repeat each other's evidence: the square root keeps long texts from certainty by length alone.
-    weight = total / max(1.0, math.sqrt(known))
+    weight = n @ memory.scores[rows] / max(1.0, math.sqrt(n.sum()))
     share = np.exp(weight - weight.max())
     best = int(np.argmax(share))
-    return model.languages[best], float(share[best] / share.sum())
+    return memory.model.languages[best], float(share[best] / share.sum())
 
 
 def predictions(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -160,9 +181,9 @@ def predictions(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict = {}
+        memory = Memory(shared.value)
         for batch in batches:
-            made = [classify(shared.value, t.as_py(), memory) for t in batch.column("text")]
+            made = [classify(t.as_py(), memory) for t in batch.column("text")]
             lang, score = zip(*made, strict=True) if made else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], schema=out
