@@ -192,7 +192,7 @@ def test_training_samples_job(spark, tmp_path):
         "country string, month date, trend_increasing boolean",
     )
     failures = plans.training_samples(articles, labels, f"{tmp_path}/x", n=5, width=2)
-    assert [r["message"] for r in failures.collect()] == ["Error on BB_2020-03-01"]
+    assert [r["message"] for r in failures.collect()] == ["no sample for BB_2020-03-01"]
     manifest = spark.read.json(f"{tmp_path}/x/manifest").first()
     assert (manifest["label_column"], manifest["count"], manifest["lag_months"]) == ("trend_increasing", 2, "2")
 
@@ -202,3 +202,23 @@ def test_schema_key(spark):
 
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert df.select(schema_key(df)).first()[0] == hashlib.md5(b"ab").hexdigest()[:6]
+
+
+def test_granule_report_and_spoiled_objects(spark, tmp_path):
+    good = [json.dumps(embedding(f"u{i}", "20200101000000")) for i in range(50)]
+    spoiled = [*good[:1], good[1][:30] + " oops}", *good[2:]]
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e/20200101000000.json.gz").write_bytes(gzip.compress("".join(spoiled).encode()))
+    (tmp_path / "e/20200101001500.json.gz").write_bytes(gzip.compress("\n".join(good).encode()))
+    noise = [json.dumps(embedding(f"v{i}", "20200101003000", title="".join(chr(97 + (i * 31 + k * k) % 26) for k in range(99)))) for i in range(400)]
+    cut = gzip.compress("\n".join(noise).encode())
+    (tmp_path / "e/20200101003000.json.gz").write_bytes(cut[: len(cut) // 2])
+    read = sources.read_article_embeddings(spark, f"{tmp_path}/e", layout="concatenated")
+    assert read.where("granule = '20200101000000'").count() == 49
+    report = {r["granule"]: r for r in sources.granule_report(spark, f"{tmp_path}/e").collect()}
+    assert tuple(report["20200101000000"])[1:] == (49, 1, True) and tuple(report["20200101001500"])[1:] == (50, 0, True)
+    assert not report["20200101003000"]["complete"] and 0 < report["20200101003000"]["read"] < 400
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/20200101000000.gkg.csv").write_text("a\tb\n" + "\t" * 40 + "\nc\n")
+    lines = sources.granule_report(spark, f"{tmp_path}/a", feed="articles").first()
+    assert tuple(lines)[1:] == (2, 1, True)

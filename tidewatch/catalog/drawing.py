@@ -175,7 +175,7 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""{_LABELLED_SAMPLES}
-SELECT country, month AS target_month, concat('Error on ', country, '_', CAST(month AS VARCHAR)) AS message
+SELECT country, month AS target_month, concat('no sample for ', country, '_', CAST(month AS VARCHAR)) AS message
 FROM labels_by_code l WHERE NOT EXISTS (SELECT 1 FROM grouped g WHERE g.country = l.country AND g.target_month = l.month)""",
     dates=("target_month",),
 )

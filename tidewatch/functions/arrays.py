@@ -10,9 +10,10 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def first_distinct(values: Column | str, n: int = 10) -> Column:
-    """Distinct items in order of first appearance, at most ``n`` of them."""
-    return F.slice(F.array_distinct(_col(values)), 1, n)
+def first_distinct(values: Column | str, n: int | None = None) -> Column:
+    """Distinct items in order of first appearance; with ``n`` at most so many."""
+    found = F.array_distinct(_col(values))
+    return found if n is None else F.slice(found, 1, n)
 
 
 def item(values: Column | str, index: int) -> Column:

@@ -17,7 +17,8 @@ def dedup(df: DataFrame, keys: list[str], order: list[Column] | None = None, kee
         return df.dropDuplicates(keys)
     others = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(f"`{c}`") for c in others or keys])
-    place = F.struct(*order)
+    # The hash of the whole row settles ties, so copies that differ elsewhere do not depend on the partitioning.
+    place = F.struct(*order, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     pick = F.min_by(row, place) if keep == "first" else F.max_by(row, place)
     kept = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick.alias("_row"))
     # The keys come from the grouping, so a join on them needs no further shuffle.

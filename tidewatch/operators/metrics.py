@@ -23,7 +23,13 @@ def binary_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
         F.count_if(y & ~p).alias("fn"),
         F.count_if(~y & ~p).alias("tn"),
     )
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return scores_of_counts(counts)
+
+
+def scores_of_counts(counts: DataFrame) -> DataFrame:
+    """The scores of the four counts of a confusion table."""
+    # As doubles: products of counts of billions do not fit a long.
+    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     n = tp + fp + fn + tn
     expected = _ratio((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn), n * n)
     observed = _ratio(tp + tn, n)

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tidewatch.functions.keys import hash_fraction, hash_key
 from tidewatch.session import shuffle_width
 
-MAX_RANGES = 1024
 # Rows one task ranks: with a 512-value vector each, about half a gigabyte.
 ROWS_PER_RANGE = 250_000
 
@@ -24,9 +23,10 @@ ROWS_PER_RANGE = 250_000
 def range_bounds(df: DataFrame, order: str, ranges: int) -> list[float]:
     """Inner bounds that cut ``order`` into about equal ranges: at most ``ranges - 1`` values.
 
+    ``ranges`` is the caller's: it may grow with the number of shuffle partitions.
+
     The bounds become literals, so a task that is run again cuts the same way.
     """
-    ranges = min(ranges, MAX_RANGES)
     if ranges < 2:
         return []
     shares = [i / ranges for i in range(1, ranges)]
@@ -58,7 +58,7 @@ def running_totals(
         bounds = range_bounds(df, order, ranges or shuffle_width(df.sparkSession))
     cut = with_range(df, order, bounds)
     totals = cut.groupBy("_range").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
-    # One row per range, so at most MAX_RANGES rows: safe in one task, safe to broadcast.
+    # One row per range, so as many as were asked for: some bytes each in one task and in the broadcast.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     starts = totals.select(

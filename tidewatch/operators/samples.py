@@ -83,7 +83,7 @@ def failed_keys(wanted: DataFrame, built: DataFrame, keys: list[str]) -> DataFra
     """Keys no sample could be built for, as an error log."""
     missing = wanted.select(*keys).distinct().join(built.select(*keys).distinct(), keys, "left_anti")
     shown = F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
-    return missing.select(*keys, F.concat(F.lit("Error on "), shown).alias("message"))
+    return missing.select(*keys, F.concat(F.lit("no sample for "), shown).alias("message"))
 
 
 def stack_groups(samples: DataFrame, keys: list[str], vector: str, limit: int) -> DataFrame:

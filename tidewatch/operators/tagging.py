@@ -23,14 +23,13 @@ def top_countries(
     df: DataFrame,
     locations: str = "V2Locations",
     names: str = "one_word",
-    keep: int = 10,
     with_list: bool = False,
 ) -> DataFrame:
     """Add ``country-1`` .. ``country-3``, the first three distinct codes, null when fewer.
 
-    ``with_list`` also adds the distinct codes (at most ``keep``) and their number.
+    ``with_list`` also adds all distinct codes and their number.
     """
-    found = df.withColumn("top_countries", first_distinct(country_codes(locations, names), keep))
+    found = df.withColumn("top_countries", first_distinct(country_codes(locations, names)))
     spread = [item("top_countries", i).alias(c) for i, c in enumerate(COUNTRY_COLUMNS)]
     if with_list:
         count = F.coalesce(F.size(F.col("top_countries")), F.lit(0)).alias("num_countries")

@@ -45,7 +45,7 @@ def ingest_days(
     out: str,
     start: datetime.date,
     end: datetime.date,
-    p: float = 0.15,
+    p: float = 1.0,
     seed: int = 4,
     layout: str = "auto",
 ) -> int:

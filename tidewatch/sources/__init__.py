@@ -1,5 +1,5 @@
 from tidewatch.sources.feeds import feed_index, granule_glob, with_source_file
-from tidewatch.sources.news import missing_granules, read_article_embeddings, read_articles
+from tidewatch.sources.news import granule_report, missing_granules, read_article_embeddings, read_articles
 from tidewatch.sources.tables import (
     country_codes,
     read_conflict,
@@ -14,6 +14,7 @@ __all__ = [
     "country_codes",
     "feed_index",
     "granule_glob",
+    "granule_report",
     "missing_granules",
     "read_article_embeddings",
     "read_articles",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,11 +16,15 @@ from tidewatch.functions.keys import chosen, hash_key
 from tidewatch.functions.text import feed_stamp, without_undecodable
 from tidewatch.schemas import ARTICLE_COLUMNS, ARTICLE_INTEGER_COLUMNS, ARTICLE_KEPT, EMBEDDING_SCHEMA
 
-# A granule that is missing or cut off gives the rows that can be read; which
-# granules are incomplete is reported by `missing_granules`.
+# A granule that is missing or cut off gives the rows that can be read. `missing_granules`
+# lists those that gave none, `granule_report` those that were cut off or hold spoiled lines or objects.
 TOLERANT = {"ignoreMissingFiles": "true", "ignoreCorruptFiles": "true"}
 
 
+#: An object begins behind the end of another, or on a line of its own.
+_NEXT_OBJECT = re.compile(r"[}\n]\s*\{")
+
+
 def _options(tolerant: bool) -> dict[str, str]:
     return TOLERANT if tolerant else {}
 
@@ -89,7 +95,12 @@ def _decode_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 try:
                     record, at = decoder.raw_decode(text, at)
                 except ValueError:
-                    break  # the file is cut off inside this object
+                    # Spoiled or cut off: on to where the next object begins.
+                    following = _NEXT_OBJECT.search(text, at + 1)
+                    if following is None:
+                        break
+                    at = following.end() - 1
+                    continue
                 rows.append([record.get(n) for n in names] + [granule])
             yield pd.DataFrame(rows, columns=[*names, "granule"])
 
@@ -149,3 +160,67 @@ def read_article_embeddings(
 def missing_granules(expected: DataFrame, read: DataFrame, granule: str = "granule") -> DataFrame:
     """Expected granules that gave no row: the quarantine list of an ingest."""
     return expected.select(granule).distinct().join(read.select(granule).distinct(), granule, "left_anti")
+
+
+def _count_embeddings(text: str) -> tuple[int, int]:
+    """Objects that can be read, and places where one cannot."""
+    decoder, at, read, rejected = json.JSONDecoder(), 0, 0, 0
+    while at < len(text):
+        if text[at].isspace():
+            at += 1
+            continue
+        try:
+            _, at = decoder.raw_decode(text, at)
+            read += 1
+        except ValueError:
+            rejected += 1
+            following = _NEXT_OBJECT.search(text, at + 1)
+            at = len(text) if following is None else following.end() - 1
+    return read, rejected
+
+
+def _count_articles(text: str) -> tuple[int, int]:
+    """Lines that can be read, and lines with too many fields."""
+    lines = [x for x in text.split("\n") if x.strip("\r")]
+    rejected = sum(x.count("\t") >= len(ARTICLE_COLUMNS) for x in lines)
+    return len(lines) - rejected, rejected
+
+
+def granule_report(spark: SparkSession, path: str | list[str], feed: str = "embeddings") -> DataFrame:
+    """What can be read of each granule: ``granule``, ``read``, ``rejected`` and ``complete``.
+
+    ``rejected`` counts spoiled objects (``feed="embeddings"``) or lines with too many fields
+    (``"articles"``); ``complete`` is false where a gzip file ends early. One pass over the files, a
+    granule at a time.
+    """
+    count = {"embeddings": _count_embeddings, "articles": _count_articles}[feed]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for content, granule in zip(batch["content"], batch["granule"]):
+                data, complete = bytes(content), True
+                if data[:2] == b"\x1f\x8b":
+                    data, complete = _inflated(data)
+                rows.append([granule, *count(data.decode("utf-8", "ignore")), complete])
+            yield pd.DataFrame(rows, columns=["granule", "read", "rejected", "complete"])
+
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("content", feed_stamp(F.col("path")).alias("granule")).mapInPandas(
+        run, "granule string, read bigint, rejected bigint, complete boolean"
+    )
+
+
+def _inflated(data: bytes) -> tuple[bytes, bool]:
+    """What a gzip file holds up to where it ends or breaks, and whether it ended."""
+    out = []
+    while data:
+        part = zlib.decompressobj(wbits=31)
+        try:
+            out.append(part.decompress(data))
+        except zlib.error:
+            return b"".join(out), False
+        if not part.eof:
+            return b"".join(out), False
+        data = part.unused_data
+    return b"".join(out), True
