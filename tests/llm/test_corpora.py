@@ -275,6 +275,17 @@ def test_links_of_large_groups():
             start += size
 
 
+@pytest.mark.parametrize("lanes, radius", [(1, 4), (4, 48)])
+def test_simhash_splits_large_groups(documents, monkeypatch, lanes, radius):
+    draw = random.Random(17)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in "xyz"]
+    docs = documents([(i, t) for i, t in enumerate(near_copies(draw, 120, 200, words) + near_copies(draw, 60, 90, words))])
+    groups = lambda: sorted((r["doc_id"], r["component_id"]) for r in simhash.near_groups(docs, 5, radius, lanes).collect())
+    whole = groups()
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 16)
+    assert groups() == whole and len({c for _, c in whole}) < 150
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (200, 300)], "a bigint, b bigint")
     made = {r["node"]: r["root"] for r in simhash.components(links).collect()}

@@ -39,6 +39,8 @@ ANCHORS = 8
 PIVOTS, PIVOTS_WIDE = 24, 4
 #: Groups up to this size are compared by shifting, all at once; larger ones by growing components.
 SMALL_GROUP = 48
+#: Groups beyond this many rows are split, and each two of their parts compared on their own.
+GROUP_ROWS = 20_000
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -166,6 +168,24 @@ def links_in_groups(fps: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
+def split_groups(rows: DataFrame) -> DataFrame:
+    """``key``, ``node`` and ``fp`` with the keys of large groups replaced, so that no group exceeds about `GROUP_ROWS`.
+
+    A large group is dealt into parts of half that size, by the node's hash, and each two
+    parts become a group: any two of its rows still meet in one.
+    """
+    parts = F.ceil(F.col("count") * 2 / GROUP_ROWS).cast("int").alias("parts")
+    sizes = rows.groupBy("key").count()
+    large = stored(sizes.where(F.col("count") > GROUP_ROWS).select("key", parts), "large-groups")
+    marked = rows.join(large, "key", "left").withColumn(
+        "own", F.pmod(F.xxhash64(F.lit(64), "node"), F.col("parts")).cast("int")
+    )
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda part: part != F.col("own"))
+    met = marked.withColumn("other", F.explode(F.coalesce(others, F.array(F.lit(0)))))
+    pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    return met.select(F.when(F.col("parts").isNull(), F.col("key")).otherwise(pair).alias("key"), "node", "fp")
+
+
 def near_links(distinct: DataFrame, keys: Column, radius: int) -> DataFrame:
     """Links (``a``, ``b``) between node numbers of distinct fingerprints that share a key and are near.
 
@@ -175,7 +195,7 @@ def near_links(distinct: DataFrame, keys: Column, radius: int) -> DataFrame:
     rows = distinct.select("node", "fp", F.explode(keys).alias("key")).select(
         F.xxhash64("key").alias("key"), "node", "fp"
     )
-    dealt = rows.repartition("key").sortWithinPartitions("key")
+    dealt = split_groups(rows).repartition("key").sortWithinPartitions("key")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def links(keys_, nodes, fps) -> pa.RecordBatch:
@@ -256,7 +276,7 @@ def near_groups(
     held = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), *([union.alias("anchors")] * by_anchor))
     # A node is numbered by its fingerprint: equal texts, whatever their ids, are one node.
     number = F.xxhash64("fp") if by_anchor else F.col("fp")[0]
-    nodes = held.withColumn("node", number)
+    nodes = stored(held.withColumn("node", number), "nodes")
     keys = F.col("anchors") if by_anchor else F.array(*block_keys(radius))
     roots = components(near_links(nodes, keys, radius))
     placed = nodes.select("fp", "least", "node").join(roots, "node", "left").withColumn(
