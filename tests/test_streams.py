@@ -2,7 +2,14 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from tidewatch.streaming import counts_so_far, stream_counts, stream_ingest
+from tidewatch.streaming import (
+    counts_of_batches,
+    counts_so_far,
+    late_rows,
+    stream_batch_counts,
+    stream_counts,
+    stream_ingest,
+)
 
 SCHEMA = "url string, date timestamp"
 
@@ -52,3 +59,23 @@ def test_counts_close_windows_once_and_add_open_ones(spark, tmp_path):
     assert closed >= 3
     assert counts[("a", at(1, 1))] == 3 and counts[("a", at(1, 6))] == 1
     assert sum(counts.values()) == 7
+
+
+def test_late_rows_are_counted_and_listed(spark, tmp_path):
+    src = f"{tmp_path}/in"
+
+    def run():
+        stream = spark.readStream.schema(SCHEMA).parquet(src)
+        stream_batch_counts(stream, f"{tmp_path}/n", f"{tmp_path}/s1", "date", "15 minutes", "url").awaitTermination()
+        stream_ingest(stream, f"{tmp_path}/out", f"{tmp_path}/s2", ["url", "date"]).awaitTermination()
+        counts = counts_of_batches(spark.read.parquet(f"{tmp_path}/n"), "url")
+        late = late_rows(spark.read.parquet(src), spark.read.parquet(f"{tmp_path}/out"), ["url", "date"])
+        return {(r["url"], r["window_start"]): r["count"] for r in counts.collect()}, {r["date"] for r in late.collect()}
+
+    arrive(spark, src, [("a", at(1, 1)), ("a", at(9, 1))])
+    run()
+    arrive(spark, src, [("a", at(1, 1, 5)), ("a", at(9, 2))])
+    counts, late = run()
+    assert counts == {("a", at(1, 1)): 2, ("a", at(9, 1)): 1, ("a", at(9, 2)): 1}
+    assert late == {at(1, 1, 5)}
+    assert run() == (counts, late)

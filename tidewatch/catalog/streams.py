@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from tidewatch.catalog import tables
 from tidewatch.catalog.registry import query
 from tidewatch.session import scratch_path
-from tidewatch.streaming import counts_so_far, stream_counts, stream_ingest
+from tidewatch.streaming import (
+    counts_of_batches,
+    counts_so_far,
+    late_rows,
+    stream_batch_counts,
+    stream_counts,
+    stream_ingest,
+)
 
 
 def _stream(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -46,13 +53,31 @@ def stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _counts(spark, sf, "1 day")
 
 
+@query(
+    """SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       event_type, count(*) AS count FROM events GROUP BY ALL""",
+    stamps=("window_start", "window_end"),
+)
+def stream_late_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in three runs, each over all days: most rows of the later ones are late."""
+    path = scratch_path(spark, "late-counts")
+    events = tables.table(spark, sf, "events").select("event_id", "event_type", "ts")
+    for run in range(3):
+        events.where(F.col("event_id") % 3 == run).write.mode("append").parquet(f"{path}/arrived")
+        stream = _stream(spark, f"{path}/arrived", "*.parquet")
+        stream_batch_counts(stream, f"{path}/counts", f"{path}/state", "ts", "1 day", "event_type").awaitTermination()
+    return counts_of_batches(spark.read.parquet(f"{path}/counts"), "event_type")
+
+
 @query("SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events", dates=("day",))
 def stream_dedup_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event arrives twice; the ingested table holds it once."""
+    """A first run lacks some events; the second has every event, copies and late ones. Each comes out once."""
     path = scratch_path(spark, "stream-ingest")
     events = tables.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
-    for _ in range(2):
-        events.write.mode("append").parquet(f"{path}/arrived")
-    stream = _stream(spark, f"{path}/arrived", "*.parquet")
-    stream_ingest(stream, f"{path}/table", f"{path}/state", ["event_id"], "ts").awaitTermination()
-    return spark.read.parquet(f"{path}/table").select("event_id", "user_id", "event_type", "day")
+    for part in (events.where("event_id % 10 <> 3"), events):
+        part.write.mode("append").parquet(f"{path}/arrived")
+        stream = _stream(spark, f"{path}/arrived", "*.parquet")
+        stream_ingest(stream, f"{path}/table", f"{path}/state", ["event_id"], "ts").awaitTermination()
+    table = spark.read.parquet(f"{path}/table").select("event_id", "user_id", "event_type", "day")
+    arrived = spark.read.parquet(f"{path}/arrived").withColumn("day", F.to_date("ts"))
+    return table.unionByName(late_rows(arrived, table, ["event_id"]).select(*table.columns))

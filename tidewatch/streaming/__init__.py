@@ -1,3 +1,19 @@
-from tidewatch.streaming.feeds import counts_so_far, stream_counts, stream_ingest, window_counts
+from tidewatch.streaming.feeds import (
+    counts_of_batches,
+    counts_so_far,
+    late_rows,
+    stream_batch_counts,
+    stream_counts,
+    stream_ingest,
+    window_counts,
+)
 
-__all__ = ["counts_so_far", "stream_counts", "stream_ingest", "window_counts"]
+__all__ = [
+    "counts_of_batches",
+    "counts_so_far",
+    "late_rows",
+    "stream_batch_counts",
+    "stream_counts",
+    "stream_ingest",
+    "window_counts",
+]

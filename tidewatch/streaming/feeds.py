@@ -19,7 +19,8 @@ def stream_ingest(
 
     A key seen again within ``lateness`` of the first time is dropped, also when
     the copy comes in a later run; state older than that is released. Runs over
-    everything that has arrived, then stops.
+    everything that has arrived, then stops. Rows later than ``lateness`` are left
+    out; `late_rows` finds them.
     """
     unique = stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark(keys)
     return (
@@ -57,6 +58,7 @@ def stream_counts(
 
     The file sink commits each batch as a whole, so a batch that is run again
     adds nothing twice. Windows still open are in state; `counts_so_far` adds them.
+    Rows later than ``lateness`` are not counted; `stream_batch_counts` counts them too.
     """
     return (
         window_counts(stream, time, width, key, lateness)
@@ -73,8 +75,38 @@ def counts_so_far(closed: DataFrame, source: DataFrame, time: str, width: str, k
     """Closed windows as written by `stream_counts`, and the open ones counted from the source.
 
     Windows do not overlap, so the open ones are those that start at or after the
-    end of the last closed one; only that tail of the source is read.
+    end of the last closed one; only that tail of the source is read. Late rows
+    that `stream_counts` has left out are missing here as well.
     """
     end = closed.agg(F.max("window_end")).first()[0]
     tail = source if end is None else source.where(F.col(time) >= F.lit(end).cast(source.schema[time].dataType))
     return closed.unionByName(window_counts(tail, time, width, key))
+
+
+def stream_batch_counts(
+    stream: DataFrame, out: str, checkpoint: str, time: str, width: str, key: str
+) -> StreamingQuery:
+    """Write the count of each window and key in each batch, however late its rows are; `counts_of_batches` adds them.
+
+    Nothing is kept in state. A batch that is run again replaces its own folder.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        window_counts(batch, time, width, key).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def counts_of_batches(parts: DataFrame, key: str) -> DataFrame:
+    """The count so far of each window and key, late rows included."""
+    return parts.groupBy("window_start", "window_end", key).agg(F.sum("count").alias("count"))
+
+
+def late_rows(arrived: DataFrame, ingested: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each key that has arrived but that `stream_ingest` found too late: the late output."""
+    return arrived.join(ingested.select(*keys), keys, "left_anti").dropDuplicates(keys)
