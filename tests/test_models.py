@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidewatch.operators import models
+from tidewatch.plans import forecast_scores
 
 
 @pytest.fixture(scope="module")
@@ -67,6 +68,25 @@ def test_train_and_predict_learns(points):
     assert all(0 <= r["probability"] <= 1 and r["prediction"] == int(r["probability"] > 0.5) for r in rows)
 
 
+def test_fitted_ensemble_scores_any_table(points):
+    train, test = points
+    model = models.fit_ensemble(train, "v", "y", ["id", "country"], "country", rounds=5, rate=0.2, depth=2, k=5)
+    # Repeated keys and an unknown category are scored like any row.
+    twice = test.unionByName(test).unionByName(test.withColumn("country", F.lit("Z")))
+    scored = model.predict_proba(twice)
+    assert scored.count() == 120
+    assert all(abs(sum(r["probabilities"]) - 1) < 1e-9 for r in scored.collect())
+    again = {(r["id"], r["country"], r["prediction"]) for r in model.predict(test).collect()}
+    assert again <= {(r["id"], r["country"], r["prediction"]) for r in scored.collect()}
+
+
+def test_short_series_get_no_forecast(spark):
+    rows = [(c, datetime.date(2018 + i // 12, i % 12 + 1, 1), float(i % 4)) for c, n in (("a", 30), ("b", 8)) for i in range(n)]
+    panel = spark.createDataFrame(rows, "country string, month date, y double")
+    got = forecast_scores(panel, "y", []).first()
+    assert got["series"] == 2 and got["skipped"] == 1 and got["mean_mae"] >= 0
+
+
 def test_dense_network(points):
     train, test = models.standardise(*(models.as_vector(d, "v") for d in points))
     got = models.dense_classifier(train, test, "y", "scaled", hidden=8)

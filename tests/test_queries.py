@@ -14,8 +14,6 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
-# Two hundred boosting rounds; the operators are tested with fewer in test_models.py.
-SLOW = {"boosted_predictions", "ensemble_predictions"}
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +49,7 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert rows_of(df.columns, df.collect()) == rows_of(relation.columns, relation.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql())))
 def test_query_without_sql_gives_rows(spark, name):
     assert driver.queries()[name](spark, SF_DIR).count() > 0
 

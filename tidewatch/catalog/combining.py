@@ -200,7 +200,8 @@ def lookback_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {tables.JOINED}, {tables.LABELLED}
-SELECT f.doc_id, f.country, round(f.embedding[1], 6) AS first_value, l.trend_increasing AS y
+SELECT f.doc_id, f.country, CAST(generate_subscripts(f.embedding, 1) - 1 AS INT) AS place,
+       round(CAST(unnest(f.embedding) AS DOUBLE), 6) AS v, l.trend_increasing AS y
 FROM located f JOIN labels_by_code l ON f.country = l.country AND l.month = DATE '2020-09-01'
 WHERE f.country = 'AZ' AND f.date >= TIMESTAMP '2020-06-01' AND f.date < TIMESTAMP '2020-09-01'"""
 )
@@ -213,18 +214,23 @@ def labelled_sample(spark: SparkSession, sf: str) -> DataFrame:
         3,
         "trend_increasing",
     )
-    first = F.round(F.get("docembed", F.lit(0)), 6).alias("first_value")
-    return rows.select("doc_id", "country", first, F.col("trend_increasing").alias("y"))
+    parts = rows.select(
+        "doc_id", "country", F.col("trend_increasing").alias("y"), F.posexplode("docembed").alias("place", "v")
+    )
+    return parts.withColumn("v", F.round(F.col("v").cast("double"), 6))
 
 
 @query(
     f"""WITH {tables.JOINED}, {tables.LABELLED},
-means AS (
+parts AS (
   SELECT country, strftime(date, '%Y-%m') AS embedding_window, strftime(month + INTERVAL 2 MONTH, '%Y-%m') AS target_window,
-         count(*) AS n_articles, round(avg(CAST(embedding[1] AS DOUBLE)), 6) AS first_mean
-  FROM located GROUP BY ALL),
+         CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS place FROM located),
+means AS (
+  SELECT country, embedding_window, target_window, CAST(place AS INT) AS place, count(*) AS n_articles,
+         round(avg(v), 6) AS mean
+  FROM parts GROUP BY ALL),
 spikes AS (SELECT DISTINCT country, strftime(month, '%Y-%m') AS target_window, spike AS lagged_spike FROM labels_by_code)
-SELECT country, embedding_window, target_window, n_articles, first_mean, lagged_spike,
+SELECT country, embedding_window, target_window, n_articles, place, mean, lagged_spike,
        CASE WHEN target_window < '2020-12' THEN 'train' ELSE 'test' END AS split
 FROM means JOIN spikes USING (country, target_window)""",
     flags=("lagged_spike",),
@@ -237,10 +243,10 @@ def mean_dataset(spark: SparkSession, sf: str) -> DataFrame:
         F.col("window").alias("embedding_window"),
         "target_window",
         "n_articles",
-        F.round(F.get("docembed", F.lit(0)), 6).alias("first_mean"),
+        F.posexplode("docembed").alias("place", "mean"),
         "lagged_spike",
         "split",
-    )
+    ).withColumn("mean", F.round("mean", 6))
 
 
 # ---------------------------------------------------------------- aggregates

@@ -19,15 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def panel(
+    spark: SparkSession, sf_dir: str, priority: str = "1-URGENT", name: str = "fatalities"
+) -> DataFrame:
     """Monthly counts per country: urgent orders stand for fatalities."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
     placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     located = placed.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    urgent = (F.col("o_orderpriority") == "1-URGENT").cast("long")
-    return monthly_panel(located, "country", "o_orderdate", urgent, "fatalities")
+    counted = (F.col("o_orderpriority") == priority).cast("long")
+    return monthly_panel(located, "country", "o_orderdate", counted, name)
 
 
 PANEL = """panel AS (

@@ -6,12 +6,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch import plans
 from tidewatch.catalog import tables
 from tidewatch.catalog.registry import query
 from tidewatch.functions import arrays
 from tidewatch.operators import aggregates, models, neighbours
+from tidewatch.operators.panel import fill_months
 from tidewatch.operators.sampling import split_by_time
 from tidewatch.plans import country_month_means
+from tidewatch.schemas import PREDICTION_SCHEMA
+from tidewatch.session import scratch_path, stored
+from tidewatch.sources import read_many
 
 WIDTH = 64
 
@@ -70,14 +75,14 @@ def narrow_embedding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT country, label, s FROM (
-  WITH {tables.JOINED} SELECT country, label, round(sum(CAST(embedding[3] AS DOUBLE)), 5) AS s
-  FROM located GROUP BY ALL)"""
+    f"""WITH {tables.JOINED},
+parts AS (SELECT country, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS place FROM located)
+SELECT country, label, CAST(place AS INT) AS place, round(sum(v), 5) AS s FROM parts GROUP BY ALL"""
 )
 def embedding_view(spark: SparkSession, sf: str) -> DataFrame:
     view = tables.located(spark, sf).select("docembed", "country", F.date_format("month", "yyyyMM"), "label")
-    third = F.sum(F.get("docembed", F.lit(2)).cast("double"))
-    return view.groupBy("country", "label").agg(F.round(third, 5).alias("s"))
+    parts = view.select("country", "label", F.posexplode("docembed").alias("place", "v"))
+    return parts.groupBy("country", "label", "place").agg(F.round(F.sum(F.col("v").cast("double")), 5).alias("s"))
 
 
 @query(
@@ -194,50 +199,174 @@ def country_context(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# What SQL can state of predictions: each row once with its label, probabilities in [0, 1] that agree with the
+# prediction, and a share of right ones above that of the larger class.
+_FACTS = f"""WITH {tables.EMBEDDED}
+SELECT vec_id, CAST(embedding[1] > 0 AS DOUBLE) AS y, true AS sound, true AS learned
+FROM embedded WHERE strftime(date, '%Y-%m') >= '2020-10'"""
+
+
 def _split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Vectors dated before October 2020 to train on, later ones to predict."""
+    """Vectors dated before October 2020 to train on, later ones to predict.
+
+    The given labels have nothing to do with the vectors, so the class ``y`` is the sign of the first component.
+    ``kind`` has nothing to do with the class.
+    """
     dated = tables.embedded(spark, sf).select(
-        "vec_id", "embedding", (F.col("label") % 2).cast("double").alias("y"), "date", F.col("label").cast("string").alias("kind")
+        "vec_id",
+        "embedding",
+        (F.get("embedding", F.lit(0)) > 0).cast("double").alias("y"),
+        (F.col("vec_id") % 5).cast("string").alias("kind"),
+        F.date_format("date", "yyyy-MM").alias("target_window"),
     )
-    marked = split_by_time(dated.withColumn("target_window", F.date_format("date", "yyyy-MM")), "target_window", ["2020-10"], ["train", "test"])
+    marked = split_by_time(dated, "target_window", ["2020-10"], ["train", "test"])
     return marked.where("split = 'train'"), marked.where("split = 'test'")
 
 
-@query()
+def _facts(scored: DataFrame) -> DataFrame:
+    held = stored(scored, "scored")
+    right, ones = held.agg(F.avg((F.col("prediction") == F.col("y")).cast("double")), F.avg("y")).first()
+    agrees = F.col("prediction") == (F.col("probability") > 0.5).cast("int")
+    sound = F.col("probability").between(0, 1) & agrees
+    return held.select("vec_id", "y", sound.alias("sound"), F.lit(right > max(ones, 1 - ones)).alias("learned"))
+
+
+@query(
+    f"""WITH {tables.EMBEDDED},
+parts AS (
+  SELECT vec_id, strftime(date, '%Y-%m') < '2020-10' AS known, CAST(unnest(embedding) AS DOUBLE) AS v,
+         generate_subscripts(embedding, 1) AS place FROM embedded),
+scale AS (SELECT place, avg(v) AS mean, stddev_pop(v) AS deviation FROM parts WHERE known GROUP BY 1)
+SELECT vec_id, round(sum(((v - mean) / deviation) ^ 2), 4) AS squared_length, true AS reaches, false AS one_fewer_reaches
+FROM parts JOIN scale USING (place) WHERE NOT known GROUP BY 1""",
+    flags=("reaches", "one_fewer_reaches"),
+)
 def pca_80(spark: SparkSession, sf: str) -> DataFrame:
+    """All components together keep each row's length; those kept for 0.8 reach it, and one fewer do not."""
     train, test = (models.as_vector(d, "embedding") for d in _split(spark, sf))
-    scaled_train, scaled_test = models.standardise(train, test)
-    _, projected, kept = models.pca_variance(scaled_train, scaled_test)
-    first = F.get(vector_to_array("projected"), F.lit(0))
-    return projected.select("vec_id", F.lit(kept).alias("components"), F.round(first, 6).alias("first"))
+    scale = models.scaling_step(train)
+    scaled = scale(train)
+    _, kept = models.projection_step(scaled, 0.8)
+    # No share above one is ever reached, so all components stay.
+    project, _ = models.projection_step(scaled, 2.0)
+    parts = project(scaled).select(F.posexplode(vector_to_array("projected")).alias("place", "v"))
+    spread = parts.groupBy("place").agg(F.var_pop("v").alias("v")).agg(
+        F.sum("v").alias("all"),
+        F.sum(F.when(F.col("place") < kept, F.col("v"))).alias("kept"),
+        F.sum(F.when(F.col("place") < kept - 1, F.col("v"))).alias("fewer"),
+    ).first()
+    square = F.aggregate(vector_to_array("projected"), F.lit(0.0), lambda total, x: total + x * x)
+    return project(scale(test)).select(
+        "vec_id",
+        F.round(square, 4).alias("squared_length"),
+        F.lit(spread["kept"] >= 0.8 * spread["all"]).alias("reaches"),
+        F.lit((spread["fewer"] or 0) >= 0.8 * spread["all"]).alias("one_fewer_reaches"),
+    )
 
 
-@query()
+@query(_FACTS, flags=("sound", "learned"))
 def boosted_predictions(spark: SparkSession, sf: str) -> DataFrame:
     train, test = (models.as_vector(d, "embedding") for d in _split(spark, sf))
-    scored = models.boosted_classifier(train, test, "y", "features", depth=3)
-    return scored.select("vec_id", "y", "prediction", F.get("probabilities", F.lit(1)).alias("probability"))
+    scored = models.boosted_classifier(train, test, "y", "features", rounds=20, rate=0.1, depth=3)
+    return _facts(scored.withColumn("probability", F.get("probabilities", F.lit(1))))
 
 
-@query()
+@query(_FACTS, flags=("sound", "learned"))
 def dense_network_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = (models.as_vector(d, "embedding") for d in _split(spark, sf))
-    scored = models.dense_classifier(train, test, "y")
-    return scored.select("vec_id", "y", "prediction", F.get("probabilities", F.lit(1)).alias("probability"))
+    train, test = models.standardise(*(models.as_vector(d, "embedding") for d in _split(spark, sf)))
+    scored = models.dense_classifier(train, test, "y", "scaled")
+    return _facts(scored.withColumn("probability", F.get("probabilities", F.lit(1))))
 
 
-@query()
+@query(_FACTS, flags=("sound", "learned"))
 def ensemble_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """One-hot, balance, standardise, project, then boosted trees and neighbours averaged."""
-    train, test = _split(spark, sf)
-    return models.train_and_predict(train, test, "embedding", "y", "vec_id", category="kind", depth=3)
+    """One-hot, balance, standardise, project, then boosted trees and neighbours averaged.
+
+    The first component comes 16 times more, so that one direction of large variance tells the classes apart.
+    """
+    longer = F.concat("embedding", F.array_repeat(F.get("embedding", F.lit(0)), 16))
+    train, test = (d.withColumn("embedding", longer) for d in _split(spark, sf))
+    return _facts(models.train_and_predict(train, test, "embedding", "y", "vec_id", "kind", rounds=20, rate=0.1, depth=3))
+
+
+_DATASET = f"""WITH {tables.JOINED}, {tables.LABELLED},
+months AS (
+  SELECT DISTINCT country, strftime(date, '%Y-%m') AS embedding_window,
+         strftime(month + INTERVAL 2 MONTH, '%Y-%m') AS target_window FROM located),
+spikes AS (SELECT DISTINCT country, strftime(month, '%Y-%m') AS target_window, spike AS lagged_spike FROM labels_by_code)"""
+
+
+@query(
+    _DATASET
+    + """
+SELECT country AS fips, embedding_window, target_window, lagged_spike, true AS sound
+FROM months JOIN spikes USING (country, target_window) WHERE target_window >= '2020-10' AND lagged_spike IS NOT NULL""",
+    flags=("lagged_spike", "sound"),
+)
+def spike_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """From articles and labels to a file of predictions, read back."""
+    path = scratch_path(spark, "spike-predictions")
+    means = country_month_means(tables.joined_articles(spark, sf))
+    dataset = plans.spike_dataset(means, tables.labels_by_code(spark, sf), ["2020-10"])
+    plans.predict_spikes(dataset, path, rounds=10, rate=0.1, depth=2)
+    made = read_many(spark, f"{path}/*.csv", PREDICTION_SCHEMA)
+    p = F.col("probabilities")
+    sound = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("int"))
+    return made.select("fips", "embedding_window", "target_window", "lagged_spike", sound.alias("sound"))
+
+
+@query(
+    f"""WITH {tables.JOINED},
+parts AS (
+  SELECT country, strftime(date, '%Y-%m') AS embedding_window, unnest(embedding) AS v,
+         generate_subscripts(embedding, 1) - 1 AS place FROM located)
+SELECT country, embedding_window, CAST(place AS INT) AS place, round(avg(CAST(v AS DOUBLE)), 6) AS mean FROM parts GROUP BY ALL"""
+)
+def country_mean_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly means as one CSV folder per country, read back."""
+    path = scratch_path(spark, "country-means")
+    plans.country_mean_files(tables.joined_articles(spark, sf), path, WIDTH)
+    wide = spark.read.csv(path, header=True)
+    back = arrays.narrow(wide, arrays.columns_like(wide, "docembed"), "docembed")
+    parts = back.select("country", F.col("window").alias("embedding_window"), F.posexplode("docembed").alias("place", "mean"))
+    return parts.withColumn("mean", F.round(F.col("mean").cast("double"), 6))
+
 
+def _counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel, with the orders of the next priority as a covariate that is not made from the target."""
+    other = tables.panel(spark, sf, "2-HIGH", "others")
+    return tables.panel(spark, sf).join(other, ["country", "month"])
 
-@query()
+
+@query(
+    f"""WITH {tables.PANEL},
+ends AS (SELECT country, CAST(min(month) AS TIMESTAMP) AS a, CAST(max(month) AS TIMESTAMP) AS b FROM panel GROUP BY 1),
+held AS (
+  SELECT country, CAST(unnest(generate_series(greatest(a, b - INTERVAL 5 MONTH), b, INTERVAL 1 MONTH)) AS DATE) AS month
+  FROM ends)
+SELECT country, month, CAST(coalesce(fatalities, 0) AS DOUBLE) AS actual, true AS in_range
+FROM held LEFT JOIN panel USING (country, month)""",
+    dates=("month",),
+    flags=("in_range",),
+)
 def lag_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    labels = tables.panel(spark, sf)
-    from tidewatch.operators.panel import fill_months, trend_features
+    """The last six months of every series; a forest stays within the values it has seen."""
+    filled = fill_months(_counts(spark, sf), "country", "month", ["fatalities", "others"])
+    most = tables.panel(spark, sf).agg(F.max("fatalities")).first()[0]
+    made = models.lag_forecast(filled, "country", "month", "fatalities", ["others"])
+    return made.select("country", "month", "actual", F.col("predicted").between(-1e-9, most + 1e-9).alias("in_range"))
 
-    filled = trend_features(fill_months(labels, "country", "month", ["fatalities"]))
-    ready = filled.select("country", "month", "fatalities", "trend")
-    return models.lag_forecast(ready, "country", "month", "fatalities", ["trend"])
+
+@query(
+    f"""WITH {tables.PANEL},
+sizes AS (
+  SELECT country, date_diff('month', min(month), max(month)) + 1 AS n FROM panel
+  WHERE length(country) <> 5 OR month >= DATE '2001-02-01' GROUP BY 1)
+SELECT count(*) AS series, count(*) FILTER (WHERE n < 9) AS skipped, true AS scored FROM sizes""",
+    flags=("scored",),
+)
+def forecast_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Countries with names of five letters have too few months to be forecast."""
+    panel = _counts(spark, sf).where("length(country) <> 5 OR month >= '2001-02-01'")
+    scores = plans.forecast_scores(panel, "fatalities", ["others"])
+    return scores.select("series", "skipped", (F.col("mean_mae") >= 0).alias("scored"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.feature import (
     PCA,
     ElementwiseProduct,
-    OneHotEncoder,
     StandardScaler,
     StringIndexer,
     VectorAssembler,
@@ -19,7 +20,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.arrays import argmax, mean_vectors
@@ -27,58 +28,69 @@ from tidewatch.operators.joins import common_categories
 from tidewatch.operators.neighbours import knn_proba
 from tidewatch.operators.panel import lag_features
 from tidewatch.operators.sampling import oversample
+from tidewatch.session import stored
+
+#: A fitted step: a table with the step's column added.
+Step = Callable[[DataFrame], DataFrame]
 
 
 def as_vector(df: DataFrame, column: str, name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(F.col(column).cast("array<double>")))
 
 
-def one_hot(
-    train: DataFrame, test: DataFrame, column: str, name: str | None = None
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """One slot per category present on both sides, all zero for any other category.
+def one_hot_step(categories: DataFrame, column: str, name: str) -> tuple[Step, list[str]]:
+    """One slot per given category, all zero for any other, and the slots in order.
 
-    The slots, in order, are returned too; they are a dimension's codes, a few hundred.
+    The categories are a dimension's codes, a few hundred.
     """
-    name = name or f"{column}_one_hot"
-    shared = common_categories(train, test, column)
     index = StringIndexer(
         inputCol=column, outputCol="_index", handleInvalid="keep", stringOrderType="alphabetAsc"
-    ).fit(shared)
-    # "keep" gives unknown categories an extra last slot, and the encoder drops the last one.
-    encoder = OneHotEncoder(inputCols=["_index"], outputCols=["_slots_vector"], dropLast=True).fit(
-        index.transform(shared)
-    )
+    ).fit(categories)
+    # "keep" numbers unknown categories after the last slot.
+    last = len(index.labels) - 1
+    places = F.sequence(F.lit(0), F.lit(last)) if last >= 0 else F.array().cast("array<int>")
+    slots = F.transform(places, lambda place: (place == F.col("_index")).cast("double"))
 
     def encode(df: DataFrame) -> DataFrame:
-        encoded = encoder.transform(index.transform(df))
-        return encoded.withColumn(name, vector_to_array("_slots_vector")).drop("_index", "_slots_vector")
+        return index.transform(df).withColumn(name, slots).drop("_index")
 
-    return encode(train), encode(test), list(index.labels)
+    return encode, list(index.labels)
 
 
-def standardise(
-    train: DataFrame, test: DataFrame, column: str = "features", name: str = "scaled"
-) -> tuple[DataFrame, DataFrame]:
-    """Mean 0 and population standard deviation 1, both measured on ``train``."""
-    scaler = StandardScaler(withMean=True, withStd=True, inputCol=column, outputCol="_sample_scaled").fit(train)
-    n = train.count()
+def one_hot(
+    train: DataFrame, test: DataFrame, column: str, name: str | None = None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """One slot per category present on both sides, all zero for any other category."""
+    encode, slots = one_hot_step(common_categories(train, test, column), column, name or f"{column}_one_hot")
+    return encode(train), encode(test), slots
+
+
+def scaling_step(train: DataFrame, column: str = "features", name: str = "scaled") -> Step:
+    """Mean 0 and population standard deviation 1 on ``train``, measured in one pass."""
+    seen = Observation()
+    counted = train.observe(seen, F.count(F.lit(1)).alias("n"))
+    scaler = StandardScaler(withMean=True, withStd=True, inputCol=column, outputCol="_sample_scaled").fit(counted)
+    n = seen.get["n"]
     # Spark divides by the sample deviation; this turns it into the population one.
     ratio = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     stretch = ElementwiseProduct(
         scalingVec=Vectors.dense([ratio] * len(scaler.mean)), inputCol="_sample_scaled", outputCol=name
     )
+    return lambda df: stretch.transform(scaler.transform(df)).drop("_sample_scaled")
 
-    def apply(df: DataFrame) -> DataFrame:
-        return stretch.transform(scaler.transform(df)).drop("_sample_scaled")
 
-    return apply(train), apply(test)
+def standardise(
+    train: DataFrame, test: DataFrame, column: str = "features", name: str = "scaled"
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides by the step that is fitted on ``train``."""
+    scale = scaling_step(train, column, name)
+    return scale(train), scale(test)
 
 
-def pca_variance(
-    train: DataFrame, test: DataFrame, share: float = 0.8, column: str = "scaled", name: str = "projected"
-) -> tuple[DataFrame, DataFrame, int]:
-    """The fewest principal components that explain ``share`` of the variance of ``train``."""
+def projection_step(
+    train: DataFrame, share: float = 0.8, column: str = "scaled", name: str = "projected"
+) -> tuple[Step, int]:
+    """The fewest principal components that explain ``share`` of the variance of ``train``; all if none do."""
     width = len(train.select(column).first()[0])
     model = PCA(k=width, inputCol=column, outputCol="_all").fit(train)
     total, kept = 0.0, 0
@@ -87,11 +99,15 @@ def pca_variance(
         if total >= share:
             break
     cut = VectorSlicer(inputCol="_all", outputCol=name, indices=list(range(kept)))
+    return lambda df: cut.transform(model.transform(df)).drop("_all"), kept
 
-    def apply(df: DataFrame) -> DataFrame:
-        return cut.transform(model.transform(df)).drop("_all")
 
-    return apply(train), apply(test), kept
+def pca_variance(
+    train: DataFrame, test: DataFrame, share: float = 0.8, column: str = "scaled", name: str = "projected"
+) -> tuple[DataFrame, DataFrame, int]:
+    """Both sides by the step that is fitted on ``train``, and the components it keeps."""
+    project, kept = projection_step(train, share, column, name)
+    return project(train), project(test), kept
 
 
 def _probabilities(scored: DataFrame, kept: list[str]) -> DataFrame:
@@ -149,36 +165,82 @@ def two_classes(df: DataFrame, probability: str = "probability") -> DataFrame:
     return df.withColumn("probabilities", F.array(1 - p, p)).drop(probability)
 
 
-def prepared(
+@dataclass
+class FittedEnsemble:
+    """Boosted trees and k nearest neighbours behind the steps they were fitted with.
+
+    It holds models and tables in the shared folder, and no cache.
+    """
+
+    prepare: Step
+    boosted: GBTClassificationModel
+    neighbours: DataFrame
+    k: int
+
+    def predict_proba(self, rows: DataFrame) -> DataFrame:
+        """All rows and columns with ``probabilities`` of both classes and ``prediction``. Keys may repeat."""
+        # The number is stored with the row, so both models and the join below see the same one.
+        numbered = rows.withColumn("_nn", F.monotonically_increasing_id())
+        asked = stored(self.prepare(numbered), "asked")
+        trees = _probabilities(self.boosted.transform(asked), ["_nn"])
+        points = asked.select("_nn", vector_to_array("projected").alias("_v"))
+        near = two_classes(knn_proba(self.neighbours, points, self.k, "_nn", "_v", "_y"))
+        both = ensemble([trees, near], "_nn")
+        return asked.drop("projected").join(both, "_nn").drop("_nn")
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        """All rows and columns with ``prediction`` and ``probability``, that of class 1."""
+        scored = self.predict_proba(rows)
+        return scored.withColumn("probability", F.get("probabilities", F.lit(1))).drop("probabilities")
+
+
+def fit_ensemble(
     train: DataFrame,
-    test: DataFrame,
     vector: str,
-    category: str | None,
     label: str,
     ids: list[str],
+    category: str | None = None,
+    categories: DataFrame | None = None,
     share: float = 0.8,
+    k: int = 21,
+    rounds: int = 200,
+    rate: float = 0.01,
+    depth: int = 6,
     seed: int = 82,
-) -> tuple[DataFrame, DataFrame]:
-    """One-hot, balance, standardise, project: column ``projected`` on both sides, which are persisted."""
+) -> FittedEnsemble:
+    """One-hot, balance, standardise and project ``train``, then fit both models.
+
+    ``ids`` together tell the rows apart. ``categories`` are those that get a slot, all of ``train`` by default.
+    """
     if category:
-        train, test, _ = one_hot(train, test, category, "_slots")
+        known = categories if categories is not None else train.select(category).distinct()
+        encode, _ = one_hot_step(known, category, "_slots")
     else:
-        train, test = (d.withColumn("_slots", F.array().cast("array<double>")) for d in (train, test))
-    balanced = oversample(train, label, ids, seed)
-    test = test.withColumn("draw", F.lit(0).cast("bigint"))
+
+        def encode(df: DataFrame) -> DataFrame:
+            return df.withColumn("_slots", F.array().cast("array<double>"))
 
     def assemble(df: DataFrame) -> DataFrame:
         whole = F.concat(F.col(vector).cast("array<double>"), F.col("_slots"))
-        return df.withColumn("features", array_to_vector(whole)).drop("_slots")
+        return encode(df).withColumn("features", array_to_vector(whole)).drop("_slots")
+
+    # The balanced rows are read for the scaling, for the projection and to be projected.
+    balanced = stored(assemble(oversample(train, label, ids, seed)), "balanced")
+    scale = scaling_step(balanced)
+    project, _ = projection_step(scale(balanced), share)
+    ready = stored(project(scale(balanced)).drop("features", "scaled"), "training")
+    boosted = GBTClassifier(
+        labelCol=label, featuresCol="projected", maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed
+    ).fit(ready)
+    # Copies of a row are separate neighbours, so each training row gets its own id.
+    neighbours = ready.select(
+        F.xxhash64(*ids, "draw").alias("_nn"), vector_to_array("projected").alias("_v"), F.col(label).alias("_y")
+    )
+
+    def prepare(df: DataFrame) -> DataFrame:
+        return project(scale(assemble(df))).drop("features", "scaled")
 
-    # The balanced rows are read once for the scaling, once for the projection and once to be projected.
-    assembled = assemble(balanced).persist()
-    scaled_train, scaled_test = standardise(assembled, assemble(test))
-    projected_train, projected_test, _ = pca_variance(scaled_train, scaled_test, share)
-    ready_train = projected_train.drop("features", "scaled").persist()
-    ready_train.count()
-    assembled.unpersist()
-    return ready_train, projected_test.drop("features", "scaled").persist()
+    return FittedEnsemble(prepare, boosted, neighbours, k)
 
 
 def train_and_predict(
@@ -186,31 +248,18 @@ def train_and_predict(
     test: DataFrame,
     vector: str,
     label: str,
-    id_column: str,
+    ids: str | list[str],
     category: str | None = None,
-    share: float = 0.8,
-    k: int = 21,
-    rounds: int = 200,
-    rate: float = 0.01,
-    depth: int = 6,
-    seed: int = 82,
+    **options,
 ) -> DataFrame:
-    """Boosted trees and k nearest neighbours on the prepared features, averaged.
+    """Fit the ensemble on ``train``, with slots for the categories of both sides, and score ``test``.
 
-    Returns the test rows' id, label, prediction and probability of class 1.
+    Returns the test rows' ids, label, prediction and probability of class 1.
     """
-    ready_train, ready_test = prepared(train, test, vector, category, label, [id_column], share, seed)
-    boosted = boosted_classifier(ready_train, ready_test, label, "projected", rounds, rate, depth, seed)
-    # Copies of a row are separate neighbours, so each training row gets its own id.
-    numbered = ready_train.select(
-        F.xxhash64(id_column, "draw").alias("_nn"), vector_to_array("projected").alias("_v"), F.col(label).alias("_y")
-    )
-    asked = ready_test.select(F.col(id_column).cast("bigint").alias("_nn"), vector_to_array("projected").alias("_v"))
-    near = knn_proba(numbered, asked, k, "_nn", "_v", "_y").withColumnRenamed("_nn", id_column)
-    both = ensemble([boosted.select(id_column, "probabilities"), two_classes(near)], id_column)
-    return ready_test.select(id_column, label).join(both, id_column).select(
-        id_column, label, "prediction", F.get("probabilities", F.lit(1)).alias("probability")
-    )
+    ids = [ids] if isinstance(ids, str) else ids
+    categories = common_categories(train, test, category) if category else None
+    model = fit_ensemble(train, vector, label, ids, category, categories, **options)
+    return model.predict(test).select(*ids, label, "prediction", "probability")
 
 
 def forecast_table(
@@ -244,14 +293,16 @@ def lag_forecast(
 
     One regressor per step ahead, trained over all series on the ``lags`` last
     values of the target and the covariates. Later steps feed the forecasts back
-    as target values; covariates are taken as known. Returns key, month, actual
-    and predicted.
+    as target values; covariates are taken as known, so they must not be made from
+    the target. Rows are taken for months: fill gaps first. Returns key, month,
+    actual and predicted, which is null in a series of fewer than ``horizon + lags``
+    months.
     """
     if horizon % step:
         raise ValueError("horizon must be a multiple of step")
     last = Window.partitionBy(key).orderBy(F.col(month).desc())
     panel = panel.select(key, month, F.col(target).cast("double").alias(target), *covariates)
-    held = panel.withColumn("_from_end", F.row_number().over(last)).persist()
+    held = stored(panel.withColumn("_from_end", F.row_number().over(last)), "series")
     features = [f"{c}_lag{i}" for c in [target, *covariates] for i in range(lags)]
     assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
     known = held.where(F.col("_from_end") > horizon).drop("_from_end")

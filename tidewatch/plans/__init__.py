@@ -1,8 +1,10 @@
 from tidewatch.plans.jobs import (
+    country_mean_files,
     country_month_means,
     forecast_scores,
     ingest_days,
     label_panel,
+    predict_spikes,
     spike_dataset,
     stack_months,
     tagged_articles,
@@ -11,10 +13,12 @@ from tidewatch.plans.jobs import (
 )
 
 __all__ = [
+    "country_mean_files",
     "country_month_means",
     "forecast_scores",
     "ingest_days",
     "label_panel",
+    "predict_spikes",
     "spike_dataset",
     "stack_months",
     "tagged_articles",

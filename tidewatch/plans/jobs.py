@@ -7,16 +7,18 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.arrays import widen
 from tidewatch.functions.dates import parse_stamp
 from tidewatch.operators.aggregates import assert_rows, dedup, expect_rows, mean_embedding
 from tidewatch.operators.joins import join_articles, mean_dataset, pending
-from tidewatch.operators.metrics import mean_mae
-from tidewatch.operators.models import lag_forecast
-from tidewatch.operators.panel import spike, trend_features
+from tidewatch.operators.metrics import mae_by_series
+from tidewatch.operators.models import lag_forecast, train_and_predict
+from tidewatch.operators.panel import fill_months, spike, trend_features
 from tidewatch.operators.samples import failed_keys, labelled_samples
 from tidewatch.operators.sampling import split_by_time
 from tidewatch.operators.tagging import explode_countries, stack_manifest, top_countries
-from tidewatch.sinks.tables import overwrite_partitions, write_manifest, write_samples
+from tidewatch.session import stored
+from tidewatch.sinks.tables import overwrite_partitions, rebalance, write_csv, write_manifest, write_samples
 from tidewatch.sources.feeds import granule_glob
 from tidewatch.sources.news import read_article_embeddings, read_articles
 
@@ -123,7 +125,42 @@ def training_samples(
     return failures
 
 
-def forecast_scores(panel: DataFrame, target: str, covariates: list[str], horizon: int = 6) -> DataFrame:
-    """Mean absolute error of the lag regressions over all series."""
-    forecast = lag_forecast(panel, "country", "month", target, covariates, horizon=horizon)
-    return mean_mae(forecast, "country", "actual", "predicted")
+def country_mean_files(articles: DataFrame, out: str, width: int) -> None:
+    """Mean embedding per month as CSV, one folder per country and one column per component."""
+    wide = widen(country_month_means(articles), "docembed", width)
+    write_csv(rebalance(wide, ["country"]), out, ["country"])
+
+
+def predict_spikes(dataset: DataFrame, out: str, key: str = "country", vector: str = "docembed", **options) -> None:
+    """Fit the ensemble on the train rows of `spike_dataset`, score the test rows and write the predictions as CSV.
+
+    Rows without a label are neither learnt from nor scored.
+    """
+    labelled = dataset.where(F.col("lagged_spike").isNotNull())
+    rows = stored(labelled.withColumn("label", F.col("lagged_spike").cast("double")), "spike-dataset")
+    train, test = (rows.where(F.col("split") == side) for side in ("train", "test"))
+    scored = train_and_predict(train, test, vector, "label", [key, "window", "target_window"], key, **options)
+    predictions = scored.select(
+        F.col("window").alias("embedding_window"),
+        "target_window",
+        F.col(key).alias("fips"),
+        F.col("label").cast("boolean").alias("lagged_spike"),
+        "prediction",
+        F.col("probability").alias("probabilities"),
+    )
+    write_csv(predictions, out)
+
+
+def forecast_scores(
+    panel: DataFrame, target: str, covariates: list[str], horizon: int = 6, lags: int = 3
+) -> DataFrame:
+    """Mean absolute error of the lag regressions, every series counting the same.
+
+    Missing months are filled with zeros first. Series too short for a forecast
+    have no error; ``skipped`` says how many of the ``series`` they are.
+    """
+    filled = fill_months(panel, "country", "month", [target, *covariates])
+    forecast = lag_forecast(filled, "country", "month", target, covariates, lags, horizon=horizon)
+    return mae_by_series(forecast, "country", "actual", "predicted").agg(
+        F.count(F.lit(1)).alias("series"), F.count_if(F.col("mae").isNull()).alias("skipped"), F.avg("mae").alias("mean_mae")
+    )

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on these two: dates are computed in UTC, and a rewrite of one
 # day must leave the other days of a table alone.
@@ -66,6 +66,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back, in place of a cache that somebody has to release."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]):
     """Apply session settings for one action and put the old ones back."""
