@@ -137,6 +137,13 @@ def test_partitioned_write_sizes_and_timestamps(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and "GreaterThan(id,5)" in plan and "ReadSchema: struct<id:bigint>" in plan
 
 
+def test_files_hold_at_most_the_rows_asked_for(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "id % 3 AS part")
+    sinks.write_table(df, f"{tmp_path}/t", ["part"], rows_per_file=15)
+    files = [os.path.join(d, f) for d, _, names in os.walk(tmp_path / "t") for f in names if f.endswith(".parquet")]
+    assert sorted(pq.ParquetFile(f).metadata.num_rows for f in files) == [3, 3, 4] + [15] * 6
+
+
 def test_append_and_overwrite(spark, tmp_path):
     one, two = (spark.range(10).withColumn("day", F.lit(d)) for d in ("d1", "d2"))
     sinks.write_table(one, f"{tmp_path}/t", ["day"])

@@ -140,8 +140,8 @@ def hot_groups(spark):
 
 def test_rank_in_group_does_not_depend_on_how_it_is_spread(spark):
     df = hot_groups(spark)
-    whole = ranking.rank_in_group(df, ["k"], ["id"], 4)
-    spread = ranking.rank_in_group(df.repartition(9), ["k"], ["id"], 4, rows_per_range=16)
+    whole = ranking.rank_in_group(df, ["k"], ["id"], 4, ranges=1)
+    spread = ranking.rank_in_group(df.repartition(9), ["k"], ["id"], 4, ranges=16)
     assert spread.count() == 500
     assert whole.select("id", "rank0").exceptAll(spread.select("id", "rank0")).count() == 0
     per_key = spread.groupBy("k").agg(F.count("*").alias("n"), F.max("rank0").alias("m"), F.count_distinct("rank0").alias("d"))
@@ -159,7 +159,7 @@ def test_article_samples_of_49_50_51_and_100(spark):
     sizes = {"a": 49, "b": 50, "c": 51, "d": 100, "e": 1}
     df = vectors(spark, sizes).repartition(4)
     plain = samples.article_samples(df, ["country"], 50, 4, 2)
-    spread = samples.article_samples(df, ["country"], 50, 4, 2, rows_per_range=8)
+    spread = samples.article_samples(df, ["country"], 50, 4, 2, ranges=13)
     for made in (plain, spread):
         rows = made.collect()
         per_key = {k: [r for r in rows if r["country"] == k] for k in sizes}
@@ -198,7 +198,7 @@ def test_both_feeds_keep_the_same_granules(spark):
 def test_oversample_balances_and_keeps_everything(spark):
     df = spark.range(100).selectExpr("id", "CASE WHEN id < 9 THEN 1 WHEN id < 30 THEN 2 ELSE 0 END AS y")
     one = sampling.oversample(df, "y", ["id"], 82)
-    two = sampling.oversample(df.repartition(6), "y", ["id"], 82, rows_per_range=4)
+    two = sampling.oversample(df.repartition(6), "y", ["id"], 82, ranges=5)
     assert {r["y"]: r["count"] for r in one.groupBy("y").count().collect()} == {0: 70, 1: 70, 2: 70}
     assert one.where("draw = 0").drop("draw").exceptAll(df).count() == 0
     assert one.exceptAll(two).count() == 0
@@ -278,3 +278,20 @@ def test_binary_metrics_of_billions(spark):
     counted = spark.createDataFrame([(n, n, n, n)], "tp bigint, fp bigint, fn bigint, tn bigint")
     made = metrics.scores_of_counts(counted).first()
     assert made["accuracy"] == 0.5 and made["kappa"] == 0 and made["tp"] == n
+
+
+@pytest.mark.parametrize("bad", [{"k": 0}, {"pivots": 0}, {"pivots": 5000}, {"spread": 0}])
+def test_nearest_refuses_bad_parameters(spark, bad):
+    t = spark.createDataFrame([(1, [1.0], 0)], "id bigint, embedding array<double>, label int")
+    with pytest.raises(ValueError):
+        neighbours.nearest(t, t, **bad)
+
+
+def test_nearest_works_in_slices(monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors, sample = rng.normal(size=(50, 4)), rng.normal(size=(30, 4))
+    whole = neighbours._kth_distance(vectors, sample, 5)
+    monkeypatch.setattr(neighbours, "SLICE_BYTES", 8 * 30 * 7)
+    assert np.allclose(neighbours._kth_distance(vectors, sample, 5), whole)
+    assert np.allclose(np.sort(neighbours._distances(vectors, sample), axis=1)[:, 4], whole)
+    assert np.isinf(neighbours._kth_distance(vectors, sample, 31)).all()

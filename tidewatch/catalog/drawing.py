@@ -80,7 +80,7 @@ FROM documents"""
 def permute_in_group(spark: SparkSession, sf: str) -> DataFrame:
     """The place of each document in a random order of its language."""
     docs = tables.table(spark, sf, "documents").select("doc_id", "lang")
-    return ranking.rank_in_group(docs, ["lang"], ["doc_id"], 4, rows_per_range=200)
+    return ranking.rank_in_group(docs, ["lang"], ["doc_id"], 4)
 
 
 @query(

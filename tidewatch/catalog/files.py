@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from tidewatch import plans
 from tidewatch.catalog import tables
 from tidewatch.catalog.registry import query
+from tidewatch.operators.aggregates import assert_rows, expect_rows
 from tidewatch.operators.joins import join_articles, pending
 from tidewatch.operators.tagging import top_countries
 from tidewatch.schemas import ARTICLE_COLUMNS, PREDICTION_SCHEMA
@@ -32,6 +35,7 @@ from tidewatch.sources import (
     read_table,
     with_source_file,
 )
+from tidewatch.sources.news import drop_unused
 
 
 def _granule(date: str) -> Column:
@@ -104,6 +108,18 @@ def articles_from_feed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {tables.ARTICLES}, {_FEED}
+SELECT record_id AS "GKGRECORDID", source AS "SourceCommonName", url AS "DocumentIdentifier",
+       CAST(NULL AS VARCHAR) AS "V2Counts", CASE WHEN NOT is_short THEN themes END AS "V2Themes",
+       locations AS "V2Locations", CAST(NULL AS VARCHAR) AS "V2Persons", CAST(NULL AS VARCHAR) AS "V2Organizations", granule
+FROM feed"""
+)
+def used_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """All 27 fields are read, and those that no later stage reads are dropped."""
+    return drop_unused(read_articles(spark, write_article_feed(spark, sf), keep_all=True))
+
+
 _DECODED = """SELECT url, date, 'ENGLISH' AS lang, concat('Title } { ', vec_id) AS title,
        strftime(date_trunc('month', date), '%Y%m%d000000') AS granule,
        round(list_sum(CAST(embedding AS DOUBLE[])), 5) AS total
@@ -242,6 +258,53 @@ def appended_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query(
+    """SELECT o_orderpriority, count(*) AS n_rows, CAST(ceil(count(*) / 1000) AS BIGINT) AS n_files,
+       least(count(*), 1000) AS largest_file FROM orders GROUP BY o_orderpriority"""
+)
+def file_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """One folder per priority, each of files of 1,000 rows and one of the rest."""
+    path = scratch_path(spark, "file-sizes")
+    orders = _orders(spark, sf).select("o_orderkey", "o_orderpriority")
+    write_table(orders, path, ["o_orderpriority"], rows_per_file=1000)
+    files = spark.read.parquet(path).groupBy("o_orderpriority", F.col("_metadata.file_path").alias("file")).count()
+    return files.groupBy("o_orderpriority").agg(
+        F.sum("count").alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.max("count").alias("largest_file")
+    )
+
+
+@query("SELECT o_orderpriority, count(*) AS n_rows, 1 AS n_tasks FROM orders GROUP BY o_orderpriority")
+def rebalanced_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Before a write the rows of a folder come together in one task, unless they are too large for one."""
+    orders = rebalance(_orders(spark, sf).select("o_orderkey", "o_orderpriority"), ["o_orderpriority"])
+    return (
+        orders.withColumn("task", F.spark_partition_id())
+        .groupBy("o_orderpriority")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("task").alias("n_tasks"))
+    )
+
+
+@query(
+    """SELECT 'orders' AS output, count(*) AS observed, count(*) AS written FROM orders
+UNION ALL SELECT 'lineitem', count(*), count(*) FROM lineitem"""
+)
+def observed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows counted while a table is written, next to those read back; an output without rows would raise."""
+    made = []
+    for name in ("orders", "lineitem"):
+        path = scratch_path(spark, name)
+        counted, seen = expect_rows(tables.table(spark, sf, name), name)
+        write_table(counted, path)
+        made.append(
+            spark.read.parquet(path).agg(
+                F.lit(name).alias("output"),
+                F.lit(assert_rows(seen, name)).cast("bigint").alias("observed"),
+                F.count(F.lit(1)).alias("written"),
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, made)
+
+
 @query(f"WITH {tables.PANEL} SELECT strftime(month, '%Y-%m') AS month, fatalities FROM panel")
 def many_csv_files(spark: SparkSession, sf: str) -> DataFrame:
     """One CSV folder per country, read by pattern as one table."""

@@ -28,11 +28,10 @@ from pyspark.sql import functions as F
 from tidewatch.functions.keys import hash_key
 from tidewatch.session import shuffle_width
 
-MAX_PIVOTS = 64
-MAX_SPREAD = 64
 SAMPLE_ROWS = 4096
 BLOCK_ROWS = 2048
-PAIRS_AT_ONCE = 65536
+# Bytes one array of distances or differences may take in a task.
+SLICE_BYTES = 64 << 20
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -45,6 +44,21 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def _slices(rows: int, width: int) -> Iterator[slice]:
+    """Cuts of so many rows that ``width`` doubles for each take at most SLICE_BYTES, and one row at least."""
+    step = max(1, SLICE_BYTES // (8 * max(1, width)))
+    return (slice(at, at + step) for at in range(0, rows, step))
+
+
+def _kth_distance(vectors: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """How far each vector's ``k``-th nearest row of the sample is, without bound if the sample is too small."""
+    bound = np.full(len(vectors), np.inf)
+    if len(sample) >= k:
+        for part in _slices(len(vectors), len(sample)):
+            bound[part] = np.partition(_distances(vectors[part], sample), k - 1, axis=1)[:, k - 1]
+    return bound
+
+
 def _room(*matrices: np.ndarray) -> float:
     """More than the rounding error of `_distances`: pruning keeps this much extra, so it never loses a neighbour."""
     return 1e-6 * (1.0 + sum(float(np.abs(m).max(initial=0.0)) * np.sqrt(m.shape[1]) for m in matrices))
@@ -91,11 +105,7 @@ def _pack_queries(sample: np.ndarray, pivots: np.ndarray, k: int):
             if batch.empty:
                 continue
             vectors, ids = _matrix(batch["_vec"]), batch["_id"].to_numpy()
-            if len(sample) >= k:
-                bound = np.partition(_distances(vectors, sample), k - 1, axis=1)[:, k - 1]
-            else:
-                bound = np.full(len(ids), np.inf)
-            bound = bound + _room(vectors, sample)
+            bound = _kth_distance(vectors, sample, k) + _room(vectors, sample)
             distance = _distances(vectors, pivots)
             half_way = (distance - distance.min(1)[:, None]) / 2.0
             out = []
@@ -129,8 +139,7 @@ class _Best:
         if not len(rows):
             return
         exact = np.empty(len(rows))
-        for at in range(0, len(rows), PAIRS_AT_ONCE):
-            part = slice(at, at + PAIRS_AT_ONCE)
+        for part in _slices(len(rows), t.shape[1]):
             exact[part] = np.sqrt(((t[columns[part]] - self.q[rows[part]]) ** 2).sum(1))
         rows = np.concatenate([self.rows, rows])
         ids = np.concatenate([self.ids, t_ids[columns]])
@@ -191,10 +200,12 @@ def nearest(
     Returns query_id, train_id, distance, label, rank (from 1). Ids are bigint
     and unique on each side; vectors have one length. The blocks of a cell are
     dealt out to ``spread`` join keys, to each of which the cell's queries are sent;
-    by default enough of them to keep all shuffle partitions busy, up to MAX_SPREAD.
+    by default enough of them to keep all shuffle partitions busy. A query is copied
+    at most ``pivots * spread`` times, once for each part of the training rows it has to meet.
     """
-    pivots = min(pivots, MAX_PIVOTS)
-    spread = spread or min(MAX_SPREAD, max(8, -(-shuffle_width(train.sparkSession) // pivots)))
+    if k < 1 or not 1 <= pivots <= SAMPLE_ROWS or (spread is not None and spread < 1):
+        raise ValueError(f"k and spread must be at least 1, pivots between 1 and {SAMPLE_ROWS}")
+    spread = spread or max(8, -(-shuffle_width(train.sparkSession) // pivots))
     rows = train.select(
         F.col(id_column).cast("bigint").alias("_id"),
         F.col(vector).cast("array<double>").alias("_vec"),

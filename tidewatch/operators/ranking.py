@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 from tidewatch.functions.keys import hash_fraction, hash_key
 from tidewatch.session import shuffle_width
 
-# Rows one task ranks: with a 512-value vector each, about half a gigabyte.
-ROWS_PER_RANGE = 250_000
-
 
 def range_bounds(df: DataFrame, order: str, ranges: int) -> list[float]:
     """Inner bounds that cut ``order`` into about equal ranges: at most ``ranges - 1`` values.
@@ -80,34 +77,23 @@ def overall_rank(df: DataFrame, order: str, ranges: int | None = None) -> DataFr
     return ranked.withColumnsRenamed({"_one_before": "rank0", "_one_total": "n_rows"}).drop("_one")
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the biggest group: reads the key columns only, returns one number."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
-def rank_in_group(
-    df: DataFrame, keys: list[str], ids: list[str], seed: int, rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
+def rank_in_group(df: DataFrame, keys: list[str], ids: list[str], seed: int, ranges: int | None = None) -> DataFrame:
     """Add ``rank0``, a reproducible random 0-based place of each row in its group.
 
-    Groups are shuffled by the hash of seed and id. A group larger than
-    ``rows_per_range`` is spread over several tasks by ranges of that hash, which
-    changes the work but not the ranks. Null keys form a group like any other.
+    Groups are shuffled by the hash of seed and id, and each is spread over ``ranges``
+    ranges of that hash, by default as many as there are shuffle partitions: a hot group
+    is ranked by all tasks. ``ranges`` changes the work but not the ranks, and no job runs
+    while the plan is built. Null keys form a group like any other.
     """
+    ranges = ranges or shuffle_width(df.sparkSession)
     hashed = df.withColumn("_hash", hash_key(seed, *ids))
-    spread = -(-largest_group(df, keys) // rows_per_range)
-    order = [F.col("_hash"), *[F.col(i) for i in ids]]
-    if spread <= 1:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return hashed.withColumn("rank0", F.row_number().over(w) - 1).drop("_hash")
-
-    part = F.shiftrightunsigned(hash_fraction(F.col("_hash")) * spread, 32).cast("int")
+    part = F.shiftrightunsigned(hash_fraction(F.col("_hash")) * ranges, 32).cast("int")
     # As fields of a struct, null keys meet in the join too.
     parted = hashed.withColumn("_part", part).withColumn("_key", F.struct(*keys))
     sizes = parted.groupBy("_key", "_part").count()
     earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_key", "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"))
-    w = Window.partitionBy("_key", "_part").orderBy(*order)
+    w = Window.partitionBy("_key", "_part").orderBy("_hash", *ids)
     ranked = parted.withColumn("_place", F.row_number().over(w) - 1)
     # Both sides are hashed by (key, part): the ranked rows are not moved again.
     return (

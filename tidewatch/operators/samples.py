@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.arrays import pad_rows, reshape
 from tidewatch.functions.keys import hash_key
 from tidewatch.operators.joins import lagged_window_join
-from tidewatch.operators.ranking import ROWS_PER_RANGE, rank_in_group
+from tidewatch.operators.ranking import rank_in_group
 
 
 def article_samples(
@@ -20,7 +20,7 @@ def article_samples(
     id_column: str = "url",
     date: str = "date",
     vector: str = "docembed",
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Random groups of ``n`` articles per key, each a matrix of ``n`` rows sorted by date.
 
@@ -28,7 +28,7 @@ def article_samples(
     ``n`` articles gives one group padded with zero rows. Groups are made from
     reproducible random ranks, so collecting one never holds more than ``n`` rows.
     """
-    ranked = rank_in_group(df.select(*keys, id_column, date, vector), keys, [id_column], seed, rows_per_range)
+    ranked = rank_in_group(df.select(*keys, id_column, date, vector), keys, [id_column], seed, ranges)
     grouped = (
         ranked.withColumn("sample", F.floor(F.col("rank0") / n).cast("int"))
         .groupBy(*keys, "sample")
@@ -62,7 +62,7 @@ def labelled_samples(
     date: str = "date",
     vector: str = "docembed",
     y_type: str = "bigint",
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Samples of the articles in each label's look-back, with the label value ``y``.
 
@@ -73,7 +73,7 @@ def labelled_samples(
     wanted = labels.select(key, F.col(month).alias("target_month"))
     pooled = lagged_window_join(dated, wanted, key, "_article_month", "target_month", lag, n_months)
     samples = article_samples(
-        pooled, [key, "target_month"], n, seed, width, id_column, date, vector, rows_per_range
+        pooled, [key, "target_month"], n, seed, width, id_column, date, vector, ranges
     )
     values = labels.select(key, F.col(month).alias("target_month"), F.col(y).cast(y_type).alias("label"))
     return samples.join(values, [key, "target_month"])

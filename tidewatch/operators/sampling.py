@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.keys import chosen, hash_index, hash_key
-from tidewatch.operators.ranking import ROWS_PER_RANGE, overall_rank, rank_in_group
+from tidewatch.operators.ranking import overall_rank, rank_in_group
 
 
 def sample_granules(df: DataFrame, granule: str, p: float = 0.15, seed: int = 4) -> DataFrame:
@@ -39,7 +39,7 @@ def permute(df: DataFrame, seed: int, ids: list[str]) -> DataFrame:
     return hashed.orderBy("_hash", *ids).drop("_hash")
 
 
-def oversample(df: DataFrame, label: str, ids: list[str], seed: int, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def oversample(df: DataFrame, label: str, ids: list[str], seed: int, ranges: int | None = None) -> DataFrame:
     """Draw rows of the smaller classes with replacement until all classes are equal.
 
     The originals have ``draw`` 0, the copies 1, 2, ... Draw j of a class takes
@@ -66,7 +66,7 @@ def oversample(df: DataFrame, label: str, ids: list[str], seed: int, rows_per_ra
             for value, n in short.items()
         ],
     )
-    ranked = rank_in_group(df.where(F.col(label).isin(list(short))), [label], ids, seed, rows_per_range)
+    ranked = rank_in_group(df.where(F.col(label).isin(list(short))), [label], ids, seed, ranges)
     copies = ranked.join(picks, (F.col(label) == F.col("_label")) & (F.col("rank0") == F.col("_pick")))
     return result.unionByName(copies.select(*columns, "draw"))
 

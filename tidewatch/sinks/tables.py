@@ -27,13 +27,15 @@ def rebalance(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return df.hint("rebalance", *[F.col(f"`{k}`") for k in keys]) if keys else df.hint("rebalance")
 
 
-def _write(df: DataFrame, path: str, keys: list[str] | None, mode: str, **options: str) -> None:
+def _write(
+    df: DataFrame, path: str, keys: list[str] | None, mode: str, rows_per_file: int = ROWS_PER_FILE, **options: str
+) -> None:
     with scoped_conf(df.sparkSession, WRITE_CONF):
         writer = (
             rebalance(df, keys)
             .write.mode(mode)
             .option("compression", "snappy")
-            .option("maxRecordsPerFile", ROWS_PER_FILE)
+            .option("maxRecordsPerFile", rows_per_file)
             .option("parquet.block.size", ROW_GROUP_BYTES)
             .options(**options)
         )
@@ -42,9 +44,11 @@ def _write(df: DataFrame, path: str, keys: list[str] | None, mode: str, **option
         writer.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
-    """Write a table, replacing all of it. ``keys`` become folders."""
-    _write(df, path, keys, "overwrite", partitionOverwriteMode="static")
+def write_table(
+    df: DataFrame, path: str, keys: list[str] | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """Write a table, replacing all of it. ``keys`` become folders, of files of at most ``rows_per_file`` rows."""
+    _write(df, path, keys, "overwrite", rows_per_file, partitionOverwriteMode="static")
 
 
 def overwrite_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
