@@ -315,6 +315,35 @@ def test_pipeline_near_dedup_by_similarity(spark, documents):
     assert out.columns == odd.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 3, 4]
 
 
+def test_similar_groups_are_exact(documents, monkeypatch):
+    draw = random.Random(19)
+    words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "xyzuvw" for c in "klmn"]
+    texts = []
+    for share in (0.01, 0.02, 0.03, 0.04, 0.06):  # similarities from above 0.9 to 0.6
+        for _ in range(12):
+            first = [draw.choice(words) for _ in range(200)]
+            texts += [" ".join(w if draw.random() > share else draw.choice(words) for w in first) for _ in range(4)]
+    hot = [draw.choice(words) for _ in range(120)]
+    texts += [" ".join(w if draw.random() > 0.02 else draw.choice(words) for w in hot) for _ in range(70)]
+    # One shingle repeated rules the majority of all bits, but not the set.
+    texts += [" ".join(["same"] * 400 + [draw.choice(words) for _ in range(60)]) for _ in range(6)]
+    texts += [None, "", "one", "two", texts[0], " ".join(["same"] * 9), " ".join(["same"] * 90)]
+    linked = [
+        (i, j) for j in range(len(texts)) for i in range(j)
+        if bool((texts[i] or "").split()) == bool((texts[j] or "").split()) and jaccard(texts[i] or "", texts[j] or "") >= 0.8
+    ]
+    least = list(range(len(texts)))
+    while any(least[i] != least[j] for i, j in linked):
+        for i, j in linked:
+            least[i] = least[j] = min(least[i], least[j])
+    docs = documents(list(enumerate(texts)))
+    groups = lambda: {r["doc_id"]: r["component_id"] for r in simhash.near_groups(docs, 5, 64, 4, 0.8).collect()}
+    assert groups() == dict(enumerate(least))
+    assert 20 < len(set(least)) < len(texts) - 50
+    monkeypatch.setattr(simhash, "GROUP_SHINGLES", 2000)
+    assert groups() == dict(enumerate(least))
+
+
 def test_pipeline_stage_by_stage(spark, duck, sf_dir):
     docs = table(spark, sf_dir, "documents")
     columns = docs.columns

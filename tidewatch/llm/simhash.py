@@ -15,6 +15,9 @@ A table of pivot distances alone has no key to shuffle by, so the blocks come fr
   smallest shingle hash of each of `ANCHORS` classes. Texts with similarity ``s``
   miss all of them with probability ``(1 - s) ** ANCHORS``, 3e-6 at 0.8.
 
+For a similarity the bits are an estimate only. They choose components of texts that may be
+similar, and inside each of these the shingles themselves decide which texts are linked.
+
 Results for odd input: a null or blank text has the fingerprint zero and links like
 any other; equal rows each come back; a null id is never the smallest of its
 component unless all are null; an empty table gives an empty table.
@@ -41,6 +44,8 @@ PIVOTS, PIVOTS_WIDE = 24, 4
 SMALL_GROUP = 48
 #: Groups beyond this many rows are split, and each two of their parts compared on their own.
 GROUP_ROWS = 20_000
+#: The same for groups that carry their shingles, counted in shingles: 80 MB of hashes.
+GROUP_SHINGLES = 10_000_000
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -69,27 +74,35 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 4, lanes: int = 1, anchors: bool = False) -> DataFrame:
-    """``doc_id``, ``fp`` (array of 64-bit lanes) and, if asked for, ``anchors`` of each row."""
-    out = pa.schema(
-        [("doc_id", pa.int64()), ("fp", pa.list_(pa.int64())), *([("anchors", pa.list_(pa.int64()))] * anchors)]
-    )
+def fingerprints(
+    docs: DataFrame, shingle_words: int = 4, lanes: int = 1, anchors: bool = False, shingles: bool = False
+) -> DataFrame:
+    """``doc_id``, ``fp`` (array of 64-bit lanes) and, if asked for, ``anchors`` and ``shingles`` of each row.
+
+    With one lane repeated shingles count as often as they occur; with more, fingerprints are of
+    the set of shingles, whose similarity they are to estimate.
+    """
+    lists = ["fp", *["anchors"] * anchors, *["shingles"] * shingles]
+    out = pa.schema([("doc_id", pa.int64()), *[(name, pa.list_(pa.int64())) for name in lists]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made, kept = [], []
+            made: dict[str, list] = {name: [] for name in lists}
             for text in batch.column("text"):
                 h = shingle_hashes(text.as_py(), shingle_words)
-                made.append(fingerprint(h, lanes).view(np.int64))
+                h = np.unique(h) if lanes > 1 else h
+                made["fp"].append(fingerprint(h, lanes).view(np.int64))
                 if anchors:
                     group = h % np.uint64(ANCHORS)
                     least = [h[group == g].min() for g in range(ANCHORS) if (group == g).any()]
                     # The class is part of the key already: it is the hash's remainder.
-                    kept.append(np.array(least or [0], dtype=np.uint64).view(np.int64))
-            columns = [batch.column("doc_id"), pa.array(made, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.list_(pa.int64()))] * anchors, schema=out)
+                    made["anchors"].append(np.array(least or [0], dtype=np.uint64).view(np.int64))
+                if shingles:
+                    made["shingles"].append(np.sort(np.unique(h).view(np.int64)))
+            columns = [pa.array(made[name], pa.list_(pa.int64())) for name in lists]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], schema=out)
 
-    kind = "doc_id bigint, fp array<bigint>" + ", anchors array<bigint>" * anchors
+    kind = ", ".join(["doc_id bigint", *[f"{name} array<bigint>" for name in lists]])
     return id_and_text(docs).mapInArrow(run, kind)
 
 
@@ -130,9 +143,34 @@ def near(fps, table, left: np.ndarray, right: np.ndarray, radius: int) -> np.nda
     return keep[apart <= radius]
 
 
-def links_in_groups(fps: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+class Sets:
+    """Sorted shingles of each row, in one array, and the similarity that links two rows."""
+
+    def __init__(self, values: np.ndarray, offsets: np.ndarray, similarity: float):
+        self.values, self.offsets, self.similarity = values, offsets, similarity
+
+    def alike(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Which of the pairs have so large a share of their shingles in common."""
+        n = np.diff(self.offsets)
+        few, many = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+        may = np.flatnonzero(few >= self.similarity * many * (1 - 1e-9))
+        found = []
+        for i, a, b in zip(may.tolist(), left[may].tolist(), right[may].tolist(), strict=True):
+            x = self.values[self.offsets[a] : self.offsets[a + 1]]
+            y = self.values[self.offsets[b] : self.offsets[b + 1]]
+            shared = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum()) if len(x) else 0
+            if shared / max(1, len(x) + len(y) - shared) >= self.similarity:
+                found.append(i)
+        return np.array(found, dtype=np.int64)
+
+
+def links_in_groups(
+    fps: np.ndarray, sizes: np.ndarray, radius: int, sets: Sets | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Links that join all near fingerprints of each group: every near pair's ends are connected.
 
+    With ``sets``, near pairs are linked only if their shingles are alike.
+
     Rows of a group follow each other. Small groups give all their near pairs; a large
     group gives a spanning forest, grown from one member to all unvisited near ones, so
     that a dense group of ``m`` yields ``m - 1`` links and not ``m * m``.
@@ -141,12 +179,17 @@ def links_in_groups(fps: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np
     ends = np.cumsum(sizes)
     group = np.repeat(np.arange(len(sizes)), sizes)
     left, right = [], []
+
+    def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        hit = near(fps, table, a, b, radius)
+        return hit[sets.alike(a[hit], b[hit])] if sets else hit
+
     small = np.flatnonzero((sizes <= SMALL_GROUP)[group])
     for shift in range(1, min(SMALL_GROUP, int(sizes.max(initial=1)))):
         a = small[small + shift < ends[group[small]]]
         if not len(a):
             break
-        found = a[near(fps, table, a, a + shift, radius)]
+        found = a[linked(a, a + shift)]
         left.append(found)
         right.append(found + shift)
     for g in np.flatnonzero(sizes > SMALL_GROUP):
@@ -157,7 +200,7 @@ def links_in_groups(fps: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np
                 todo.append(int(open_[0]))
                 open_ = open_[1:]
             at = todo.pop()
-            hit = near(fps, table, np.full(len(open_), at), open_, radius)
+            hit = linked(np.full(len(open_), at), open_)
             if len(hit):
                 new = open_[hit]
                 left.append(np.full(len(new), at))
@@ -168,66 +211,96 @@ def links_in_groups(fps: np.ndarray, sizes: np.ndarray, radius: int) -> tuple[np
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def split_groups(rows: DataFrame) -> DataFrame:
-    """``key``, ``node`` and ``fp`` with the keys of large groups replaced, so that no group exceeds about `GROUP_ROWS`.
+def split_groups(rows: DataFrame, weight: Column | None = None, limit: int = GROUP_ROWS) -> DataFrame:
+    """``rows`` with the ``key`` of large groups replaced, so that no group exceeds about ``limit``, counted in rows or by ``weight``.
 
     A large group is dealt into parts of half that size, by the node's hash, and each two
     parts become a group: any two of its rows still meet in one.
     """
-    parts = F.ceil(F.col("count") * 2 / GROUP_ROWS).cast("int").alias("parts")
-    sizes = rows.groupBy("key").count()
-    large = stored(sizes.where(F.col("count") > GROUP_ROWS).select("key", parts), "large-groups")
+    total = F.sum(weight) if weight is not None else F.count(F.lit(1))
+    sizes = rows.groupBy("key").agg(total.alias("total"))
+    parts = F.ceil(F.col("total") * 2 / limit).cast("int").alias("parts")
+    large = stored(sizes.where(F.col("total") > limit).select("key", parts), "large-groups")
     marked = rows.join(large, "key", "left").withColumn(
         "own", F.pmod(F.xxhash64(F.lit(64), "node"), F.col("parts")).cast("int")
     )
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda part: part != F.col("own"))
     met = marked.withColumn("other", F.explode(F.coalesce(others, F.array(F.lit(0)))))
     pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    return met.select(F.when(F.col("parts").isNull(), F.col("key")).otherwise(pair).alias("key"), "node", "fp")
+    key = F.when(F.col("parts").isNull(), F.col("key")).otherwise(pair).alias("key")
+    return met.select(*[key if c == "key" else F.col(c) for c in rows.columns])
 
 
 def near_links(distinct: DataFrame, keys: Column, radius: int) -> DataFrame:
     """Links (``a``, ``b``) between node numbers of distinct fingerprints that share a key and are near.
 
-    ``distinct`` has ``node`` and ``fp``; ``keys`` is an array of blocking keys. Rows are
-    dealt out by key and sorted, so a task holds one run of groups at a time.
+    ``distinct`` has ``node`` and ``fp``; ``keys`` is an array of blocking keys.
     """
     rows = distinct.select("node", "fp", F.explode(keys).alias("key")).select(
         F.xxhash64("key").alias("key"), "node", "fp"
     )
-    dealt = split_groups(rows).repartition("key").sortWithinPartitions("key")
+    return links_by_key(split_groups(rows), radius)
+
+
+def links_by_key(groups: DataFrame, radius: int, similarity: float | None = None) -> DataFrame:
+    """Links between rows of ``groups`` (``key``, ``node``, ``fp`` and, for a similarity, ``shingles``) with one key.
+
+    Rows are dealt out by key and sorted, so a task holds one run of groups at a time.
+    """
+    dealt = groups.repartition("key").sortWithinPartitions("key")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def links(keys_, nodes, fps) -> pa.RecordBatch:
-        cuts = np.flatnonzero(np.diff(keys_)) + 1
-        sizes = np.diff(np.concatenate([[0], cuts, [len(keys_)]]))
-        several = np.repeat(sizes > 1, sizes)
-        a, b = links_in_groups(fps[several], sizes[sizes > 1], radius)
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        keys, nodes = rows.column("key").to_numpy(), rows.column("node").to_numpy()
+        cuts = np.flatnonzero(np.diff(keys)) + 1
+        sizes = np.diff(np.concatenate([[0], cuts, [len(keys)]]))
+        several = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        fps = rows.column("fp").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(keys), -1)[several]
+        sets = None
+        if similarity is not None:
+            held = rows.column("shingles").combine_chunks().take(pa.array(several))
+            ends = np.cumsum(held.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+            sets = Sets(held.flatten().to_numpy(), np.concatenate([[0], ends]).astype(np.int64), similarity)
+        a, b = links_in_groups(fps, sizes[sizes > 1], radius, sets)
         nodes = nodes[several]
         return pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fp = batch.column("fp")
-            now = (
-                batch.column("key").to_numpy(),
-                batch.column("node").to_numpy(),
-                fp.flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1),
-            )
-            held = now if held is None else tuple(np.concatenate(x) for x in zip(held, now, strict=True))
-            last = int(np.searchsorted(held[0], held[0][-1]))  # the last group may go on
-            if last:
-                yield links(*(x[:last] for x in held))
-                held = tuple(x[last:] for x in held)
-        if held is not None:
-            yield links(*held)
+            keys = batch.column("key").to_numpy()
+            last = int(np.searchsorted(keys, keys[-1]))  # the last group may go on
+            if last or (held and held[-1].column("key")[-1].as_py() != keys[0]):
+                yield links(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield links(pa.Table.from_batches(held))
 
     return dealt.mapInArrow(run, "a bigint, b bigint").where("a <> b").distinct()
 
 
+def alike_links(
+    docs: DataFrame, nodes: DataFrame, roots: DataFrame, shingle_words: int, lanes: int, radius: int, similarity: float
+) -> DataFrame:
+    """Links between nodes of one component of ``roots`` whose shingles are alike.
+
+    Only texts of components of several nodes are read again, and each travels once. A
+    component of more than `GROUP_SHINGLES` is split like any large group.
+    """
+    several = nodes.select("fp", "least", "node").join(roots, "node")
+    heads = several.select(F.col("least").alias("head")).distinct()
+    texts = id_and_text(docs).join(heads, F.col("doc_id").eqNullSafe(F.col("head")), "left_semi")
+    # Other texts may have the same id: the fingerprint tells which is meant.
+    made = fingerprints(texts, shingle_words, lanes, shingles=True).groupBy("fp").agg(F.min("shingles").alias("shingles"))
+    rows = several.select("fp", "node", F.col("root").alias("key")).join(made, "fp")
+    held = stored(rows.select("key", "node", "fp", "shingles"), "shingles")
+    weight = F.greatest(F.size("shingles"), F.lit(1))
+    return links_by_key(split_groups(held, weight, GROUP_SHINGLES), radius, similarity)
+
+
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     """``node`` and ``root``, the smallest node it is connected with, of all nodes that have links.
 
@@ -263,11 +336,13 @@ def near_groups(
     shingle_words: int = 4,
     radius: int = 4,
     lanes: int = 1,
+    similarity: float | None = None,
 ) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id``, the smallest id reachable over links of at most ``radius`` bits.
 
     With one lane the links are complete; with more, blocks come from shared shingles
-    (see above), and ``radius`` counts bits of all lanes.
+    (see above), and ``radius`` counts bits of all lanes. With ``similarity`` a link also needs
+    so large a share of shingles (each counted once) in both texts; take a radius that such pairs keep.
     """
     by_anchor = lanes > 1
     rows = stored(fingerprints(docs, shingle_words, lanes, by_anchor), "fingerprints")
@@ -279,6 +354,8 @@ def near_groups(
     nodes = stored(held.withColumn("node", number), "nodes")
     keys = F.col("anchors") if by_anchor else F.array(*block_keys(radius))
     roots = components(near_links(nodes, keys, radius))
+    if similarity is not None:
+        roots = components(alike_links(docs, nodes, roots, shingle_words, lanes, radius, similarity))
     placed = nodes.select("fp", "least", "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
@@ -287,10 +364,12 @@ def near_groups(
     return rows.select("doc_id", "fp").join(member, "fp").select("doc_id", "fp", "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, shingle_words: int, radius: int, lanes: int) -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, shingle_words: int, radius: int, lanes: int, similarity: float | None = None
+) -> DataFrame:
     """All columns of one document of each group: that with the smallest id, of equal ids that with the smallest
     row key, of equal rows one. Rows without an id stay only if no other of their group has one."""
-    groups = near_groups(docs, shingle_words, radius, lanes)
+    groups = near_groups(docs, shingle_words, radius, lanes, similarity)
     named = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"))
     # Rows whose id is its component's; which of several rows with that id is settled below.
     heads = groups.select("doc_id", "component_id").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).distinct()
