@@ -315,6 +315,25 @@ def test_pipeline_near_dedup_by_similarity(spark, documents):
     assert out.columns == odd.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 3, 4]
 
 
+def test_pipeline_near_dedup_tells_rows_of_one_id_apart(documents):
+    draw = random.Random(23)
+    words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "xyzuvw" for c in "klmn"]
+    groups = {name: near_copies(draw, 4, 300, words) for name in "abcdefg"}
+    a, b, c, d, e, f, g = groups.values()
+    assert all(jaccard(x, y) >= 0.8 for group in groups.values() for x in group for y in group)
+    rows = [
+        (1, a[0]), (5, a[1]), (5, b[0]),  # one id in two groups
+        (None, a[2]), (None, a[3]), (6, c[0]), (None, c[1]),  # without id, near to rows with one
+        (None, d[0]), (None, d[1]), (None, d[2]), (None, e[0]), (None, e[1]),  # groups without any id
+        (7, f[0]), (7, f[1]), (7, f[2]), (None, g[0]), (None, g[0]), (8, b[1]), (8, b[1]),  # near copies and equal rows of one id
+    ]
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(None, documents(rows), "").collect()]
+    of = {t: name for name, group in groups.items() for t in group}
+    assert sorted(of[t] for _, t in kept) == list("abcdefg")
+    assert {(1, a[0]), (5, b[0]), (6, c[0]), (None, g[0])} <= set(kept) <= set(rows)
+    assert {(i, of[t]) for i, t in kept} >= {(None, "d"), (None, "e"), (7, "f")}
+
+
 def test_similar_groups_are_exact(documents, monkeypatch):
     draw = random.Random(19)
     words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "xyzuvw" for c in "klmn"]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import id_and_text, stored
+from tidewatch.llm.common import id_and_text, keyed, same_row, stored
 from tidewatch.llm.words import mixed
 
 ANCHORS = 8
@@ -75,15 +75,21 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
 
 
 def fingerprints(
-    docs: DataFrame, shingle_words: int = 4, lanes: int = 1, anchors: bool = False, shingles: bool = False
+    docs: DataFrame,
+    shingle_words: int = 4,
+    lanes: int = 1,
+    anchors: bool = False,
+    shingles: bool = False,
+    row_keys: bool = False,
 ) -> DataFrame:
-    """``doc_id``, ``fp`` (array of 64-bit lanes) and, if asked for, ``anchors`` and ``shingles`` of each row.
+    """``doc_id``, ``fp`` (array of 64-bit lanes) and, if asked for, ``row_key``, ``anchors`` and ``shingles`` of each row.
 
     With one lane repeated shingles count as often as they occur; with more, fingerprints are of
     the set of shingles, whose similarity they are to estimate.
     """
     lists = ["fp", *["anchors"] * anchors, *["shingles"] * shingles]
-    out = pa.schema([("doc_id", pa.int64()), *[(name, pa.list_(pa.int64())) for name in lists]])
+    own = ["doc_id", *["row_key"] * row_keys]
+    out = pa.schema([*[(name, pa.int64()) for name in own], *[(name, pa.list_(pa.int64())) for name in lists]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,10 +106,10 @@ def fingerprints(
                 if shingles:
                     made["shingles"].append(np.sort(np.unique(h).view(np.int64)))
             columns = [pa.array(made[name], pa.list_(pa.int64())) for name in lists]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], schema=out)
+            yield pa.RecordBatch.from_arrays([*[batch.column(name) for name in own], *columns], schema=out)
 
-    kind = ", ".join(["doc_id bigint", *[f"{name} array<bigint>" for name in lists]])
-    return id_and_text(docs).mapInArrow(run, kind)
+    kind = ", ".join([*[f"{name} bigint" for name in own], *[f"{name} array<bigint>" for name in lists]])
+    return (keyed(docs) if row_keys else id_and_text(docs)).mapInArrow(run, kind)
 
 
 def block_keys(radius: int) -> list[Column]:
@@ -287,13 +293,14 @@ def alike_links(
 ) -> DataFrame:
     """Links between nodes of one component of ``roots`` whose shingles are alike.
 
+    ``least`` of ``nodes`` tells a row by its id and row key, so that equal or null ids do not bring other texts.
+
     Only texts of components of several nodes are read again, and each travels once. A
     component of more than `GROUP_SHINGLES` is split like any large group.
     """
     several = nodes.select("fp", "least", "node").join(roots, "node")
-    heads = several.select(F.col("least").alias("head")).distinct()
-    texts = id_and_text(docs).join(heads, F.col("doc_id").eqNullSafe(F.col("head")), "left_semi")
-    # Other texts may have the same id: the fingerprint tells which is meant.
+    rows, heads = keyed(docs), several.select("least.doc_id", "least.row_key")
+    texts = rows.join(heads, same_row(rows, heads), "left_semi")
     made = fingerprints(texts, shingle_words, lanes, shingles=True).groupBy("fp").agg(F.min("shingles").alias("shingles"))
     rows = several.select("fp", "node", F.col("root").alias("key")).join(made, "fp")
     held = stored(rows.select("key", "node", "fp", "shingles"), "shingles")
@@ -331,24 +338,20 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots).distinct()
 
 
-def near_groups(
-    docs: DataFrame,
-    shingle_words: int = 4,
-    radius: int = 4,
-    lanes: int = 1,
-    similarity: float | None = None,
-) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id``, the smallest id reachable over links of at most ``radius`` bits.
+def grouped(
+    docs: DataFrame, shingle_words: int, radius: int, lanes: int, similarity: float | None, by_row: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and for each distinct ``fp`` the ``head`` of its component.
 
-    With one lane the links are complete; with more, blocks come from shared shingles
-    (see above), and ``radius`` counts bits of all lanes. With ``similarity`` a link also needs
-    so large a share of shingles (each counted once) in both texts; take a radius that such pairs keep.
+    The head is the smallest id; with ``by_row`` (needed for a similarity) it is the row with the smallest id and,
+    of equal ids, the smallest row key: a struct of ``doc_id`` and ``row_key`` behind a flag that puts null ids last.
     """
     by_anchor = lanes > 1
-    rows = stored(fingerprints(docs, shingle_words, lanes, by_anchor), "fingerprints")
+    rows = stored(fingerprints(docs, shingle_words, lanes, by_anchor, row_keys=by_row), "fingerprints")
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key") if by_row else F.col("doc_id")
     # Texts with one fingerprint are one node, with the anchors of them all.
     union = F.array_distinct(F.flatten(F.collect_set("anchors")))
-    held = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), *([union.alias("anchors")] * by_anchor))
+    held = rows.groupBy("fp").agg(F.min(own).alias("least"), *([union.alias("anchors")] * by_anchor))
     # A node is numbered by its fingerprint: equal texts, whatever their ids, are one node.
     number = F.xxhash64("fp") if by_anchor else F.col("fp")[0]
     nodes = stored(held.withColumn("node", number), "nodes")
@@ -359,8 +362,26 @@ def near_groups(
     placed = nodes.select("fp", "least", "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = placed.join(least, "root").select("fp", "component_id")
+    least = placed.groupBy("root").agg(F.min("least").alias("head"))
+    return rows, placed.join(least, "root").select("fp", "head")
+
+
+def near_groups(
+    docs: DataFrame,
+    shingle_words: int = 4,
+    radius: int = 4,
+    lanes: int = 1,
+    similarity: float | None = None,
+) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id``, the smallest id reachable over links of at most ``radius`` bits.
+
+    With one lane the links are complete; with more, blocks come from shared shingles
+    (see above), and ``radius`` counts bits of all lanes. With ``similarity`` a link also needs
+    so large a share of shingles (each counted once) in both texts; take a radius that such pairs keep.
+    """
+    by_row = similarity is not None
+    rows, heads = grouped(docs, shingle_words, radius, lanes, similarity, by_row)
+    member = heads.select("fp", F.col("head.doc_id" if by_row else "head").alias("component_id"))
     return rows.select("doc_id", "fp").join(member, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -368,14 +389,14 @@ def without_near_duplicates(
     docs: DataFrame, shingle_words: int, radius: int, lanes: int, similarity: float | None = None
 ) -> DataFrame:
     """All columns of one document of each group: that with the smallest id, of equal ids that with the smallest
-    row key, of equal rows one. Rows without an id stay only if no other of their group has one."""
-    groups = near_groups(docs, shingle_words, radius, lanes, similarity)
-    named = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"))
-    # Rows whose id is its component's; which of several rows with that id is settled below.
-    heads = groups.select("doc_id", "component_id").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).distinct()
-    kept = named.join(heads.select(F.col("doc_id").alias("head")), F.col("doc_id").eqNullSafe(F.col("head")), "left_semi")
-    key = F.xxhash64(F.col("doc_id"), F.col("doc.text").cast("string"))
-    return kept.withColumn("row_key", key).dropDuplicates(["doc_id", "row_key"]).select("doc.*")
+    row key, of equal rows one. A row without an id stays only if no other of its group has one."""
+    _, heads = grouped(docs, shingle_words, radius, lanes, similarity, by_row=True)
+    first = heads.select("head.doc_id", "head.row_key").distinct()
+    whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"))
+    # An id may stand in several groups: only its row key tells which row is the head of which.
+    named = whole.withColumn("row_key", F.xxhash64(F.col("doc_id"), F.col("doc.text").cast("string")))
+    kept = named.join(first, same_row(named, first), "left_semi")
+    return kept.dropDuplicates(["doc_id", "row_key"]).select("doc.*")
 
 
 def hex_fingerprint() -> Column:
