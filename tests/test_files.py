@@ -1,3 +1,4 @@
+import bz2
 import datetime
 import gzip
 import json
@@ -229,3 +230,25 @@ def test_granule_report_and_spoiled_objects(spark, tmp_path):
     (tmp_path / "a/20200101000000.gkg.csv").write_text("a\tb\n" + "\t" * 40 + "\nc\n")
     lines = sources.granule_report(spark, f"{tmp_path}/a", feed="articles").first()
     assert tuple(lines)[1:] == (2, 1, True)
+
+
+def test_cut_off_granules_give_what_the_report_counts(spark, tmp_path):
+    letters = lambda i: "".join(chr(97 + (i * 31 + k * k) % 26) for k in range(99))
+    records = [json.dumps(embedding(f"u{i}", "20200101000000", title=letters(i))) for i in range(2000)]
+    joined, lined = (gzip.compress(sep.join(records).encode()) for sep in ("", "\n"))
+    broken = bytearray(joined)
+    broken[len(broken) * 2 // 3] ^= 255
+    bodies = {"00": joined[: len(joined) // 2], "15": lined[: len(lined) // 2], "30": joined, "45": bytes(broken)}
+    for minute, body in bodies.items():
+        (tmp_path / f"2020010100{minute}00.json.gz").write_bytes(body)
+    (tmp_path / "20200101010000.json").write_text("".join(records[:7]) + "[1, 2]")
+    (tmp_path / "20200101011500.json.bz2").write_bytes(bz2.compress(" ".join(records[:5]).encode()))
+    report = {r["granule"]: r["read"] for r in sources.granule_report(spark, f"{tmp_path}/*[z0].*[gn]*").collect()}
+    report["20200101011500"] = 5  # the report inflates gzip only
+    for layout in ("auto", "concatenated"):
+        rows = sources.read_article_embeddings(spark, str(tmp_path), layout=layout)
+        assert {r["granule"]: r["count"] for r in rows.groupBy("granule").count().collect()} == report
+        assert rows.where("url = 'u3'").count() == 6
+        with pytest.raises(Exception, match="ends early|CRC|stream"):
+            sources.read_article_embeddings(spark, str(tmp_path), layout=layout, tolerant=False).collect()
+    assert all(report[f"2020010100{minute}00"] > 400 for minute in bodies) and report["20200101003000"] == 2000

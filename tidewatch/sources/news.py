@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.dates import parse_iso
@@ -23,6 +24,12 @@ TOLERANT = {"ignoreMissingFiles": "true", "ignoreCorruptFiles": "true"}
 
 #: An object begins behind the end of another, or on a line of its own.
 _NEXT_OBJECT = re.compile(r"[}\n]\s*\{")
+_TWO_OBJECTS = re.compile(r"\}\s*\{")
+
+#: Files that only Spark inflates. Gzip and plain files are read as bytes.
+_OTHER_CODECS = r"\.(bz2|deflate|lz4|snappy|zst|zstd)$"
+#: Compressed bytes that are inflated at a time.
+_PIECE = 1 << 16
 
 
 def _options(tolerant: bool) -> dict[str, str]:
@@ -73,36 +80,94 @@ def drop_unused(df: DataFrame, keep_all: bool = False) -> DataFrame:
     return df.drop(*[c for c in ARTICLE_COLUMNS if c not in ARTICLE_KEPT])
 
 
-def _one_object_lines(text: Column) -> Column:
-    """True for a blank line, or one that can only be a single whole object."""
-    stripped = F.trim(text)
-    whole = stripped.startswith("{") & stripped.endswith("}") & ~stripped.rlike(r"\}\s*\{")
-    return whole | (stripped == "")
+def _inflated(data: bytes) -> tuple[bytes, bool]:
+    """What a gzip file holds up to where it ends or breaks, and whether it ended."""
+    out, at, ended = [], 0, True
+    part = zlib.decompressobj(wbits=31)
+    while at < len(data):
+        piece, before = data[at : at + _PIECE], part.copy()
+        try:
+            out.append(part.decompress(piece))
+        except zlib.error:
+            # Again, up to the byte at which it breaks.
+            try:
+                for i in range(len(piece)):
+                    out.append(before.decompress(piece[i : i + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), False
+        at += len(piece) - len(part.unused_data)
+        ended = part.eof
+        if ended:
+            part = zlib.decompressobj(wbits=31)
+    return b"".join(out), ended
+
+
+def _text(content: bytes) -> tuple[str, bool]:
+    """The text of a file's bytes, as far as it can be read, and whether that is all of it."""
+    data, complete = bytes(content), True
+    if data[:2] == b"\x1f\x8b":
+        data, complete = _inflated(data)
+    return data.decode("utf-8", "ignore"), complete
+
+
+def _one_object_lines(text: str) -> bool:
+    """True if each line is blank or can only be a single whole object."""
+    lines = (line.strip() for line in text.split("\n"))
+    return all(not x or (x[0] == "{" and x[-1] == "}" and not _TWO_OBJECTS.search(x)) for x in lines)
 
 
-def _decode_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Objects written back to back in one file's text, whatever lies between them."""
+def _objects(text: str) -> Iterator[dict | None]:
+    """Objects written back to back, whatever lies between them; None for each place where one cannot be read."""
+    decoder, at, end = json.JSONDecoder(), 0, len(text)
+    while True:
+        while at < end and text[at].isspace():
+            at += 1
+        if at >= end:
+            return
+        try:
+            record, at = decoder.raw_decode(text, at)
+            yield record if isinstance(record, dict) else None
+        except ValueError:
+            # Spoiled or cut off: on to where the next object begins.
+            yield None
+            following = _NEXT_OBJECT.search(text, at + 1)
+            if following is None:
+                return
+            at = following.end() - 1
+
+
+def _decoded(text: str, granule: str) -> pd.DataFrame:
     names = EMBEDDING_SCHEMA.fieldNames()
-    decoder = json.JSONDecoder()
+    rows = [[record.get(n) for n in names] + [granule] for record in _objects(text) if record is not None]
+    return pd.DataFrame(rows, columns=[*names, "granule"])
+
+
+def _decode_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for text, granule in zip(batch["value"], batch["granule"]):
-            rows, at, end = [], 0, len(text)
-            while True:
-                while at < end and text[at].isspace():
-                    at += 1
-                if at >= end:
-                    break
-                try:
-                    record, at = decoder.raw_decode(text, at)
-                except ValueError:
-                    # Spoiled or cut off: on to where the next object begins.
-                    following = _NEXT_OBJECT.search(text, at + 1)
-                    if following is None:
-                        break
-                    at = following.end() - 1
-                    continue
-                rows.append([record.get(n) for n in names] + [granule])
-            yield pd.DataFrame(rows, columns=[*names, "granule"])
+            yield _decoded(text, granule)
+
+
+def _decode_files(tolerant: bool, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for content, granule in zip(batch["content"], batch["granule"]):
+            text, complete = _text(content)
+            if not (complete or tolerant):
+                raise ValueError(f"granule {granule} ends early or is broken")
+            yield _decoded(text, granule)
+
+
+def _odd_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Names of files that the line reader would not give in full."""
+    for batch in batches:
+        odd = []
+        for content, file in zip(batch["content"], batch["file"]):
+            text, complete = _text(content)
+            as_named = file.endswith(".gz") == (bytes(content[:2]) == b"\x1f\x8b")
+            if text and not (complete and as_named and _one_object_lines(text)):
+                odd.append(file)
+        yield pd.DataFrame({"file": odd}, dtype=object)
 
 
 def read_article_embeddings(
@@ -116,10 +181,12 @@ def read_article_embeddings(
 ) -> DataFrame:
     """Gzip JSON article embeddings.
 
-    ``layout="lines"`` reads one object per line inside the JVM. ``"concatenated"``
+    ``layout="lines"`` reads one object per line inside the JVM; of a file that ends
+    early it may miss the last lines before the cut. ``"concatenated"``
     decodes whole files, objects back to back or over several lines, in Python
-    workers, one file at a time. ``"auto"`` first finds the files that are not one
-    object per line and reads only those the slow way; their names, a subset of the
+    workers, one file at a time, and of a file that ends early all that can be inflated,
+    as `granule_report` counts it. ``"auto"`` first finds the files that are not one
+    object per line or not whole and reads only those the slow way; their names, a subset of the
     file list the driver holds for any read, are all that comes back from that
     pass. It reads the feed once more, so name the layout when it is known.
     """
@@ -137,19 +204,33 @@ def read_article_embeddings(
             rows = rows.join(skipped, "_file", "left_anti")
         return rows.drop("_file")
 
+    other = F.col("_metadata.file_path").rlike(_OTHER_CODECS)
+
+    def contents(paths: str | list[str]) -> DataFrame:
+        return _sampled(spark.read.format("binaryFile").options(**options).load(paths), p, seed).where(~other)
+
     def by_file(paths: str | list[str]) -> DataFrame:
-        texts = _sampled(spark.read.options(**options).text(paths, wholetext=True), p, seed).select("value", stamp)
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EMBEDDING_SCHEMA) + ", granule string"
-        return texts.mapInPandas(_decode_all, schema)
+        texts = _sampled(spark.read.options(**options).text(paths, wholetext=True), p, seed).where(other)
+        files = contents(paths).select("content", stamp)
+        decoded = files.mapInPandas(functools.partial(_decode_files, tolerant), schema)
+        return decoded.unionByName(texts.select("value", stamp).mapInPandas(_decode_texts, schema))
+
+    def odd_files() -> list[str]:
+        file = F.col("_metadata.file_path").alias("file")
+        names = contents(path).select("content", file).mapInPandas(_odd_files, "file string")
+        lines = _sampled(spark.read.options(**options).text(path), p, seed).where(other).select("value", file)
+        stripped = F.trim("value")
+        whole = stripped.startswith("{") & stripped.endswith("}") & ~stripped.rlike(_TWO_OBJECTS.pattern)
+        rest = lines.where(~whole & (stripped != "")).select("file").distinct()
+        return [r["file"] for r in names.unionByName(rest).collect()]
 
     if layout == "lines":
         rows = by_line(path)
     elif layout == "concatenated":
         rows = by_file(path)
     elif layout == "auto":
-        lines = _sampled(spark.read.options(**options).text(path), p, seed).select("value", F.col("_metadata.file_path").alias("file"))
-        odd_lines = lines.where(~_one_object_lines(F.col("value")))
-        odd = [r["file"] for r in odd_lines.select("file").distinct().collect()]
+        odd = odd_files()
         rows = by_line(path, odd).unionByName(by_file(odd)) if odd else by_line(path)
     else:
         raise ValueError("layout must be 'auto', 'lines' or 'concatenated'")
@@ -164,19 +245,8 @@ def missing_granules(expected: DataFrame, read: DataFrame, granule: str = "granu
 
 def _count_embeddings(text: str) -> tuple[int, int]:
     """Objects that can be read, and places where one cannot."""
-    decoder, at, read, rejected = json.JSONDecoder(), 0, 0, 0
-    while at < len(text):
-        if text[at].isspace():
-            at += 1
-            continue
-        try:
-            _, at = decoder.raw_decode(text, at)
-            read += 1
-        except ValueError:
-            rejected += 1
-            following = _NEXT_OBJECT.search(text, at + 1)
-            at = len(text) if following is None else following.end() - 1
-    return read, rejected
+    found = [record is not None for record in _objects(text)]
+    return sum(found), len(found) - sum(found)
 
 
 def _count_articles(text: str) -> tuple[int, int]:
@@ -199,28 +269,11 @@ def granule_report(spark: SparkSession, path: str | list[str], feed: str = "embe
         for batch in batches:
             rows = []
             for content, granule in zip(batch["content"], batch["granule"]):
-                data, complete = bytes(content), True
-                if data[:2] == b"\x1f\x8b":
-                    data, complete = _inflated(data)
-                rows.append([granule, *count(data.decode("utf-8", "ignore")), complete])
+                text, complete = _text(content)
+                rows.append([granule, *count(text), complete])
             yield pd.DataFrame(rows, columns=["granule", "read", "rejected", "complete"])
 
     files = spark.read.format("binaryFile").load(path)
     return files.select("content", feed_stamp(F.col("path")).alias("granule")).mapInPandas(
         run, "granule string, read bigint, rejected bigint, complete boolean"
     )
-
-
-def _inflated(data: bytes) -> tuple[bytes, bool]:
-    """What a gzip file holds up to where it ends or breaks, and whether it ended."""
-    out = []
-    while data:
-        part = zlib.decompressobj(wbits=31)
-        try:
-            out.append(part.decompress(data))
-        except zlib.error:
-            return b"".join(out), False
-        if not part.eof:
-            return b"".join(out), False
-        data = part.unused_data
-    return b"".join(out), True
