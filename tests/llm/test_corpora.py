@@ -334,6 +334,26 @@ def test_pipeline_near_dedup_tells_rows_of_one_id_apart(documents):
     assert {(i, of[t]) for i, t in kept} >= {(None, "d"), (None, "e"), (7, "f")}
 
 
+def far_pair(draw, small, large):
+    """Texts of 0.8 of their shingles in common whose fingerprints are more than 64 of 256 bits apart."""
+    cut = lambda t: np.unique(simhash.shingle_hashes(t, 5))
+    while True:
+        text = [f"w{draw.randrange(10**9)}" for _ in range(large + 4)]
+        a, b = " ".join(text[: small + 4]), " ".join(text)
+        apart = np.bitwise_count(simhash.fingerprint(cut(a), 4) ^ simhash.fingerprint(cut(b), 4)).sum()
+        if apart > 64:
+            return a, b
+
+
+@pytest.mark.parametrize("small, large", [(4, 5), (12, 15)])
+def test_pipeline_near_dedup_of_short_texts(documents, small, large):
+    draw = random.Random(31)
+    a, b = far_pair(draw, small, large)
+    assert jaccard(a, b) == small / large
+    kept = corpus_pipeline.near_dedup(None, documents([(1, a), (2, b), (3, "another text")]), "").collect()
+    assert {r["doc_id"] for r in kept} == {1, 3}
+
+
 def test_similar_groups_are_exact(documents, monkeypatch):
     draw = random.Random(19)
     words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "xyzuvw" for c in "klmn"]
