@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tidewatch.catalog import QUERIES
 from tidewatch.operators import models
 from tidewatch.plans import forecast_scores
 
@@ -118,3 +119,17 @@ def test_with_context(spark):
         "a": (1.5, 1, 0),
         "z": (None, None, None),
     }
+
+
+@pytest.mark.parametrize("name", ["boosted_predictions", "ensemble_predictions", "spike_predictions"])
+def test_registered_models_boost_as_the_operator_does(spark, monkeypatch, name):
+    class Asked(Exception):
+        pass
+
+    def asked(maxIter, stepSize, **_):  # noqa: N803
+        raise Asked(maxIter, stepSize)
+
+    monkeypatch.setattr(models, "GBTClassifier", asked)
+    with pytest.raises(Asked) as found:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert found.value.args == (200, 0.01)

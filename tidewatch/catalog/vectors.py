@@ -267,7 +267,7 @@ def pca_80(spark: SparkSession, sf: str) -> DataFrame:
 @query(_FACTS, flags=("sound", "learned"))
 def boosted_predictions(spark: SparkSession, sf: str) -> DataFrame:
     train, test = (models.as_vector(d, "embedding") for d in _split(spark, sf))
-    scored = models.boosted_classifier(train, test, "y", "features", rounds=20, rate=0.1, depth=3)
+    scored = models.boosted_classifier(train, test, "y", "features")
     return _facts(scored.withColumn("probability", F.get("probabilities", F.lit(1))))
 
 
@@ -286,7 +286,7 @@ def ensemble_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """
     longer = F.concat("embedding", F.array_repeat(F.get("embedding", F.lit(0)), 16))
     train, test = (d.withColumn("embedding", longer) for d in _split(spark, sf))
-    return _facts(models.train_and_predict(train, test, "embedding", "y", "vec_id", "kind", rounds=20, rate=0.1, depth=3))
+    return _facts(models.train_and_predict(train, test, "embedding", "y", "vec_id", "kind"))
 
 
 _DATASET = f"""WITH {tables.JOINED}, {tables.LABELLED},
@@ -308,7 +308,7 @@ def spike_predictions(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "spike-predictions")
     means = country_month_means(tables.joined_articles(spark, sf))
     dataset = plans.spike_dataset(means, tables.labels_by_code(spark, sf), ["2020-10"])
-    plans.predict_spikes(dataset, path, rounds=10, rate=0.1, depth=2)
+    plans.predict_spikes(dataset, path)
     made = read_many(spark, f"{path}/*.csv", PREDICTION_SCHEMA)
     p = F.col("probabilities")
     sound = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("int"))
