@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidewatch.catalog import QUERIES
+from tidewatch.catalog import QUERIES, vectors
 from tidewatch.operators import models
 from tidewatch.plans import forecast_scores
 
@@ -133,3 +133,11 @@ def test_registered_models_boost_as_the_operator_does(spark, monkeypatch, name):
     with pytest.raises(Asked) as found:
         QUERIES[name](spark, "/root/testdata/sf0.001")
     assert found.value.args == (200, 0.01)
+
+
+def test_forecast_scores_takes_the_whole_panel(spark, monkeypatch):
+    rows = [(c, datetime.date(1998 + i // 12, i % 12 + 1, 1), float(i % 4), float(i % 3)) for c in ("KENYA", "CHINA", "PERU") for i in range(30)]
+    panel = spark.createDataFrame(rows, "country string, month date, fatalities double, others double")
+    monkeypatch.setattr(vectors, "_counts", lambda spark, sf: panel)
+    got = QUERIES["forecast_scores"](spark, "").first()
+    assert (got["series"], got["skipped"]) == (3, 0)

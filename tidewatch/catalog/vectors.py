@@ -366,7 +366,6 @@ SELECT count(*) AS series, count(*) FILTER (WHERE n < 9) AS skipped, true AS sco
     flags=("scored",),
 )
 def forecast_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Countries with names of five letters have too few months to be forecast."""
-    panel = _counts(spark, sf).where("length(country) <> 5 OR month >= '2001-02-01'")
-    scores = plans.forecast_scores(panel, "fatalities", ["others"])
+    """Every country of the panel, with all of its months."""
+    scores = plans.forecast_scores(_counts(spark, sf), "fatalities", ["others"])
     return scores.select("series", "skipped", (F.col("mean_mae") >= 0).alias("scored"))
