@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tidewatch.llm import (
     language,
     lines,
     mixing,
+    pieces,
     quality,
     secrets,
     simhash,
@@ -202,3 +204,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and components of near-duplicates."""
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query()
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of each text, and the text decoded from them."""
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.round_trips(table(spark, sf_dir, "documents"), model)
