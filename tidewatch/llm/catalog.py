@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
+    collocations,
+    conversations,
     decontamination,
     fingerprints,
     language,
@@ -206,6 +208,131 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+_OP11_PIECES = rf"regexp_split_to_array(coalesce({_LOWERED}, ''), '[.,;:!?\x0A-\x0D]')"
+
+
+@query(
+    rf"""
+    WITH piece AS (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_OP11_PIECES}) AS piece FROM documents)
+    ),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+    grams AS (
+        SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM piece, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)
+    ),
+    f AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+    cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+        FROM (SELECT lang, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m > 1)
+    ),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, CAST(2000000::HUGEINT * c.a // (l.a + r.a) AS BIGINT) AS score
+        FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = x JOIN f r ON r.lang = c.lang AND r.phrase = y
+    ),
+    weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (
+        SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+        FROM (
+            SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS i
+            FROM (SELECT lang, a, string_split(phrase, ' ') AS w FROM f WHERE m > 2), (SELECT unnest([2, 3]) AS m) WHERE len(w) > m
+        ) GROUP BY ALL
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score
+    FROM (
+        SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM weakest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+    ) JOIN totals USING (lang) WHERE rank <= 2000
+    """
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words stand together most."""
+    return collocations.best_collocations(table(spark, sf_dir, "documents"))
+
+
+_CRC = """
+    xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split({key}, ''),
+        lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END), 4294967295::BIGINT)
+"""
+_KEY = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+_TRIMMED = r"rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
+@query(
+    rf"""
+    WITH RECURSIVE read AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC.format(key=_KEY)} % 20 AS kind
+        FROM conversations
+    ),
+    left_over AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+        FROM read WHERE kind <> 0
+    ),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+        FROM left_over
+    ),
+    judged AS (
+        SELECT conv_id, i, turn, role, text, left(role, 1) AS r,
+            lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+            CASE WHEN {_TRIMMED} = '' THEN 1 WHEN nth > 1 THEN 2
+                WHEN right({_TRIMMED}, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+        FROM placed
+    ),
+    inserted AS (
+        SELECT * FROM (VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+            (0, 2, 5, 'I', ['user:']), (1, 2, 5, 'I', ['user:']), (2, 3, 5, 'I', ['assistant:']), (3, 2, 5, 'I', ['user:']),
+            (0, 3, 10, 'II', ['user:', 'assistant:']), (1, 3, 10, 'II', ['user:', 'assistant:'])) AS t(q, st, paid, done, lines)
+    ),
+    moves AS (SELECT * FROM (VALUES (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS t(st, r, then_st)),
+    edits AS (
+        SELECT st, st AS then_st, 'D' AS edit, CAST(NULL AS VARCHAR) AS r, CAST(NULL AS VARCHAR) AS name FROM moves
+        UNION ALL SELECT st, then_st, 'K', r, NULL FROM moves
+        UNION ALL SELECT 0, 1, 'K', 's', NULL
+        UNION ALL SELECT st, then_st, 'R', NULL, CASE r WHEN 'u' THEN 'user' ELSE 'assistant' END FROM moves
+    ),
+    best AS (
+        SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM conversations
+        UNION ALL
+        SELECT conv_id, i, q, CAST(left(min(rank), 12) AS INT), substr(min(rank), 13), arg_min(lines, rank)
+        FROM (
+            SELECT b.conv_id, j.i, e.then_st AS q,
+                lpad(CAST(b.cost + n.paid + CASE e.edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+                    + CASE WHEN j.fault = 3 AND e.edit <> 'D' THEN 5 ELSE 0 END AS VARCHAR), 12, '0') || b.audit || n.done || e.edit AS rank,
+                b.lines || n.lines || CASE WHEN e.edit = 'D' THEN [] ELSE [coalesce(e.name, j.role) || ':' || j.text] END AS lines
+            FROM best b JOIN judged j ON b.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = b.i + 1
+                JOIN inserted n ON n.q = b.q
+                JOIN edits e ON e.st = n.st AND (e.edit = 'D' OR j.fault NOT IN (1, 2)) AND (e.r IS NULL OR e.r = j.r)
+        )
+        GROUP BY conv_id, i, q
+    ),
+    facts AS (
+        SELECT conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+            count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN judged USING (conv_id) GROUP BY conv_id
+    ),
+    ended AS (
+        SELECT b.conv_id, min(lpad(CAST(b.cost + n.paid AS VARCHAR), 12, '0') || b.audit || n.done) AS rank,
+            arg_min(b.lines || n.lines, lpad(CAST(b.cost + n.paid AS VARCHAR), 12, '0') || b.audit || n.done) AS lines
+        FROM best b JOIN facts f ON b.conv_id IS NOT DISTINCT FROM f.conv_id AND b.i = f.n JOIN inserted n ON n.q = b.q
+        WHERE n.st IN (0, 3) GROUP BY b.conv_id
+    )
+    SELECT f.conv_id, gaps, blank, duplicate, truncated, illegal, CAST(left(rank, 12) AS BIGINT) AS cost, substr(rank, 13) AS audit,
+        sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+    FROM facts f JOIN ended e ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+    """
+)
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults and cheapest repairs."""
+    return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the pieces of each text, and the text decoded from them."""
