@@ -39,7 +39,9 @@ from tidewatch.llm.words import LOWER, Words, byte_class, mixed, words_of
 SUPPORT, LONGEST, COVERED, BEST = 30, 4, 80, 2000
 #: Share of documents in the sample, what of the support is asked of it, and its seed. They change the work only.
 SHARE, LOWERED, SEED = 1 / 16, 0.75, 11
-MOST_BITS, GATHERED = 1 << 28, 3_000_000
+MOST_BITS, GATHERED = 1 << 28, 1_000_000
+#: Bytes of text whose words are found at a time; one text is never cut.
+RUN_BYTES = 1 << 20
 
 _CUTS = frozenset(b".,;:!?\n\x0b\x0c\r")
 _INSIDE = byte_class(lambda b: b not in _CUTS and b not in b" \t")
@@ -167,7 +169,7 @@ def _lang_hashes(batch: pa.RecordBatch) -> np.ndarray:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words, Phrases]]:
     for batch in batches:
         langs = _lang_hashes(batch)
-        for words in words_of(batch.column("text"), _INSIDE, lower=True):
+        for words in words_of(batch.column("text"), _INSIDE, lower=True, chunk_bytes=RUN_BYTES):
             yield batch, words, Phrases(words, langs[words.rows])
 
 
@@ -189,8 +191,9 @@ def _counted(texts: DataFrame, longest: int, proposed, before) -> DataFrame:
                 seconds.append(second)
                 held += len(first)
             if held > GATHERED:
-                yield _added(np.concatenate(firsts), np.concatenate(seconds))
+                first, second = np.concatenate(firsts), np.concatenate(seconds)
                 firsts, seconds, held = [], [], 0
+                yield _added(first, second)
         if held:
             yield _added(np.concatenate(firsts), np.concatenate(seconds))
 
