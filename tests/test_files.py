@@ -61,8 +61,11 @@ def test_embeddings_in_every_layout(spark, tmp_path):
         with gzip.open(tmp_path / f"{stamp}.docembed.json.gz", "wt") as f:
             f.write(body)
     auto = sources.read_article_embeddings(spark, str(tmp_path))
-    whole = sources.read_article_embeddings(spark, str(tmp_path), layout="concatenated")
-    for read in (auto, whole):
+    granules, counts = sources.landed(
+        sources.read_granules(spark, str(tmp_path), datetime.date(2020, 1, 1), datetime.date(2020, 1, 2), per_task=12), f"{tmp_path.name}"
+    )
+    assert {r["granule"]: (r["found"], r["read"]) for r in counts.collect() if r["found"]} == dict(zip(stamps, [(True, 2), (True, 2), (True, 2), (True, 0)]))
+    for read in (auto, sources.typed_embeddings(granules)):
         rows = {r["url"]: r for r in read.collect()}
         assert set(rows) == {f"u{i}" for i in range(6)}
         assert rows["u3"]["date"] == datetime.datetime(2020, 1, 1, 0, 45)
@@ -98,6 +101,7 @@ def write_day(folder, day, urls):
 
 def ingest(spark, folder, start, days, **options):
     start = datetime.date.fromisoformat(start)
+    options.setdefault("per_task", 24)
     return plans.ingest_days(
         spark, f"{folder}/a", f"{folder}/e", f"{folder}/out", start, start + datetime.timedelta(days=days), **options
     )
@@ -106,8 +110,10 @@ def ingest(spark, folder, start, days, **options):
 def test_ingest_rewrites_its_days_only(spark, tmp_path):
     write_day(tmp_path, "20200101", ["u1", "u2", "u1"])
     write_day(tmp_path, "20200102", ["u1", "u3"])
-    assert ingest(spark, tmp_path, "2020-01-01", 2, p=1.0) == 4
-    once = {(str(r["day"]), r["DocumentIdentifier"], r["country-1"], r["country-2"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert ingest(spark, tmp_path, "2020-01-01", 2, p=1.0, report=f"{tmp_path}/report") == 4
+    counts = spark.read.json(f"{tmp_path}/report").where("found").groupBy("feed").agg(F.sum("read"), F.sum("rejected")).collect()
+    assert sorted(map(tuple, counts)) == [("articles", 10, 0), ("embeddings", 10, 0)]
+    once = {(str(r["day"]), r["DocumentIdentifier"], r["country-1"], r["country-2"]) for r in sinks.read_published(spark, f"{tmp_path}/out").collect()}
     assert once == {
         ("2020-01-01", "u1", "TW", "KE"),
         ("2020-01-01", "u2", "TW", "KE"),
@@ -115,15 +121,21 @@ def test_ingest_rewrites_its_days_only(spark, tmp_path):
         ("2020-01-02", "u3", "TW", "KE"),
     }
     assert ingest(spark, tmp_path, "2020-01-02", 1, p=1.0) == 2
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 4
-    with pytest.raises(Exception):
-        ingest(spark, tmp_path, "2021-01-01", 1, p=1.0)
+    assert sinks.read_published(spark, f"{tmp_path}/out").count() == 4
+    with pytest.raises(ValueError, match="expected rows"):
+        ingest(spark, tmp_path, "2021-01-01", 1, p=1.0, require_rows=True)
+    assert ingest(spark, tmp_path, "2021-01-01", 1, p=1.0) == 0
+    # A day whose files are gone is empty after the next run.
+    for f in list((tmp_path / "a").glob("20200102*")):
+        f.unlink()
+    assert ingest(spark, tmp_path, "2020-01-01", 2) == 2
+    assert {r["day"] for r in sinks.read_published(spark, f"{tmp_path}/out").collect()} == {"2020-01-01"}
 
 
 def test_ingest_samples_both_feeds_alike(spark, tmp_path):
     write_day(tmp_path, "20200101", [f"u{i}" for i in range(96)])
     rows = ingest(spark, tmp_path, "2020-01-01", 1, p=0.3)
-    out = spark.read.parquet(f"{tmp_path}/out")
+    out = sinks.read_published(spark, f"{tmp_path}/out")
     assert 10 < rows < 50 and out.where("gkg_file != gsg_file").count() == 0
 
 
@@ -221,7 +233,7 @@ def test_granule_report_and_spoiled_objects(spark, tmp_path):
     noise = [json.dumps(embedding(f"v{i}", "20200101003000", title="".join(chr(97 + (i * 31 + k * k) % 26) for k in range(99)))) for i in range(400)]
     cut = gzip.compress("\n".join(noise).encode())
     (tmp_path / "e/20200101003000.json.gz").write_bytes(cut[: len(cut) // 2])
-    read = sources.read_article_embeddings(spark, f"{tmp_path}/e", layout="concatenated")
+    read = sources.read_article_embeddings(spark, f"{tmp_path}/e", layout="auto")
     assert read.where("granule = '20200101000000'").count() == 49
     report = {r["granule"]: r for r in sources.granule_report(spark, f"{tmp_path}/e").collect()}
     assert tuple(report["20200101000000"])[1:] == (49, 1, True) and tuple(report["20200101001500"])[1:] == (50, 0, True)
@@ -245,10 +257,75 @@ def test_cut_off_granules_give_what_the_report_counts(spark, tmp_path):
     (tmp_path / "20200101011500.json.bz2").write_bytes(bz2.compress(" ".join(records[:5]).encode()))
     report = {r["granule"]: r["read"] for r in sources.granule_report(spark, f"{tmp_path}/*[z0].*[gn]*").collect()}
     report["20200101011500"] = 5  # the report inflates gzip only
-    for layout in ("auto", "concatenated"):
+    for layout in ("auto",):
         rows = sources.read_article_embeddings(spark, str(tmp_path), layout=layout)
         assert {r["granule"]: r["count"] for r in rows.groupBy("granule").count().collect()} == report
         assert rows.where("url = 'u3'").count() == 6
         with pytest.raises(Exception, match="ends early|CRC|stream"):
             sources.read_article_embeddings(spark, str(tmp_path), layout=layout, tolerant=False).collect()
     assert all(report[f"2020010100{minute}00"] > 400 for minute in bodies) and report["20200101003000"] == 2000
+
+
+def test_versions_are_published_as_a_whole(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "n int, day string")
+    sinks.publish_partitions(rows, path, "day")
+    # A run that breaks between writing and publishing is not seen, and can be run again.
+    version = sinks.write_version(rows.where("n = 1").withColumn("n", F.lit(10)), path, "day")
+    assert {tuple(r) for r in sinks.read_published(spark, path).collect()} == {(1, "a"), (2, "b"), (3, "c")}
+    sinks.publish_version(rows, path, "day", version, ["a", "b"])
+    assert {tuple(r) for r in sinks.read_published(spark, path).collect()} == {(10, "a"), (3, "c")}
+    assert {tuple(r) for r in sinks.read_published(spark, path, ["c", "b"]).collect()} == {(3, "c")}
+    # An empty run empties its days; the table keeps its columns.
+    sinks.publish_partitions(rows.where("n > 9"), path, "day", ["a", "c"], mark="empty")
+    empty = sinks.read_published(spark, path)
+    assert empty.count() == 0 and empty.columns == ["n", "day"] and sinks.published(spark, path).mark == "empty"
+    for n in range(5):
+        sinks.publish_partitions(rows.withColumn("n", F.lit(n)), path, "day")
+    kept = [f for f in os.listdir(f"{path}/published") if f.endswith(".json")]
+    assert len(kept) == 2 and len(os.listdir(f"{path}/data")) <= 3 + 1
+    assert {tuple(r) for r in sinks.read_published(spark, path).collect()} == {(4, "a"), (4, "b"), (4, "c")}
+
+
+def test_two_runs_cannot_take_one_number(spark, tmp_path):
+    from tidewatch.session import FileSystem
+
+    files = FileSystem(spark, str(tmp_path))
+    files.create(f"{tmp_path}/x/1.json", "a")
+    with pytest.raises(FileExistsError):
+        files.create(f"{tmp_path}/x/1.json", "b")
+    assert files.read(f"{tmp_path}/x/1.json") == "a" and [f for f in os.listdir(tmp_path / "x") if "tmp" in f and not f.startswith(".")] == []
+
+
+def test_granule_filters_cut_the_tasks(spark, tmp_path):
+    for stamp in ("20200101000000", "20200101001500", "20200102000000"):
+        (tmp_path / f"{stamp}.docembed.json").write_text(json.dumps(embedding("u", stamp)))
+    read = sources.read_granules(spark, str(tmp_path), datetime.date(2020, 1, 1), datetime.date(2020, 1, 3))
+    assert read.rdd.getNumPartitions() == 192
+    some = read.where("granule >= '20200101001500' and granule < '20200101003000'")
+    assert some.rdd.getNumPartitions() == 1 and [r["kind"] for r in some.collect()] == ["row", "count"]
+    one = read.where(F.col("granule").isin("20200102000000", "20200102001500"))
+    assert one.rdd.getNumPartitions() == 2 and one.where("kind = 'row'").count() == 1
+    wide = sources.read_granules(spark, f"file:{tmp_path}", datetime.date(2020, 1, 1), datetime.date(2020, 1, 3), per_task=50)
+    assert wide.rdd.getNumPartitions() == 4 and wide.where("kind = 'row'").count() == 3
+    for bad in ({"every": "1 year"}, {"feed": "other"}):
+        with pytest.raises(Exception, match="must be"):
+            sources.read_granules(spark, str(tmp_path), datetime.date(2020, 1, 1), datetime.date(2020, 1, 3), **bad).collect()
+
+
+def test_article_granules_equal_the_line_reader(spark, tmp_path):
+    stamp = "20200101000000"
+    lines = [
+        article_line("r1", "u1", stamp), article_line("r2", "u2", stamp, fields=28), article_line("r3", "u3", stamp, fields=5),
+        article_line('r"4', "u4", "not a number") + "\r", "x",
+    ]
+    body = "\n".join(lines).encode() + b"\n" + article_line("r5", "u\xff5", stamp).encode("latin-1") + b"\n"
+    (tmp_path / f"{stamp}.gkg.csv.gz").write_bytes(gzip.compress(body))
+    made, counts = sources.landed(
+        sources.read_granules(spark, str(tmp_path), datetime.date(2020, 1, 1), datetime.date(2020, 1, 2), "articles", per_task=24), "articles"
+    )
+    for keep_all in (False, True):
+        own, other = sources.typed_articles(made, keep_all), sources.read_articles(spark, str(tmp_path), keep_all)
+        assert own.columns == other.columns and own.dtypes == other.dtypes
+        assert sorted(map(str, own.collect())) == sorted(map(str, other.collect()))
+    assert [tuple(r)[1:] for r in counts.where("found").collect()] == [(True, 5, 1, True)]

@@ -1,15 +1,12 @@
 import datetime
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.streaming import (
-    counts_of_batches,
-    counts_so_far,
-    late_rows,
-    stream_batch_counts,
-    stream_counts,
-    stream_ingest,
-)
+from tidewatch.sinks.versions import published
+from tidewatch.streaming import counts_so_far, ingested, stream_counts, stream_ingest, stream_routes, window_counts
+from tidewatch.streaming.feeds import _merge_batch
 
 SCHEMA = "url string, date timestamp"
 
@@ -28,54 +25,88 @@ def test_ingest_drops_copies_across_runs(spark, tmp_path):
     def run():
         stream = spark.readStream.schema(SCHEMA).parquet(src)
         stream_ingest(stream, out, state, ["url"]).awaitTermination()
-        return sorted((r["url"], str(r["day"])) for r in spark.read.parquet(out).collect())
+        return sorted(((r["url"], str(r["day"])) for r in ingested(spark, out).collect()), key=str)
 
-    arrive(spark, src, [("a", at(1, 1)), ("a", at(1, 2)), ("b", at(1, 3))])
-    assert run() == [("a", "2020-01-01"), ("b", "2020-01-01")]
+    arrive(spark, src, [("a", at(1, 1)), ("a", at(1, 2)), ("b", at(1, 3)), (None, at(1, 4)), (None, at(1, 5))])
+    first = [("a", "2020-01-01"), ("b", "2020-01-01")]
+    assert sorted_known(run()) == first
     arrive(spark, src, [("b", at(1, 4)), ("c", at(1, 5))])
-    assert run() == [("a", "2020-01-01"), ("b", "2020-01-01"), ("c", "2020-01-01")]
-    assert run() == [("a", "2020-01-01"), ("b", "2020-01-01"), ("c", "2020-01-01")]
+    assert sorted_known(run()) == [*first, ("c", "2020-01-01")]
+    assert sorted_known(run()) == [*first, ("c", "2020-01-01")]
+    assert spark.read.parquet(out).count() == 7
 
 
-def test_counts_close_windows_once_and_add_open_ones(spark, tmp_path):
+def sorted_known(rows):
+    return [r for r in rows if r[0] is not None]
+
+
+def test_rows_are_new_copies_or_late(spark, tmp_path):
     src, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
 
-    def run():
+    def run(rows):
+        arrive(spark, src, rows)
         stream = spark.readStream.schema(SCHEMA).parquet(src)
-        stream_counts(stream, out, state, "date", "15 minutes", "url", "1 hour").awaitTermination()
-        closed = spark.read.parquet(out)
-        whole = counts_so_far(closed, spark.read.parquet(src), "date", "15 minutes", "url")
-        return closed.count(), {(r["url"], r["window_start"]): r["count"] for r in whole.collect()}
-
-    arrive(spark, src, [("a", at(1, 1)), ("a", at(1, 1, 14)), ("a", at(1, 1, 15)), ("b", at(1, 1, 20))])
-    closed, counts = run()
-    assert closed == 0
-    assert counts == {("a", at(1, 1)): 2, ("a", at(1, 1, 15)): 1, ("b", at(1, 1, 15)): 1}
-    # Within the lateness: still counted. Two hours on: the early windows close.
-    arrive(spark, src, [("a", at(1, 1, 10)), ("a", at(1, 3))])
-    run()
-    arrive(spark, src, [("a", at(1, 6))])
-    closed, counts = run()
-    assert closed >= 3
-    assert counts[("a", at(1, 1))] == 3 and counts[("a", at(1, 6))] == 1
-    assert sum(counts.values()) == 7
-
-
-def test_late_rows_are_counted_and_listed(spark, tmp_path):
-    src = f"{tmp_path}/in"
-
-    def run():
+        stream_routes(stream, out, state, ["url"], "date", "1 day", "3 days").awaitTermination()
+        return {(r["url"], r["date"]): r["route"] for r in spark.read.parquet(out).collect()}
+
+    routes = run([("a", at(9, 1)), ("a", at(8, 1)), ("b", at(9, 2)), ("old", at(1, 1))])
+    assert routes == {("a", at(8, 1)): "new", ("a", at(9, 1)): "copy", ("b", at(9, 2)): "new", ("old", at(1, 1)): "new"}
+    # The watermark is now a day before the ninth at two.
+    routes = run([("c", at(8, 1)), ("c", at(8, 5)), ("d", at(8, 3)), ("a", at(7, 1)), ("e", at(9, 3))])
+    assert {k: v for k, v in routes.items() if k[0] in "cde" or k == ("a", at(7, 1))} == {
+        ("c", at(8, 1)): "late", ("c", at(8, 5)): "copy", ("d", at(8, 3)): "new", ("a", at(7, 1)): "copy", ("e", at(9, 3)): "new",
+    }
+    # Late keys are remembered as well; after a lifetime they are forgotten.
+    routes = run([("c", at(8, 2)), ("f", at(20, 1))])
+    assert routes[("c", at(8, 2))] == "copy" and routes[("f", at(20, 1))] == "new"
+    routes = run([("b", at(20, 2))])
+    assert routes[("b", at(20, 2))] == "new"
+    assert len(routes) == 12
+
+
+def test_many_rows_of_one_key(spark, tmp_path):
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("url"),
+        F.timestamp_seconds(F.lit(1_600_000_000) + F.pmod(F.col("id") * 7919, F.lit(30_000))).alias("date"),
+    )
+    rows.write.parquet(src)
+    stream_ingest(spark.readStream.schema(SCHEMA).parquet(src), out, f"{tmp_path}/state", ["url"]).awaitTermination()
+    first = {r["url"]: r["date"] for r in rows.groupBy("url").agg(F.min("date").alias("date")).collect()}
+    assert {r["url"]: r["date"] for r in ingested(spark, out, late=False).collect()} == first
+    assert spark.read.parquet(out).count() == 30_000
+
+
+def files_under(path):
+    return sum(f.endswith((".parquet", ".json")) for _, _, names in os.walk(path) for f in names)
+
+
+def test_counts_correct_themselves_and_stay_small(spark, tmp_path):
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    sizes = []
+    for run in range(20):
+        arrive(spark, src, [("a", at(1 + run % 5, 1)), ("a", at(1, 1, run % 30)), ("b", at(9, run % 24))])
         stream = spark.readStream.schema(SCHEMA).parquet(src)
-        stream_batch_counts(stream, f"{tmp_path}/n", f"{tmp_path}/s1", "date", "15 minutes", "url").awaitTermination()
-        stream_ingest(stream, f"{tmp_path}/out", f"{tmp_path}/s2", ["url", "date"]).awaitTermination()
-        counts = counts_of_batches(spark.read.parquet(f"{tmp_path}/n"), "url")
-        late = late_rows(spark.read.parquet(src), spark.read.parquet(f"{tmp_path}/out"), ["url", "date"])
-        return {(r["url"], r["window_start"]): r["count"] for r in counts.collect()}, {r["date"] for r in late.collect()}
-
-    arrive(spark, src, [("a", at(1, 1)), ("a", at(9, 1))])
-    run()
-    arrive(spark, src, [("a", at(1, 1, 5)), ("a", at(9, 2))])
-    counts, late = run()
-    assert counts == {("a", at(1, 1)): 2, ("a", at(9, 1)): 1, ("a", at(9, 2)): 1}
-    assert late == {at(1, 1, 5)}
-    assert run() == (counts, late)
+        stream_counts(stream, out, f"{tmp_path}/state", "date", "15 minutes", "url").awaitTermination()
+        sizes.append(files_under(out))
+    expected = window_counts(spark.read.parquet(src), "date", "15 minutes", "url")
+    assert sorted(map(tuple, counts_so_far(spark, out).collect())) == sorted(map(tuple, expected.collect()))
+    # Six days, their versions before the last run, and two pointers.
+    assert max(sizes) <= 16 and sizes[-1] <= sizes[8] + 2
+
+
+def test_a_batch_that_is_run_again_changes_nothing(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    batches = [spark.createDataFrame(rows, SCHEMA) for rows in ([("a", at(1, 1)), ("a", None)], [("a", at(1, 2)), ("b", at(2, 1))])]
+    settings = (out, "counts", "date", "1 day", "url")
+    for number in (0, 1, 1, 0):
+        _merge_batch(batches[number].where("date is not null"), number, *settings)
+    assert {(r["url"], r["window_start"].day): r["count"] for r in counts_so_far(spark, out).collect()} == {("a", 1): 2, ("b", 2): 1}
+    assert published(spark, out).mark == "counts:1"
+    _merge_batch(batches[0].limit(0), 2, *settings)
+    assert counts_so_far(spark, out).count() == 2
+
+
+def test_nothing_published_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="nothing has been published"):
+        counts_so_far(spark, f"{tmp_path}/none")

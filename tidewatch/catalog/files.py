@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
 import functools
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,22 +25,30 @@ from tidewatch.session import scratch_path
 from tidewatch.sinks import (
     append_table,
     overwrite_partitions,
+    publish_partitions,
+    read_published,
     rebalance,
     write_csv,
     write_json_lines,
     write_manifest,
     write_table,
+    write_version,
 )
 from tidewatch.sources import (
+    landed,
     missing_granules,
     read_article_embeddings,
     read_articles,
     read_country_months,
+    read_granules,
     read_labels,
     read_many,
     read_table,
+    typed_articles,
+    typed_embeddings,
     with_source_file,
 )
+from tidewatch.sources.granules import file_system
 from tidewatch.sources.news import drop_unused
 
 
@@ -166,12 +180,14 @@ SELECT record_id AS "GKGRECORDID", t.url AS "DocumentIdentifier", t[1] AS "count
 FROM tops t JOIN embedded e ON t.url = e.url AND granule = strftime(date_trunc('month', e.date), '%Y%m%d000000')"""
 )
 def ingested_articles(spark: SparkSession, sf: str) -> DataFrame:
-    """Both feeds read, tagged, deduplicated, joined, written and read back."""
-    articles = plans.tagged_articles(read_articles(spark, write_article_feed(spark, sf)))
-    vectors = plans.unique_embeddings(read_article_embeddings(spark, write_embedding_feed(spark, sf)))
+    """Both feeds read, tagged, deduplicated, joined, published and read back. Every file is opened once."""
+    span = {"start": datetime.date(2020, 1, 1), "end": datetime.date(2021, 2, 1), "every": "1 month", "names": "feed={stamp}/"}
+    raw, _ = landed(read_granules(spark, write_article_feed(spark, sf), feed="articles", **span), "landed-articles")
+    vectors, _ = landed(read_granules(spark, write_embedding_feed(spark, sf), **span), "landed-embeddings")
+    articles = plans.tagged_articles(typed_articles(raw))
     path = scratch_path(spark, "joined")
-    overwrite_partitions(join_articles(articles, vectors), path, ["day"])
-    return spark.read.parquet(path).select(
+    publish_partitions(join_articles(articles, plans.unique_embeddings(typed_embeddings(vectors))), path, "day")
+    return read_published(spark, path).select(
         "GKGRECORDID",
         "DocumentIdentifier",
         "`country-1`",
@@ -208,6 +224,72 @@ def quarantined_granules(spark: SparkSession, sf: str) -> DataFrame:
     return missing_granules(tables.articles(spark, sf).select(day), read)
 
 
+#: Of the spoiled feed: every third granule is cut off, and loses these rows.
+_LOST = "(month(date) % 3 = 0 AND vec_id % 2 = 0)"
+
+
+def _spoiled_files(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Write the objects of each granule, which come one after another, as a gzip file; one that loses rows ends early."""
+    system, root = file_system(path)
+    out = packer = current = None
+
+    def close() -> None:
+        out.write(packer.flush(zlib.Z_FULL_FLUSH if cut else zlib.Z_FINISH))
+        out.close()
+
+    for batch in batches:
+        for granule, lost, text in zip(*[batch.column(c).to_pylist() for c in ("granule", "lost", "value")], strict=True):
+            if granule != current:
+                if out is not None:
+                    close()
+                current, cut = granule, False
+                out, packer = system.open_output_stream(f"{root}/{granule}.json.gz", compression=None), zlib.compressobj(wbits=31)
+            cut |= lost
+            if not lost:
+                out.write(packer.compress(text.encode()))
+        yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], names=["n"])
+    if out is not None:
+        close()
+
+
+def write_spoiled_feed(spark: SparkSession, sf: str) -> str:
+    """Embeddings back to back, a gzip file per month: some objects spoiled, some lines long, some files cut off."""
+    path = scratch_path(spark, "spoiled-feed")
+    title = F.when(F.col("label") == 3, F.repeat(F.lit("long } { "), 2000)).otherwise("short")
+    record = F.to_json(F.struct("url", F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"), title.alias("title"), F.col("embedding").alias("docembed")))
+    value = F.when(F.col("label") == 2, '{"url": oops}').otherwise(record)
+    rows = tables.embedded(spark, sf).select(_granule("date").alias("granule"), F.expr(_LOST).alias("lost"), "vec_id", value.alias("value"))
+    system, root = file_system(path)
+    system.create_dir(root)
+    placed = rows.repartition("granule").sortWithinPartitions("granule", "lost", "vec_id")
+    placed.mapInArrow(functools.partial(_spoiled_files, path), "n bigint").agg(F.sum("n")).collect()
+    return path
+
+
+@query(
+    f"""WITH {tables.EMBEDDED},
+held AS (
+  SELECT strftime(date_trunc('month', date), '%Y%m%d000000') AS granule, label, {_LOST} AS lost FROM embedded),
+counted AS (
+  SELECT granule, count(*) FILTER (label <> 2 AND NOT lost) AS read, count(*) FILTER (label = 2 AND NOT lost) AS rejected,
+         NOT bool_or(lost) AS complete FROM held GROUP BY granule),
+months AS (SELECT strftime(m, '%Y%m%d000000') AS granule
+  FROM (SELECT unnest(generate_series(TIMESTAMP '2020-01-01', TIMESTAMP '2021-06-01', INTERVAL 1 MONTH)) AS m))
+SELECT granule, read IS NOT NULL AS found, coalesce(read, 0) AS read, coalesce(rejected, 0) AS rejected,
+       coalesce(complete, false) AS complete FROM months LEFT JOIN counted USING (granule)""",
+    flags=("found", "complete"),
+)
+def granule_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What could be read of each granule of a spoiled feed, counted in the pass that reads the rows; some are not there."""
+    feed = write_spoiled_feed(spark, sf)
+    granules = read_granules(spark, feed, datetime.date(2020, 1, 1), datetime.date(2021, 7, 1), every="1 month", names="{stamp}.json.gz")
+    rows, counts = landed(granules, "landed-spoiled")
+    read = rows.groupBy("granule").agg(F.count(F.lit(1)).alias("landed"))
+    # The rows that came, not only those the count speaks of.
+    met = counts.join(read, "granule", "left")
+    return met.select("granule", "found", F.coalesce("landed", F.lit(0)).alias("read"), "rejected", "complete")
+
+
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
     return tables.table(spark, sf, "orders").select(
         "o_orderkey",
@@ -233,12 +315,31 @@ def partitioned_read(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """SELECT o_orderkey, round(CASE WHEN year(o_orderdate) = 1997 THEN 2 * round(o_totalprice, 2)
-       ELSE round(o_totalprice, 2) END, 2) AS price, CAST(year(o_orderdate) AS INT) AS year FROM orders"""
+       ELSE round(o_totalprice, 2) END, 2) AS price, CAST(year(o_orderdate) AS VARCHAR) AS year
+FROM orders WHERE year(o_orderdate) <> 1995"""
 )
 def rewritten_partition(spark: SparkSession, sf: str) -> DataFrame:
-    """One year is written again, twice, with other values; the other years stay."""
+    """One year is published again, twice, with other values; one loses all its rows; a run that breaks before it publishes
+    changes nothing; the other years stay."""
     path = scratch_path(spark, "rewritten")
     orders = _orders(spark, sf).select("o_orderkey", "price", "year")
+    publish_partitions(orders, path, "year")
+    again = orders.where("year = 1997").withColumn("price", F.round(F.col("price") * 2, 2))
+    publish_partitions(again, path, "year", ["1997", "1995"])
+    publish_partitions(again, path, "year", ["1997"])
+    # Written and never published.
+    write_version(orders.where("year in (1995, 1996)").withColumn("price", F.lit(0.0)), path, "year")
+    return read_published(spark, path).select("o_orderkey", "price", "year")
+
+
+@query(
+    """SELECT o_orderkey, round(CASE WHEN year(o_orderdate) = 1997 THEN 2 * round(o_totalprice, 2)
+       ELSE round(o_totalprice, 2) END, 2) AS price, CAST(year(o_orderdate) AS INT) AS year FROM orders"""
+)
+def overwritten_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """One year's folder is written again, twice, with other values; the other folders stay."""
+    path = scratch_path(spark, "overwritten")
+    orders = _orders(spark, sf).select("o_orderkey", "price", "year")
     write_table(orders, path, ["year"])
     again = orders.where("year = 1997").withColumn("price", F.round(F.col("price") * 2, 2))
     overwrite_partitions(again, path, ["year"])

@@ -8,14 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.catalog import tables
 from tidewatch.catalog.registry import query
 from tidewatch.session import scratch_path
-from tidewatch.streaming import (
-    counts_of_batches,
-    counts_so_far,
-    late_rows,
-    stream_batch_counts,
-    stream_counts,
-    stream_ingest,
-)
+from tidewatch.streaming import counts_so_far, ingested, stream_counts, stream_ingest, stream_routes
 
 
 def _stream(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -27,10 +20,8 @@ def _stream(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 def _counts(spark: SparkSession, sf: str, width: str) -> DataFrame:
     path = scratch_path(spark, "window-counts")
     stream = _stream(spark, sf, "events.parquet")
-    running = stream_counts(stream, f"{path}/counts", f"{path}/state", "ts", width, "event_type")
-    running.awaitTermination()
-    source = tables.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return counts_so_far(spark.read.parquet(f"{path}/counts"), source, "ts", width, "event_type")
+    stream_counts(stream, f"{path}/counts", f"{path}/state", "ts", width, "event_type").awaitTermination()
+    return counts_so_far(spark, f"{path}/counts")
 
 
 @query(
@@ -40,7 +31,7 @@ FROM events GROUP BY ALL""",
     stamps=("window_start", "window_end"),
 )
 def stream_quarter_hour_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed windows from the stream's table, the open ones from the source."""
+    """Counts kept up to date by the stream alone, open windows included."""
     return _counts(spark, sf, "15 minutes")
 
 
@@ -59,25 +50,51 @@ def stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     stamps=("window_start", "window_end"),
 )
 def stream_late_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Events in three runs, each over all days: most rows of the later ones are late."""
+    """Events in three runs, each over all days: most rows of the later ones are late, and correct the counts."""
     path = scratch_path(spark, "late-counts")
     events = tables.table(spark, sf, "events").select("event_id", "event_type", "ts")
     for run in range(3):
         events.where(F.col("event_id") % 3 == run).write.mode("append").parquet(f"{path}/arrived")
         stream = _stream(spark, f"{path}/arrived", "*.parquet")
-        stream_batch_counts(stream, f"{path}/counts", f"{path}/state", "ts", "1 day", "event_type").awaitTermination()
-    return counts_of_batches(spark.read.parquet(f"{path}/counts"), "event_type")
+        stream_counts(stream, f"{path}/counts", f"{path}/state", "ts", "1 day", "event_type").awaitTermination()
+    return counts_so_far(spark, f"{path}/counts")
 
 
 @query("SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events", dates=("day",))
 def stream_dedup_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """A first run lacks some events; the second has every event, copies and late ones. Each comes out once."""
+    """A first run lacks some events; the second has every event, copies and late ones. The stream writes each once."""
     path = scratch_path(spark, "stream-ingest")
     events = tables.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
     for part in (events.where("event_id % 10 <> 3"), events):
         part.write.mode("append").parquet(f"{path}/arrived")
         stream = _stream(spark, f"{path}/arrived", "*.parquet")
-        stream_ingest(stream, f"{path}/table", f"{path}/state", ["event_id"], "ts").awaitTermination()
-    table = spark.read.parquet(f"{path}/table").select("event_id", "user_id", "event_type", "day")
-    arrived = spark.read.parquet(f"{path}/arrived").withColumn("day", F.to_date("ts"))
-    return table.unionByName(late_rows(arrived, table, ["event_id"]).select(*table.columns))
+        stream_ingest(stream, f"{path}/table", f"{path}/state", ["event_id"], "ts", lifetime="60 days").awaitTermination()
+    return ingested(spark, f"{path}/table").select("event_id", "user_id", "event_type", "day")
+
+
+#: Runs in which an event arrives: all but a tenth in the first, that tenth and some again in the second, some again in the third.
+_ARRIVALS = ("event_id % 10 <> 3", "event_id % 10 = 3 OR event_id % 7 = 0", "event_id % 5 = 0")
+
+
+@query(
+    f"""WITH runs AS (
+  SELECT 0 AS run, * FROM events WHERE {_ARRIVALS[0]}
+  UNION ALL SELECT 1, * FROM events WHERE {_ARRIVALS[1]}
+  UNION ALL SELECT 2, * FROM events WHERE {_ARRIVALS[2]}),
+clocks AS (SELECT run, max(epoch_ms(ts)) AS latest FROM runs GROUP BY run),
+marks AS (SELECT run, coalesce(max(latest) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 86400000, 0) AS mark
+  FROM clocks),
+placed AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY run) AS nth FROM runs JOIN marks USING (run))
+SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day,
+       CASE WHEN nth > 1 THEN 'copy' WHEN epoch_ms(ts) < mark THEN 'late' ELSE 'new' END AS route FROM placed""",
+    dates=("day",),
+)
+def stream_ingest_routes(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in three runs, some again; the stream says of each row whether it is new, a copy or late."""
+    path = scratch_path(spark, "stream-routes")
+    events = tables.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    for arrival in _ARRIVALS:
+        events.where(arrival).write.mode("append").parquet(f"{path}/arrived")
+        stream = _stream(spark, f"{path}/arrived", "*.parquet")
+        stream_routes(stream, f"{path}/table", f"{path}/state", ["event_id"], "ts", lifetime="60 days").awaitTermination()
+    return spark.read.parquet(f"{path}/table").select("event_id", "user_id", "event_type", "day", "route")

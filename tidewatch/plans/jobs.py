@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.arrays import widen
 from tidewatch.functions.dates import parse_stamp
-from tidewatch.operators.aggregates import assert_rows, dedup, expect_rows, mean_embedding
+from tidewatch.operators.aggregates import dedup, mean_embedding
 from tidewatch.operators.joins import join_articles, mean_dataset, pending
 from tidewatch.operators.metrics import mae_by_series
 from tidewatch.operators.models import lag_forecast, train_and_predict
@@ -19,8 +19,9 @@ from tidewatch.operators.sampling import split_by_time
 from tidewatch.operators.tagging import explode_countries, stack_manifest, top_countries
 from tidewatch.session import stored
 from tidewatch.sinks.tables import overwrite_partitions, rebalance, write_csv, write_manifest, write_samples
-from tidewatch.sources.feeds import granule_glob
-from tidewatch.sources.news import read_article_embeddings, read_articles
+from tidewatch.sinks.versions import publish_version, version_rows, write_version
+from tidewatch.sources.granules import landed, read_granules
+from tidewatch.sources.news import typed_articles, typed_embeddings
 
 
 def tagged_articles(raw: DataFrame) -> DataFrame:
@@ -49,20 +50,34 @@ def ingest_days(
     end: datetime.date,
     p: float = 1.0,
     seed: int = 4,
-    layout: str = "auto",
+    report: str | None = None,
+    require_rows: bool = False,
+    **options: str,
 ) -> int:
-    """Read, tag, deduplicate and join the feeds of ``[start, end)``; rewrite those days of ``out``.
+    """Read, tag, deduplicate and join the feeds of ``[start, end)``; publish those days of ``out`` in one step.
 
-    Both feeds keep the same sampled granules. Returns the rows written, and
-    fails when there are none.
+    Each file is opened once. Both feeds keep the same sampled granules. A day without files or rows is published as
+    empty; with ``require_rows`` a run without any row fails instead and publishes nothing. What was read and rejected in
+    each granule goes to ``report``, if given. ``options`` are those of the granule source. Returns the rows written;
+    `sinks.read_published` reads them.
     """
-    raw = read_articles(spark, granule_glob(articles_path, start, end, ".csv*"), p=p, seed=seed)
-    vectors = read_article_embeddings(
-        spark, granule_glob(embeddings_path, start, end, ".json*"), layout=layout, p=p, seed=seed
+    raw, article_counts = landed(
+        read_granules(spark, articles_path, start, end, "articles", p=p, seed=seed, **options), "landed-articles"
     )
-    joined, seen = expect_rows(join_articles(tagged_articles(raw), unique_embeddings(vectors)), f"articles {start}")
-    overwrite_partitions(joined, out, ["day"])
-    return assert_rows(seen, "articles")
+    vectors, vector_counts = landed(
+        read_granules(spark, embeddings_path, start, end, "embeddings", p=p, seed=seed, **options), "landed-embeddings"
+    )
+    if report is not None:
+        counts = [c.withColumn("feed", F.lit(n)) for n, c in (("articles", article_counts), ("embeddings", vector_counts))]
+        counts[0].unionByName(counts[1]).write.mode("overwrite").json(report)
+    joined = join_articles(tagged_articles(typed_articles(raw)), unique_embeddings(typed_embeddings(vectors)))
+    version = write_version(joined, out, "day")
+    rows = version_rows(spark, out, version)
+    if require_rows and not rows:
+        raise ValueError(f"articles of {start} to {end}: expected rows, got none")
+    days = [str(start + datetime.timedelta(days=i)) for i in range((end - start).days)]
+    publish_version(joined, out, "day", version, days)
+    return rows
 
 
 def label_panel(panel: DataFrame, n: int = 3, q: float = 0.75, months: int = 24, strict: bool = True) -> DataFrame:

@@ -73,6 +73,43 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class FileSystem:
+    """The file system of a path, as Spark itself opens it: names, small files, and removal of folders."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm = spark._jvm
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, path: str):
+        return self._jvm.org.apache.hadoop.fs.Path(path)
+
+    def names(self, folder: str) -> list[str]:
+        """What lies in a folder; nothing if it is not there."""
+        at = self._path(folder)
+        return [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def read(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def create(self, path: str, text: str) -> None:
+        """Write a small file under a name nobody has, so that it is there as a whole or not at all."""
+        hidden = f"{path}.{uuid.uuid4().hex}.tmp"
+        stream = self._fs.create(self._path(hidden), False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        taken = self._fs.exists(self._path(path))
+        if taken or not self._fs.rename(self._path(hidden), self._path(path)):
+            self.remove(hidden)
+            raise FileExistsError(path)
+
+    def remove(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]):
     """Apply session settings for one action and put the old ones back."""

@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import functools
-import json
-import re
-import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,20 +13,15 @@ from tidewatch.functions.dates import parse_iso
 from tidewatch.functions.keys import chosen, hash_key
 from tidewatch.functions.text import feed_stamp, without_undecodable
 from tidewatch.schemas import ARTICLE_COLUMNS, ARTICLE_INTEGER_COLUMNS, ARTICLE_KEPT, EMBEDDING_SCHEMA
+from tidewatch.sources.granules import granule_batches
 
 # A granule that is missing or cut off gives the rows that can be read. `missing_granules`
 # lists those that gave none, `granule_report` those that were cut off or hold spoiled lines or objects.
 TOLERANT = {"ignoreMissingFiles": "true", "ignoreCorruptFiles": "true"}
 
 
-#: An object begins behind the end of another, or on a line of its own.
-_NEXT_OBJECT = re.compile(r"[}\n]\s*\{")
-_TWO_OBJECTS = re.compile(r"\}\s*\{")
-
 #: Files that only Spark inflates. Gzip and plain files are read as bytes.
 _OTHER_CODECS = r"\.(bz2|deflate|lz4|snappy|zst|zstd)$"
-#: Compressed bytes that are inflated at a time.
-_PIECE = 1 << 16
 
 
 def _options(tolerant: bool) -> dict[str, str]:
@@ -73,6 +65,18 @@ def read_articles(
     return fields.select(*columns, "granule")
 
 
+def typed_articles(rows: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Article rows of the granule source with their types, and only the columns later stages read."""
+    kinds = {c: F.col(c).try_cast(kind) for c, kind in ARTICLE_INTEGER_COLUMNS.items()}
+    return drop_unused(rows.withColumns(kinds), keep_all)
+
+
+def typed_embeddings(rows: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Embedding rows of the granule source with their types."""
+    parsed = rows.withColumn("date", parse_iso("date"))
+    return parsed if keep_all else parsed.drop("model")
+
+
 def drop_unused(df: DataFrame, keep_all: bool = False) -> DataFrame:
     """Drop the metadata columns no later stage reads."""
     if keep_all:
@@ -80,94 +84,18 @@ def drop_unused(df: DataFrame, keep_all: bool = False) -> DataFrame:
     return df.drop(*[c for c in ARTICLE_COLUMNS if c not in ARTICLE_KEPT])
 
 
-def _inflated(data: bytes) -> tuple[bytes, bool]:
-    """What a gzip file holds up to where it ends or breaks, and whether it ended."""
-    out, at, ended = [], 0, True
-    part = zlib.decompressobj(wbits=31)
-    while at < len(data):
-        piece, before = data[at : at + _PIECE], part.copy()
-        try:
-            out.append(part.decompress(piece))
-        except zlib.error:
-            # Again, up to the byte at which it breaks.
-            try:
-                for i in range(len(piece)):
-                    out.append(before.decompress(piece[i : i + 1]))
-            except zlib.error:
-                pass
-            return b"".join(out), False
-        at += len(piece) - len(part.unused_data)
-        ended = part.eof
-        if ended:
-            part = zlib.decompressobj(wbits=31)
-    return b"".join(out), ended
-
-
-def _text(content: bytes) -> tuple[str, bool]:
-    """The text of a file's bytes, as far as it can be read, and whether that is all of it."""
-    data, complete = bytes(content), True
-    if data[:2] == b"\x1f\x8b":
-        data, complete = _inflated(data)
-    return data.decode("utf-8", "ignore"), complete
-
-
-def _one_object_lines(text: str) -> bool:
-    """True if each line is blank or can only be a single whole object."""
-    lines = (line.strip() for line in text.split("\n"))
-    return all(not x or (x[0] == "{" and x[-1] == "}" and not _TWO_OBJECTS.search(x)) for x in lines)
-
-
-def _objects(text: str) -> Iterator[dict | None]:
-    """Objects written back to back, whatever lies between them; None for each place where one cannot be read."""
-    decoder, at, end = json.JSONDecoder(), 0, len(text)
-    while True:
-        while at < end and text[at].isspace():
-            at += 1
-        if at >= end:
-            return
-        try:
-            record, at = decoder.raw_decode(text, at)
-            yield record if isinstance(record, dict) else None
-        except ValueError:
-            # Spoiled or cut off: on to where the next object begins.
-            yield None
-            following = _NEXT_OBJECT.search(text, at + 1)
-            if following is None:
-                return
-            at = following.end() - 1
-
-
-def _decoded(text: str, granule: str) -> pd.DataFrame:
-    names = EMBEDDING_SCHEMA.fieldNames()
-    rows = [[record.get(n) for n in names] + [granule] for record in _objects(text) if record is not None]
-    return pd.DataFrame(rows, columns=[*names, "granule"])
-
-
-def _decode_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _batches(batches: Iterator[pa.RecordBatch], tolerant: bool, counts: bool, feed: str = "embeddings") -> Iterator[pa.RecordBatch]:
+    """Rows or counts of the files of a binary or whole-text read, a file at a time."""
     for batch in batches:
-        for text, granule in zip(batch["value"], batch["granule"]):
-            yield _decoded(text, granule)
-
-
-def _decode_files(tolerant: bool, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for content, granule in zip(batch["content"], batch["granule"]):
-            text, complete = _text(content)
-            if not (complete or tolerant):
-                raise ValueError(f"granule {granule} ends early or is broken")
-            yield _decoded(text, granule)
-
-
-def _odd_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Names of files that the line reader would not give in full."""
-    for batch in batches:
-        odd = []
-        for content, file in zip(batch["content"], batch["file"]):
-            text, complete = _text(content)
-            as_named = file.endswith(".gz") == (bytes(content[:2]) == b"\x1f\x8b")
-            if text and not (complete and as_named and _one_object_lines(text)):
-                odd.append(file)
-        yield pd.DataFrame({"file": odd}, dtype=object)
+        for content, granule in zip(batch.column(0), batch.column(1), strict=True):
+            for part in granule_batches(feed, granule.as_py(), [content.as_buffer().to_pybytes()]):
+                if part.column("kind")[0].as_py() == "count":
+                    if counts:
+                        yield part.select(["granule", "read", "rejected", "complete"])
+                    elif not (tolerant or part.column("complete")[0].as_py()):
+                        raise ValueError(f"granule {granule} ends early or is broken")
+                elif not counts:
+                    yield part.select([*EMBEDDING_SCHEMA.fieldNames(), "granule"])
 
 
 def read_article_embeddings(
@@ -181,61 +109,31 @@ def read_article_embeddings(
 ) -> DataFrame:
     """Gzip JSON article embeddings.
 
-    ``layout="lines"`` reads one object per line inside the JVM; of a file that ends
-    early it may miss the last lines before the cut. ``"concatenated"``
-    decodes whole files, objects back to back or over several lines, in Python
-    workers, one file at a time, and of a file that ends early all that can be inflated,
-    as `granule_report` counts it. ``"auto"`` first finds the files that are not one
-    object per line or not whole and reads only those the slow way; their names, a subset of the
-    file list the driver holds for any read, are all that comes back from that
-    pass. It reads the feed once more, so name the layout when it is known.
+    ``layout="auto"`` opens each file once and decodes it as a whole, one file at a time: objects back to back, one to a
+    line or over several, and of a file that ends early or has spoiled objects all that can be read, as
+    `granule_report` counts it. ``"lines"`` reads one object per line inside the JVM, for feeds known to be whole; of a file that
+    ends early it may miss the last lines before the cut. With ``tolerant=False`` such files are an error.
+    `granules.read_granules` reads a span of days and gives the counts in the same pass.
     """
     options = _options(tolerant)
-    bad_lines = "DROPMALFORMED" if tolerant else "FAILFAST"
     stamp = feed_stamp(F.col("_metadata.file_path")).alias("granule")
-
-    def by_line(paths: str | list[str], skip: list[str] = ()) -> DataFrame:
-        read = spark.read.options(**options).schema(EMBEDDING_SCHEMA).json(paths, mode=bad_lines)
-        rows = _sampled(read, p, seed).select(
-            *EMBEDDING_SCHEMA.fieldNames(), stamp, F.col("_metadata.file_path").alias("_file")
-        )
-        if skip:
-            skipped = spark.createDataFrame([(f,) for f in skip], "_file string")
-            rows = rows.join(skipped, "_file", "left_anti")
-        return rows.drop("_file")
-
-    other = F.col("_metadata.file_path").rlike(_OTHER_CODECS)
-
-    def contents(paths: str | list[str]) -> DataFrame:
-        return _sampled(spark.read.format("binaryFile").options(**options).load(paths), p, seed).where(~other)
-
-    def by_file(paths: str | list[str]) -> DataFrame:
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EMBEDDING_SCHEMA) + ", granule string"
-        texts = _sampled(spark.read.options(**options).text(paths, wholetext=True), p, seed).where(other)
-        files = contents(paths).select("content", stamp)
-        decoded = files.mapInPandas(functools.partial(_decode_files, tolerant), schema)
-        return decoded.unionByName(texts.select("value", stamp).mapInPandas(_decode_texts, schema))
-
-    def odd_files() -> list[str]:
-        file = F.col("_metadata.file_path").alias("file")
-        names = contents(path).select("content", file).mapInPandas(_odd_files, "file string")
-        lines = _sampled(spark.read.options(**options).text(path), p, seed).where(other).select("value", file)
-        stripped = F.trim("value")
-        whole = stripped.startswith("{") & stripped.endswith("}") & ~stripped.rlike(_TWO_OBJECTS.pattern)
-        rest = lines.where(~whole & (stripped != "")).select("file").distinct()
-        return [r["file"] for r in names.unionByName(rest).collect()]
-
     if layout == "lines":
-        rows = by_line(path)
-    elif layout == "concatenated":
-        rows = by_file(path)
+        bad_lines = "DROPMALFORMED" if tolerant else "FAILFAST"
+        read = spark.read.options(**options).schema(EMBEDDING_SCHEMA).json(path, mode=bad_lines)
+        rows = _sampled(read, p, seed).select(*EMBEDDING_SCHEMA.fieldNames(), stamp)
     elif layout == "auto":
-        odd = odd_files()
-        rows = by_line(path, odd).unionByName(by_file(odd)) if odd else by_line(path)
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EMBEDDING_SCHEMA) + ", granule string"
+        decode = functools.partial(_batches, tolerant=tolerant, counts=False)
+        other = F.col("_metadata.file_path").rlike(_OTHER_CODECS)
+        files = _sampled(spark.read.format("binaryFile").options(**options).load(path), p, seed).where(~other)
+        # What Arrow does not inflate, Spark does.
+        texts = _sampled(spark.read.options(**options).text(path, wholetext=True), p, seed).where(other)
+        rows = files.select("content", stamp).mapInArrow(decode, schema).unionByName(
+            texts.select(F.col("value").cast("binary"), stamp).mapInArrow(decode, schema)
+        )
     else:
-        raise ValueError("layout must be 'auto', 'lines' or 'concatenated'")
-    parsed = rows.withColumn("date", parse_iso("date"))
-    return parsed if keep_all else parsed.drop("model")
+        raise ValueError("layout must be 'auto' or 'lines'")
+    return typed_embeddings(rows, keep_all)
 
 
 def missing_granules(expected: DataFrame, read: DataFrame, granule: str = "granule") -> DataFrame:
@@ -243,19 +141,6 @@ def missing_granules(expected: DataFrame, read: DataFrame, granule: str = "granu
     return expected.select(granule).distinct().join(read.select(granule).distinct(), granule, "left_anti")
 
 
-def _count_embeddings(text: str) -> tuple[int, int]:
-    """Objects that can be read, and places where one cannot."""
-    found = [record is not None for record in _objects(text)]
-    return sum(found), len(found) - sum(found)
-
-
-def _count_articles(text: str) -> tuple[int, int]:
-    """Lines that can be read, and lines with too many fields."""
-    lines = [x for x in text.split("\n") if x.strip("\r")]
-    rejected = sum(x.count("\t") >= len(ARTICLE_COLUMNS) for x in lines)
-    return len(lines) - rejected, rejected
-
-
 def granule_report(spark: SparkSession, path: str | list[str], feed: str = "embeddings") -> DataFrame:
     """What can be read of each granule: ``granule``, ``read``, ``rejected`` and ``complete``.
 
@@ -263,17 +148,6 @@ def granule_report(spark: SparkSession, path: str | list[str], feed: str = "embe
     (``"articles"``); ``complete`` is false where a gzip file ends early. One pass over the files, a
     granule at a time.
     """
-    count = {"embeddings": _count_embeddings, "articles": _count_articles}[feed]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for content, granule in zip(batch["content"], batch["granule"]):
-                text, complete = _text(content)
-                rows.append([granule, *count(text), complete])
-            yield pd.DataFrame(rows, columns=["granule", "read", "rejected", "complete"])
-
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("content", feed_stamp(F.col("path")).alias("granule")).mapInPandas(
-        run, "granule string, read bigint, rejected bigint, complete boolean"
-    )
+    files = spark.read.format("binaryFile").load(path).select("content", feed_stamp(F.col("path")).alias("granule"))
+    run = functools.partial(_batches, tolerant=True, counts=True, feed=feed)
+    return files.mapInArrow(run, "granule string, read bigint, rejected bigint, complete boolean")

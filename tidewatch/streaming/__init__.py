@@ -1,19 +1,12 @@
-from tidewatch.streaming.feeds import (
-    counts_of_batches,
-    counts_so_far,
-    late_rows,
-    stream_batch_counts,
-    stream_counts,
-    stream_ingest,
-    window_counts,
-)
+from tidewatch.streaming.feeds import counts_so_far, ingested, stream_counts, stream_ingest, window_counts
+from tidewatch.streaming.routes import routed, stream_routes
 
 __all__ = [
-    "counts_of_batches",
     "counts_so_far",
-    "late_rows",
-    "stream_batch_counts",
+    "ingested",
+    "routed",
     "stream_counts",
     "stream_ingest",
+    "stream_routes",
     "window_counts",
 ]
