@@ -9,14 +9,15 @@ so only phrases whose parts are frequent can be frequent.
 3. A frequent phrase of the border was not proposed: the border failed. Such phrases are added to the proposed ones, and
    another full pass counts what this adds to the border, until no pass finds a new one.
 
-Phrases go by two 64-bit hashes of language and words. What is proposed goes to the tasks as a table of bits, two bits a
-phrase, of 16 bits a phrase and at most ``MOST_BITS`` (32 MB) however many phrases there are. A phrase that is in the
+A phrase goes by the 64-bit hashes of its words, each with its language in it, so phrases are taken apart and scored without
+their texts. Two texts that share hashes are an error, not a wrong count, when they meet in the result. What is proposed goes
+to the tasks as a table of bits, two bits a phrase, of 16 bits a phrase and at most ``MOST_BITS`` (32 MB) however many there are. A phrase that is in the
 table by chance counts as proposed; this adds work but changes no count, as all occurrences of a phrase see the same table.
 Beyond 16 million proposed phrases the table fills up and more phrases are counted than needed.
 
 A task adds up runs of ``GATHERED`` phrases before it hands them on, so a word of every document is one row a run. Counts are
-added by key; no group is collected and nothing is joined to the texts. The texts of frequent phrases are
-fetched by a last pass, once per task and phrase (a task holds the hashes of the phrases it has met).
+added by key; no group is collected and nothing is joined to the texts. The texts of the phrases that are asked for
+are fetched by a last pass, once per task and phrase (a task holds the hashes of those it has met).
 
 Odd input: a null text has no words, a null language reads as ``und``. Repeated rows and ids count as often as they
 stand there. An empty table gives an empty table. Texts are never cut; other columns are not looked at.
@@ -24,17 +25,16 @@ stand there. An empty table gives an empty table. Texts are never cut; other col
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import draw, stored
-from tidewatch.llm.words import LOWER, Words, byte_class, mixed, words_of
+from tidewatch.llm.words import Words, byte_class, mixed, words_of
 
 SUPPORT, LONGEST, COVERED, BEST = 30, 4, 80, 2000
 #: Share of documents in the sample, what of the support is asked of it, and its seed. They change the work only.
@@ -46,9 +46,7 @@ RUN_BYTES = 1 << 20
 _CUTS = frozenset(b".,;:!?\n\x0b\x0c\r")
 _INSIDE = byte_class(lambda b: b not in _CUTS and b not in b" \t")
 _CUT = byte_class(lambda b: b in _CUTS)
-_SECOND = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
-_ODD = (np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93))
-_ALL = np.uint64(0xFFFFFFFFFFFFFFF0)
+_ODD = np.uint64(0x9FB21C651E98DF25)
 
 
 class Bits:
@@ -67,14 +65,34 @@ class Bits:
         return Bits(self.width, self.data | other.data)
 
 
-def bits_width(members: int) -> int:
-    return min(MOST_BITS.bit_length() - 1, max(20, (16 * members).bit_length()))
+def bits_width(members: int, least: int = 20) -> int:
+    return min(MOST_BITS.bit_length() - 1, max(least, (16 * members).bit_length()))
+
+
+def _folded(hashes: list[np.ndarray]) -> np.ndarray:
+    """One hash of the words' hashes; the last ones of a short phrase are 0."""
+    h = np.zeros(len(hashes[0]), dtype=np.uint64)
+    for one in hashes:
+        h = h * _ODD + one
+    return mixed(h)
+
+
+def _unsigned(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The hashes of a table of phrases; what stands behind a single word is its language."""
+    hashes = [batch.column(c).to_numpy().view(np.uint64) for c in _HASHES]
+    return [*hashes[:3], np.where(hashes[1] == 0, np.uint64(0), hashes[3])]
 
 
 def bits_of(keys: DataFrame, width: int) -> Bits:
-    """The bits of the column ``first``, put together by Spark in pieces of 4 KB; at most ``2**width`` bits reach the driver."""
+    """The bits of some phrases, put together by Spark in pieces of 4 KB; at most ``2**width`` bits reach the driver."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_folded(_unsigned(batch)).view(np.int64))], names=["first"])
+
+    first = keys.select(*_HASHES).mapInArrow(fold, "first bigint")
     places = F.array(F.shiftrightunsigned("first", 64 - width), F.col("first").bitwiseAND(F.lit((1 << width) - 1)))
-    place = keys.select(F.explode(places).alias("place"))
+    place = first.select(F.explode(places).alias("place"))
     # A page of bits: 32,768 of them.
     pages = place.groupBy(F.shiftright("place", 15).alias("page")).agg(
         F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(32767))).alias("bits")
@@ -85,44 +103,21 @@ def bits_of(keys: DataFrame, width: int) -> Bits:
     return Bits(width, data)
 
 
-@functools.lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64."""
-    bases = _ODD[0], np.uint64(pow(int(_ODD[0]), -1, 1 << 64))
-    both = [np.concatenate([[np.uint64(1)], np.full(size - 1, base)]) for base in bases]
-    return np.multiply.accumulate(both[0]), np.multiply.accumulate(both[1])
-
-
-def _second_hashes(words: Words) -> np.ndarray:
-    """A hash of each word that has nothing to do with `Words.hashes`."""
-    size = len(words.data)
-    up, down = _powers(1 << (size + 1).bit_length())
-    sums = np.zeros(size + 1, dtype=np.uint64)
-    np.cumsum(_SECOND[words.data] * up[:size], out=sums[1:])
-    return mixed((sums[words.ends] - sums[words.starts]) * down[words.starts])
-
-
 class Phrases:
     """All phrases of a run of texts, by their first word; those at a border of texts or pieces are not whole."""
 
     def __init__(self, words: Words, langs: np.ndarray):
         doc = words.doc_of()
-        self.lang = doc
-        salt = langs[doc]
-        self.one = mixed(words.hashes() ^ salt), mixed(_second_hashes(words) ^ salt)
+        self.doc, self.salt = doc, langs[doc]
+        # 0 stands for no word.
+        self.one = np.maximum(mixed(words.hashes() ^ self.salt), np.uint64(1))
         cuts = np.cumsum(_CUT[words.data])
         # Pieces are numbered on through all texts, so one number tells both.
         self.piece = (cuts[words.starts] if len(words) else cuts[:0]) + doc * (len(words.data) + 1)
 
-    def keys(self, size: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Both hashes of the phrases of ``size`` words at some places. The last two bits of the second are ``size - 1``."""
-        out = []
-        for hashes, odd in zip(self.one, _ODD, strict=True):
-            h = hashes[at].copy()
-            for j in range(1, size):
-                h = h * odd + hashes[at + j]
-            out.append(mixed(h ^ np.uint64(size)))
-        return out[0], (out[1] & _ALL) | np.uint64(size - 1)
+    def hashes(self, size: int, at: np.ndarray) -> list[np.ndarray]:
+        none = np.zeros(len(at), dtype=np.uint64)
+        return [self.one[at + j] if j < size else none for j in range(4)]
 
     def whole(self, size: int) -> np.ndarray:
         n = len(self.piece) - size + 1
@@ -130,33 +125,43 @@ class Phrases:
             return np.zeros(0, dtype=bool)
         return self.piece[:n] == self.piece[size - 1 :]
 
-    def levels(self, longest: int, proposed: Bits | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each size: places of phrases with proposed parts, their hashes, and whether they are proposed themselves."""
+    def levels(self, longest: int, proposed: Bits | None) -> Iterator[tuple[int, np.ndarray]]:
+        """For each size the places of phrases whose parts of one word less are proposed."""
         member = None
         for size in range(1, longest + 1):
             fits = self.whole(size)
             if member is not None:
                 fits &= member[: len(fits)] & member[1 : len(fits) + 1]
             at = np.flatnonzero(fits)
-            first, second = self.keys(size, at)
-            here = np.ones(len(at), dtype=bool) if proposed is None else proposed.has(first)
-            yield size, at, first, second, here
+            yield size, at
             member = np.zeros(len(self.piece) + 1, dtype=bool)
-            member[at[here]] = True
+            if size < longest:
+                here = slice(None) if proposed is None else proposed.has(_folded(self.hashes(size, at)))
+                member[at[here]] = True
 
 
-_COUNTS = pa.schema([("first", pa.int64()), ("second", pa.int64()), ("n", pa.int64())])
+_HASHES = ["h1", "h2", "h3", "h4"]
+_COUNTS = pa.schema([*[(h, pa.int64()) for h in _HASHES], ("n", pa.int64())])
+_SHAPE = "h1 bigint, h2 bigint, h3 bigint, h4 bigint, n bigint"
+#: Words of a phrase by its hashes; a single word has its language in the last place.
+_SIZE = "CASE WHEN h2 = 0 THEN 1 WHEN h3 = 0 THEN 2 WHEN h4 = 0 THEN 3 ELSE 4 END"
 
 
-def _added(first: np.ndarray, second: np.ndarray) -> pa.RecordBatch:
+def _added(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
     """One row for each key, with the number of times it is there."""
+    hashes = [np.concatenate([p[i] for p in parts]) for i in range(4)]
+    parts.clear()
+    first = _folded(hashes)
     order = np.argsort(first)
-    first, second = first[order], second[order]
-    starts = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+    first = first[order]
+    starts = np.concatenate([[True], first[1:] != first[:-1]])
+    # Different phrases of one fold: told apart by the hashes themselves.
+    for h in hashes:
+        starts[1:] |= h[order[1:]] != h[order[:-1]]
+    starts = np.flatnonzero(starts)
     counts = np.diff(np.concatenate([starts, [len(first)]]))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(first[starts].view(np.int64)), pa.array(second[starts].view(np.int64)), pa.array(counts)], schema=_COUNTS
-    )
+    columns = [pa.array(h[order[starts]].view(np.int64)) for h in hashes]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(counts)], schema=_COUNTS)
 
 
 def _lang_hashes(batch: pa.RecordBatch) -> np.ndarray:
@@ -174,55 +179,60 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, W
 
 
 def _counted(texts: DataFrame, longest: int, proposed, before) -> DataFrame:
-    """``first``, ``second`` and ``n`` of all phrases whose parts are proposed, but not those whose parts were so ``before``.
-    Bit 2 of ``second`` tells whether the phrase itself is proposed."""
+    """``h1`` to ``h4`` and ``n`` of all phrases whose parts are proposed, but not those whose parts were so ``before``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, then = (None if b is None else b.value for b in (proposed, before))
-        firsts, seconds, held = [], [], 0
+        parts, held = [], 0
         for _, _, phrases in _runs(batches):
-            old = None if then is None else [at for _, at, *_ in phrases.levels(longest, then)]
-            for size, at, first, second, here in phrases.levels(longest, now):
-                second = second | (here.astype(np.uint64) << np.uint64(2))
+            old = None if then is None else [at for _, at in phrases.levels(longest, then)]
+            for size, at in phrases.levels(longest, now):
                 if old is not None:
-                    new = ~np.isin(at, old[size - 1], assume_unique=True)
-                    first, second = first[new], second[new]
-                firsts.append(first)
-                seconds.append(second)
-                held += len(first)
+                    at = at[~np.isin(at, old[size - 1], assume_unique=True)]
+                if len(at):
+                    hashes = phrases.hashes(size, at)
+                    if size == 1:
+                        hashes[3] = phrases.salt[at]
+                    parts.append(hashes)
+                    held += len(at)
             if held > GATHERED:
-                first, second = np.concatenate(firsts), np.concatenate(seconds)
-                firsts, seconds, held = [], [], 0
-                yield _added(first, second)
-        if held:
-            yield _added(np.concatenate(firsts), np.concatenate(seconds))
+                held = 0
+                yield _added(parts)
+        if parts:
+            yield _added(parts)
+
+    return texts.mapInArrow(run, _SHAPE).groupBy(*_HASHES).agg(F.sum("n").alias("n"))
+
+
+def _unproposed(keys: DataFrame, proposed) -> DataFrame:
+    """Phrases that are not proposed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~proposed.value.has(_folded(_unsigned(batch)))))
 
-    found = texts.mapInArrow(run, "first bigint, second bigint, n bigint")
-    return found.groupBy("first", "second").agg(F.sum("n").alias("n"))
+    return keys.mapInArrow(run, _SHAPE)
 
 
 def frequent_keys(texts: DataFrame, support: int, longest: int, share: float) -> DataFrame:
-    """Keys and exact counts of all phrases of up to ``longest`` words that occur ``support`` times or more."""
-    spark = texts.sparkSession
-    context = spark.sparkContext
+    """Hashes and exact counts of all phrases of up to ``longest`` words that occur ``support`` times or more."""
+    context = texts.sparkSession.sparkContext
     sample = texts.where(draw(SEED, "lang", "text") < share)
     lowered = max(2, int(support * share * LOWERED))
     sampled = stored(_counted(sample, longest - 1, None, None).where(F.col("n") >= lowered), "sampled-phrases")
     width = bits_width(sampled.count())
-    proposed, before, tables = bits_of(sampled, width), None, []
+    proposed, before, tables = context.broadcast(bits_of(sampled, width)), None, []
     while True:
-        sent = [None if b is None else context.broadcast(b) for b in (proposed, before)]
-        found = _counted(texts, longest, *sent).where(F.col("n") >= support)
+        found = _counted(texts, longest, proposed, before).where(F.col("n") >= support)
         tables.append(stored(found, "frequent-phrases"))
         # Not proposed, and short enough to be part of others: the border failed.
-        missed = tables[-1].where((F.col("second").bitwiseAND(F.lit(4)) == 0) & (F.col("second").bitwiseAND(F.lit(3)) < longest - 1))
-        failures = missed.count()
-        for b in sent:
-            if b is not None:
-                b.unpersist()
-        if not failures:
+        missed = _unproposed(tables[-1].where(F.expr(_SIZE) < longest), proposed)
+        if before is not None:
+            before.unpersist()
+        if missed.isEmpty():
             break
-        proposed, before = proposed.joined(bits_of(missed, width)), proposed
+        proposed, before = context.broadcast(proposed.value.joined(bits_of(missed, width))), proposed
+    proposed.unpersist()
     out = tables[0]
     for table in tables[1:]:
         out = out.unionAll(table)
@@ -230,10 +240,13 @@ def frequent_keys(texts: DataFrame, support: int, longest: int, share: float) ->
 
 
 def _named(texts: DataFrame, keys: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
-    """``lang``, ``phrase``, ``size`` and count ``a`` of the phrases of some keys, and the number ``n`` of words of each language."""
-    context = texts.sparkSession.sparkContext
-    sent = context.broadcast(bits_of(keys, bits_width(keys.count())))
-    schema = pa.schema([("first", pa.int64()), ("second", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int64())])
+    """``lang`` and ``phrase`` of some phrases, with all columns of ``keys``; and the number ``n`` of words of each language."""
+    # Sharp enough that hardly any phrase is there by chance.
+    sent = texts.sparkSession.sparkContext.broadcast(bits_of(keys, bits_width(keys.count(), 24)))
+    schema = pa.schema([*[(h, pa.int64()) for h in _HASHES], ("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int64())])
+
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, met = sent.value, np.zeros(0, dtype=np.uint64)
@@ -242,84 +255,101 @@ def _named(texts: DataFrame, keys: DataFrame, longest: int) -> tuple[DataFrame,
             langs = batch.column("lang").slice(words.rows.start, words.rows.stop - words.rows.start).to_pylist()
             for lang, count in zip(langs, np.diff(words.first).tolist(), strict=True):
                 words_in[lang] = words_in.get(lang, 0) + count
-            rows: list[tuple] = []
-            fresh = [met]
-            for size, at, first, second, here in phrases.levels(longest, wanted):
-                at, first, second = at[here], first[here], second[here]
-                first, place = np.unique(first, return_index=True)
-                if len(met):
-                    new = met[np.minimum(np.searchsorted(met, first), len(met) - 1)] != first
-                    first, place = first[new], place[new]
-                fresh.append(first)
-                at = at[place]
-                spans = zip(words.starts[at].tolist(), words.ends[at + size - 1].tolist(), at.tolist(), phrases.lang[at].tolist(), strict=True)
-                raw = words.data.tobytes() if len(at) else b""
-                for (s, e, i, doc), one, two in zip(spans, first.view(np.int64).tolist(), second[place].view(np.int64).tolist(), strict=True):
-                    text = raw[s:e].decode()
-                    text = text if text.count(" ") == size - 1 and "\t" not in text else " ".join(words.text(i, i + size))
-                    rows.append((one, two, langs[doc], text, 0))
+            rows, fresh, raw = [], [met], words.data.tobytes()
+            for size in range(1, longest + 1):
+                at = np.flatnonzero(phrases.whole(size))
+                first = _folded(phrases.hashes(size, at))
+                here = np.flatnonzero(wanted.has(first))
+                first, place = np.unique(first[here], return_index=True)
+                new = ~np.isin(first, met, assume_unique=True)
+                fresh.append(first[new])
+                for i in at[here[place[new]]].tolist():
+                    hashes = [int(h[0].view(np.int64)) for h in phrases.hashes(size, np.array([i]))]
+                    text = raw[words.starts[i] : words.ends[i + size - 1]].decode()
+                    if text.count(" ") != size - 1 or "\t" in text:
+                        text = " ".join(words.text(i, i + size))
+                    rows.append((*hashes, langs[phrases.doc[i]], text, 0))
             met = np.unique(np.concatenate(fresh))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-        totals = [(i, -1, lang, None, n) for i, (lang, n) in enumerate(words_in.items())]
-        if totals:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*totals, strict=True), schema, strict=True)], schema=schema)
-
-    met = texts.mapInArrow(run, "first bigint, second bigint, lang string, phrase string, words bigint")
-    # Keys differ by language already; totals have none.
-    once = met.groupBy("first", "second", "lang").agg(F.min("phrase").alias("phrase"), F.sum("words").alias("words"))
-    plain = keys.select("first", F.col("second").bitwiseAND(F.lit(~4)).alias("second"), F.col("n").alias("a"))
-    joined = once.join(plain, ["first", "second"], "left").where(F.col("a").isNotNull() | F.col("phrase").isNull())
-    size = F.col("second").bitwiseAND(F.lit(3)).cast("int") + 1
-    found = stored(joined.select("lang", "phrase", size.alias("size"), "a", "words"), "named-phrases")
+                yield as_batch(rows)
+        # Totals have no hashes.
+        if words_in:
+            yield as_batch([(0, 0, 0, 0, lang, None, n) for lang, n in words_in.items()])
+
+    shape = ", ".join([*[f"{h} bigint" for h in _HASHES], "lang string, phrase string, words bigint"])
+    once = texts.mapInArrow(run, shape).groupBy(*_HASHES, "lang").agg(
+        F.min("phrase").alias("phrase"), F.max("phrase").alias("other"), F.sum("words").alias("words")
+    )
+    plain = keys.withColumn("h4", F.when(F.col("h2") == 0, 0).otherwise(F.col("h4")))
+    joined = once.join(plain, _HASHES, "left").where(F.col("n").isNotNull() | F.col("phrase").isNull())
+    one = F.when(F.col("phrase") != F.col("other"), F.raise_error(F.lit("two phrases share their hashes"))).otherwise(F.col("phrase"))
+    found = stored(joined.withColumn("phrase", one).drop("other"), "named-phrases")
     totals = found.where(F.col("phrase").isNull()).groupBy("lang").agg(F.sum("words").alias("n"))
     return found.where(F.col("phrase").isNotNull()).drop("words"), totals
 
 
-def phrases(
-    docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: float = SHARE
-) -> tuple[DataFrame, DataFrame]:
-    """All phrases of up to ``longest`` words (4 at most) that occur ``support`` times or more in their language: ``lang``, ``phrase``,
-    ``size`` and count ``a``; and the number ``n`` of all words of each language."""
+def _texts(docs: DataFrame, support: int, longest: int, share: float) -> DataFrame:
     if not 2 <= longest <= 4 or support < 1 or not 0 < share <= 1:
         raise ValueError("2 to 4 words, a support of 1 or more and a share in (0, 1] are asked for")
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    return _named(texts, frequent_keys(texts, support, longest, share), longest)
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
+
+
+def phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: float = SHARE) -> tuple[DataFrame, DataFrame]:
+    """All phrases of up to ``longest`` words (4 at most) that occur ``support`` times or more in their language: ``lang``, ``phrase``,
+    ``size`` and count ``a``; and the number ``n`` of all words of each language."""
+    texts = _texts(docs, support, longest, share)
+    found, totals = _named(texts, frequent_keys(texts, support, longest, share), longest)
+    return found.select("lang", "phrase", F.expr(_SIZE).alias("size"), F.col("n").alias("a")), totals
 
 
-def _part(a, b) -> F.Column:
-    return F.array_join(F.slice("w", a, b), " ")
+def _part(words: str, begin: str, count: str, names: list[str]) -> list[Column]:
+    """Hashes of a part of a phrase, with 0 behind its last word."""
+    return [F.expr(f"CASE WHEN {i} < {count} THEN {words}[{begin} + {i}] ELSE 0L END").alias(n) for i, n in enumerate(names)]
 
 
-def collocations(
-    docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: float = SHARE, covered: int = COVERED
-) -> DataFrame:
-    """Phrases of two words and more with the score of their weakest cut, without those that mostly stand inside longer ones."""
-    found, totals = phrases(docs, support, longest, share)
+def scored_keys(keys: DataFrame, covered: int = COVERED) -> DataFrame:
+    """Phrases of two words and more with the score of their weakest cut, without those that mostly stand inside longer ones:
+    hashes, ``n``, ``l``, ``r``, ``score`` and the hash ``tongue`` of the language."""
     wide = "decimal(38,0)"
-    words = found.withColumn("w", F.split("phrase", " "))
-    candidates = words.where(F.col("size") >= 2)
-    cuts = candidates.select("lang", "phrase", "a", "size", "w", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k")).select(
-        "lang", "phrase", "a", "k", _part(F.lit(1), F.col("k")).alias("left"), _part(F.col("k") + 1, F.col("size") - F.col("k")).alias("right")
-    )
-    left = found.select("lang", F.col("phrase").alias("left"), F.col("a").alias("l"))
-    right = found.select("lang", F.col("phrase").alias("right"), F.col("a").alias("r"))
-    score = F.expr(f"cast(2000000 as {wide}) * a div (cast(l as {wide}) + r)")
-    scored = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).withColumn("score", score)
-    weakest = scored.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    longer = candidates.where(F.col("size") >= 3)
-    places = F.expr("flatten(transform(sequence(2, size - 1), m -> transform(sequence(1, size - m + 1), i -> array_join(slice(w, i, m), ' '))))")
-    inside = longer.select("lang", F.explode(places).alias("phrase"), F.col("a").alias("longer"))
-    hidden = inside.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
-    kept = weakest.join(hidden, ["lang", "phrase"], "left").where(
-        F.expr(f"longer is null or cast(100 as {wide}) * longer < cast({covered} as {wide}) * a")
+    candidates = keys.where("h2 <> 0").withColumns({"size": F.expr(_SIZE), "w": F.array(*_HASHES)})
+    cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
+    cuts = cuts.select(*_HASHES, "n", "k", *_part("w", "0", "k", ["x1", "x2", "x3"]), *_part("w", "k", "(size - k)", ["y1", "y2", "y3"]))
+    # Parts have three words at most; the last place of single words is their language.
+    single = F.col("h2") == 0
+    parts = keys.where((F.col("h4") == 0) | single)
+    left = parts.select(*[F.col(h).alias(f"x{i}") for i, h in enumerate(_HASHES[:3], 1)], F.col("n").alias("l"), F.when(single, F.col("h4")).alias("tongue"))
+    right = parts.select(*[F.col(h).alias(f"y{i}") for i, h in enumerate(_HASHES[:3], 1)], F.col("n").alias("r"))
+    score = F.expr(f"cast(2000000 as {wide}) * n div (cast(l as {wide}) + r)")
+    scored = cuts.join(left, ["x1", "x2", "x3"]).join(right, ["y1", "y2", "y3"]).withColumn("score", score)
+    # The first cut has a single word in front, which knows the language.
+    weakest = scored.groupBy(*_HASHES, "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"), F.max("tongue").alias("tongue"))
+    longer = candidates.where("size > 2").withColumn("m", F.explode(F.sequence(F.lit(2), F.col("size") - 1)))
+    longer = longer.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("size") - F.col("m"))))
+    inside = longer.select(*_part("w", "i", "m", _HASHES), F.col("n").alias("longer"))
+    hidden = inside.groupBy(*_HASHES).agg(F.max("longer").alias("longer"))
+    kept = weakest.join(hidden, _HASHES, "left").where(
+        F.expr(f"longer is null or cast(100 as {wide}) * longer < cast({covered} as {wide}) * n")
     )
-    named = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    return kept.select(*_HASHES, "n", "cut.l", "cut.r", "cut.score", "tongue")
+
+
+def collocations(
+    docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: float = SHARE, covered: int = COVERED, best: int | None = None
+) -> DataFrame:
+    """Phrases with the score of their weakest cut; with ``best`` only as many of each language, and those that tie with the
+    last of them in score and count. Texts are fetched for these alone."""
+    texts = _texts(docs, support, longest, share)
+    scored = scored_keys(frequent_keys(texts, support, longest, share), covered)
+    if best is not None:
+        order = Window.partitionBy("tongue").orderBy(F.col("score").desc(), F.col("n").desc())
+        scored = scored.withColumn("place", F.rank().over(order)).where(F.col("place") <= best).drop("place")
+    found, totals = _named(texts, stored(scored, "scored-phrases"), longest)
+    named = found.select("lang", "phrase", F.col("n").alias("a"), "l", "r", "score")
     return named.join(totals, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
 
 
 def best_collocations(docs: DataFrame, best: int = BEST, **settings) -> DataFrame:
     """The ``best`` `collocations` of each language, by score, count and phrase."""
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = collocations(docs, **settings).withColumn("rank", F.row_number().over(order).cast("bigint"))
+    ranked = collocations(docs, best=best, **settings).withColumn("rank", F.row_number().over(order).cast("bigint"))
     return ranked.where(F.col("rank") <= best).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
