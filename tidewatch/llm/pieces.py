@@ -5,7 +5,8 @@
    text that it comes from.
 2. The normalised text is cut where no piece of the vocabulary reaches across (in front of a run of blanks, and
    around characters that are in no longer piece), so merges on both sides do not see each other. A worker merges
-   each different cut once and remembers its pieces, up to ``REMEMBERED`` of them; this changes the work only.
+   each different cut once, many at a time, and remembers its pieces, up to ``REMEMBERED`` of them; this changes the
+   work only.
 3. Pieces of all cuts are gathered with NumPy. Their sizes, added up, give places in the normalised text, and the
    remembered bytes turn these into spans of the text.
 
@@ -26,7 +27,6 @@ import heapq
 import os
 import re
 import struct
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -264,6 +264,96 @@ def _first_place(model: Model, data: np.ndarray) -> int:
     return int(starts[heading]) if heading < len(starts) else len(data)
 
 
+class _Growing:
+    """Numbers that are appended in runs."""
+
+    def __init__(self, kind: type):
+        self.held, self.size = np.zeros(1 << 16, dtype=kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        while self.size + len(values) > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros_like(self.held)])
+        self.held[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+
+class Merges:
+    """Joins neighbours, best score and leftmost first, as long as they form a piece: of many cuts at a time.
+
+    Signs are pieces and the characters in them, by number; a table of all pairs that form a piece gives its rank.
+    Each round does the best join of every cut that has one.
+    """
+
+    NONE = 1 << 30
+
+    def __init__(self, rank: dict[str, float]):
+        signs = list(rank)
+        number = {p: i for i, p in enumerate(signs)}
+        for c in sorted({c for p in rank for c in p}):
+            if c not in number:
+                number[c] = len(signs)
+                signs.append(c)
+        self.signs, self.number = signs, number
+        order = {score: i for i, score in enumerate(sorted(set(rank.values())))}
+        pairs = {}
+        for piece, score in rank.items():
+            for i in range(1, len(piece)):
+                left, right = number.get(piece[:i]), number.get(piece[i:])
+                if left is not None and right is not None:
+                    pairs[left * len(signs) + right] = (order[score], number[piece])
+        self.keys = np.array(sorted(pairs), dtype=np.int64)
+        self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], dtype=np.int64)
+        self.wholes = np.array([pairs[k][1] for k in self.keys.tolist()], dtype=np.int64)
+        single = [(ord(p), i) for p, i in number.items() if len(p) == 1]
+        self.table = np.full(0x110000, -1, dtype=np.int32)
+        if single:
+            points, numbers = zip(*single, strict=True)
+            self.table[list(points)] = numbers
+
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and number of what two signs form; ``NONE`` if that is no piece."""
+        if not len(self.keys):
+            return np.full(len(left), self.NONE), np.zeros(len(left), np.int64)
+        key = left * len(self.signs) + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        fits = (self.keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(fits, self.ranks[at], self.NONE), self.wholes[at]
+
+    def joined(self, points: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Signs of the pieces, the place of the first character of each, and its cut. Cuts come one after another."""
+        sign, place = self.table[points].astype(np.int64), np.arange(len(points))
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        rank, whole = np.full(len(sign), self.NONE), np.zeros(len(sign), np.int64)
+        inner = np.flatnonzero(cut[1:] == cut[:-1])
+        rank[inner], whole[inner] = self._look_up(sign[inner], sign[inner + 1])
+        while len(sign):
+            starts = np.flatnonzero(np.concatenate([[True], cut[1:] != cut[:-1]]))
+            best = np.minimum.reduceat((rank << 32) | np.arange(len(rank)), starts)
+            live = best < self.NONE << 32
+            if 2 * np.count_nonzero(live) <= len(live):
+                # Cuts without a join are done and leave.
+                stays = np.repeat(live, np.diff(np.concatenate([starts, [len(sign)]])))
+                done.append((sign[~stays], place[~stays], cut[~stays]))
+                sign, place, cut, rank, whole = (a[stays] for a in (sign, place, cut, rank, whole))
+                continue
+            at = best[live] & 0xFFFFFFFF
+            sign[at] = whole[at]
+            rest = np.ones(len(sign), dtype=bool)
+            rest[at + 1] = False
+            at = at - np.arange(len(at))
+            sign, place, cut, rank, whole = (a[rest] for a in (sign, place, cut, rank, whole))
+            # The joined sign has new neighbours on both sides.
+            changed = np.concatenate([at, at[at > 0] - 1])
+            last = changed + 1 >= len(sign)
+            last[~last] = cut[changed[~last]] != cut[changed[~last] + 1]
+            # A neighbour of the cut in front stays as it is: its last sign has no pair.
+            rank[changed[last]] = self.NONE
+            pair = changed[~last]
+            rank[pair], whole[pair] = self._look_up(sign[pair], sign[pair + 1])
+        order = np.argsort(np.concatenate([d[1] for d in done])) if done else np.zeros(0, np.int64)
+        return tuple(np.concatenate([d[i] for d in done])[order] if done else order for i in range(3))
+
+
 class Encoder:
     """Cuts of normalised texts and their pieces, merged when first met."""
 
@@ -273,62 +363,71 @@ class Encoder:
         self.rank = {p: -model.scores[i] for p, i in named.items()}
         self.id = named
         self.unknown = model.types.index(UNKNOWN) if UNKNOWN in model.types else 0
-        self.bytes = [model.id_of(f"<0x{b:02X}>", BYTE) for b in range(256)] if model.byte_fallback else None
+        self.bytes = np.array([model.id_of(f"<0x{b:02X}>", BYTE) for b in range(256)]) if model.byte_fallback else None
+        self.merges = Merges(self.rank)
+        signs = self.merges.signs
+        self.sign_id = np.array([named.get(p, -1) for p in signs], dtype=np.int64)
+        self.sign_size = np.array([len(p.encode()) for p in signs], dtype=np.int64)
+        self.blank_signs = np.array([p.count(BLANK) for p in signs], dtype=np.int64)
         longer = [p for p in named if len(p) > 1]
         inner = any(BLANK in p.lstrip(BLANK) for p in longer)
         joined = re.escape("".join(sorted({c for p in longer for c in p} - {BLANK})))
         #: A blank inside a piece would join cuts: such a model's texts are not cut.
         self.cut = re.compile("(?s).+" if inner or not joined else f"[^{joined}{BLANK}]|{BLANK}*[{joined}]+|{BLANK}+").findall
+        #: The text is normalised by putting signs for blanks alone.
+        self.plain = model.chars is None and model.dummy and model.escape and not model.squeeze and not model.suffix
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.ids, self.sizes, self.first = array("i"), array("i"), array("q", [0])
-
-    def numbers(self, cuts: list[str]) -> np.ndarray:
-        known, out = self.number, []
-        for cut in cuts:
-            at = known.get(cut)
-            if at is None:
-                at = known[cut] = len(known)
-                self._merge(cut)
-            out.append(at)
-        return np.array(out, dtype=np.int64)
-
-    def _merge(self, cut: str) -> None:
-        """Join neighbours, best score and leftmost first, as long as they form a piece."""
-        part = list(cut)
-        (self._join_few if len(part) <= 64 else self._join_many)(part)
-        for piece in part:
-            if piece is None:
-                continue
-            found, raw = self.id.get(piece), piece.encode()
-            if found is not None or self.bytes is None:
-                self.ids.append(self.unknown if found is None else found)
-                self.sizes.append(len(raw))
-            else:
-                # Only the last byte of an unknown character holds its span.
-                self.ids.extend([self.bytes[b] for b in raw])
-                self.sizes.extend([0] * (len(raw) - 1) + [len(raw)])
-        self.first.append(len(self.ids))
-
-    def _join_few(self, part: list) -> None:
-        rank, none = self.rank.get, float("inf")
-        scores = [rank(a + b, none) for a, b in zip(part, part[1:], strict=False)]
-        while scores:
-            best = min(scores)
-            if best == none:
-                return
-            i = scores.index(best)
-            part[i : i + 2] = [part[i] + part[i + 1]]
-            del scores[i]
-            if i < len(scores):
-                scores[i] = rank(part[i] + part[i + 1], none)
-            if i:
-                scores[i - 1] = rank(part[i - 1] + part[i], none)
-
-    def _join_many(self, part: list) -> None:
-        """The same from a heap, in n log n; joined parts leave a gap."""
+        self.ids, self.sizes, self.blanks, self.counts = (_Growing(np.int64) for _ in range(4))
+
+    def _learn(self, cuts: list[str]) -> None:
+        """Merge cuts never met before, the long ones each on its own."""
+        self.number.update(zip(cuts, range(len(self.number), len(self.number) + len(cuts)), strict=True))
+        points = np.frombuffer("".join(cuts).encode("utf-32-le"), dtype=np.uint32)
+        lengths = np.array([len(c) for c in cuts])
+        cut = np.repeat(np.arange(len(cuts)), lengths)
+        long = np.flatnonzero(lengths > 64)
+        short = np.flatnonzero(~np.isin(cut, long)) if len(long) else np.arange(len(points))
+        sign, place, of = self.merges.joined(points[short], cut[short])
+        place = short[place]
+        if len(long):
+            extra = [self._join_many(points[cut == i]) for i in long.tolist()]
+            begins = np.concatenate([[0], np.cumsum(lengths)])
+            sign = np.concatenate([sign, *[e[0] for e in extra]])
+            place = np.concatenate([place, *[e[1] + begins[i] for e, i in zip(extra, long.tolist(), strict=True)]])
+            order = np.argsort(place)
+            sign, place = sign[order], place[order]
+            of = cut[place]
+        known = (sign >= 0) & (self.sign_id[sign] >= 0)
+        ids, sizes = np.where(known, self.sign_id[sign], self.unknown), np.where(known, self.sign_size[sign], 0)
+        blanks = np.where(known, self.blank_signs[sign], 0)
+        odd = np.flatnonzero(~known)
+        if len(odd):
+            raw = [chr(p).encode() for p in points[place[odd]].tolist()]
+            sizes[odd] = [len(r) for r in raw]
+            blanks[odd] = [r == _BLANK_BYTES.tobytes() for r in raw]
+            if self.bytes is not None:
+                # Bytes of an unknown character; only the last holds its span.
+                copies = np.ones(len(ids), dtype=np.int64)
+                copies[odd] = [len(r) for r in raw]
+                last = np.cumsum(copies) - 1
+                spread = np.zeros(int(copies.sum()), dtype=np.int64)
+                wide = {name: spread.copy() for name in ("ids", "sizes", "blanks")}
+                wide["ids"], of = np.repeat(ids, copies), np.repeat(of, copies)
+                wide["sizes"][last], wide["blanks"][last] = sizes, blanks
+                inside = np.concatenate([np.arange(at - len(r) + 1, at + 1) for at, r in zip(last[odd].tolist(), raw, strict=True)])
+                wide["ids"][inside] = self.bytes[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+                ids, sizes, blanks = wide["ids"], wide["sizes"], wide["blanks"]
+        self.ids.extend(ids)
+        self.sizes.extend(sizes)
+        self.blanks.extend(blanks)
+        self.counts.extend(np.bincount(of, minlength=len(cuts)))
+
+    def _join_many(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The joins of one long cut from a heap, in n log n; joined parts leave a gap."""
+        part: list[str | None] = [chr(p) for p in points.tolist()]
         size = len(part)
         before, after = list(range(-1, size - 1)), [*range(1, size), -1]
         rank, heap = self.rank, []
@@ -356,36 +455,53 @@ class Encoder:
                 score = rank.get(part[leader] + whole)
                 if score is not None:
                     heapq.heappush(heap, (score, leader, left, length + len(part[leader])))
+        places = [i for i, p in enumerate(part) if p is not None]
+        return np.array([self.merges.number.get(part[i], -1) for i in places], dtype=np.int64), np.array(places)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids, begins and ends of the pieces of some texts, and each text's first piece (and the end of all)."""
-        if len(self.number) > REMEMBERED or len(self.ids) > 16 * REMEMBERED:
+        if len(self.number) > REMEMBERED or self.ids.size > 16 * REMEMBERED:
             self.forget()
-        plain = self.model.chars is None and self.model.dummy and self.model.escape
-        plain = plain and not self.model.squeeze and not self.model.suffix
-        codes, per_text, sources = [], [], []
+        # A sign for a blank that stands in the text itself has three bytes there, not one.
+        plain = self.plain and not any(BLANK in t for t in texts)
+        sources, cuts, per_text = [], [], []
         for text in texts:
-            out, source = normalised(self.model, text)
-            sources.append(source)
-            shown = (BLANK + text.replace(" ", BLANK) if text else "") if plain else out.tobytes().decode()
-            cuts = self.cut(shown)
-            codes.append(self.numbers(cuts))
-            per_text.append(len(cuts))
-        code = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-        first = np.array(self.first, dtype=np.int64)
-        count = (first[1:] - first[:-1])[code]
+            if plain:
+                shown = BLANK + text.replace(" ", BLANK) if text else ""
+            else:
+                out, source = normalised(self.model, text)
+                sources.append(source)
+                shown = out.tobytes().decode()
+            own = self.cut(shown)
+            cuts += own
+            per_text.append(len(own))
+        codes = list(map(self.number.get, cuts))
+        if None in codes:
+            self._learn(list(dict.fromkeys(c for c, n in zip(cuts, codes, strict=True) if n is None)))
+            codes = list(map(self.number.get, cuts))
+        code = np.array(codes, dtype=np.int64)
+        counts = self.counts.held[: self.counts.size]
+        first = np.cumsum(counts) - counts
+        count = counts[code]
         ends = np.cumsum(count)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[:-1][code] - (ends - count), count)
-        ids, sizes = np.array(self.ids, dtype=np.int32)[places], np.array(self.sizes, dtype=np.int64)[places]
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[code] - (ends - count), count)
+        ids, sizes = self.ids.held[places], self.sizes.held[places]
         cut_at = np.concatenate([[0], np.cumsum(per_text)]).astype(np.int64)
         begin = np.concatenate([[0], ends])[cut_at]
+        if plain:
+            sizes = sizes - 2 * self.blanks.held[places]
         if self.bytes is None:
             ids, sizes, begin = self._unknown_joined(ids, sizes, begin)
-        # Places in all normalised texts one after another, each followed by its end.
-        shift = np.cumsum([0] + [len(s) for s in sources])[:-1]
         stop = np.cumsum(sizes)
         base = np.concatenate([[0], stop])[begin[:-1]]
-        move = np.repeat(shift - base, np.diff(begin))
+        pieces = np.diff(begin)
+        if plain:
+            # The sign in front is no byte of the text.
+            stop = stop - np.repeat(base + 1, pieces)
+            return ids, np.maximum(stop - sizes, 0), stop, begin
+        # Places in all normalised texts one after another, each followed by its end.
+        shift = np.cumsum([0] + [len(s) for s in sources])[:-1]
+        move = np.repeat(shift - base, pieces)
         every = np.concatenate(sources) if sources else np.zeros(0, np.int64)
         return ids, every[stop - sizes + move], every[stop + move], begin
 
@@ -460,13 +576,15 @@ def _texts(column: pa.Array) -> list[str]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def encoded(docs: DataFrame, model: bytes, bos: bool = False, eos: bool = True) -> DataFrame:
-    """``doc_id``, ``ids``, and ``begins`` and ``ends`` of every piece, in bytes of the text."""
+def encoded(docs: DataFrame, model: bytes, bos: bool = False, eos: bool = True, decode: bool = False) -> DataFrame:
+    """``doc_id``, ``ids``, and ``begins`` and ``ends`` of every piece, in bytes of the text; with ``decode`` also the
+    ``decoded`` text of the ids, which then need not travel once more."""
     read = Model.read(model)
     first = read.id_of("<s>", CONTROL) if bos else None
     last = read.id_of("</s>", CONTROL) if eos else None
     whole = pa.list_(pa.int32())
     out = pa.schema([("doc_id", pa.int64()), ("ids", whole), ("begins", whole), ("ends", whole)])
+    out = out.append(pa.field("decoded", pa.string())) if decode else out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model)
@@ -484,9 +602,13 @@ def encoded(docs: DataFrame, model: bytes, bos: bool = False, eos: bool = True)
                     ids, begins, ends = (np.insert(a, at[:-1], v) for a, v in ((ids, first), (begins, 0), (ends, 0)))
                     at = at + np.arange(len(at))
                 lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(a, pa.int32())) for a in (ids, begins, ends)]
+                if decode:
+                    back, whole_ids = _decoder(model).decode, ids.tolist()
+                    lists.append(pa.array([back(whole_ids[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.string()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.start, len(texts)), *lists], schema=out)
 
-    return id_and_text(docs).mapInArrow(run, "doc_id bigint, ids array<int>, begins array<int>, ends array<int>")
+    shape = "doc_id bigint, ids array<int>, begins array<int>, ends array<int>" + ", decoded string" * decode
+    return id_and_text(docs).mapInArrow(run, shape)
 
 
 def decoded(found: DataFrame, model: bytes) -> DataFrame:
@@ -509,7 +631,7 @@ def decoded(found: DataFrame, model: bytes) -> DataFrame:
 
 def round_trips(docs: DataFrame, model: bytes) -> DataFrame:
     """Number and digest of the ids of each text, with an end id, and the digest of what they decode to."""
-    found = decoded(encoded(docs, model), model)
+    found = encoded(docs, model, decode=True)
     return found.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
