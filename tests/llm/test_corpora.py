@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -76,20 +77,68 @@ def test_a_full_bitmap_changes_nothing(spark, documents, monkeypatch):
 
 
 def brute_lines(docs, least):
-    sites, first = {}, {}
+    """Rows are documents, equal ones a single document; which of one id is first is left open (by its text and source)."""
+    sites, holders = {}, {}
     bare = lambda x: x.strip(" \t\x0b\x0c\r")
     for doc_id, text, source in docs:
         for x in {bare(x) for x in (text or "").split("\n")} - {""}:
             sites.setdefault(x, set()).add(source)
-            if doc_id is not None:
-                first[x] = min(first.get(x, doc_id), doc_id)
-    out = []
-    for doc_id, text, _ in docs:
-        full = [x for x in (text or "").split("\n") if bare(x)]
-        gone = {x for x in full if len(sites[bare(x)]) >= least and (doc_id is None or doc_id != first.get(bare(x)))}
-        kept = None if text is None else "\n".join(x for x in text.split("\n") if x not in gone)
-        out.append((doc_id, kept, len(full), sum(x in gone for x in full)))
-    return out
+            holders.setdefault(x, set()).add((doc_id is None, doc_id or 0, source, text))
+    gone = {x for x, s in sites.items() if len(s) >= least}
+    return bare, gone, holders
+
+
+def check_lines(rows, made, least):
+    """Each row has a line of its own, by which it is found again."""
+    bare, gone, holders = brute_lines(rows, least)
+    by_last = {(s, (t or "").split("\n")[-1], t is None): (i, t, n, m) for i, s, t, n, m in made}
+    assert len(made) == len(rows)
+    kept_in = Counter()
+    for doc_id, text, source in rows:
+        found_id, found, n_lines, n_removed = by_last[source, (text or "").split("\n")[-1], text is None]
+        assert found_id == doc_id
+        if text is None:
+            assert (found, n_lines, n_removed) == (None, 0, 0)
+            continue
+        all_lines = text.split("\n")
+        full = [x for x in all_lines if bare(x)]
+        left = Counter(bare(x) for x in found.split("\n") if bare(x))
+        # A line goes from a row as a whole, and never without being boilerplate.
+        for x, n in Counter(map(bare, full)).items():
+            assert left[x] in (0, n) and (left[x] == n or x in gone)
+            kept_in[x] += left[x] > 0 and x in gone
+        removed = {x for x in map(bare, full) if not left[x]}
+        assert found == "\n".join(x for x in all_lines if bare(x) not in removed)
+        assert (n_lines, n_removed) == (len(full), sum(bare(x) in removed for x in full))
+        # Whoever keeps a boilerplate line has the smallest id of all that hold it, null last.
+        for x in set(map(bare, full)) & gone - removed:
+            assert (doc_id is None, doc_id or 0) == min(holders[x])[:2]
+    assert all(kept_in[x] == 1 for x in gone)
+
+
+def test_boilerplate_of_documents_without_ids(documents):
+    """Twelve sites share a line; ids are missing, all the same, or null and one."""
+    for ids in ([None] * 12, [7] * 12, [None] * 11 + [3], list(range(12))):
+        rows = [(i, f"shared line\nown {n}", f"s{n}") for n, i in enumerate(ids)]
+        made = lines.without_boilerplate(documents([(i, t, "en", s) for i, t, s in rows]), counts=True)
+        found = made.select("doc_id", "source", "text", "n_lines", "n_removed").collect()
+        check_lines(rows, [tuple(r) for r in found], 10)
+        assert sum(r["n_removed"] for r in found) == 11
+
+
+def test_equal_rows_are_one_document(documents):
+    rows = [(i % 10, f"shared line\nown {i % 10}", f"s{i % 10}") for i in range(20)]
+    made = lines.without_boilerplate(documents([(i, t, "en", s) for i, t, s in rows]), counts=True).collect()
+    assert sum(r["n_removed"] for r in made) == 18 and {r["doc_id"] for r in made if not r["n_removed"]} == {0}
+
+
+def test_very_many_boilerplate_lines(documents):
+    """Twenty thousand lines go from each of eleven texts, in proportion to their number."""
+    body = "\n".join(f"line {k}" for k in range(20_000))
+    began = time.time()
+    made = lines.without_boilerplate(documents([(i, body, "en", f"s{i}") for i in range(12)]), counts=True)
+    assert {r["n_removed"] for r in made.select("n_removed").collect()} == {0, 20_000}
+    assert time.time() - began < 120
 
 
 @pytest.mark.parametrize("least", [2, 5, 9])
@@ -100,9 +149,9 @@ def test_lines_by_sites(documents, least):
         for i in range(90)
     ]
     rows += [(200, None, "s1"), (201, "a\n" * 3000, None), (None, "a\nb", "s2"), (3, rows[3][1], rows[3][2]), (4, "a", "s9")]
+    rows = [(i, None if t is None else f"{t}\nrow {n}", s) for n, (i, t, s) in enumerate(rows)]
     made = lines.without_boilerplate(documents([(i, t, "en", s, len(t or "")) for i, t, s in rows]), least, counts=True)
-    found = sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in made.collect()), key=key)
-    assert found == sorted(brute_lines(rows, least), key=key)
+    check_lines(rows, [tuple(r) for r in made.select("doc_id", "source", "text", "n_lines", "n_removed").collect()], least)
     assert all(r["n_chars"] == len(r["text"] or "") for r in made.collect())
     assert lines.without_boilerplate(documents([])).count() == 0
     clash = documents([(1, "a", None, "s")]).withColumns({"line": F.lit(1), "gone": F.lit(2), "n_lines": F.lit(3)})
@@ -153,6 +202,23 @@ def test_mixing(spark, documents):
     assert mixing.mixed(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("parts", [64, 3])
+def test_rows_without_or_with_one_id_are_mixed_each(documents, monkeypatch, parts):
+    """Two thousand documents without ids, as many of one id, and as many equal ones, next to a large source."""
+    monkeypatch.setattr(mixing, "PARTS", parts)
+    rows = [(None, f"w{i} " * 10, None, "a") for i in range(2000)] + [(5, f"v{i} " * 10, None, "b") for i in range(2000)]
+    rows += [(None, "same words here", None, "c")] * 2000 + [(i, "x " * 70, None, "d") for i in range(2000)]
+    made = mixing.with_copies(documents(rows)).select("doc.source", "size", "copies", "target").collect()
+    taken, target = Counter(), {r["source"]: r["target"] for r in made}
+    for r in made:
+        taken[r["source"]] += r["size"] * r["copies"]
+    assert len(made) == len(rows)
+    for s in "abcd":
+        assert abs(taken[s] - target[s]) < 0.06 * target[s]
+    again = mixing.with_copies(documents(rows).repartition(7)).select("doc.source", "size", "copies").collect()
+    assert Counter((r["source"], r["copies"]) for r in again) == Counter((r["source"], r["copies"]) for r in made)
+
+
 def brute_repeats(docs, window):
     count = Counter()
     split = [(d, BLANK.findall(t or "")) for d, t in docs]

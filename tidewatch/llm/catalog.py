@@ -87,22 +87,27 @@ _BARE = r"trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13))"
 
 @query(
     rf"""
-    WITH spread AS (
-        SELECT line, min(doc_id) AS first_doc
-        FROM (SELECT doc_id, source, {_BARE} AS line FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS x FROM documents))
-        WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= {lines.MIN_SITES}
+    WITH numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS LAST, source, text) AS rid FROM documents),
+    spread AS (
+        SELECT line, min(rid) AS first_row
+        FROM (SELECT rid, source, {_BARE} AS line FROM (SELECT rid, source, unnest(string_split(text, chr(10))) AS x FROM numbered))
+        WHERE line <> '' GROUP BY line HAVING count(DISTINCT coalesce('s' || source, '')) >= {lines.MIN_SITES}
     ),
     placed AS (
-        SELECT doc_id, p, x, {_BARE} AS line
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS p FROM documents)
+        SELECT rid, p, x, {_BARE} AS line
+        FROM (SELECT rid, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS p FROM numbered)
     ),
     judged AS (
-        SELECT doc_id, p, x, placed.line, first_doc IS NOT NULL AND first_doc <> doc_id AS gone
+        SELECT rid, p, x, placed.line, first_row IS NOT NULL AND first_row <> rid AS gone
         FROM placed LEFT JOIN spread USING (line)
+    ),
+    made AS (
+        SELECT rid, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
+            string_agg(x, chr(10) ORDER BY p) FILTER (NOT gone) AS kept
+        FROM judged GROUP BY rid
     )
-    SELECT doc_id, count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
-        sha256(coalesce(string_agg(x, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
-    FROM judged GROUP BY doc_id
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM numbered LEFT JOIN made USING (rid)
     """
 )
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +134,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     rf"""
     WITH sized AS (
-        SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
+        SELECT doc_id, source, text, row_number() OVER (PARTITION BY doc_id, source, text) AS number,
+            CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
     ),
     totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
     weighed AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM totals),
@@ -151,7 +157,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
     rated AS (
         SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-            CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+            CAST('0x' || substr(md5(concat_ws(':', '{mixing.SEED}', coalesce(CAST(doc_id AS VARCHAR), 'null'),
+                coalesce(md5(text), 'null'), CAST(number AS VARCHAR))), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
         FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
     )
     SELECT doc_id, size, source_size, target,

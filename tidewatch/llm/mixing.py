@@ -6,9 +6,11 @@ among the rest. That end state has one level: a source has ``min(MOST * size, le
 found with running totals over the sources sorted by ``size / weight``.
 
 A document is taken ``floor(rate)`` times, plus once with the probability of the fraction; the draw
-is a hash of seed and id. Rates never exceed `MOST`, so no document is taken more often.
+is a hash of seed, id, text and, among rows equal in id, source and text, their number. Rates never exceed `MOST`, so no
+document is taken more often.
 
-Odd input: a null or blank text has size 0; documents of one id draw alike; a source of size 0 has target 0.
+Odd input: a null or blank text has size 0; rows without an id or with one id draw each on their own, equal rows as well;
+a source of size 0 has target 0.
 """
 
 from __future__ import annotations
@@ -52,10 +54,37 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def draw(doc_id: Column, seed: int = SEED) -> Column:
-    """A number in [0, 1) of 52 bits from the MD5 of seed and id."""
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+#: Rows of one key are numbered in as many parts, so that a key with a third of all rows is no single task's.
+PARTS = 64
+
+
+def draw(doc_id: Column, text: Column, number: Column, seed: int = SEED) -> Column:
+    """A number in [0, 1) of 52 bits from the MD5 of seed, id, text and the number among equal rows."""
+    held = lambda c: F.coalesce(c, F.lit("null"))
+    name = F.concat_ws(":", F.lit(str(seed)), held(doc_id.cast("string")), held(F.md5(text.cast("binary"))), number.cast("string"))
+    return F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Append ``number``, from 1, among rows equal in id, source and text; which of them has which number does not matter.
+
+    Only rows whose key is there more than once are shuffled. Their keys are counted first and written, so that Spark
+    knows the size of that table when it joins it.
+    """
+    keyed = rows.withColumn("key", F.xxhash64("doc_id", "source", F.col("doc.text").cast("string")))
+    again = stored(keyed.groupBy("key").count().where("count > 1").select("key"), "repeated-rows")
+    if again.isEmpty():
+        return rows.withColumn("number", F.lit(1).cast("bigint"))
+    single = keyed.join(again, "key", "left_anti").withColumn("number", F.lit(1).cast("bigint")).drop("key")
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))
+    # Written, so that the parts counted are the parts numbered.
+    several = stored(keyed.join(again, "key", "left_semi").withColumn("part", part), "repeated-texts")
+    sizes = several.groupBy("key", "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("key", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("key", "part").orderBy("key"))
+    placed = several.withColumn("inside", inside).join(offsets, ["key", "part"])
+    return single.unionByName(placed.withColumn("number", F.col("inside") + F.col("offset")).drop("key", "part", "inside", "offset"))
 
 
 def with_copies(docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -69,9 +98,11 @@ def with_copies(docs: DataFrame, seed: int = SEED) -> DataFrame:
     # Written, so that its size is known when the join is planned: a small table of sources is sent to the
     # documents, and texts are not shuffled by a source that may hold a third of them.
     targets = stored(source_targets(rows.select("source", "size")).withColumnRenamed("source", "name"), "targets")
-    met = rows.join(targets, rows["source"].eqNullSafe(targets["name"]))
+    numbered = _numbered(rows)
+    met = numbered.join(targets, numbered["source"].eqNullSafe(targets["name"]))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    more = (draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("bigint")
+    drawn = draw(F.col("doc_id"), F.col("doc.text").cast("string"), F.col("number"), seed)
+    more = (drawn < F.col("rate") - F.floor("rate")).cast("bigint")
     return met.withColumn("rate", rate).select(
         "doc", "doc_id", "size", "source_size", "target", (F.floor("rate") + more).alias("copies")
     )
