@@ -39,9 +39,9 @@ from tidewatch.llm.words import Words, byte_class, mixed, words_of
 SUPPORT, LONGEST, COVERED, BEST = 30, 4, 80, 2000
 #: Share of documents in the sample, what of the support is asked of it, and its seed. They change the work only.
 SHARE, LOWERED, SEED = 1 / 16, 0.75, 11
-MOST_BITS, GATHERED = 1 << 28, 1_000_000
+MOST_BITS, GATHERED = 1 << 28, 300_000
 #: Bytes of text whose words are found at a time; one text is never cut.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 
 _CUTS = frozenset(b".,;:!?\n\x0b\x0c\r")
 _INSIDE = byte_class(lambda b: b not in _CUTS and b not in b" \t")
