@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import numpy as np
 import pytest
@@ -295,3 +296,63 @@ def test_nearest_works_in_slices(monkeypatch):
     assert np.allclose(neighbours._kth_distance(vectors, sample, 5), whole)
     assert np.allclose(np.sort(neighbours._distances(vectors, sample), axis=1)[:, 4], whole)
     assert np.isinf(neighbours._kth_distance(vectors, sample, 31)).all()
+
+
+def test_mean_embedding_of_ragged_vectors_and_null_keys(spark, monkeypatch, capsys):
+    monkeypatch.setattr(aggregates, "HELD", 2)
+    rng = random.Random(1)
+    rows = []
+    for _ in range(2000):
+        vector = None if rng.random() < 0.05 else [None if rng.random() < 0.1 else rng.uniform(-5, 5) for _ in range(rng.choice([0, 3, 3, 5]))]
+        rows.append((rng.choice([None, "a", "b", "hot", "hot"]), rng.choice([1, 2, None]), vector))
+    df = spark.createDataFrame(rows, "k string, `m-x` int, docembed array<float>").repartition(6)
+    made = aggregates.mean_embedding(df, ["k", "m-x"])
+    got = {(r[0], r[1]): (r[2], r[3]) for r in made.collect()}
+    groups = {}
+    for k, m, vector in rows:
+        if vector:
+            groups.setdefault((k, m), []).append(vector)
+    assert set(got) == set(groups)
+    for key, vectors in groups.items():
+        mean, n = got[key]
+        assert len(mean) == max(map(len, vectors)) and n == max(sum(len(v) > i for v in vectors) for i in range(len(mean)))
+        for i, value in enumerate(mean):
+            known = [float(np.float32(v[i])) for v in vectors if len(v) > i and v[i] is not None]
+            assert (value is None and not known) or abs(value - sum(known) / len(known)) < 1e-9
+    aggregates.mean_embedding(df, ["k", "m-x"]).explain()
+    plan = capsys.readouterr().out
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert aggregates.mean_embedding(df.limit(0), ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("keep", ["first", "last"])
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_located_winners_equal_those_of_whole_rows(spark, tmp_path, capsys, keep, broadcast):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, "a", "b", "hot"]), rng.choice([None, 1, 2]), rng.choice([None, 3, 4]), [rng.random()] * 4) for _ in range(500)]
+    rows += rows[:50]
+    spark.createDataFrame(rows, "k string, `k-2` int, o int, v array<double>").repartition(5).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        made = aggregates.dedup_located(df, ["k", "k-2"], [F.col("o")], keep)
+        assert made.columns == df.columns
+        whole = aggregates.dedup(df, ["k", "k-2"], [F.col("o")], keep).select(*[F.col(f"`{c}`") for c in df.columns])
+        assert sorted(map(str, made.collect())) == sorted(map(str, whole.collect()))
+        made.join(made.select("k", F.col("`k-2`").alias("z")).distinct(), "k").explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Nothing wide is aggregated.
+    assert all("min(v" not in line and "_row" not in line for line in capsys.readouterr().out.splitlines() if "SortAggregate" in line)
+    assert aggregates.dedup_located(df.where("k = 'none'"), ["k"], [F.col("o")]).count() == 0
+
+
+def test_any_number_of_countries(spark):
+    many = ";".join(f"1#Land{i}#{chr(65 + i)}{chr(65 + i)}#x" for i in range(12))
+    df = tagging.top_countries(spark.createDataFrame([(1, many), (2, "1#A#AA#"), (3, None)], "id int, V2Locations string"), n=5)
+    assert df.columns[-5:] == [f"country-{i}" for i in range(1, 6)]
+    assert tagging.explode_countries(df).where("id = 1").select("country", "country_idx").collect()[-1] == ("EE", 5)
+    assert [r["id"] for r in df.where(tagging.mentions("EE", 5)).collect()] == [1]
+    assert df.where(~tagging.mentions("EE", 5)).count() == 2
+    assert {r["country"] for r in tagging.seen_countries(df).collect()} == {"AA", "BB", "CC", "DD", "EE"}

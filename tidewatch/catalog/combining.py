@@ -258,7 +258,7 @@ def mean_dataset(spark: SparkSession, sf: str) -> DataFrame:
 )
 def dedup_first(spark: SparkSession, sf: str) -> DataFrame:
     events = tables.table(spark, sf, "events")
-    kept = aggregates.dedup(events, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
+    kept = aggregates.dedup_located(events, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")])
     return kept.select("event_id", "user_id", "event_type", F.round("value", 6).alias("value"))
 
 
@@ -268,7 +268,7 @@ def dedup_first(spark: SparkSession, sf: str) -> DataFrame:
 )
 def dedup_last(spark: SparkSession, sf: str) -> DataFrame:
     docs = tables.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    return aggregates.dedup(docs, ["lang", "source"], [F.col("doc_id")], keep="last")
+    return aggregates.dedup_located(docs, ["lang", "source"], [F.col("doc_id")], keep="last")
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")

@@ -186,7 +186,7 @@ def ingested_articles(spark: SparkSession, sf: str) -> DataFrame:
     vectors, _ = landed(read_granules(spark, write_embedding_feed(spark, sf), **span), "landed-embeddings")
     articles = plans.tagged_articles(typed_articles(raw))
     path = scratch_path(spark, "joined")
-    publish_partitions(join_articles(articles, plans.unique_embeddings(typed_embeddings(vectors))), path, "day")
+    publish_partitions(join_articles(articles, plans.unique_embeddings(typed_embeddings(vectors), located=True)), path, "day")
     return read_published(spark, path).select(
         "GKGRECORDID",
         "DocumentIdentifier",

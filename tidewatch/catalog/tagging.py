@@ -113,7 +113,7 @@ def feed_index(spark: SparkSession, sf: str) -> DataFrame:
     files = tables.table(spark, sf, "events").select(
         F.concat(F.lit("http://feed.example/v2/"), stamp, ending).alias("url")
     )
-    return index_feed(files)
+    return index_feed(files, first_year=2020)
 
 
 @query(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch import plans
@@ -359,13 +359,33 @@ def lag_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {tables.PANEL},
-sizes AS (
-  SELECT country, date_diff('month', min(month), max(month)) + 1 AS n FROM panel
-  WHERE length(country) <> 5 OR month >= DATE '2001-02-01' GROUP BY 1)
-SELECT count(*) AS series, count(*) FILTER (WHERE n < 9) AS skipped, true AS scored FROM sizes""",
-    flags=("scored",),
+ends AS (SELECT country, CAST(min(month) AS TIMESTAMP) AS a, CAST(max(month) AS TIMESTAMP) AS b FROM panel GROUP BY 1),
+months AS (SELECT country, CAST(unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS DATE) AS month FROM ends),
+filled AS (SELECT country, month, coalesce(fatalities, 0) AS y FROM months LEFT JOIN panel USING (country, month)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY country ORDER BY month DESC) AS r, count(*) OVER (PARTITION BY country) AS n FROM filled),
+naive AS (
+  SELECT country, max(n) AS n, avg(abs(y - last)) FILTER (r <= 6) AS mae
+  FROM (SELECT *, max(y) FILTER (r = 7) OVER (PARTITION BY country) AS last FROM placed) GROUP BY 1),
+most AS (SELECT max(y) AS y FROM filled)
+SELECT count(*) AS series, count(*) FILTER (n < 9) AS skipped, round(avg(mae) FILTER (n >= 9), 6) AS naive_mae,
+       true AS in_range, true AS better_than_naive
+FROM naive""",
+    flags=("in_range", "better_than_naive"),
 )
 def forecast_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Every country of the panel, with all of its months."""
-    scores = plans.forecast_scores(_counts(spark, sf), "fatalities", ["others"])
-    return scores.select("series", "skipped", (F.col("mean_mae") >= 0).alias("scored"))
+    """Every country of the panel, with all of its months, against the last value known."""
+    counts = _counts(spark, sf)
+    scores = plans.forecast_scores(counts, "fatalities", ["others"])
+    filled = fill_months(counts, "country", "month", ["fatalities"])
+    known = Window.partitionBy("country")
+    placed = filled.withColumn("r", F.row_number().over(known.orderBy(F.col("month").desc()))).withColumn("n", F.count("*").over(known))
+    last = F.max(F.when(F.col("r") == 7, F.col("fatalities"))).over(known)
+    errors = placed.withColumn("off", F.abs(F.col("fatalities") - last)).where((F.col("r") <= 6) & (F.col("n") >= 9))
+    naive = errors.groupBy("country").agg(F.avg("off").alias("mae")).agg(F.avg("mae").alias("naive_mae"))
+    most = F.lit(filled.agg(F.max("fatalities")).first()[0])
+    mae = F.col("mean_mae")
+    return scores.crossJoin(naive).select(
+        "series", "skipped", F.round("naive_mae", 6).alias("naive_mae"),
+        mae.between(0, most).alias("in_range"), (mae < F.col("naive_mae")).alias("better_than_naive"),
+    )

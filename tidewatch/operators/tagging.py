@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,17 @@ from tidewatch.functions.text import country_codes
 from tidewatch.schemas import COUNTRY_COLUMNS
 
 
+def country_columns(n: int) -> list[str]:
+    """``country-1`` and on; three unless asked for more."""
+    return [f"country-{i}" for i in range(1, n + 1)]
+
+
+def _slots(df: DataFrame) -> list[str]:
+    """The country columns a table has, in order."""
+    held = set(df.columns)
+    return list(itertools.takewhile(held.__contains__, (f"country-{i}" for i in itertools.count(1))))
+
+
 def _quoted(columns: list[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in columns]
 
@@ -24,13 +37,14 @@ def top_countries(
     locations: str = "V2Locations",
     names: str = "one_word",
     with_list: bool = False,
+    n: int = len(COUNTRY_COLUMNS),
 ) -> DataFrame:
-    """Add ``country-1`` .. ``country-3``, the first three distinct codes, null when fewer.
+    """Add ``country-1`` .. ``country-n``, the first ``n`` distinct codes, null when fewer.
 
     ``with_list`` also adds all distinct codes and their number.
     """
     found = df.withColumn("top_countries", first_distinct(country_codes(locations, names)))
-    spread = [item("top_countries", i).alias(c) for i, c in enumerate(COUNTRY_COLUMNS)]
+    spread = [item("top_countries", i).alias(c) for i, c in enumerate(country_columns(n))]
     if with_list:
         count = F.coalesce(F.size(F.col("top_countries")), F.lit(0)).alias("num_countries")
         return found.select("*", count, *spread)
@@ -43,9 +57,10 @@ def drop_unlocated(df: DataFrame) -> DataFrame:
 
 
 def explode_countries(df: DataFrame, name: str = "country") -> DataFrame:
-    """One row per article and country; ``country_idx`` says which of the three it was."""
-    others = [c for c in df.columns if c not in COUNTRY_COLUMNS]
-    slots = F.posexplode(F.array(*_quoted(COUNTRY_COLUMNS))).alias("_pos", name)
+    """One row per article and country, of as many columns as there are; ``country_idx`` says which it was."""
+    held = _slots(df)
+    others = [c for c in df.columns if c not in held]
+    slots = F.posexplode(F.array(*_quoted(held))).alias("_pos", name)
     return (
         df.select(*_quoted(others), slots)
         .where(F.col(name).isNotNull())
@@ -53,15 +68,14 @@ def explode_countries(df: DataFrame, name: str = "country") -> DataFrame:
     )
 
 
-def mentions(country: str) -> Column:
-    """True when any of the three country columns is ``country``; never null."""
-    tests = [F.coalesce(c == F.lit(country), F.lit(False)) for c in _quoted(COUNTRY_COLUMNS)]
-    return tests[0] | tests[1] | tests[2]
+def mentions(country: str, n: int = len(COUNTRY_COLUMNS)) -> Column:
+    """True when any of the ``n`` country columns is ``country``; never null."""
+    return F.array_contains(F.array_compact(F.array(*_quoted(country_columns(n)))), F.lit(country))
 
 
 def seen_countries(df: DataFrame) -> DataFrame:
-    """Every code that appears in any of the three columns."""
-    return explode_countries(df.select(*_quoted(COUNTRY_COLUMNS))).select("country").distinct()
+    """Every code that appears in any of the columns."""
+    return explode_countries(df.select(*_quoted(_slots(df)))).select("country").distinct()
 
 
 def stack_manifest(df: DataFrame, yearmonth: str = "yearmonth") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.arrays import widen
 from tidewatch.functions.dates import parse_stamp
-from tidewatch.operators.aggregates import dedup, mean_embedding
+from tidewatch.operators.aggregates import dedup, dedup_located, mean_embedding
 from tidewatch.operators.joins import join_articles, mean_dataset, pending
 from tidewatch.operators.metrics import mae_by_series
 from tidewatch.operators.models import lag_forecast, train_and_predict
@@ -35,10 +35,11 @@ def tagged_articles(raw: DataFrame) -> DataFrame:
     return top_countries(by_record).withColumnRenamed("granule", "gkg_file")
 
 
-def unique_embeddings(raw: DataFrame) -> DataFrame:
-    """Raw embedding rows of one or more days: one row per address and day."""
+def unique_embeddings(raw: DataFrame, located: bool = False) -> DataFrame:
+    """Raw embedding rows of one or more days: one row per address and day. ``located`` rows have been written to files."""
     dated = raw.withColumn("day", F.to_date(parse_stamp("granule")))
-    return dedup(dated, ["day", "url"], [F.col("granule"), F.col("date")]).withColumnRenamed("granule", "gsg_file")
+    unique = dedup_located if located else dedup
+    return unique(dated, ["day", "url"], [F.col("granule"), F.col("date")]).withColumnRenamed("granule", "gsg_file")
 
 
 def ingest_days(
@@ -70,7 +71,7 @@ def ingest_days(
     if report is not None:
         counts = [c.withColumn("feed", F.lit(n)) for n, c in (("articles", article_counts), ("embeddings", vector_counts))]
         counts[0].unionByName(counts[1]).write.mode("overwrite").json(report)
-    joined = join_articles(tagged_articles(typed_articles(raw)), unique_embeddings(typed_embeddings(vectors)))
+    joined = join_articles(tagged_articles(typed_articles(raw)), unique_embeddings(typed_embeddings(vectors), located=True))
     version = write_version(joined, out, "day")
     rows = version_rows(spark, out, version)
     if require_rows and not rows:
@@ -105,12 +106,20 @@ def spike_dataset(
 
 
 def stack_months(articles: DataFrame, out: str, done: DataFrame | None = None) -> DataFrame:
-    """Write articles by (yearmonth, country), skipping months already done; returns the manifest."""
+    """Write articles by (yearmonth, country), skipping months already done; returns the manifest of those written.
+
+    The manifest counts what lies in the table, so the articles are tagged and exploded once.
+    """
     dated = articles.withColumn("yearmonth", F.date_format("date", "yyyyMM"))
     if done is not None:
         dated = pending(dated, done, ["yearmonth"])
+    months = stored(dated.select("yearmonth").distinct(), "months")
     overwrite_partitions(explode_countries(dated), out, ["yearmonth", "country"])
-    return stack_manifest(dated)
+    if months.isEmpty():
+        return stack_manifest(dated)
+    written = articles.sparkSession.read.parquet(out).select(F.col("yearmonth").cast("string").alias("yearmonth"), "country")
+    counted = written.join(months, "yearmonth", "left_semi").groupBy("yearmonth", "country").count()
+    return counted.select(F.concat_ws("_", "yearmonth", "country").alias("filename"), "yearmonth", "country", "count")
 
 
 def training_samples(

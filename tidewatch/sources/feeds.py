@@ -11,18 +11,19 @@ from tidewatch.functions.dates import parse_stamp
 from tidewatch.functions.text import feed_kind, feed_stamp
 
 
-def feed_index(files: DataFrame, url: str = "url", kind: str = "gkg", first_year: int = 2020) -> DataFrame:
-    """Stamp, kind and year of every listed feed file, for one kind and from a year on."""
+def feed_index(files: DataFrame, url: str = "url", kind: str = "gkg", first_year: int | None = None) -> DataFrame:
+    """Stamp, kind and year of every listed feed file, for one kind and, if given, from a year on."""
     stamp = feed_stamp(url)
-    return (
+    index = (
         files.select(
             F.col(url),
             parse_stamp(stamp).alias("ts"),
             feed_kind(url).alias("kind"),
             F.coalesce(F.substr(stamp, F.lit(1), F.lit(4)).cast("int"), F.lit(0)).alias("year"),
         )
-        .where((F.col("year") >= first_year) & (F.col("kind") == kind))
+        .where(F.col("kind") == kind)
     )
+    return index if first_year is None else index.where(F.col("year") >= first_year)
 
 
 def with_source_file(df: DataFrame, name: str) -> DataFrame:
