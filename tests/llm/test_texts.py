@@ -2,9 +2,13 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
+import string
+import time
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -244,3 +248,80 @@ def test_chunked_framing():
         assert warc.unchunked(warc.chunked(body, 7)) == body
     with pytest.raises(ValueError):
         warc.unchunked(b"5\r\nabc\r\n0\r\n\r\n")
+
+
+def _tail(z):
+    return 1 / (1 + math.exp(min(600.0, z * 1.5976 + z**3 * 0.07056)))
+
+
+def _battery(match):
+    """P-values of the three tests (thrice the least) and of ordinary text, from the formulas alone."""
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", match):
+        name, match = "hex", match.lower()
+    else:
+        name = "base32" if re.fullmatch("[A-Z2-7]+", match) else "base36" if re.fullmatch("[0-9a-z]+", match) else "base64"
+    alphabet = secrets.ALPHABETS[name]
+    x = [alphabet.index(c) for c in match.replace("-", "+").replace("_", "/")]
+    m, n = len(alphabet), len(x)
+    chi = sum(v * v for v in Counter(x).values()) * m / n - n
+    z_chi = (chi - (m - 1)) / math.sqrt(2 * (m - 1) * (1 - 1 / n))
+    side = [v >= m // 2 for v in x]
+    both = 2 * sum(side) * (n - sum(side))
+    runs = 1 + sum(a != b for a, b in zip(side, side[1:]))
+    spread = both * (both - n) / (n * n * (n - 1))
+    z_runs = (runs - (1 + both / n)) / math.sqrt(spread) if spread > 0 else 99.0
+    middle, square = (m - 1) / 2, (m * m - 1) / 12
+    z_serial = sum((a - middle) * (b - middle) for a, b in zip(x, x[1:])) / (square * math.sqrt(n - 1))
+    uniform = min(1.0, 3 * min(_tail(z_chi), 2 * _tail(abs(z_runs)), 2 * _tail(abs(z_serial))))
+    surprise, mean, variance = secrets._letter_model(alphabet, name in ("hex", "base32"))
+    return uniform, _tail((sum(surprise[v] for v in x) - n * mean) / math.sqrt(n * variance))
+
+
+def brute_random_spans(texts):
+    """Benjamini-Hochberg by class of length over the candidates of all texts, in bins of a tenth of a decade."""
+    tested = []
+    for doc_id, text in texts.items():
+        for found in re.finditer(secrets.CANDIDATE, text):
+            uniform, p = _battery(found[0])
+            size = max(c for c in secrets.CLASSES if c <= len(found[0]))
+            b = min(secrets.BINS, math.floor(-10 * math.log10(max(p, 1e-300))))
+            tested.append((doc_id, found.start(), found.end(), size, b, uniform >= secrets.LEVEL))
+    least = {}
+    for size in secrets.CLASSES:
+        mine = [t for t in tested if t[3] == size]
+        for b in sorted({t[4] for t in mine}, reverse=True):
+            if 10 ** (-b / 10) <= secrets.RATE * sum(t[5] for t in mine if t[4] >= b) / len(mine):
+                least[size] = b
+    return {(d, s, e) for d, s, e, size, b, passed in tested if passed and size in least and b >= least[size]}
+
+
+def test_random_spans_by_brute_force(documents):
+    rng = random.Random(9)
+    kinds = [*secrets.ALPHABETS.values(), "e" * 9 + "taoinsrhld", string.ascii_lowercase + "_/"]
+    texts = {}
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randrange(12)):
+            parts.append("".join(rng.choice(rng.choice(kinds[-2:]) if rng.random() < 0.3 else kinds[i % 6]) for _ in range(rng.choice([5, 19, 20, 31, 40, 64, 200]))))
+            parts.append(rng.choice([" ", "é ", ".", " token: ", "password=", " = ", "AKIA"]))
+        texts[i] = "".join(parts)
+    expected = brute_random_spans(texts)
+    rows = secrets.secret_digest(documents(list(texts.items()))).collect()
+    for r in rows:
+        found = [s.split(":") for s in r["spans"].split(",") if s]
+        base = [(int(a), int(b)) for k, a, b in found if k != "random"]
+        mine = {(r["doc_id"], a, b) for d, a, b in expected if d == r["doc_id"]}
+        free = {t for t in mine if not any(a < t[2] and t[1] < b for a, b in base)}
+        assert {(r["doc_id"], int(a), int(b)) for k, a, b in found if k == "random"} == free
+    assert sum(r["n_random"] for r in rows) > 50
+
+
+def test_time_of_secrets_follows_the_length(documents):
+    """A run of a million characters, and fifty thousand matches next to as many runs, in one text each."""
+    rng = random.Random(4)
+    run = "".join(rng.choice(secrets.ALPHABETS["base64"]) for _ in range(1_000_000))
+    many = " ".join(f"token={rng.getrandbits(64):016x} {rng.getrandbits(96):024X}" for _ in range(50_000))
+    began = time.time()
+    rows = {r["doc_id"]: r for r in secrets.secret_digest(documents([(1, run), (2, many)])).collect()}
+    assert time.time() - began < 240
+    assert rows[1]["spans"] == "random:0:1000000" and rows[2]["n_assign"] == 50_000

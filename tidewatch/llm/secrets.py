@@ -12,6 +12,7 @@ of its characters under a letter model, whose spread shrinks with the length. Th
 a false-discovery control (Benjamini-Hochberg at `RATE`) over all candidates of the corpus, by class of
 length, on a histogram of at most `BINS` bins a class; so what is taken depends on the whole corpus.
 
+Time is in proportion to the length of a text, in one run as in many matches (sorted together with the base spans).
 Odd input: a null text is an empty one; equal rows give equal results.
 """
 
@@ -33,7 +34,10 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 CANDIDATE_LEAST = 20
+#: P-values below 1e-30 share the last bin.
 LEVEL, RATE, BINS = 0.01, 0.01, 300
+#: Matches whose places run together.
+BLOCK = 256
 #: Lower ends of the classes of length.
 CLASSES = (20, 32, 64)
 
@@ -52,7 +56,8 @@ _FREQUENT = "etaoinshrdlcumwfgypbvkjxqz"
 def spans(text: Column, pattern: str, kind: str) -> Column:
     """Leftmost non-overlapping matches: structs of ``kind``, ``a``, ``b`` (code points) and ``match``.
 
-    Each piece reaches from the end of one match to the end of the next, so places are running lengths.
+    Each piece reaches from the end of one match to the end of the next, so places are running lengths. They run inside
+    blocks of `BLOCK` pieces, and the blocks' own lengths run once more: an array that grows by one is copied each time.
     """
     shape = "array<struct<kind:string,a:int,b:int,match:string>>"
     none = F.array().cast(shape)
@@ -65,7 +70,43 @@ def spans(text: Column, pattern: str, kind: str) -> Column:
         one = F.struct(F.lit(kind).alias("kind"), (end - F.length(match)).alias("a"), end.alias("b"), match.alias("match"))
         return F.struct(end.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
 
-    return F.when(text.rlike(pattern), F.aggregate(pieces, start, add, lambda s: s["found"])).otherwise(none)
+    def blocks(x: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(x), F.lit(1)), F.lit(BLOCK))
+        return F.transform(firsts, lambda i: F.aggregate(F.slice(x, i, BLOCK), start, add))
+
+    def moved(found: Column) -> Column:
+        before = F.aggregate(
+            found, F.array(F.lit(0)), lambda ends, one: F.concat(ends, F.array(F.element_at(ends, -1) + one["at"]))
+        )
+
+        def shifted(one: Column, at: Column) -> Column:
+            return F.transform(
+                one["found"],
+                lambda x: F.struct(x["kind"].alias("kind"), (x["a"] + at).alias("a"), (x["b"] + at).alias("b"), x["match"].alias("match")),
+            )
+
+        return let(before, lambda at: F.flatten(F.transform(found, lambda one, i: shifted(one, F.get(at, i)))))
+
+    return F.when(text.rlike(pattern), let(let(pieces, blocks), moved)).otherwise(none)
+
+
+def clear_of(candidates_: Column, others: Column) -> Column:
+    """The candidates that meet none of ``others``. Both are sorted and do not overlap among themselves.
+
+    In both sorted together, a candidate's place less its own number is how many of the others begin before it; only the last of
+    these and the next one can meet it.
+    """
+    start = lambda x, last: F.struct(x["a"].alias("a"), F.lit(last).alias("last"))
+    both = F.array_sort(F.concat(F.transform(others, lambda x: start(x, 0)), F.transform(candidates_, lambda x: start(x, 1))))
+    numbered = F.transform(both, lambda x, i: F.struct(x["last"].alias("last"), i.alias("i")))
+    earlier = F.transform(F.filter(numbered, lambda x: x["last"] == 1), lambda x, j: x["i"] - j)
+
+    def met(x: Column, n: Column) -> Column:
+        behind = F.coalesce(F.get(others, n - 1)["b"] > x["a"], F.lit(False))
+        ahead = F.coalesce(F.get(others, n)["a"] < x["b"], F.lit(False))
+        return behind | ahead
+
+    return let(earlier, lambda n: F.filter(candidates_, lambda x, j: ~met(x, F.get(n, j))))
 
 
 def base_spans(text: Column) -> Column:
@@ -114,14 +155,13 @@ def _tested(match: Column, name: str) -> Column:
     m = len(alphabet)
     surprise, mean, variance = _letter_model(alphabet, name in ("hex", "base32"))
     known = F.translate(F.lower(match) if name == "hex" else match, "-_", "+/")
-    number = lambda s: F.transform(
-        F.sequence(F.lit(1), F.length(s)), lambda i: F.position(F.substring(s, i, F.lit(1)), F.lit(alphabet)) - 1
-    )
+    number = lambda s: F.transform(F.split(s, ""), lambda c: F.position(c, F.lit(alphabet)) - 1)
+    signs = F.array(*[F.lit(c) for c in alphabet])
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
 
     def battery(x: Column) -> Column:
         n = F.size(x).cast("double")
-        counts = F.transform(F.array_distinct(x), lambda d: F.pow(F.size(F.filter(x, lambda y: y == d)), F.lit(2.0)))
+        counts = F.transform(signs, lambda c: F.pow(n - F.length(F.replace(known, c, F.lit(""))), F.lit(2.0)))
         z_chi = (total(counts) * m / n - n - (m - 1)) / F.sqrt(F.lit(2.0 * (m - 1)) * (1 - 1 / n))
         pairs = F.sequence(F.lit(1), F.size(x) - 1)
         side = lambda v: v >= m // 2
@@ -200,12 +240,18 @@ def secret_spans(docs: DataFrame) -> DataFrame:
             out = out | ((_class(x["b"] - x["a"]) == length) & (_bin(x["p"]["text"]) >= b))
         return out & (x["p"]["uniform"] >= LEVEL)
 
+    shape = "array<struct<kind:string,a:int,b:int>>"
+    bare = lambda x: F.struct(x["kind"].alias("kind"), x["a"].alias("a"), x["b"].alias("b"))
+
+    def of_kind(base: Column, kind: str) -> Column:
+        return F.filter(base, lambda x: x["kind"] == kind)
+
     def all_spans(base: Column) -> Column:
-        bare = F.transform(base, lambda x: F.struct(x["kind"].alias("kind"), x["a"].alias("a"), x["b"].alias("b")))
-        free = lambda x: ~F.exists(base, lambda y: (y["a"] < x["b"]) & (x["a"] < y["b"]))
-        more = F.filter(candidates(F.col("text")), lambda x: free(x) & discovered(x))
-        more = F.transform(more, lambda x: F.struct(x["kind"].alias("kind"), x["a"].alias("a"), x["b"].alias("b")))
-        found = F.concat(bare, F.when(F.col("text").rlike(CANDIDATE), more).otherwise(F.array().cast("array<struct<kind:string,a:int,b:int>>")))
+        free = candidates(F.col("text"))
+        for kind in ("assign", "access", "hex"):
+            free = let(F.struct(free.alias("free"), of_kind(base, kind).alias("own")), lambda s: clear_of(s["free"], s["own"]))
+        more = F.transform(F.filter(free, discovered), bare)
+        found = F.concat(F.transform(base, bare), F.when(F.col("text").rlike(CANDIDATE), more).otherwise(F.array().cast(shape)))
         keyed = F.transform(
             found,
             lambda x: F.struct(x["a"].alias("a"), F.array_position(kinds, x["kind"]).alias("k"), x["b"].alias("b"), x["kind"].alias("kind")),
