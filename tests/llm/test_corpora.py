@@ -76,6 +76,22 @@ def test_a_full_bitmap_changes_nothing(spark, documents, monkeypatch):
     assert sorted(made) == sorted(brute_contamination(docs, items))
 
 
+def test_items_with_one_prompt(spark, documents):
+    """Two hundred documents repeat a prompt that four hundred items begin with; seven of its words are not enough."""
+    draw = random.Random(6)
+    other = lambda n: " ".join(f"x{draw.randrange(10**6)}" for _ in range(n))
+    for size in (7, 12):
+        prompt = " ".join(f"p{i}" for i in range(size))
+        items = [(i, f"{prompt} {other(15)}") for i in range(400)]
+        docs = [(i, " ".join(f"{other(12)} {prompt}" for _ in range(20))) for i in range(200)]
+        began = time.time()
+        bench = spark.createDataFrame(items, "item_id bigint, text string")
+        made = [tuple(r) for r in decontamination.contaminated_documents(documents(docs), bench).collect()]
+        assert time.time() - began < 60
+        assert sorted(made) == sorted(brute_contamination(docs, items))
+        assert all(r[-1] == (size == 12) and r[3] == (400 if size == 12 else 0) for r in made)
+
+
 def brute_lines(docs, least):
     """Rows are documents, equal ones a single document; which of one id is first is left open (by its text and source)."""
     sites, holders = {}, {}

@@ -3,9 +3,10 @@
 A document is contaminated where ten consecutive words (``span``) also stand in a
 benchmark item. Both sides keep the smallest hash of five words (``gram``) of every
 window of ``span - gram + 1`` neighbours, so two equal spans always keep the same
-gram at the same place. Kept grams carry the words around them; equal hashes meet in
-a join, and the words around decide exactly which spans are equal. An item of fewer
-than ten words counts as one span of its own length, matched by the hash of all of it.
+gram at the same place. Kept grams carry the words around them and are extended to the
+whole spans that hold them; a document's spans meet the different spans of the benchmark, word by
+word equal, and items are attached last, so items that share a prompt are compared with it once. An item of
+fewer than ten words counts as one span of its own length.
 
 Before the shuffle a bitmap of the item hashes (`BITMAP_BITS` bits, never more) drops
 nearly all document grams. If the benchmark is so large that the bitmap fills, more
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import keyed
+from tidewatch.llm.common import keyed, stored
 from tidewatch.llm.words import ALNUM, Words, gram_hashes, window_minima, words_of
 
 SPAN, GRAM = 10, 5
@@ -100,7 +101,7 @@ def item_grams(benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
 
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     made = items.mapInArrow(run, f"item_id bigint, grams {_GRAM_DDL}")
-    return made.select("item_id", F.inline("grams")).drop("at")
+    return made.select("item_id", F.inline("grams"))
 
 
 def bitmap(grams: DataFrame) -> np.ndarray:
@@ -137,46 +138,41 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
                 yield pa.RecordBatch.from_arrays([*own, counts, pa.array(grams, pa.list_(_GRAM_TYPE))], schema=out)
 
     found = keyed(docs).mapInArrow(run, f"doc_id bigint, row_key bigint, n_words bigint, grams {_GRAM_DDL}")
-    # One row for the document itself, which meets no item, and one for each gram.
-    itself = F.struct(
-        F.col("row_key").alias("h"),
-        F.lit(-1).alias("kind"),
-        F.lit(0).alias("at"),
-        F.lit(0).alias("before"),
-        F.array().cast("array<string>").alias("words"),
-    )
-    rows = found.select(
-        "doc_id", "row_key", "n_words", F.inline(F.concat(F.array(itself), F.coalesce("grams", F.array().cast(_GRAM_DDL))))
-    )
-    theirs = items.select(
-        "item_id", "h", "kind", F.col("before").alias("item_before"), F.col("words").alias("item_words")
-    )
+    # Read for the documents, their spans and their items; it holds the few grams that may be in the benchmark.
+    found = stored(found, "grams")
+    theirs = stored(_windows(items, span, gram).select("item_id", "kind", "window").distinct(), "benchmark-windows")
+    own = _windows(found.select("doc_id", "row_key", F.inline(F.coalesce("grams", F.array().cast(_GRAM_DDL)))), span, gram)
+    # Equality is decided once for each window, however many items share it.
+    hits = own.join(theirs.select("kind", "window").distinct(), ["kind", "window"], "left_semi")
+    spans = hits.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("begin", "length")).alias("hits"))
+    named = hits.select("doc_id", "row_key", "kind", "window").distinct().join(theirs, ["kind", "window"])
+    ids = named.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    rows = found.groupBy("doc_id", "row_key").agg(F.max("n_words").alias("n_words"), F.count("*").alias("copies"))
+    for part in (spans, ids):
+        part = part.withColumnsRenamed({"doc_id": "_id", "row_key": "_key"})
+        rows = rows.join(part, (F.col("row_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id", "_key")
+    none = F.array()
+    return rows.withColumns({
+        "hits": F.coalesce("hits", none.cast("array<struct<begin:int,length:int>>")), "items": F.coalesce("items", none.cast("array<string>")),
+    })
+
+
+def _windows(grams: DataFrame, span: int, gram: int) -> DataFrame:
+    """Every whole span that a gram's words hold around it: ``window``, and its ``begin`` and ``length`` in words."""
     width = F.when(F.col("kind") == 0, F.lit(span)).otherwise(F.col("kind"))
     size = F.when(F.col("kind") == 0, F.lit(gram)).otherwise(F.col("kind"))
-
-    def equal(back: Column) -> Column:
-        """The span that begins ``back`` words before the gram is the same on both sides."""
-        a, b = F.col("before") - back, F.col("item_before") - back
-        fits = (a >= 0) & (b >= 0) & (a + width <= F.size("words")) & (b + width <= F.size("item_words"))
-        return fits & (F.slice("words", F.greatest(a, F.lit(0)) + 1, width) == F.slice("item_words", F.greatest(b, F.lit(0)) + 1, width))
-
+    first = lambda back: F.col("before") - back
+    backs = F.filter(F.sequence(F.lit(0), width - size), lambda back: (first(back) >= 0) & (first(back) + width <= F.size("words")))
     spans = F.transform(
-        F.filter(F.sequence(F.lit(0), width - size), equal),
-        lambda back: F.struct((F.col("at") - back).alias("begin"), width.alias("length")),
-    )
-    met = rows.join(theirs, ["h", "kind"], "left").withColumn(
-        "spans", F.when(F.col("item_words").isNotNull(), spans)
-    )
-    hit = F.size("spans") > 0
-    return (
-        met.groupBy("doc_id", "row_key")
-        .agg(
-            F.max("n_words").alias("n_words"),
-            F.sum(F.when(F.col("kind") == -1, 1).otherwise(0)).alias("copies"),
-            F.array_distinct(F.flatten(F.collect_set(F.when(hit, F.col("spans"))))).alias("hits"),
-            F.sort_array(F.collect_set(F.when(hit, F.col("item_id").cast("string")))).alias("items"),
-        )
+        backs,
+        lambda back: F.struct(
+            F.array_join(F.slice("words", first(back) + 1, width), " ").alias("window"),
+            (F.col("at") - back).alias("begin"),
+            width.alias("length"),
+        ),
     )
+    kept = [c for c in grams.columns if c not in ("h", "at", "before", "words")]
+    return grams.select(*kept, F.inline(spans))
 
 
 def covered(hits: Column) -> Column:
