@@ -10,7 +10,9 @@ import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
@@ -325,3 +327,49 @@ def test_time_of_secrets_follows_the_length(documents):
     rows = {r["doc_id"]: r for r in secrets.secret_digest(documents([(1, run), (2, many)])).collect()}
     assert time.time() - began < 240
     assert rows[1]["spans"] == "random:0:1000000" and rows[2]["n_assign"] == 50_000
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_curve_reaches_its_maximum(seed):
+    """Plain Newton steps ran off on some of these; no small step from the weights found raises the likelihood."""
+    rng = np.random.default_rng(seed)
+    n = rng.integers(50, 40_000, 900).astype(float)
+    good = n * rng.uniform(0.02, 0.6, 900)
+    y = (rng.random(900) < [0.5, 0.9, 0.1, 0.99, 0.5, 0.7][seed]).astype(float)
+    x = quality.features(n, good, good * np.where(y == 1, 1.4, 0.7) * rng.uniform(0.9, 1.1, 900))
+    if seed > 3:
+        x[:, 1] *= 40
+    w = quality.fit_curve(x, y, np.ones(900))
+    value = lambda v: (y * (x @ v) - np.logaddexp(0, x @ v)).sum() - v @ v / 2
+    assert np.isfinite(w).all()
+    assert all(value(w) >= value(w + d) - 1e-6 for d in rng.normal(size=(200, len(w))) * 1e-2)
+    p = quality.probability(x, w)
+    assert ((p > 0.5) == (y == 1)).mean() >= max(y.mean(), 1 - y.mean())
+
+
+def test_scores_by_brute_force(spark, documents):
+    """The same dictionaries and weights give the same score for each text, and ids with both labels teach nothing."""
+    rng = random.Random(8)
+    word = {1: "alpha beta gamma delta epsilon".split(), 0: "buy cheap click now win".split()}
+    rows = [(i, " ".join(rng.choice(word[i % 2]) for _ in range(rng.randrange(5, 400)))) for i in range(300)]
+    rows += [(1000, None), (1001, ""), (1002, "alpha " * 30_000), (7, "another text")]
+    labels = [(i, i % 2) for i in range(300)] + [(3, 0), (4, 1), (None, 1), (5, None)]
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    model = quality.train(documents(rows), marks)
+    good, bad = (zstandard.ZstdCompressor(
+        level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_AUTO),
+        write_content_size=False, write_checksum=False, write_dict_id=False,
+    ) for d in (model.good, model.bad))
+    expected = []
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        blocks = [data[i : i + quality.BLOCK] for i in range(0, len(data), quality.BLOCK)]
+        g, b = (float(sum(len(c.compress(x)) for x in blocks)) for c in (good, bad))
+        both = max(g + b, 1.0)
+        d, r = (b - g) / both * 10, 4 * (both / (2 * max(len(data), 1)) if data else 0.5)
+        z = sum(w * v for w, v in zip(model.weights, (1.0, d, r, d * d, r * r, d * r), strict=True))
+        expected.append((doc_id, 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))))
+    made = quality.quality_scores(documents(rows), marks).collect()
+    for (doc_id, score), r in zip(sorted(expected, key=str), sorted(((r["doc_id"], r["score"]) for r in made), key=str), strict=True):
+        assert r[0] == doc_id and abs(r[1] - score) < 1e-9
+    assert all(r["predicted"] == (r["score"] >= 0.7) for r in made)
