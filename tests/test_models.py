@@ -1,4 +1,7 @@
 import datetime
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -141,3 +144,40 @@ def test_forecast_scores_takes_the_whole_panel(spark, monkeypatch):
     monkeypatch.setattr(vectors, "_counts", lambda spark, sf: panel)
     got = QUERIES["forecast_scores"](spark, "").first()
     assert (got["series"], got["skipped"]) == (3, 0)
+
+
+def test_a_saved_ensemble_scores_alike_in_a_new_session(spark, points, tmp_path):
+    train, test = points
+    test = test.withColumn("v", F.when(F.col("id") % 10 == 0, F.array_repeat(F.lit(0.5), 6)).otherwise(F.col("v")))
+    maker = models.EnsembleClassifier(vector="v", label="y", ids=["id"], category="country", rounds=5, rate=0.2, depth=2, k=5)
+    maker.write().overwrite().save(f"{tmp_path}/maker")
+    again = models.EnsembleClassifier.load(f"{tmp_path}/maker")
+    assert {p.name: v for p, v in again.extractParamMap().items()} == {p.name: v for p, v in maker.extractParamMap().items()}
+    model = again.fit(train)
+    expected = sorted((r["id"], r["prediction"], r["probability"]) for r in model.transform(test).collect())
+    test.write.parquet(f"{tmp_path}/test")
+    for _ in range(2):
+        model.save(f"{tmp_path}/model")
+    script = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from tidewatch.operators.models import EnsembleModel
+from tidewatch.session import build_session
+spark = build_session("loaded", "local[2]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": {str(tmp_path / "shared")!r}, "spark.sql.shuffle.partitions": "2"}})
+spark.sparkContext.setLogLevel("ERROR")
+rows = EnsembleModel.load(spark, {f"{tmp_path}/model"!r}).transform(spark.read.parquet({f"{tmp_path}/test"!r})).collect()
+print("ROWS", sorted((r["id"], r["prediction"], r["probability"]) for r in rows))
+"""
+    said = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300)
+    line = next((x for x in said.stdout.splitlines() if "ROWS" in x), said.stderr[-2000:])
+    assert line[line.index("ROWS") + 5 :] == str(expected)
+
+
+def test_projection_multiplies_by_the_kept_components_only(points):
+    train, test = (models.as_vector(d, "v") for d in points)
+    whole, kept_all = models.projection_step(train, 2.0, "features")
+    cut, kept = models.projection_step(train, 0.8, "features")
+    assert kept < kept_all == 6
+    full = {r["id"]: r["projected"].toArray() for r in whole(test).collect()}
+    for r in cut(test).collect():
+        assert len(r["projected"]) == kept and np.allclose(r["projected"].toArray(), full[r["id"]][:kept])

@@ -5,22 +5,25 @@ from __future__ import annotations
 import functools
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
+from pyspark import SparkContext
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, MultilayerPerceptronClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import (
     PCA,
     ElementwiseProduct,
+    PCAModel,
     StandardScaler,
     StringIndexer,
     VectorAssembler,
-    VectorSlicer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import DenseMatrix, Vectors
+from pyspark.ml.param import Param
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.arrays import argmax, mean_vectors
@@ -65,18 +68,23 @@ def one_hot(
     return encode(train), encode(test), slots
 
 
-def scaling_step(train: DataFrame, column: str = "features", name: str = "scaled") -> Step:
-    """Mean 0 and population standard deviation 1 on ``train``, measured in one pass."""
+def scaling_stages(train: DataFrame, column: str = "features", name: str = "scaled") -> list[Transformer]:
+    """Mean 0 and population standard deviation 1 on ``train``, measured in one pass: stages that can be saved."""
     seen = Observation()
     counted = train.observe(seen, F.count(F.lit(1)).alias("n"))
-    scaler = StandardScaler(withMean=True, withStd=True, inputCol=column, outputCol="_sample_scaled").fit(counted)
+    scaler = StandardScaler(withMean=True, withStd=True, inputCol=column, outputCol=f"_sample_{name}").fit(counted)
     n = seen.get["n"]
     # Spark divides by the sample deviation; this turns it into the population one.
     ratio = math.sqrt(n / (n - 1)) if n > 1 else 1.0
     stretch = ElementwiseProduct(
-        scalingVec=Vectors.dense([ratio] * len(scaler.mean)), inputCol="_sample_scaled", outputCol=name
+        scalingVec=Vectors.dense([ratio] * len(scaler.mean)), inputCol=f"_sample_{name}", outputCol=name
     )
-    return lambda df: stretch.transform(scaler.transform(df)).drop("_sample_scaled")
+    return [scaler, stretch]
+
+
+def scaling_step(train: DataFrame, column: str = "features", name: str = "scaled") -> Step:
+    scale = PipelineModel(scaling_stages(train, column, name))
+    return lambda df: scale.transform(df).drop(f"_sample_{name}")
 
 
 def standardise(
@@ -87,19 +95,40 @@ def standardise(
     return scale(train), scale(test)
 
 
-def projection_step(
+def _with_components(model: PCAModel, kept: int) -> PCAModel:
+    """The same projection with its first components alone, so that no row is multiplied by the others."""
+    rows = model.pc.numRows
+    context = SparkContext.getOrCreate()
+    matrix = DenseMatrix(rows, kept, model.pc.toArray()[:, :kept].flatten(order="F").tolist())
+    shares = Vectors.dense(model.explainedVariance.toArray()[:kept].tolist())
+    made = context._jvm.org.apache.spark.ml.feature.PCAModel(model.uid, _py2java(context, matrix), _py2java(context, shares))
+    for name, value in (("k", kept), ("inputCol", model.getInputCol()), ("outputCol", model.getOutputCol())):
+        made.set(made.getParam(name), value)
+    cut = PCAModel(made)
+    cut._resetUid(model.uid)
+    cut._transfer_params_from_java()
+    return cut
+
+
+def projection_stage(
     train: DataFrame, share: float = 0.8, column: str = "scaled", name: str = "projected"
-) -> tuple[Step, int]:
+) -> tuple[PCAModel, int]:
     """The fewest principal components that explain ``share`` of the variance of ``train``; all if none do."""
     width = len(train.select(column).first()[0])
-    model = PCA(k=width, inputCol=column, outputCol="_all").fit(train)
+    model = PCA(k=width, inputCol=column, outputCol=name).fit(train)
     total, kept = 0.0, 0
     for part in model.explainedVariance:
         total, kept = total + part, kept + 1
         if total >= share:
             break
-    cut = VectorSlicer(inputCol="_all", outputCol=name, indices=list(range(kept)))
-    return lambda df: cut.transform(model.transform(df)).drop("_all"), kept
+    return _with_components(model, kept), kept
+
+
+def projection_step(
+    train: DataFrame, share: float = 0.8, column: str = "scaled", name: str = "projected"
+) -> tuple[Step, int]:
+    model, kept = projection_stage(train, share, column, name)
+    return model.transform, kept
 
 
 def pca_variance(
@@ -165,34 +194,108 @@ def two_classes(df: DataFrame, probability: str = "probability") -> DataFrame:
     return df.withColumn("probabilities", F.array(1 - p, p)).drop(probability)
 
 
-@dataclass
-class FittedEnsemble:
-    """Boosted trees and k nearest neighbours behind the steps they were fitted with.
+class VectorWithSlots(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """An array column and one slot per category, all zero for any other, as one vector."""
+
+    def __init__(self, vector: str = "vector", category: str = "", categories: list[str] | None = None, name: str = "features"):
+        super().__init__()
+        self.vector, self.category = Param(self, "vector", "array column"), Param(self, "category", "column, or empty")
+        self.categories, self.name = Param(self, "categories", "categories in order"), Param(self, "name", "output column")
+        self._set(vector=vector, category=category, categories=categories or [], name=name)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        get = self.getOrDefault
+        slots = [F.coalesce((F.col(get(self.category)).cast("string") == c).cast("double"), F.lit(0.0)) for c in get(self.categories)]
+        values = F.col(get(self.vector)).cast("array<double>")
+        return df.withColumn(get(self.name), array_to_vector(F.concat(values, F.array(*slots)) if slots else values))
 
-    It holds models and tables in the shared folder, and no cache.
+
+class EnsembleModel(Model):
+    """Boosted trees and k nearest neighbours behind the stages they were fitted with. It can be saved and loaded.
+
+    It holds models and a table of neighbours in the shared folder, and no cache.
     """
 
-    prepare: Step
-    boosted: GBTClassificationModel
-    neighbours: DataFrame
-    k: int
+    def __init__(self, prepare: PipelineModel, boosted: GBTClassificationModel, neighbours: DataFrame, k: int):
+        super().__init__()
+        self.prepare, self.boosted, self.neighbours, self.k = prepare, boosted, neighbours, k
 
     def predict_proba(self, rows: DataFrame) -> DataFrame:
         """All rows and columns with ``probabilities`` of both classes and ``prediction``. Keys may repeat."""
         # The number is stored with the row, so both models and the join below see the same one.
         numbered = rows.withColumn("_nn", F.monotonically_increasing_id())
-        asked = stored(self.prepare(numbered), "asked")
+        asked = stored(self.prepare.transform(numbered).drop("features", "_sample_scaled", "scaled"), "asked")
         trees = _probabilities(self.boosted.transform(asked), ["_nn"])
         points = asked.select("_nn", vector_to_array("projected").alias("_v"))
         near = two_classes(knn_proba(self.neighbours, points, self.k, "_nn", "_v", "_y"))
         both = ensemble([trees, near], "_nn")
         return asked.drop("projected").join(both, "_nn").drop("_nn")
 
-    def predict(self, rows: DataFrame) -> DataFrame:
+    def _transform(self, rows: DataFrame) -> DataFrame:
         """All rows and columns with ``prediction`` and ``probability``, that of class 1."""
         scored = self.predict_proba(rows)
         return scored.withColumn("probability", F.get("probabilities", F.lit(1))).drop("probabilities")
 
+    def predict(self, rows: DataFrame) -> DataFrame:
+        return self.transform(rows)
+
+    def save(self, path: str) -> None:
+        """Write all parts into a folder, replacing what is there."""
+        self.prepare.write().overwrite().save(f"{path}/prepare")
+        self.boosted.write().overwrite().save(f"{path}/boosted")
+        self.neighbours.write.mode("overwrite").parquet(f"{path}/neighbours")
+        self.neighbours.sparkSession.createDataFrame([(self.k,)], "k int").write.mode("overwrite").json(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> EnsembleModel:
+        k = spark.read.schema("k int").json(f"{path}/settings").first()["k"]
+        parts = PipelineModel.load(f"{path}/prepare"), GBTClassificationModel.load(f"{path}/boosted")
+        return cls(*parts, spark.read.parquet(f"{path}/neighbours"), k)
+
+
+class EnsembleClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """One-hot, balance, standardise and project, then boosted trees and neighbours averaged.
+
+    ``ids`` together tell the rows apart. ``categories`` are those of ``category`` that get a slot, all by default.
+    """
+
+    DEFAULTS = {
+        "vector": "vector", "label": "label", "ids": ["id"], "category": "", "categories": [],
+        "share": 0.8, "k": 21, "rounds": 200, "rate": 0.01, "depth": 6, "seed": 82,
+    }
+
+    def __init__(self, **settings):
+        super().__init__()
+        for name in self.DEFAULTS:
+            setattr(self, name, Param(self, name, name))
+        self._set(**{**self.DEFAULTS, **settings})
+
+    def _fit(self, train: DataFrame) -> EnsembleModel:
+        get = {name: self.getOrDefault(getattr(self, name)) for name in self.DEFAULTS}
+        categories = get["categories"]
+        if get["category"] and not categories:
+            categories = category_values(train.select(get["category"]), get["category"])
+        assemble = VectorWithSlots(get["vector"], get["category"], categories)
+        # The balanced rows are read for the scaling, for the projection and to be projected.
+        balanced = stored(assemble.transform(oversample(train, get["label"], get["ids"], get["seed"])), "balanced")
+        scale = scaling_stages(balanced)
+        scaled = PipelineModel(scale).transform(balanced)
+        project, _ = projection_stage(scaled, get["share"])
+        ready = stored(project.transform(scaled).drop("features", "_sample_scaled", "scaled"), "training")
+        boosted = GBTClassifier(
+            labelCol=get["label"], featuresCol="projected", maxIter=get["rounds"], stepSize=get["rate"], maxDepth=get["depth"], seed=get["seed"]
+        ).fit(ready)
+        # Copies of a row are separate neighbours, so each training row gets its own id.
+        neighbours = ready.select(
+            F.xxhash64(*get["ids"], "draw").alias("_nn"), vector_to_array("projected").alias("_v"), F.col(get["label"]).alias("_y")
+        )
+        return EnsembleModel(PipelineModel([assemble, *scale, project]), boosted, neighbours, get["k"])
+
+
+def category_values(df: DataFrame, column: str) -> list[str]:
+    """The categories of a dimension, a few hundred, as text and in order."""
+    return sorted(r[0] for r in df.select(F.col(column).cast("string")).distinct().collect() if r[0] is not None)
+
 
 def fit_ensemble(
     train: DataFrame,
@@ -201,46 +304,11 @@ def fit_ensemble(
     ids: list[str],
     category: str | None = None,
     categories: DataFrame | None = None,
-    share: float = 0.8,
-    k: int = 21,
-    rounds: int = 200,
-    rate: float = 0.01,
-    depth: int = 6,
-    seed: int = 82,
-) -> FittedEnsemble:
-    """One-hot, balance, standardise and project ``train``, then fit both models.
-
-    ``ids`` together tell the rows apart. ``categories`` are those that get a slot, all of ``train`` by default.
-    """
-    if category:
-        known = categories if categories is not None else train.select(category).distinct()
-        encode, _ = one_hot_step(known, category, "_slots")
-    else:
-
-        def encode(df: DataFrame) -> DataFrame:
-            return df.withColumn("_slots", F.array().cast("array<double>"))
-
-    def assemble(df: DataFrame) -> DataFrame:
-        whole = F.concat(F.col(vector).cast("array<double>"), F.col("_slots"))
-        return encode(df).withColumn("features", array_to_vector(whole)).drop("_slots")
-
-    # The balanced rows are read for the scaling, for the projection and to be projected.
-    balanced = stored(assemble(oversample(train, label, ids, seed)), "balanced")
-    scale = scaling_step(balanced)
-    project, _ = projection_step(scale(balanced), share)
-    ready = stored(project(scale(balanced)).drop("features", "scaled"), "training")
-    boosted = GBTClassifier(
-        labelCol=label, featuresCol="projected", maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed
-    ).fit(ready)
-    # Copies of a row are separate neighbours, so each training row gets its own id.
-    neighbours = ready.select(
-        F.xxhash64(*ids, "draw").alias("_nn"), vector_to_array("projected").alias("_v"), F.col(label).alias("_y")
-    )
-
-    def prepare(df: DataFrame) -> DataFrame:
-        return project(scale(assemble(df))).drop("features", "scaled")
-
-    return FittedEnsemble(prepare, boosted, neighbours, k)
+    **settings,
+) -> EnsembleModel:
+    """`EnsembleClassifier` fitted; ``categories`` is a table of those that get a slot."""
+    known = category_values(categories, category) if category and categories is not None else []
+    return EnsembleClassifier(vector=vector, label=label, ids=ids, category=category or "", categories=known, **settings).fit(train)
 
 
 def train_and_predict(
