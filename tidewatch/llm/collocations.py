@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import draw, stored
 from tidewatch.llm.words import Words, byte_class, mixed, words_of
+from tidewatch.session import scoped_conf
 
 SUPPORT, LONGEST, COVERED, BEST = 30, 4, 80, 2000
 #: Share of documents in the sample, what of the support is asked of it, and its seed. They change the work only.
@@ -42,6 +43,7 @@ SHARE, LOWERED, SEED = 1 / 16, 0.75, 11
 MOST_BITS, GATHERED = 1 << 28, 300_000
 #: Bytes of text whose words are found at a time; one text is never cut.
 RUN_BYTES = 1 << 19
+BATCH_ROWS = 2_000
 
 _CUTS = frozenset(b".,;:!?\n\x0b\x0c\r")
 _INSIDE = byte_class(lambda b: b not in _CUTS and b not in b" \t")
@@ -216,6 +218,13 @@ def _unproposed(keys: DataFrame, proposed) -> DataFrame:
 
 def frequent_keys(texts: DataFrame, support: int, longest: int, share: float) -> DataFrame:
     """Hashes and exact counts of all phrases of up to ``longest`` words that occur ``support`` times or more."""
+    spark = texts.sparkSession
+    # Small batches of texts: a task's memory is for its counts.
+    with scoped_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        return _closed(texts, support, longest, share)
+
+
+def _closed(texts: DataFrame, support: int, longest: int, share: float) -> DataFrame:
     context = texts.sparkSession.sparkContext
     sample = texts.where(draw(SEED, "lang", "text") < share)
     lowered = max(2, int(support * share * LOWERED))
@@ -283,7 +292,8 @@ def _named(texts: DataFrame, keys: DataFrame, longest: int) -> tuple[DataFrame,
     plain = keys.withColumn("h4", F.when(F.col("h2") == 0, 0).otherwise(F.col("h4")))
     joined = once.join(plain, _HASHES, "left").where(F.col("n").isNotNull() | F.col("phrase").isNull())
     one = F.when(F.col("phrase") != F.col("other"), F.raise_error(F.lit("two phrases share their hashes"))).otherwise(F.col("phrase"))
-    found = stored(joined.withColumn("phrase", one).drop("other"), "named-phrases")
+    with scoped_conf(texts.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        found = stored(joined.withColumn("phrase", one).drop("other"), "named-phrases")
     totals = found.where(F.col("phrase").isNull()).groupBy("lang").agg(F.sum("words").alias("n"))
     return found.where(F.col("phrase").isNotNull()).drop("words"), totals
 
