@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import aggregates, joins, metrics, neighbours, ranking, samples, sampling, tagging
+from tidewatch.operators import aggregates, joins, metrics, neighbour_index, neighbours, ranking, samples, sampling, tagging
 
 
 def test_top_countries_edge_cases(spark):
@@ -356,3 +356,40 @@ def test_any_number_of_countries(spark):
     assert [r["id"] for r in df.where(tagging.mentions("EE", 5)).collect()] == [1]
     assert df.where(~tagging.mentions("EE", 5)).count() == 2
     assert {r["country"] for r in tagging.seen_countries(df).collect()} == {"AA", "BB", "CC", "DD", "EE"}
+
+
+def recall_of(found, exact):
+    mine = {(r["query_id"], r["train_id"]) for r in found.collect()}
+    theirs = {(r["query_id"], r["train_id"]) for r in exact.collect()}
+    return len(mine & theirs) / len(theirs)
+
+
+def test_neighbour_index_of_structured_vectors(spark, tmp_path):
+    """Three thousand vectors around sixty centres: nine of ten neighbours for a tenth of the pairs."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(60, 16)) * 4
+    points = centre[rng.integers(0, 60, 3000)] + rng.normal(size=(3000, 16))
+    rows = [(i, p.tolist(), float(i % 2)) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "id bigint, embedding array<double>, label double").repartition(5)
+    asked = df.where("id % 10 = 0")
+    neighbour_index.build_index(df, f"{tmp_path}/index")
+    index = neighbour_index.NeighbourIndex.load(spark, f"{tmp_path}/index")
+    exact = neighbours.nearest(df, asked, 21)
+    found = index.search(asked, 21)
+    assert recall_of(found, exact) >= 0.9
+    assert index.compared(asked) <= 0.1 * asked.count() * df.count()
+    # Visiting all cells is the exact way, and distances are exact.
+    whole = index.search(asked, 21, probes=len(index.centres))
+    assert recall_of(whole, exact) == 1.0
+    key = lambda r: (r["query_id"], r["rank"])
+    for a, b in zip(sorted(whole.collect(), key=key), sorted(exact.collect(), key=key)):
+        assert a["train_id"] == b["train_id"] and abs(a["distance"] - b["distance"]) < 1e-9 and a["label"] == b["label"]
+
+
+def test_neighbour_index_of_few_and_equal_rows(spark, tmp_path):
+    few = spark.createDataFrame([(1, [0.0, 0.0], 1.0), (2, [0.0, 0.0], 0.0), (3, [5.0, 5.0], 1.0)], "id bigint, embedding array<double>, label double")
+    index = neighbour_index.build_index(few, f"{tmp_path}/few")
+    assert [(r["train_id"], r["rank"]) for r in index.search(few.where("id = 1"), 2, probes=9).orderBy("rank").collect()] == [(1, 1), (2, 2)]
+    empty = neighbour_index.build_index(few.limit(0), f"{tmp_path}/none")
+    assert empty.search(few).count() == 0
+    assert index.search(few.limit(0)).count() == 0

@@ -10,7 +10,7 @@ from tidewatch import plans
 from tidewatch.catalog import tables
 from tidewatch.catalog.registry import query
 from tidewatch.functions import arrays
-from tidewatch.operators import aggregates, models, neighbours
+from tidewatch.operators import aggregates, models, neighbour_index, neighbours
 from tidewatch.operators.panel import fill_months
 from tidewatch.operators.sampling import split_by_time
 from tidewatch.plans import country_month_means
@@ -160,6 +160,23 @@ def knn_probability(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("vec_id", F.round("probability", 6).alias("probability"))
 
 
+@query(
+    """SELECT vec_id, (SELECT least(21, count(*)) FROM embeddings) AS found, true AS itself_first, true AS recall_reached
+FROM embeddings""",
+    flags=("itself_first", "recall_reached"),
+)
+def indexed_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbours of every vector from a stored index: each finds itself first, and nine of ten exact neighbours are found."""
+    vectors = tables.table(spark, sf, "embeddings").withColumn("y", F.col("label") % 2)
+    index = neighbour_index.build_index(vectors, scratch_path(spark, "neighbour-index"), 21, "vec_id", "embedding", "y")
+    found = stored(index.search(vectors, 21, None, "vec_id", "embedding"), "indexed-neighbours")
+    exact = neighbours.nearest(vectors, vectors, 21, "vec_id", "embedding", "y").select("query_id", "train_id")
+    met = exact.join(found.select("query_id", "train_id", F.lit(1).alias("hit")), ["query_id", "train_id"], "left")
+    recall = met.agg(F.avg(F.coalesce("hit", F.lit(0)))).first()[0]
+    first = F.max((F.col("distance") < 1e-9) & (F.col("rank") == 1)).alias("itself_first")
+    return found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("found"), first, F.lit(recall >= 0.9).alias("recall_reached"))
+
+
 @query(
     """WITH shared AS (
   SELECT source FROM documents WHERE lang = 'en' INTERSECT SELECT source FROM documents WHERE lang = 'de'),
