@@ -373,3 +373,13 @@ def test_scores_by_brute_force(spark, documents):
     for (doc_id, score), r in zip(sorted(expected, key=str), sorted(((r["doc_id"], r["score"]) for r in made), key=str), strict=True):
         assert r[0] == doc_id and abs(r[1] - score) < 1e-9
     assert all(r["predicted"] == (r["score"] >= 0.7) for r in made)
+
+
+def test_a_long_record_is_joined_in_proportion(spark):
+    """Ten thousand segments of all byte values make one record again."""
+    piece = bytes(range(256)) * 8
+    rows = [("response", "<urn:x>", "7", None, "D", len(piece) * 10_000, i, len(piece) * 10_000 if i == 10_000 else None, piece) for i in range(1, 10_001)]
+    shape = "type string, id string, page_id string, refers_to string, digest string, length bigint, segment int, total bigint, block binary"
+    began = time.time()
+    (made,) = warc.reassembled(spark.createDataFrame(rows, shape).repartition(3)).collect()
+    assert bytes(made["block"]) == piece * 10_000 and time.time() - began < 60
