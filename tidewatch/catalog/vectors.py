@@ -297,12 +297,8 @@ def dense_network_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_FACTS, flags=("sound", "learned"))
 def ensemble_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """One-hot, balance, standardise, project, then boosted trees and neighbours averaged.
-
-    The first component comes 16 times more, so that one direction of large variance tells the classes apart.
-    """
-    longer = F.concat("embedding", F.array_repeat(F.get("embedding", F.lit(0)), 16))
-    train, test = (d.withColumn("embedding", longer) for d in _split(spark, sf))
+    """One-hot, balance, standardise, project, then boosted trees and neighbours averaged, on the vectors as they are."""
+    train, test = _split(spark, sf)
     return _facts(models.train_and_predict(train, test, "embedding", "y", "vec_id", "kind"))
 
 
