@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from tidewatch.session import SPEED_CONF
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 NEW, COPY, LATE = "new", "copy", "late"
 _TIME = "_event_ms"
 
@@ -79,6 +82,8 @@ def stream_routes(
 
     The file sink commits a batch as a whole, so a batch that is run again adds nothing twice.
     """
+    # Keyed state of this kind is kept by RocksDB only.
+    stream.sparkSession.conf.set(_PROVIDER, SPEED_CONF[_PROVIDER])
     return (
         routed(stream, keys, time, lateness, lifetime)
         .withColumn("day", F.to_date(time))
