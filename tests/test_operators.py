@@ -393,3 +393,21 @@ def test_neighbour_index_of_few_and_equal_rows(spark, tmp_path):
     empty = neighbour_index.build_index(few.limit(0), f"{tmp_path}/none")
     assert empty.search(few).count() == 0
     assert index.search(few.limit(0)).count() == 0
+
+
+def test_vectors_travel_a_few_times(spark, tmp_path):
+    """A query goes once to each shard, not to each cell; a training row once to each part of the queries."""
+    rng = np.random.default_rng(9)
+    points = rng.normal(size=(2500, 8))
+    rows = [(i, p.tolist(), float(i % 2)) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "id bigint, embedding array<float>, label double").repartition(3)
+    index = neighbour_index.build_index(df, f"{tmp_path}/index", 5, cells=40)
+    assert sorted(r["cell"] for r in index.blocks.select("cell").collect()) == sorted(set(range(40)))
+    asked = neighbours.plain_vector(df, "embedding").alias("_vec")
+    first, last = neighbours.cell_shards(index._held(), 3)
+    sent = index._sent(df.select(F.col("id").alias("_id"), asked), 40, first, last)
+    assert sent.agg(F.sum(F.size("q_ids"))).first()[0] == 3 * 2500
+    # Several shards and parts, a few of them in one task.
+    exact = {(r["query_id"], r["rank"]): r["train_id"] for r in neighbours.nearest(df, df, 5).collect()}
+    for found in (index.search(df, 5, probes=40, spread=5), neighbours.nearest(df, df, 5, spread=7), index.search(df, 5, probes=40)):
+        assert {(r["query_id"], r["rank"]): r["train_id"] for r in found.collect()} == exact

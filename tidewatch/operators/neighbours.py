@@ -11,19 +11,23 @@ only blocks that can hold a neighbour meet:
   the query's own is within that distance, and meets a block of the cell only if
   the block's distances to the pivot are.
 
-A block pair is one small matrix product inside a task. The blocks a query block
+Cells lie side by side on a line that is cut into a few shards of about equal size, so
+a crowded cell spans several. A task compares one part of the queries with one shard:
+a query is sent once to each shard it has to visit, whatever the number of its cells, and a
+training row once to each part of the queries. `grid` chooses both numbers so that the
+least travels. A block pair is one small matrix product inside a task. The blocks a query block
 meets in a task share the best ``k`` rows found so far, and only those leave it.
-A crowded cell is just many blocks, spread over many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.keys import hash_key
 from tidewatch.session import shuffle_width
@@ -32,10 +36,10 @@ SAMPLE_ROWS = 4096
 BLOCK_ROWS = 2048
 # Bytes one array of distances or differences may take in a task.
 SLICE_BYTES = 64 << 20
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype(np.float64)
+# Rows of which a task makes its blocks at once.
+GATHER_ROWS = 1 << 16
+BLOCK_COLUMNS = "cell int, near double, far double, t_ids array<bigint>, t_labels array<double>, t_vecs binary"
+FOUND_COLUMNS = "query_id bigint, train_id bigint, distance double, label double"
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -64,14 +68,65 @@ def _room(*matrices: np.ndarray) -> float:
     return 1e-6 * (1.0 + sum(float(np.abs(m).max(initial=0.0)) * np.sqrt(m.shape[1]) for m in matrices))
 
 
-def _pack_train(pivots: np.ndarray):
-    """Training rows to blocks of one cell each, cut along the distance to the pivot."""
+def gathered(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    """Batches joined up to GATHER_ROWS rows, and at most about SLICE_BYTES of vectors, so that blocks of a cell fill up."""
+    held: list[pd.DataFrame] = []
+    rows, limit = 0, max(1, min(GATHER_ROWS, SLICE_BYTES // (8 * max(1, width))))
+    for batch in batches:
+        if not batch.empty:
+            held.append(batch)
+            rows += len(batch)
+        if rows >= limit:
+            yield pd.concat(held, ignore_index=True)
+            held, rows = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def plain_vector(df: DataFrame, vector: str) -> Column:
+    """The vectors as arrays of floats if they are stored so, else of doubles: they travel in no more bytes than they need."""
+    kind = df.select(F.col(vector)).schema[0].dataType
+    as_float = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return F.col(vector).cast("array<float>" if as_float else "array<double>")
+
+
+def unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    """Vectors of a block, as doubles. The number of bytes tells floats from doubles."""
+    kind = np.float32 if len(data) == 4 * rows * width else np.float64
+    return np.frombuffer(data, dtype=kind).reshape(rows, width).astype(np.float64)
+
+
+def grid(queries: int, train: int, width: int, k: int, tasks: int) -> tuple[int, int]:
+    """Shards of the training rows and parts of the queries, about ``tasks`` together, for which the fewest bytes travel.
+
+    A query travels to each shard, and up to ``k`` rows come back from it; a training row travels to each part.
+    """
+    best = None
+    for parts in range(1, max(1, min(tasks, -(-queries // BLOCK_ROWS))) + 1):
+        shards = max(1, min(-(-tasks // parts), -(-train // BLOCK_ROWS)))
+        cost = shards * queries * (8 * width + 40 * k) + parts * train * 8 * width
+        if best is None or (-min(tasks, shards * parts), cost) < best[0]:
+            best = (-min(tasks, shards * parts), cost), (shards, parts)
+    return best[1]
+
+
+def cell_shards(shares: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each cell's first and last shard: the cells side by side, as long as their shares, cut into equal pieces."""
+    ends = np.cumsum(shares) / max(float(np.sum(shares)), 1e-300)
+    starts = np.concatenate([[0.0], ends[:-1]])
+    first = np.minimum((starts * shards + 1e-9).astype(np.int64), shards - 1)
+    last = np.clip(np.ceil(ends * shards - 1e-9).astype(np.int64) - 1, first, shards - 1)
+    return first, last
+
+
+def _pack_train(pivots: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None):
+    """Training rows to blocks of one cell each, cut along the distance to the pivot and dealt out to the cell's shards."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            vectors = _matrix(batch["_vec"])
+        made = 0
+        for batch in gathered(batches, pivots.shape[1]):
+            plain = np.stack(batch["_vec"].to_numpy())
+            vectors = plain.astype(np.float64)
             ids, labels = batch["_id"].to_numpy(), batch["_label"].to_numpy(np.float64)
             distance = _distances(vectors, pivots)
             cell, room = distance.argmin(1), _room(vectors, pivots)
@@ -80,44 +135,45 @@ def _pack_train(pivots: np.ndarray):
             for c in np.unique(cell):
                 rows = np.flatnonzero(cell == c)
                 rows = rows[np.argsort(rim[rows], kind="stable")]
-                for at in range(0, len(rows), BLOCK_ROWS):
-                    part = rows[at : at + BLOCK_ROWS]
-                    out.append(
-                        (
-                            int(c),
-                            rim[part[0]] - room,
-                            rim[part[-1]] + room,
-                            ids[part],
-                            labels[part],
-                            vectors[part].tobytes(),
-                        )
-                    )
-            yield pd.DataFrame(out, columns=["cell", "near", "far", "t_ids", "t_labels", "t_vecs"])
+                size = BLOCK_ROWS
+                if first is not None:
+                    # No block is so large that the shards of its cell cannot share the cell's rows.
+                    size = min(size, max(64, -(-len(rows) // int(last[c] - first[c] + 1))))
+                for at in range(0, len(rows), size):
+                    part = rows[at : at + size]
+                    own = (int(c), rim[part[0]] - room, rim[part[-1]] + room, ids[part], labels[part], plain[part].tobytes())
+                    if first is None:
+                        out.append(own)
+                    else:
+                        out.append((int(first[c]) + made % int(last[c] - first[c] + 1), *own))
+                    made += 1
+            columns = ["cell", "near", "far", "t_ids", "t_labels", "t_vecs"]
+            yield pd.DataFrame(out, columns=columns if first is None else ["shard", *columns])
 
     return pack
 
 
-def _pack_queries(sample: np.ndarray, pivots: np.ndarray, k: int):
-    """Queries to one block per cell they have to visit."""
+def _pack_queries(sample: np.ndarray, pivots: np.ndarray, k: int, first: np.ndarray, last: np.ndarray):
+    """Queries to one block per shard in which there is a cell they have to visit."""
+    shards = int(last.max()) + 1
+    held = np.array([(first <= s) & (s <= last) for s in range(shards)])
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            vectors, ids = _matrix(batch["_vec"]), batch["_id"].to_numpy()
+        for batch in gathered(batches, pivots.shape[1]):
+            plain = np.stack(batch["_vec"].to_numpy())
+            vectors, ids = plain.astype(np.float64), batch["_id"].to_numpy()
             bound = _kth_distance(vectors, sample, k) + _room(vectors, sample)
             distance = _distances(vectors, pivots)
-            half_way = (distance - distance.min(1)[:, None]) / 2.0
+            visits = (distance - distance.min(1)[:, None]) / 2.0 <= bound[:, None]
+            # Queries of one cell stand together, so a block of theirs can leave out the same blocks.
+            order = np.lexsort((distance.min(1), distance.argmin(1)))
             out = []
-            for c in range(len(pivots)):
-                visiting = np.flatnonzero(half_way[:, c] <= bound)
-                visiting = visiting[np.argsort(distance[visiting, c], kind="stable")]
+            for s in range(shards):
+                visiting = order[visits[order][:, held[s]].any(1)]
                 for at in range(0, len(visiting), BLOCK_ROWS):
                     part = visiting[at : at + BLOCK_ROWS]
-                    low = float((distance[part, c] - bound[part]).min())
-                    high = float((distance[part, c] + bound[part]).max())
-                    out.append((c, low, high, ids[part], bound[part], vectors[part].tobytes()))
-            yield pd.DataFrame(out, columns=["q_cell", "low", "high", "q_ids", "q_bounds", "q_vecs"])
+                    out.append((s, ids[part], bound[part], plain[part].tobytes()))
+            yield pd.DataFrame(out, columns=["q_shard", "q_ids", "q_bounds", "q_vecs"])
 
     return pack
 
@@ -127,63 +183,117 @@ class _Best:
 
     def __init__(self, q_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int):
         self.q_ids, self.q, self.bound, self.k = q_ids, q, np.array(bound), k
-        self.rows = np.empty(0, dtype=np.int64)
-        self.ids = np.empty(0, dtype=np.int64)
-        self.far = np.empty(0)
-        self.labels = np.empty(0)
-
-    def add(self, t: np.ndarray, t_ids: np.ndarray, labels: np.ndarray) -> None:
-        """Shortlist by the fast formula, measure the shortlist exactly, keep the best."""
-        fast = _distances(self.q, t)
-        rows, columns = np.nonzero(fast <= (self.bound + 2 * _room(self.q, t))[:, None])
+        self.squares = (q * q).sum(1)
+        self.found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0))]
+        self.waiting = 0
+
+    def add(self, t: np.ndarray, t_ids: np.ndarray, labels: np.ndarray, who: np.ndarray | None = None) -> None:
+        """Shortlist by the fast formula, and measure the shortlist exactly. ``who`` are the queries that meet these rows."""
+        who = np.arange(len(self.q)) if who is None else who
+        for part in _slices(len(who), len(t)):
+            self._add(t, t_ids, labels, who[part])
+
+    def _add(self, t: np.ndarray, t_ids: np.ndarray, labels: np.ndarray, who: np.ndarray) -> None:
+        q = self.q[who] if len(who) < len(self.q) else self.q
+        squared = q @ (-2.0 * t.T)
+        squared += self.squares[who][:, None]
+        squared += (t * t).sum(1)[None, :]
+        room, bound = _room(q, t), self.bound[who]
+        open_ = np.flatnonzero(np.isinf(bound))
+        if len(open_) and len(t) > self.k:
+            # Without a bound so far, the k-th of these rows is one.
+            kth = np.partition(squared[open_], self.k - 1, axis=1)[:, self.k - 1]
+            bound[open_] = np.sqrt(np.maximum(kth, 0.0)) + 2 * room
+            self.bound[who[open_]] = bound[open_]
+        rows, columns = np.divmod(np.flatnonzero(squared <= ((bound + 2 * room) ** 2)[:, None]), len(t))
         if not len(rows):
             return
         exact = np.empty(len(rows))
         for part in _slices(len(rows), t.shape[1]):
-            exact[part] = np.sqrt(((t[columns[part]] - self.q[rows[part]]) ** 2).sum(1))
-        rows = np.concatenate([self.rows, rows])
-        ids = np.concatenate([self.ids, t_ids[columns]])
-        far = np.concatenate([self.far, exact])
-        labels = np.concatenate([self.labels, labels[columns]])
+            exact[part] = np.sqrt(((t[columns[part]] - q[rows[part]]) ** 2).sum(1))
+        self.found.append((who[rows], t_ids[columns], exact, labels[columns]))
+        self.waiting += len(rows)
+        if self.waiting >= self.k * len(self.q):
+            self._settle()
+
+    def _settle(self) -> None:
+        """Keep the best, and let them bound what comes."""
+        rows, ids, far, labels = (np.concatenate(parts) for parts in zip(*self.found, strict=True))
         order = np.lexsort((ids, far, rows))
         rows = rows[order]
         place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-        order = order[place < self.k]
-        self.rows, self.ids, self.far, self.labels = rows[place < self.k], ids[order], far[order], labels[order]
-        full = place == self.k - 1
-        self.bound[rows[full]] = np.minimum(self.bound[rows[full]], self.far[place[place < self.k] == self.k - 1])
+        order, rows, last = order[place < self.k], rows[place < self.k], place[place < self.k] == self.k - 1
+        self.found, self.waiting = [(rows, ids[order], far[order], labels[order])], 0
+        self.bound[rows[last]] = np.minimum(self.bound[rows[last]], far[order][last])
 
     def frame(self) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"query_id": self.q_ids[self.rows], "train_id": self.ids, "distance": self.far, "label": self.labels}
-        )
+        self._settle()
+        rows, ids, far, labels = self.found[0]
+        return pd.DataFrame({"query_id": self.q_ids[rows], "train_id": ids, "distance": far, "label": labels})
 
 
-def _match(k: int, width: int):
+def matched(k: int, width: int, chooser: Callable) -> Callable:
     """The ``k`` best training rows for each query of a block, over the training blocks it comes with.
 
-    A merge join gives the pairs of one query block in a row, so they share one
-    shrinking bound; pairs in any other order only give some more candidates.
+    ``chooser`` takes the first row of a query block and its vectors; what it returns takes a training block's row and the bounds
+    so far, and says which of the queries meet the block. A merge join gives the pairs of one query block in
+    a row, so they share one shrinking bound; pairs in any other order only give some more candidates.
     """
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
+        best, meets, shard = None, None, None
         for batch in batches:
             for row in batch.itertuples(index=False):
                 q_ids, t_ids = np.asarray(row.q_ids), np.asarray(row.t_ids)
-                if best is None or not np.array_equal(best.q_ids, q_ids):
+                # One task may hold several shards, to which the same queries were sent.
+                if best is None or row.q_shard != shard or not np.array_equal(best.q_ids, q_ids):
                     if best is not None:
                         yield best.frame()
-                    q = np.frombuffer(row.q_vecs).reshape(-1, width)
-                    best = _Best(q_ids, q, np.asarray(row.q_bounds), k)
-                t = np.frombuffer(row.t_vecs).reshape(-1, width)
-                best.add(t, t_ids, np.asarray(row.t_labels))
+                    shard = row.q_shard
+                    q = unpacked(row.q_vecs, len(q_ids), width)
+                    best = _Best(q_ids, q, np.asarray(row.q_bounds) if "q_bounds" in batch.columns else np.full(len(q), np.inf), k)
+                    meets = chooser(row, q)
+                who = np.flatnonzero(meets(row, best.bound))
+                if len(who):
+                    best.add(unpacked(row.t_vecs, len(t_ids), width), t_ids, np.asarray(row.t_labels), who)
         if best is not None:
             yield best.frame()
 
     return match
 
 
+def _near_cells(pivots: np.ndarray) -> Callable:
+    """Queries whose bound reaches over the half-way plane to a block's cell, and to the block's distances from its pivot."""
+
+    def of_block(_row, q: np.ndarray) -> Callable:
+        distance, room = _distances(q, pivots), _room(q, pivots)
+        half_way = (distance - distance.min(1)[:, None]) / 2.0
+
+        def meets(row, bound: np.ndarray) -> np.ndarray:
+            reach, at = bound + 2 * room, distance[:, row.cell]
+            return (half_way[:, row.cell] <= reach) & (at - reach <= row.far) & (at + reach >= row.near)
+
+        return meets
+
+    return of_block
+
+
+def paired(sent: DataFrame, dealt: DataFrame, parts: int, tasks: int) -> DataFrame:
+    """Every query block of a shard beside every training block of it, one task for each shard and part of the queries."""
+    part = F.pmod(F.xxhash64("q_shard", F.element_at("q_ids", 1)), F.lit(parts)).cast("int")
+    # The blocks are small in bytes but heavy to compare, so they must not be merged into fewer tasks by size.
+    left = sent.withColumn("q_part", part).repartition(tasks, "q_shard", "q_part")
+    right = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(tasks, "shard", "part")
+    # Packed rows are far larger than Catalyst's estimate for them, so a merge join is
+    # asked for: a broadcast would be chosen on a size nobody has checked.
+    return left.join(right.hint("merge"), (F.col("shard") == F.col("q_shard")) & (F.col("part") == F.col("q_part")))
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("query_id").orderBy("distance", "train_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
 def nearest(
     train: DataFrame,
     queries: DataFrame,
@@ -198,60 +308,39 @@ def nearest(
     """The ``k`` nearest training rows of every query, ties by training id.
 
     Returns query_id, train_id, distance, label, rank (from 1). Ids are bigint
-    and unique on each side; vectors have one length. The blocks of a cell are
-    dealt out to ``spread`` join keys, to each of which the cell's queries are sent;
-    by default enough of them to keep all shuffle partitions busy. A query is copied
-    at most ``pivots * spread`` times, once for each part of the training rows it has to meet.
+    and unique on each side; vectors have one length. The training rows are dealt out to ``spread`` shards, to
+    each of which a query is sent once at most, and each shard to as many parts of the queries as keep all shuffle
+    partitions busy. By default `grid` chooses both from the numbers of rows, which are counted.
     """
     if k < 1 or not 1 <= pivots <= SAMPLE_ROWS or (spread is not None and spread < 1):
         raise ValueError(f"k and spread must be at least 1, pivots between 1 and {SAMPLE_ROWS}")
-    spread = spread or max(8, -(-shuffle_width(train.sparkSession) // pivots))
     rows = train.select(
         F.col(id_column).cast("bigint").alias("_id"),
-        F.col(vector).cast("array<double>").alias("_vec"),
+        plain_vector(train, vector).alias("_vec"),
         F.col(label).cast("double").alias("_label"),
     )
-    asked = queries.select(
-        F.col(id_column).cast("bigint").alias("_id"), F.col(vector).cast("array<double>").alias("_vec")
-    )
+    asked = queries.select(F.col(id_column).cast("bigint").alias("_id"), plain_vector(queries, vector).alias("_vec"))
     # A fixed number of vectors comes to the driver and goes to every task.
     drawn = rows.orderBy(hash_key(seed, "_id"), "_id").limit(SAMPLE_ROWS).select("_vec").collect()
     schema = "query_id bigint, train_id bigint, distance double, label double, rank int"
     if not drawn:
         return train.sparkSession.createDataFrame([], schema)
     sample = np.array([r["_vec"] for r in drawn], dtype=np.float64)
-    centres = sample[:pivots]
-
-    packed_train = rows.mapInPandas(
-        _pack_train(centres),
-        "cell int, near double, far double, t_ids array<bigint>, t_labels array<double>, t_vecs binary",
-    )
+    centres, width = sample[:pivots], sample.shape[1]
+    tasks = shuffle_width(train.sparkSession)
+    if spread is None:
+        shards, parts = grid(asked.count(), rows.count(), width, k, tasks)
+    else:
+        shards, parts = spread, max(1, -(-tasks // spread))
+    shares = np.bincount(np.concatenate([_distances(sample[s], centres).argmin(1) for s in _slices(len(sample), pivots)]), minlength=len(centres))
+    first, last = cell_shards(shares, shards)
+    packed_train = rows.mapInPandas(_pack_train(centres, first, last), f"shard int, {BLOCK_COLUMNS}")
     packed_queries = asked.mapInPandas(
-        _pack_queries(sample, centres, k),
-        "q_cell int, low double, high double, q_ids array<bigint>, q_bounds array<double>, q_vecs binary",
-    )
-    # One task per join key: the blocks are small in bytes but heavy to compare, so
-    # they must not be merged into fewer tasks by size.
-    tasks = len(centres) * spread
-    part = F.pmod(F.xxhash64("cell", "near", "t_ids"), F.lit(spread)).cast("int")
-    dealt = packed_train.withColumn("part", part).repartition(tasks, "cell", "part")
-    sent = packed_queries.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))).repartition(
-        tasks, "q_cell", "q_part"
-    )
-    meets = (
-        (F.col("cell") == F.col("q_cell"))
-        & (F.col("part") == F.col("q_part"))
-        & (F.col("far") >= F.col("low"))
-        & (F.col("near") <= F.col("high"))
+        _pack_queries(sample, centres, k, first, last), "q_shard int, q_ids array<bigint>, q_bounds array<double>, q_vecs binary"
     )
-    # Packed rows are far larger than Catalyst's estimate for them, so a merge join is
-    # asked for: a broadcast would be chosen on a size nobody has checked.
-    pairs = sent.join(dealt.hint("merge"), meets).select("q_ids", "q_bounds", "q_vecs", "t_ids", "t_labels", "t_vecs")
-    found = pairs.mapInPandas(
-        _match(k, centres.shape[1]), "query_id bigint, train_id bigint, distance double, label double"
-    )
-    best = Window.partitionBy("query_id").orderBy("distance", "train_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    pairs = paired(packed_queries, packed_train, parts, shards * parts)
+    pairs = pairs.select("q_shard", "q_ids", "q_bounds", "q_vecs", "cell", "near", "far", "t_ids", "t_labels", "t_vecs")
+    return ranked(pairs.mapInPandas(matched(k, width, _near_cells(centres)), FOUND_COLUMNS), k)
 
 
 def knn_proba(
