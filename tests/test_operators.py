@@ -411,3 +411,14 @@ def test_vectors_travel_a_few_times(spark, tmp_path):
     exact = {(r["query_id"], r["rank"]): r["train_id"] for r in neighbours.nearest(df, df, 5).collect()}
     for found in (index.search(df, 5, probes=40, spread=5), neighbours.nearest(df, df, 5, spread=7), index.search(df, 5, probes=40)):
         assert {(r["query_id"], r["rank"]): r["train_id"] for r in found.collect()} == exact
+
+
+@pytest.mark.parametrize("queries, train, tasks", [(1, 10, 200), (600_000, 600_000, 200), (1000, 10**6, 200), (10**6, 1000, 12)])
+def test_grid_of_shards_and_parts(queries, train, tasks):
+    shards, parts = neighbours.grid(queries, train, 64, 21, tasks)
+    blocks = lambda n: -(-n // neighbours.BLOCK_ROWS)
+    assert min(tasks, blocks(queries) * blocks(train)) <= shards * parts < 2 * tasks
+    # Far less than the 200 copies of each query that one part for each task would need.
+    assert shards * queries + parts * train <= 45 * (queries + train)
+    first, last = neighbours.cell_shards(np.array([5, 0, 90, 5]), shards)
+    assert first[0] == 0 and last[-1] == shards - 1 and (first <= last).all() and (first[1:] - last[:-1] <= 1).all()
