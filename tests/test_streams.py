@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewatch.sinks.versions import published
 from tidewatch.streaming import counts_so_far, ingested, stream_counts, stream_ingest, stream_routes, window_counts
 from tidewatch.streaming.feeds import _merge_batch
+from tidewatch.streaming.routes import Router, key_hash
 
 SCHEMA = "url string, date timestamp"
 
@@ -110,3 +111,59 @@ def test_a_batch_that_is_run_again_changes_nothing(spark, tmp_path):
 def test_nothing_published_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="nothing has been published"):
         counts_so_far(spark, f"{tmp_path}/none")
+
+
+class FakeState:
+    """A handle and its one value state, which count their calls."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, 0, []
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.append(at)
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.watermark
+
+
+def test_a_bucket_of_keys_is_one_state_value():
+    """A thousand keys cost three calls of the state store, and are forgotten with their lifetime."""
+    state, router = FakeState(), Router(["id"], 100)
+    router.init(state)
+    rows = lambda times: [(i, 0, i % 3, i, t) for t in times for i in range(1000)]
+    state.watermark = 0
+    first = [tuple(r) for r in router.handleInputRows((0,), iter(rows([20, 10, 30])), state)]
+    assert state.calls == 3 and len(first) == 3000
+    assert sorted(r[0] for r in first if r[1] == "new") == list(range(1000))
+    state.watermark = 15
+    assert {r[1] for r in router.handleInputRows((0,), iter(rows([5])), state)} == {"copy"}
+    state.watermark = 109
+    list(router.handleExpiredTimer((0,), state, None))
+    assert state.timers == [110] and len(state.value[0]) == 8000
+    state.watermark = 110
+    assert {r[1] for r in router.handleInputRows((0,), iter(rows([50])), state)} == {"late"}
+    assert state.timers == [110, 210]
+    state.watermark = 210
+    list(router.handleExpiredTimer((0,), state, None))
+    assert state.value is None
+
+
+def test_null_parts_of_a_key_are_told_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("a", "a"), ("", "a")], "x string, y string")
+    assert df.select(key_hash(["x", "y"], 1).alias("h")).distinct().count() == 5
