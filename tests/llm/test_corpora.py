@@ -416,6 +416,20 @@ def test_pipeline_near_dedup_tells_rows_of_one_id_apart(documents):
     assert {(i, of[t]) for i, t in kept} >= {(None, "d"), (None, "e"), (7, "f")}
 
 
+def test_similar_texts_meet_by_their_fingerprints(spark):
+    """Near fingerprints are linked without any shingle in common to meet by; anchors add pairs whose bits are further apart."""
+    draw = np.random.default_rng(37)
+    lanes = draw.integers(-(1 << 63), (1 << 63) - 1, (40, 4), dtype=np.int64)
+    rows = [(n, lanes[n].tolist(), [n]) for n in range(40)]
+    for n in range(10):  # one to five bits of the first lane, other lanes and anchors of its own
+        flips = sum(1 << int(b) for b in draw.choice(62, n % 5 + 1, replace=False))
+        rows.append((100 + n, [int(lanes[n][0]) ^ flips, *lanes[n + 20][1:].tolist()], [100 + n]))
+    rows += [(200, (lanes[12] ^ 0b111111).tolist(), [12]), (201, (lanes[13] ^ 0b111111).tolist(), [201])]
+    nodes = spark.createDataFrame(rows, "node bigint, fp array<bigint>, anchors array<bigint>")
+    found = {(min(r), max(r)) for r in simhash.similar_candidates(nodes, 80).collect()}
+    assert found == {(n, 100 + n) for n in range(10) if n % 5 < 4} | {(12, 200)}
+
+
 def far_pair(draw, small, large):
     """Texts of 0.8 of their shingles in common whose fingerprints are more than 64 of 256 bits apart."""
     cut = lambda t: np.unique(simhash.shingle_hashes(t, 5))

@@ -13,7 +13,8 @@ A table of pivot distances alone has no key to shuffle by, so the blocks come fr
   of the fingerprint are equal, whichever pair it is;
 * `anchor keys`, for a similarity of shingles instead of a radius of few bits: the
   smallest shingle hash of each of `ANCHORS` classes. Texts with similarity ``s``
-  miss all of them with probability ``(1 - s) ** ANCHORS``, 3e-6 at 0.8.
+  miss all of them with probability ``(1 - s) ** ANCHORS``, 3e-6 at 0.8. They add to the exact blocks of the
+  first lane, in which pivots and bits find all pairs within `FIRST_LANE_RADIUS`, and replace nothing.
 
 For a similarity the bits are an estimate only. They choose components of texts that may be
 similar, and inside each of these the shingles themselves decide which texts are linked.
@@ -40,6 +41,8 @@ from tidewatch.llm.words import mixed
 ANCHORS = 8
 #: With several lanes the radius is too wide for a pivot to discard much; a few are enough.
 PIVOTS, PIVOTS_WIDE = 24, 4
+#: Differing bits of the first lane within which texts meet by their fingerprints alone, as in op10.
+FIRST_LANE_RADIUS = 4
 #: Groups up to this size are compared by shifting, all at once; larger ones by growing components.
 SMALL_GROUP = 48
 #: Groups beyond this many rows are split, and each two of their parts compared on their own.
@@ -248,6 +251,17 @@ def near_links(distinct: DataFrame, keys: Column, radius: int) -> DataFrame:
     return links_by_key(split_groups(rows), radius)
 
 
+def similar_candidates(nodes: DataFrame, radius: int) -> DataFrame:
+    """Links between nodes (``node``, ``fp`` of several lanes, ``anchors``) that may be similar.
+
+    First those whose fingerprints are near: exact blocks, pivot distances and bits of the first lane. Similar texts may
+    differ in more bits than blocks of a fingerprint can bridge; these meet by a shared anchor, if all lanes are within ``radius``.
+    """
+    lane = nodes.select("node", F.slice("fp", 1, 1).alias("fp"))
+    by_bits = near_links(lane, F.array(*block_keys(FIRST_LANE_RADIUS)), FIRST_LANE_RADIUS)
+    return by_bits.union(near_links(nodes, F.col("anchors"), radius))
+
+
 def links_by_key(groups: DataFrame, radius: int, similarity: float | None = None) -> DataFrame:
     """Links between rows of ``groups`` (``key``, ``node``, ``fp`` and, for a similarity, ``shingles``) with one key.
 
@@ -356,7 +370,8 @@ def grouped(
     number = F.xxhash64("fp") if by_anchor else F.col("fp")[0]
     nodes = stored(held.withColumn("node", number), "nodes")
     keys = F.col("anchors") if by_anchor else F.array(*block_keys(radius))
-    roots = components(near_links(nodes, keys, radius))
+    exact_follows = by_anchor and similarity is not None
+    roots = components(similar_candidates(nodes, radius) if exact_follows else near_links(nodes, keys, radius))
     if similarity is not None:
         roots = components(alike_links(docs, nodes, roots, shingle_words, lanes, radius, similarity))
     placed = nodes.select("fp", "least", "node").join(roots, "node", "left").withColumn(
