@@ -88,6 +88,26 @@ def test_many_batches_and_full_bits(documents, monkeypatch):
     assert {(r.lang, tuple(r.phrase.split(" "))): r.a for r in found.collect()} == {g: a for g, a in counted(rows)[0].items() if a >= 6}
 
 
+def test_missed_phrases_are_those_without_bits(spark):
+    """Filtered in the step that folds them: a task with two such steps keeps two Python workers."""
+    shape = "h1 bigint, h2 bigint, h3 bigint, h4 bigint, n bigint"
+    rows = [(i, 0, 0, 9, 1) for i in range(1, 200)]
+    known = spark.sparkContext.broadcast(collocations.bits_of(spark.createDataFrame(rows[:150], shape), 24))
+    assert not collocations.bits_of(spark.createDataFrame(rows[:150], shape), 24, known).data.any()
+    missed = collocations.bits_of(spark.createDataFrame(rows, shape), 24, known)
+    assert (missed.data == collocations.bits_of(spark.createDataFrame(rows[150:], shape), 24).data).all()
+
+
+def test_tables_of_a_pass_are_few_files(spark):
+    """Files go by the bytes that are left, not by those that were counted."""
+    settings = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    with collocations.scoped_conf(spark, settings):
+        left = spark.range(200_000).groupBy(F.xxhash64("id").alias("k")).agg(F.sum("id").alias("n")).where("n % 1000 = 0")
+        many, few = collocations.stored(left, "many"), collocations._few_files(left, "few")
+        assert len(few.inputFiles()) == 1 < len(many.inputFiles())
+        assert sorted(few.collect()) == sorted(many.collect())
+
+
 def test_products_beyond_64_bits(spark):
     """Counts of 10**13 give the exact floor."""
     row = spark.range(1).select(F.expr(

@@ -85,12 +85,16 @@ def _unsigned(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [*hashes[:3], np.where(hashes[1] == 0, np.uint64(0), hashes[3])]
 
 
-def bits_of(keys: DataFrame, width: int) -> Bits:
-    """The bits of some phrases, put together by Spark in pieces of 4 KB; at most ``2**width`` bits reach the driver."""
+def bits_of(keys: DataFrame, width: int, known=None) -> Bits:
+    """The bits of some phrases, put together by Spark in pieces of 4 KB; at most ``2**width`` bits reach the driver.
+    Phrases that are in the broadcast bits ``known`` are left out by the same step, so a task needs one Python worker."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_folded(_unsigned(batch)).view(np.int64))], names=["first"])
+            first = _folded(_unsigned(batch))
+            if known is not None:
+                first = first[~known.value.has(first)]
+            yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64))], names=["first"])
 
     first = keys.select(*_HASHES).mapInArrow(fold, "first bigint")
     places = F.array(F.shiftrightunsigned("first", 64 - width), F.col("first").bitwiseAND(F.lit((1 << width) - 1)))
@@ -206,14 +210,9 @@ def _counted(texts: DataFrame, longest: int, proposed, before) -> DataFrame:
     return texts.mapInArrow(run, _SHAPE).groupBy(*_HASHES).agg(F.sum("n").alias("n"))
 
 
-def _unproposed(keys: DataFrame, proposed) -> DataFrame:
-    """Phrases that are not proposed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(~proposed.value.has(_folded(_unsigned(batch)))))
-
-    return keys.mapInArrow(run, _SHAPE)
+def _few_files(df: DataFrame, name: str) -> DataFrame:
+    """`stored` in files of a useful size: what is left of a pass is small, and its tasks are many."""
+    return stored(df.hint("rebalance"), name)
 
 
 def frequent_keys(texts: DataFrame, support: int, longest: int, share: float) -> DataFrame:
@@ -228,19 +227,20 @@ def _closed(texts: DataFrame, support: int, longest: int, share: float) -> DataF
     context = texts.sparkSession.sparkContext
     sample = texts.where(draw(SEED, "lang", "text") < share)
     lowered = max(2, int(support * share * LOWERED))
-    sampled = stored(_counted(sample, longest - 1, None, None).where(F.col("n") >= lowered), "sampled-phrases")
+    sampled = _few_files(_counted(sample, longest - 1, None, None).where(F.col("n") >= lowered), "sampled-phrases")
     width = bits_width(sampled.count())
     proposed, before, tables = context.broadcast(bits_of(sampled, width)), None, []
     while True:
         found = _counted(texts, longest, proposed, before).where(F.col("n") >= support)
-        tables.append(stored(found, "frequent-phrases"))
+        tables.append(_few_files(found, "frequent-phrases"))
         # Not proposed, and short enough to be part of others: the border failed.
-        missed = _unproposed(tables[-1].where(F.expr(_SIZE) < longest), proposed)
+        missed = bits_of(tables[-1].where(F.expr(_SIZE) < longest), width, proposed)
         if before is not None:
             before.unpersist()
-        if missed.isEmpty():
+        # Every phrase sets a bit.
+        if not missed.data.any():
             break
-        proposed, before = context.broadcast(proposed.value.joined(bits_of(missed, width))), proposed
+        proposed, before = context.broadcast(proposed.value.joined(missed)), proposed
     proposed.unpersist()
     out = tables[0]
     for table in tables[1:]:
@@ -293,7 +293,7 @@ def _named(texts: DataFrame, keys: DataFrame, longest: int) -> tuple[DataFrame,
     joined = once.join(plain, _HASHES, "left").where(F.col("n").isNotNull() | F.col("phrase").isNull())
     one = F.when(F.col("phrase") != F.col("other"), F.raise_error(F.lit("two phrases share their hashes"))).otherwise(F.col("phrase"))
     with scoped_conf(texts.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
-        found = stored(joined.withColumn("phrase", one).drop("other"), "named-phrases")
+        found = _few_files(joined.withColumn("phrase", one).drop("other"), "named-phrases")
     totals = found.where(F.col("phrase").isNull()).groupBy("lang").agg(F.sum("words").alias("n"))
     return found.where(F.col("phrase").isNotNull()).drop("words"), totals
 
@@ -353,7 +353,7 @@ def collocations(
     if best is not None:
         order = Window.partitionBy("tongue").orderBy(F.col("score").desc(), F.col("n").desc())
         scored = scored.withColumn("place", F.rank().over(order)).where(F.col("place") <= best).drop("place")
-    found, totals = _named(texts, stored(scored, "scored-phrases"), longest)
+    found, totals = _named(texts, _few_files(scored, "scored-phrases"), longest)
     named = found.select("lang", "phrase", F.col("n").alias("a"), "l", "r", "score")
     return named.join(totals, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
 
