@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from tidewatch.llm import catalog, fingerprints, language, quality, secrets, warc
+from tidewatch.session import scoped_conf
 from tests.llm.conftest import rows_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -236,6 +237,22 @@ def test_archives_of_odd_pages(spark, tmp_path):
     assert warc.read_pages(spark, str(tmp_path / "d")).count() == 0
 
 
+def test_archives_follow_the_bytes_not_the_partitions(spark, tmp_path):
+    """Few pages in many shuffle partitions are as many archives as there are cores, at most; a copy still finds its first."""
+    cores = spark.sparkContext.defaultParallelism
+    width = str(8 * cores + 1)
+    df = spark.range(1000).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id % 900 AS string), 20) AS html")
+    settings = {
+        "spark.sql.shuffle.partitions": width, "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    with scoped_conf(spark, settings):
+        warc.write_archives(df, str(tmp_path / "f"))
+        made = warc.read_pages(spark, str(tmp_path / "f")).collect()
+    assert len(list((tmp_path / "f").glob("part-*"))) <= cores
+    check_pages(made, dict(df.select("page_id", "html").collect()))
+
+
 def test_a_missing_segment_is_an_error(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "x" * 5000)], "page_id bigint, url string, html string")
     warc.write_archives(df, str(tmp_path / "e"), segment_bytes=1000)

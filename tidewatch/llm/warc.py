@@ -19,6 +19,7 @@ import base64
 import gzip
 import hashlib
 import io
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,6 +30,10 @@ from pyspark.sql import functions as F
 SEGMENT_BYTES, CHUNK_BYTES = 16 << 10, 4 << 10
 #: Records an archive file holds at most, so that one fits in a task's memory.
 RECORDS_PER_FILE = 2_000
+#: Bytes of records, before gzip, that a task writes at least, as long as there are tasks for all cores.
+TASK_BYTES = 16 << 20
+#: What a page's headers take, roughly.
+_HEAD_BYTES = 1 << 10
 _END = b"\r\n"
 _DATE = "2024-01-01T00:00:00Z"
 
@@ -128,7 +133,11 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, least_bytes: int = 0) -> None:
-    """Write pages as gzipped archives under ``path``; a redone task leaves no second copy."""
+    """Write pages as gzipped archives under ``path``; a redone task leaves no second copy.
+
+    Tasks, and so archives, follow the bytes to write and not the number of shuffle partitions: many small archives cost
+    more than their bytes, and on a local file system without Hadoop's native library each is several ``chmod`` processes.
+    """
     out = pa.schema([("record", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +146,10 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
                 made = [r for page in batch.slice(at, 100).to_pylist() for r in records(page, segment_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], schema=out)
 
-    written = with_revisits(pages, least_bytes).mapInArrow(run, "record binary")
+    length = F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0))
+    size = pages.agg(F.sum(length.cast("bigint") + _HEAD_BYTES)).first()[0] or 0
+    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    written = with_revisits(pages, least_bytes).coalesce(tasks).mapInArrow(run, "record binary")
     lines = written.select(F.col("record").cast("string").alias("value"))
     lines.write.option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
