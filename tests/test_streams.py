@@ -1,13 +1,14 @@
 import datetime
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.sinks.versions import published
 from tidewatch.streaming import counts_so_far, ingested, stream_counts, stream_ingest, stream_routes, window_counts
 from tidewatch.streaming.feeds import _merge_batch
-from tidewatch.streaming.routes import Router, key_hash
+from tidewatch.streaming.routes import PackRouter, Router, key_hash, pack, unpack
 
 SCHEMA = "url string, date timestamp"
 
@@ -164,6 +165,49 @@ def test_a_bucket_of_keys_is_one_state_value():
     assert state.value is None
 
 
+def test_rows_of_a_bucket_travel_as_one_pack():
+    """Three thousand rows of ten buckets, in three batches, are ten rows for the processors, and come back whole."""
+    rows = pa.table({"id": pa.array([*range(999), None] * 3), "_bucket": pa.array([i % 10 for i in range(3000)], pa.int32()),
+                     "_first": [i % 1000 for i in range(3000)], "_second": [0] * 3000, "_event_ms": [(i * 7) % 3000 for i in range(3000)]})
+    (packed,) = pack(iter(rows.to_batches(max_chunksize=1000)))
+    assert packed.num_rows == 10
+    sent = []
+    for n in range(10):
+        state, router = FakeState(), PackRouter(100)
+        state.watermark = 50
+        router.init(state)
+        one = packed.slice(n, 1).to_pylist()
+        sent += [tuple(r) for r in router.handleInputRows((n,), iter(tuple(r.values()) for r in one), state)]
+        assert state.calls == 3
+    assert len(sent) == 10
+    table = pa.RecordBatch.from_arrays([pa.array([r[i] for r in sent], pa.binary()) for i in (0, 1)], names=["rows", "routes"])
+    made = pa.Table.from_batches(list(unpack(iter([table])))).to_pylist()
+    by_id = {}
+    for r in made:
+        by_id.setdefault(r["id"], []).append(r["route"])
+    assert len(made) == 3000 and len(by_id) == 1000
+    least = {i if i < 999 else None: min((j * 7) % 3000 for j in (i, i + 1000, i + 2000)) for i in range(1000)}
+    assert all(sorted(routes) == ["copy", "copy", "late" if least[i] < 50 else "new"] for i, routes in by_id.items())
+
+
+def test_columns_of_all_kinds_come_through_the_stream(spark, tmp_path):
+    """Nulls, large numbers, nested values and times outside the range of nanoseconds are as they were."""
+    src = f"{tmp_path}/in"
+    rows = spark.range(500).selectExpr(
+        "id AS url", "CAST('2020-01-01' AS timestamp) + make_interval(0, 0, 0, 0, 0, 0, id) AS date",
+        "IF(id % 3 = 0, NULL, 9007199254740993 + id) AS large", "IF(id % 5 = 0, NULL, double('NaN')) AS number",
+        "timestamp'0999-01-01 01:02:03.000004' AS old", "CAST(id AS decimal(38, 10)) AS exact", "unhex(hex(id)) AS raw",
+        "named_struct('a', IF(id % 2 = 0, NULL, id), 'b', array('x', NULL)) AS nested", "map('k', id) AS pairs",
+    )
+    rows.write.parquet(src)
+    stream = spark.readStream.schema(rows.schema).parquet(src)
+    stream_routes(stream, f"{tmp_path}/out", f"{tmp_path}/state", ["url"], "date").awaitTermination()
+    made = spark.read.parquet(f"{tmp_path}/out")
+    assert {r["route"] for r in made.select("route").distinct().collect()} == {"new"}
+    assert dict(made.drop("route", "day").dtypes) == dict(rows.dtypes)
+    assert sorted(map(repr, made.select(*rows.columns).collect())) == sorted(map(repr, spark.read.parquet(src).collect()))
+
+
 def test_null_parts_of_a_key_are_told_apart(spark):
     df = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("a", "a"), ("", "a")], "x string, y string")
     assert df.select(key_hash(["x", "y"], 1).alias("h")).distinct().count() == 5
