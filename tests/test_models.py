@@ -181,3 +181,32 @@ def test_projection_multiplies_by_the_kept_components_only(points):
     full = {r["id"]: r["projected"].toArray() for r in whole(test).collect()}
     for r in cut(test).collect():
         assert len(r["projected"]) == kept and np.allclose(r["projected"].toArray(), full[r["id"]][:kept])
+
+
+def test_rounds_get_equal_parts_of_a_table_of_one_part(spark, points, monkeypatch):
+    """Each round waits for its largest part, so one file or row group must not stay one task; few rows stay together."""
+    train, seen = points[0].coalesce(1), []
+
+    class Asked(Exception):
+        pass
+
+    class Maker:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, ready):
+            seen.append([r["n"] for r in ready.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()])
+            raise Asked
+
+    monkeypatch.setattr(models, "GBTClassifier", Maker)
+    runs = (
+        lambda: models.fit_ensemble(train, "v", "y", ["id"], "country"),
+        lambda: models.boosted_classifier(models.as_vector(train, "v"), models.as_vector(train, "v"), "y", "features"),
+    )
+    for rows, parts in ((10, 4), (4096, 1)):
+        monkeypatch.setattr(models, "PART_ROWS", rows, raising=False)
+        for run in runs:
+            with pytest.raises(Asked):
+                run()
+            sizes = seen.pop()
+            assert len(sizes) == parts and max(sizes) <= 2 * sum(sizes) / parts and sum(sizes) >= 120

@@ -288,6 +288,26 @@ def test_nearest_refuses_bad_parameters(spark, bad):
         neighbours.nearest(t, t, **bad)
 
 
+@pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (1.0, 1e4), (1e-25, 0.0), (1e18, 0.0), (1e-3, 1.0)])
+@pytest.mark.parametrize("bounded", [True, False])
+def test_blocks_are_compared_in_cache_and_none_is_lost(monkeypatch, scale, shift, bounded):
+    rng = np.random.default_rng(3)
+    t, q = (rng.normal(size=(n, 9)) * scale + shift for n in (700, 90))
+    far = np.sqrt(((q[:, None, :] - t[None, :, :]) ** 2).sum(2))
+    monkeypatch.setattr(neighbours, "CACHE_BYTES", 8 * 700 * 11, raising=False)
+    compared, plain = [], neighbours._Best._add
+    monkeypatch.setattr(neighbours._Best, "_add", lambda self, t, *a: (compared.append(len(t) * len(a[2])), plain(self, t, *a)))
+    bound = neighbours._kth_distance(q, t[:200], 5) * (1 + 1e-6) if bounded else np.full(90, np.inf)
+    best = neighbours._Best(np.arange(90), q, bound, 5)
+    for at in (0, 350):
+        best.add(t[at : at + 350], np.arange(at, at + 350), np.zeros(350))
+    found = best.frame()
+    assert 8 * max(compared) <= 2 * neighbours.CACHE_BYTES
+    order = np.argsort(far, axis=1, kind="stable")[:, :5]
+    assert found["train_id"].to_numpy().reshape(90, 5).tolist() == order.tolist()
+    assert np.allclose(found["distance"].to_numpy().reshape(90, 5), np.take_along_axis(far, order, 1), rtol=1e-12, atol=0)
+
+
 def test_nearest_works_in_slices(monkeypatch):
     rng = np.random.default_rng(6)
     vectors, sample = rng.normal(size=(50, 4)), rng.normal(size=(30, 4))

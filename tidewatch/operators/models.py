@@ -36,6 +36,23 @@ from tidewatch.session import stored
 #: A fitted step: a table with the step's column added.
 Step = Callable[[DataFrame], DataFrame]
 
+#: Rows below which a part of its own costs a boosted round more than it saves.
+PART_ROWS = 4096
+
+
+def dealt(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """The rows stored in equal parts, one for each core, however the input is cut.
+
+    A table of one file or row group is otherwise one task in every step that follows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return stored(df.repartition(cores, *by), name)
+
+
+def rounds_of(held: DataFrame) -> DataFrame:
+    """Stored rows with fewer parts if they are few: each level of each boosted tree is a job over all parts."""
+    return held.coalesce(max(1, -(-held.count() // PART_ROWS)))
+
 
 def as_vector(df: DataFrame, column: str, name: str = "features") -> DataFrame:
     return df.withColumn(name, array_to_vector(F.col(column).cast("array<double>")))
@@ -156,9 +173,10 @@ def boosted_classifier(
     seed: int = 82,
 ) -> DataFrame:
     """Gradient-boosted trees: ``test`` with class probabilities and prediction."""
+    held = dealt(train.select(label, features), "training")
     model = GBTClassifier(
         labelCol=label, featuresCol=features, maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed
-    ).fit(train)
+    ).fit(rounds_of(held))
     return _probabilities(model.transform(test), test.columns)
 
 
@@ -223,7 +241,8 @@ class EnsembleModel(Model):
     def predict_proba(self, rows: DataFrame) -> DataFrame:
         """All rows and columns with ``probabilities`` of both classes and ``prediction``. Keys may repeat."""
         # The number is stored with the row, so both models and the join below see the same one.
-        numbered = rows.withColumn("_nn", F.monotonically_increasing_id())
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        numbered = rows.repartition(cores).withColumn("_nn", F.monotonically_increasing_id())
         asked = stored(self.prepare.transform(numbered).drop("features", "_sample_scaled", "scaled"), "asked")
         trees = _probabilities(self.boosted.transform(asked), ["_nn"])
         points = asked.select("_nn", vector_to_array("projected").alias("_v"))
@@ -277,14 +296,15 @@ class EnsembleClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable
             categories = category_values(train.select(get["category"]), get["category"])
         assemble = VectorWithSlots(get["vector"], get["category"], categories)
         # The balanced rows are read for the scaling, for the projection and to be projected.
-        balanced = stored(assemble.transform(oversample(train, get["label"], get["ids"], get["seed"])), "balanced")
+        drawn = oversample(train, get["label"], get["ids"], get["seed"])
+        balanced = dealt(assemble.transform(drawn), "balanced", *get["ids"], "draw")
         scale = scaling_stages(balanced)
         scaled = PipelineModel(scale).transform(balanced)
         project, _ = projection_stage(scaled, get["share"])
         ready = stored(project.transform(scaled).drop("features", "_sample_scaled", "scaled"), "training")
         boosted = GBTClassifier(
             labelCol=get["label"], featuresCol="projected", maxIter=get["rounds"], stepSize=get["rate"], maxDepth=get["depth"], seed=get["seed"]
-        ).fit(ready)
+        ).fit(rounds_of(ready))
         # Copies of a row are separate neighbours, so each training row gets its own id.
         neighbours = ready.select(
             F.xxhash64(*get["ids"], "draw").alias("_nn"), vector_to_array("projected").alias("_v"), F.col(get["label"]).alias("_y")

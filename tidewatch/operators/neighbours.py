@@ -36,6 +36,8 @@ SAMPLE_ROWS = 4096
 BLOCK_ROWS = 2048
 # Bytes one array of distances or differences may take in a task.
 SLICE_BYTES = 64 << 20
+# Bytes of distances a block is compared by at once: they stay in a core's cache, so tasks side by side do not wait for memory.
+CACHE_BYTES = 1 << 20
 # Rows of which a task makes its blocks at once.
 GATHER_ROWS = 1 << 16
 BLOCK_COLUMNS = "cell int, near double, far double, t_ids array<bigint>, t_labels array<double>, t_vecs binary"
@@ -190,22 +192,36 @@ class _Best:
     def add(self, t: np.ndarray, t_ids: np.ndarray, labels: np.ndarray, who: np.ndarray | None = None) -> None:
         """Shortlist by the fast formula, and measure the shortlist exactly. ``who`` are the queries that meet these rows."""
         who = np.arange(len(self.q)) if who is None else who
-        for part in _slices(len(who), len(t)):
-            self._add(t, t_ids, labels, who[part])
-
-    def _add(self, t: np.ndarray, t_ids: np.ndarray, labels: np.ndarray, who: np.ndarray) -> None:
-        q = self.q[who] if len(who) < len(self.q) else self.q
-        squared = q @ (-2.0 * t.T)
-        squared += self.squares[who][:, None]
-        squared += (t * t).sum(1)[None, :]
-        room, bound = _room(q, t), self.bound[who]
+        if not len(who) or not len(t):
+            return
+        squares = (t * t).sum(1)
+        # |q - t|^2 without |q|^2 is one product: the last column of the queries is 1, that of the rows |t|^2.
+        plain = np.column_stack([-2.0 * t, squares])
+        # Single precision if the numbers allow it. Its rounding error is at most ``loose``, which widens the shortlist.
+        scale = float(np.sqrt(self.squares[who].max()) + np.sqrt(squares.max())) ** 2
+        kind = np.float32 if scale < 1e30 else np.float64
+        loose = float(np.finfo(kind).eps) * (t.shape[1] + 16) * scale + 1e-30
+        across, step = np.ascontiguousarray(plain.T, dtype=kind), max(1, CACHE_BYTES // (kind().itemsize * len(t)))
+        room = _room(self.q, t)
+        for at in range(0, len(who), step):
+            self._add(t, t_ids, labels, who[at : at + step], across, loose, room)
+
+    def _add(
+        self, t: np.ndarray, t_ids: np.ndarray, labels: np.ndarray, who: np.ndarray, across: np.ndarray, loose: float, room: float
+    ) -> None:
+        q, own, bound = self.q[who], self.squares[who], self.bound[who]
+        left = np.ones((len(who), q.shape[1] + 1), dtype=across.dtype)
+        left[:, :-1] = q
+        rest = left @ across
         open_ = np.flatnonzero(np.isinf(bound))
         if len(open_) and len(t) > self.k:
             # Without a bound so far, the k-th of these rows is one.
-            kth = np.partition(squared[open_], self.k - 1, axis=1)[:, self.k - 1]
-            bound[open_] = np.sqrt(np.maximum(kth, 0.0)) + 2 * room
+            kth = np.partition(rest[open_], self.k - 1, axis=1)[:, self.k - 1].astype(np.float64)
+            bound[open_] = np.sqrt(np.maximum(kth + own[open_] + loose, 0.0)) + 2 * room
             self.bound[who[open_]] = bound[open_]
-        rows, columns = np.divmod(np.flatnonzero(squared <= ((bound + 2 * room) ** 2)[:, None]), len(t))
+        # Rounded up, so that the comparison itself loses none.
+        limit = np.nextafter(((bound + 2 * room) ** 2 - own + loose).astype(across.dtype), np.inf, dtype=across.dtype)
+        rows, columns = np.divmod(np.flatnonzero(rest <= limit[:, None]), len(t))
         if not len(rows):
             return
         exact = np.empty(len(rows))
